@@ -39,9 +39,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+
+    return register
 
 
 SILVER_COLUMNS = ["SNo", "batch", "url", "article_title", "article_text", "transformed_text"]
@@ -51,12 +54,12 @@ QUEUE_COLUMNS = ["SNo", "batch", "url", "processed", "status"]
 # --- queue -----------------------------------------------------------------------------------
 
 
-@query
+@query("scan_bronze")
 def scan_bronze(spark, sf):
     return t.bronze(spark, sf).select(QUEUE_COLUMNS)
 
 
-@query
+@query("feed_scan")
 def feed_scan(spark, sf):
     """Feed files written by Spark from all pages, read back by column position."""
     return read_feed(spark, _feed_files(spark, sf))
@@ -70,7 +73,7 @@ def _feed_files(spark, sf) -> str:
     return landing
 
 
-@query
+@query("bronze_import")
 def bronze_import(spark, sf):
     """Feed files -> numbered rows -> appended to a bronze table -> read back."""
     old = t.bronze(spark, sf)
@@ -80,47 +83,47 @@ def bronze_import(spark, sf):
     return read_layer(spark, path, "bronze").select(QUEUE_COLUMNS)
 
 
-@query
+@query("work_queue")
 def work_queue(spark, sf):
     return queue.work_queue(t.bronze(spark, sf)).select(QUEUE_COLUMNS)
 
 
-@query
+@query("queue_head")
 def queue_head(spark, sf):
     return queue.queue_head(t.bronze(spark, sf), 500).select(QUEUE_COLUMNS)
 
 
-@query
+@query("bronze_failed")
 def bronze_failed(spark, sf):
     return queue.failed_rows(t.bronze(spark, sf)).select(QUEUE_COLUMNS)
 
 
-@query
+@query("bronze_done")
 def bronze_done(spark, sf):
     return queue.done_rows(t.bronze(spark, sf)).select(QUEUE_COLUMNS)
 
 
-@query
+@query("status_breakdown")
 def status_breakdown(spark, sf):
     return queue.status_breakdown(t.bronze(spark, sf))
 
 
-@query
+@query("max_batch")
 def max_batch(spark, sf):
     return batches.max_batch(t.bronze(spark, sf))
 
 
-@query
+@query("next_batch")
 def next_batch(spark, sf):
     return batches.next_batch(t.bronze(spark, sf))
 
 
-@query
+@query("distinct_batches")
 def distinct_batches(spark, sf):
     return batches.distinct_batches(t.silver(spark, sf))
 
 
-@query
+@query("rows_per_batch")
 def rows_per_batch(spark, sf):
     return batches.rows_per_batch(t.silver(spark, sf))
 
@@ -131,19 +134,19 @@ def _outcomes(spark, sf) -> DataFrame:
     return fetch.fetch_outcomes(fetch.locate_pages(todo, t.crawl(spark, sf)))
 
 
-@query
+@query("fetch_outcome")
 def fetch_outcome(spark, sf):
     """Outcome of every distinct URL of the whole queue."""
     urls = t.new_bronze(spark, sf).select("url").distinct()
     return fetch.fetch_outcomes(fetch.locate_pages(urls, t.crawl(spark, sf)))
 
 
-@query
+@query("outcome_per_url")
 def outcome_per_url(spark, sf):
     return queue.outcome_per_url(_outcomes(spark, sf))
 
 
-@query
+@query("outcome_latest_run")
 def outcome_latest_run(spark, sf):
     """Run 1 is what the queue shows, run 2 tried the open rows again; the later run wins."""
     first = t.bronze(spark, sf).select("url", "processed", "status", F.lit(1).cast("bigint").alias("run_id"))
@@ -151,24 +154,24 @@ def outcome_latest_run(spark, sf):
     return queue.latest_outcome(first.unionByName(second))
 
 
-@query
+@query("bronze_touched")
 def bronze_touched(spark, sf):
     return queue.touched_rows(t.bronze(spark, sf), _outcomes(spark, sf)).select(QUEUE_COLUMNS)
 
 
-@query
+@query("bronze_update")
 def bronze_update(spark, sf):
     return queue.apply_outcomes(t.bronze(spark, sf), _outcomes(spark, sf)).select(QUEUE_COLUMNS)
 
 
-@query
+@query("dense_sno")
 def dense_sno(spark, sf):
     """All queue rows numbered 1..n by URL."""
     rows = t.bronze(spark, sf).select("url", F.col("SNo").alias("row_key"))
     return dense_number(rows, ["url", "row_key"])
 
 
-@query
+@query("chunk_assign")
 def chunk_assign(spark, sf):
     """All open queue rows in chunks of 500."""
     return chunk_rows(queue.work_queue(t.bronze(spark, sf)).select("SNo", "url"), ["SNo"])
@@ -177,22 +180,22 @@ def chunk_assign(spark, sf):
 # --- text ------------------------------------------------------------------------------------
 
 
-@query
+@query("article_key")
 def article_key_md5(spark, sf):
     return t.table(spark, sf, "pages").select("page_id", article_key(F.col("url")).alias("id"))
 
 
-@query
+@query("page_extract")
 def page_extract(spark, sf):
     return fetch.extract_articles(t.crawl(spark, sf))
 
 
-@query
+@query("remove_urls")
 def remove_urls_text(spark, sf):
     return t.documents_with_urls(spark, sf).select("doc_id", remove_urls(F.col("text")).alias("clean"))
 
 
-@query
+@query("token_truncate")
 def token_truncate(spark, sf):
     """What a scorer with a 512-word input sees of each document."""
     head = head_tokens(F.col("text"))
@@ -207,7 +210,7 @@ def _long_articles(spark, sf) -> DataFrame:
     return t.table(spark, sf, "documents").select("doc_id", F.col("text").alias("article"))
 
 
-@query
+@query("token_windows")
 def token_windows_all(spark, sf):
     """Every window of every document."""
     words = _long_articles(spark, sf).select("doc_id", tokens(F.col("article")).alias("words"))
@@ -217,17 +220,17 @@ def token_windows_all(spark, sf):
     )
 
 
-@query
+@query("silver_nonempty")
 def silver_nonempty(spark, sf):
     return fetch.non_empty(t.document_articles(spark, sf)).select("SNo", "batch", "url", "article_title")
 
 
-@query
+@query("qa_title_without_text")
 def qa_title_without_text(spark, sf):
     return fetch.title_without_text(t.document_articles(spark, sf)).select("SNo", "url", "article_title")
 
 
-@query
+@query("silver_insert")
 def silver_insert(spark, sf):
     """Non-empty, distinct articles of all documents."""
     rows = fetch.distinct_articles(fetch.non_empty(t.document_articles(spark, sf)))
@@ -241,7 +244,7 @@ def _scores(spark, sf, models, whole=True) -> DataFrame:
     return window_scores(_long_articles(spark, sf), models, ["doc_id"], "article", whole)
 
 
-@query
+@query("window_scores")
 def window_scores_sentiment(spark, sf):
     """Score of every class in every window of every document."""
     model = t.models(spark, sf)[0]
@@ -249,14 +252,14 @@ def window_scores_sentiment(spark, sf):
     return scored.select("doc_id", "window", F.posexplode("scores_sentiment").alias("label_idx", "score"))
 
 
-@query
+@query("window_argmax")
 def window_argmax(spark, sf):
     model = t.models(spark, sf)[1]
     scored = _scores(spark, sf, [model])
     return scored.select("doc_id", "window", window_label_index(model).alias("label_idx"))
 
 
-@query
+@query("label_lookup")
 def label_lookup(spark, sf):
     model = t.models(spark, sf)[1]
     index = window_label_index(model)
@@ -264,7 +267,7 @@ def label_lookup(spark, sf):
     return scored.withColumn("emotion", label_of(F.col("label_idx"), model.labels))
 
 
-@query
+@query("window_vote")
 def window_vote(spark, sf):
     """Majority of the window labels, with the number of windows."""
     model = t.models(spark, sf)[0]
@@ -274,29 +277,29 @@ def window_vote(spark, sf):
     )
 
 
-@query
+@query("sentiment")
 def sentiment(spark, sf):
     return label_keys(_long_articles(spark, sf), t.models(spark, sf)[:1], ["doc_id"])
 
 
-@query
+@query("emotion")
 def emotion(spark, sf):
     return label_keys(_long_articles(spark, sf), t.models(spark, sf)[1:], ["doc_id"])
 
 
-@query
+@query("labels_head")
 def labels_head(spark, sf):
     """Both labels from the first window only, as a scorer with a 512-word input gives them."""
     return label_keys(_long_articles(spark, sf), t.models(spark, sf), ["doc_id"], whole=False)
 
 
-@query
+@query("labels_salted")
 def labels_salted(spark, sf):
     """Both labels with the salted join that serves models too large to broadcast."""
     return label_keys(_long_articles(spark, sf), t.models(spark, sf), ["doc_id"], broadcast_rows=0)
 
 
-@query
+@query("labels_arrow")
 def labels_arrow(spark, sf):
     """Both labels from a pluggable scorer in Arrow batches."""
     models = t.models(spark, sf)
@@ -304,13 +307,13 @@ def labels_arrow(spark, sf):
     return scored.select("doc_id", "sentiment", "emotion")
 
 
-@query
+@query("keyed_predictions")
 def keyed_predictions(spark, sf):
     """Every document with its own labels, joined back by key."""
     return label_articles(_long_articles(spark, sf), t.models(spark, sf), ["doc_id"])
 
 
-@query
+@query("model_version_select")
 def model_version_select(spark, sf):
     """Weights of the newest version and of an older, named version."""
     root = t.model_root(spark, sf)
@@ -324,24 +327,24 @@ def model_version_select(spark, sf):
 # --- silver and gold -------------------------------------------------------------------------
 
 
-@query
+@query("silver_build")
 def silver_build(spark, sf):
     """Whole queue -> pages -> clean articles."""
     rows, _ = build_silver(t.new_bronze(spark, sf), t.crawl(spark, sf), loaded_at=t.loaded_at())
     return rows.select(SILVER_COLUMNS)
 
 
-@query
+@query("gold_input")
 def gold_input_rows(spark, sf):
     return gold_input(t.silver(spark, sf))
 
 
-@query
+@query("latest_batch_scalar")
 def latest_batch_scalar(spark, sf):
     return batches.latest_batch(t.silver(spark, sf)).select(SILVER_COLUMNS)
 
 
-@query
+@query("latest_batch_in_lookup")
 def latest_batch_in_lookup(spark, sf):
     """The article with the highest URL, looked up in the latest batch of the queue."""
     rows = t.bronze(spark, sf)
@@ -349,37 +352,37 @@ def latest_batch_in_lookup(spark, sf):
     return batches.latest_batch_lookup(rows, newest).select(QUEUE_COLUMNS)
 
 
-@query
+@query("gold_all_batches")
 def gold_all_batches(spark, sf):
     return build_gold(t.silver(spark, sf), t.models(spark, sf))
 
 
-@query
+@query("gold_latest")
 def gold_latest(spark, sf):
     return build_latest_gold(t.silver(spark, sf), t.models(spark, sf))
 
 
-@query
+@query("gold_write_readback")
 def gold_write_readback(spark, sf):
     """Gold as written, partitioned by batch."""
     return t.gold(spark, sf)
 
 
-@query
+@query("gold_label_counts")
 def gold_label_counts(spark, sf):
     """Articles per batch, sentiment and emotion."""
     labelled = build_gold(t.silver(spark, sf), t.models(spark, sf))
     return labelled.groupBy("batch", "sentiment", "emotion").agg(F.count(F.lit(1)).alias("n_articles"))
 
 
-@query
+@query("write_metrics")
 def write_metrics(spark, sf):
     """Report of appending all silver rows."""
     path = new_path(spark, "counted")
     return write_report(spark, "inserted", append_counted(t.silver(spark, sf), path, ["batch"]))
 
 
-@query
+@query("compact_partition")
 def compact_partition_rows(spark, sf):
     """Silver in many small files, its latest batch then rewritten into one."""
     path = new_path(spark, "compact")
@@ -390,7 +393,7 @@ def compact_partition_rows(spark, sf):
     return spark.read.schema(SILVER).parquet(path).select(SILVER_COLUMNS)
 
 
-@query
+@query("stream_gold")
 def stream_gold(spark, sf):
     """All silver files as a stream, labelled per micro-batch, read back."""
     path, checkpoint = new_path(spark, "stream-gold"), new_path(spark, "stream-state")
