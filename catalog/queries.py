@@ -200,14 +200,14 @@ def token_truncate(spark, sf):
     """What a scorer with a 512-word input sees of each document."""
     head = head_tokens(F.col("text"))
     return (
-        t.table(spark, sf, "documents")
+        t.documents(spark, sf)
         .select("doc_id", head.alias("head"))
         .select("doc_id", F.size("head").alias("n_tokens"), F.array_join("head", " ").alias("head"))
     )
 
 
 def _long_articles(spark, sf) -> DataFrame:
-    return t.table(spark, sf, "documents").select("doc_id", F.col("text").alias("article"))
+    return t.documents(spark, sf).select("doc_id", F.col("text").alias("article"))
 
 
 @query("token_windows")

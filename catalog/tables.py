@@ -21,7 +21,7 @@ from presswork.operators.models import (
 )
 from presswork.plans.gold import build_gold, write_gold
 from presswork.plans.silver import build_silver
-from presswork.sources.shared import new_path
+from presswork.sources.shared import materialize, new_path, spread
 from presswork.sources.tables import read_layer, replace_partitions
 
 LOADED_AT = "2024-01-01 00:00:00"
@@ -34,6 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def loaded_at() -> Column:
     return F.lit(LOADED_AT).cast("timestamp")
 
@@ -86,7 +90,7 @@ def new_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def document_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +98,7 @@ def document_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.substring_index("text", "\n", 1)
     rest = F.substr("text", F.length("article_title") + 2)
     return (
-        table(spark, sf_dir, "documents")
+        documents(spark, sf_dir)
         .select(
             (F.col("doc_id") + 1).alias("SNo"),
             F.floor(F.col("doc_id") / 200 + 1).cast("int").alias("batch"),
@@ -110,7 +114,7 @@ def document_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_with_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents with URLs of several shapes put around them."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         F.concat(
             document_url(), F.lit(" "), "text", F.lit(" ("), document_url(), F.lit(") see "),
@@ -143,8 +147,8 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_root(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
-        text = table(spark, sf_dir, "documents").select(F.explode(tokens(F.col("text"))).alias("token"))
-        vocabulary = text.distinct()
+        text = documents(spark, sf_dir).select(F.explode(tokens(F.col("text"))).alias("token"))
+        vocabulary = materialize(text.distinct(), "vocabulary")
         for name, labels in (("sentiment", SENTIMENTS), ("emotion", EMOTIONS)):
             for version in MODEL_VERSIONS:
                 save_model(rule_weights(vocabulary, name, version, len(labels)), path, name, version)

@@ -52,11 +52,10 @@ def fetch_articles(located: DataFrame, crawl: DataFrame) -> DataFrame:
 def distinct_articles(articles: DataFrame) -> DataFrame:
     """One row, the lowest-numbered, per URL and content within a batch.
 
-    Rows are compared by digest, so the grouping shuffles keys and not texts.
+    Rows are compared by digest, so the grouping shuffles keys and not texts. The cleaned text
+    follows from the text and needs no digest. SNo must be unique within a batch.
     """
-    content = F.md5(
-        F.concat(F.md5("article_title"), F.md5("article_text"), F.md5("transformed_text"))
-    )
+    content = F.md5(F.concat(F.md5("article_title"), F.md5("article_text")))
     kept = (
         articles.select("batch", "url", content.alias("_content"), "SNo")
         .groupBy("batch", "url", "_content")

@@ -11,7 +11,7 @@ from presswork.functions.tokens import head_tokens, tokens
 from presswork.operators.models import BROADCAST_ROWS, Model, fits_broadcast
 
 # Ways a hot word is split when the weights are too many to broadcast.
-SALTS = 32
+SALTS = 8
 
 
 def window_words(
@@ -30,16 +30,17 @@ def window_words(
     return placed.select(*key, "has_text", window.alias("window"), "token")
 
 
-def _weigh(words: DataFrame, model: Model, key: Sequence[str], broadcast_rows: int) -> DataFrame:
-    """Attach the model's weights to each word, null for unknown words."""
-    column = f"w_{model.name}"
-    weights = model.weights.select("token", F.col("w").alias(column))
+def _weigh(words: DataFrame, model: Model, broadcast_rows: int) -> DataFrame:
+    """Attach the model's weights to each word, null for unknown words.
+
+    A model above the bound is shuffled: each weight is sent to SALTS tasks, and a word goes to
+    the one its article picked. AQE splits what is still large. Further models join in place.
+    """
+    weights = model.weights.select("token", F.col("w").alias(f"w_{model.name}"))
     if fits_broadcast(weights, broadcast_rows):
         return words.join(F.broadcast(weights), "token", "left")
-    # Salted: every word is spread over SALTS tasks by the article it came from.
-    salt = F.pmod(F.xxhash64(*key, "window"), F.lit(SALTS)).cast("int")
-    copies = weights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return words.withColumn("_salt", salt).join(copies, ["token", "_salt"], "left").drop("_salt")
+    copies = weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return words.join(copies, ["token", "salt"], "left")
 
 
 def window_scores(
@@ -55,10 +56,11 @@ def window_scores(
     All words of a text come from one row, so sums are complete before the shuffle, which
     carries one row per window whatever the number of words.
     """
-    words = window_words(articles, key, text, whole)
+    salt = F.pmod(F.xxhash64(*key, "window"), F.lit(SALTS)).cast("int")
+    words = window_words(articles, key, text, whole).withColumn("salt", salt)
     sums: list[Column] = [F.max("has_text").alias("has_text")]
     for model in models:
-        words = _weigh(words, model, key, broadcast_rows)
+        words = _weigh(words, model, broadcast_rows)
         weight = F.col(f"w_{model.name}")
         sums.append(F.count(weight).alias(f"known_{model.name}"))
         sums += [

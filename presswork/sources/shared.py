@@ -22,6 +22,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/presswork/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work when a stored table has fewer splits than cores; else leave it alone.
+
+    For scans in front of heavy per-row work. At scale a scan has many splits, and nothing moves.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: lost executors cost no recomputation."""
     path = new_path(df.sparkSession, label)
