@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import tables as t
-from presswork.functions.scores import label_of, vote
+from presswork.functions.scores import label_of
 from presswork.functions.tokens import head_tokens, token_windows, tokens
 from presswork.functions.urls import article_key, remove_urls
 from presswork.operators import batches, fetch, queue
 from presswork.operators.labels import (
+    article_labels,
     label_articles,
     label_keys,
     window_label_index,
@@ -21,7 +22,7 @@ from presswork.operators.models import load_model
 from presswork.operators.numbering import chunk_rows, dense_number
 from presswork.operators.predict import linear_scorer, predict_labels
 from presswork.plans.bronze import bronze_rows
-from presswork.plans.gold import build_gold, build_latest_gold, gold_input
+from presswork.plans.gold import build_gold, build_latest_gold, gold_input, predict_gold
 from presswork.plans.silver import build_silver
 from presswork.schemas import SILVER
 from presswork.sources.feed import read_feed
@@ -272,9 +273,8 @@ def window_vote(spark, sf):
     """Majority of the window labels, with the number of windows."""
     model = t.models(spark, sf)[0]
     labels = window_labels(_scores(spark, sf, [model]), [model], ["doc_id"])
-    return labels.groupBy("doc_id").agg(
-        vote(F.col("sentiment")).alias("sentiment"), F.count(F.lit(1)).alias("n_windows")
-    )
+    windows = labels.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_windows"))
+    return article_labels(labels, [model], ["doc_id"]).join(windows, "doc_id")
 
 
 @query("sentiment")
@@ -357,6 +357,12 @@ def gold_all_batches(spark, sf):
     return build_gold(t.silver(spark, sf), t.models(spark, sf))
 
 
+@query("gold_arrow")
+def gold_arrow(spark, sf):
+    """Gold of all batches from the pluggable scorer."""
+    return predict_gold(t.silver(spark, sf), linear_scorer(t.models(spark, sf)))
+
+
 @query("gold_latest")
 def gold_latest(spark, sf):
     return build_latest_gold(t.silver(spark, sf), t.models(spark, sf))

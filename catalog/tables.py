@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.functions.constants import EMOTIONS, SENTIMENTS
+from presswork.functions.numbers import int_div
 from presswork.functions.tokens import tokens
 from presswork.functions.urls import remove_urls
 from presswork.operators.models import (
@@ -53,7 +54,7 @@ def _queue_row(number: Column, batch: Column, status: Column) -> list[Column]:
     done = F.when(status == 2, 1).otherwise(0)
     return [
         number.cast("bigint").alias("SNo"),
-        F.floor(batch).cast("bigint").alias("batch"),
+        batch.cast("bigint").alias("batch"),
         loaded_at().alias("Timestamp"),
         F.col("url"),
         done.cast("smallint").alias("processed"),
@@ -66,7 +67,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     page_status = F.when(F.col("url").startswith("https:"), 2).otherwise(0)
     page_rows = pages.select(
-        *_queue_row(F.col("page_id") * 5 + 1, F.col("page_id") / 50 + 1, page_status)
+        *_queue_row(F.col("page_id") * 5 + 1, int_div(F.col("page_id"), 50) + 1, page_status)
     )
     labels = table(spark, sf_dir, "labels").select("doc_id", F.lit(1).alias("tried"))
     documents = (
@@ -77,7 +78,9 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc_id = F.col("doc_id")
     doc_rows = documents.select(
         *_queue_row(
-            F.floor(doc_id / 4) * 5 + doc_id % 4 + 2, doc_id / 200 + 1, F.coalesce("tried", F.lit(0))
+            int_div(doc_id, 4) * 5 + doc_id % 4 + 2,
+            int_div(doc_id, 200) + 1,
+            F.coalesce("tried", F.lit(0))
         )
     )
     return page_rows.unionByName(doc_rows)
@@ -101,7 +104,7 @@ def document_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir)
         .select(
             (F.col("doc_id") + 1).alias("SNo"),
-            F.floor(F.col("doc_id") / 200 + 1).cast("int").alias("batch"),
+            (int_div(F.col("doc_id"), 200) + 1).cast("int").alias("batch"),
             document_url().alias("url"),
             first.alias("article_title"),
             "text",

@@ -16,6 +16,14 @@ def label_of(index: Column, labels: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in labels]), index + 1)
 
 
-def vote(label: Column) -> Column:
-    """Aggregate: the most frequent label; the smallest name wins a tie."""
-    return F.mode(label, True)
+def label_votes(label: Column, labels: Sequence[str]) -> list[Column]:
+    """Aggregates: number of rows with each label, labels in name order.
+
+    Plain counters keep the vote in a hash aggregate, whatever the number of articles.
+    """
+    return [F.count_if(label == name) for name in sorted(labels)]
+
+
+def elected(votes: Column, labels: Sequence[str]) -> Column:
+    """Label with most votes, the smallest name on a tie; null when there are no votes."""
+    return F.when(F.array_max(votes) > 0, label_of(argmax(votes), sorted(labels)))

@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from presswork.functions.constants import WINDOW_TOKENS
+from presswork.functions.numbers import int_div
 
 TOKEN_PATTERN = r"\p{L}+"
 
@@ -21,7 +22,7 @@ def head_tokens(text: Column) -> Column:
 def window_count(words: Column) -> Column:
     """Number of windows; a text without words still has one, empty, window."""
     n = F.greatest(F.size(words), F.lit(1))
-    return F.floor((n - 1) / WINDOW_TOKENS).cast("int") + 1
+    return int_div(n - 1, WINDOW_TOKENS).cast("int") + 1
 
 
 def token_windows(words: Column) -> Column:

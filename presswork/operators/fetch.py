@@ -23,12 +23,16 @@ def fetch_outcomes(located: DataFrame) -> DataFrame:
 
 
 def extract_articles(crawl: DataFrame) -> DataFrame:
-    """Title, text and text without URLs of every page; the raw page goes no further."""
-    return crawl.select(
-        "page_id",
+    """Title and text of every page; the raw page goes no further.
+
+    The pair is a generated row, so that a later filter on it reads the extracted values;
+    a filter on plain columns would be pushed below and extract everything a second time.
+    """
+    pair = F.struct(
         page_title(F.col("html")).alias("article_title"),
         page_text(F.col("html")).alias("article_text"),
     )
+    return crawl.select("page_id", F.inline(F.array(pair)))
 
 
 def non_empty(articles: DataFrame) -> DataFrame:

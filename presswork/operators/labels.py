@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.functions.constants import NEUTRAL, WINDOW_TOKENS
-from presswork.functions.scores import argmax, label_of, vote
+from presswork.functions.numbers import int_div
+from presswork.functions.scores import argmax, elected, label_of, label_votes
 from presswork.functions.tokens import head_tokens, tokens
 from presswork.operators.models import BROADCAST_ROWS, Model, fits_broadcast
 
@@ -23,10 +24,9 @@ def window_words(
     fixed input length does. `has_text` is false for null texts.
     """
     words = tokens(F.col(text)) if whole else head_tokens(F.col(text))
-    placed = articles.select(
-        *key, F.col(text).isNotNull().alias("has_text"), F.posexplode_outer(words).alias("at", "token")
-    )
-    window = F.floor(F.coalesce("at", F.lit(0)) / WINDOW_TOKENS).cast("int")
+    listed = articles.select(*key, F.col(text).isNotNull().alias("has_text"), words.alias("words"))
+    placed = listed.select(*key, "has_text", F.posexplode_outer("words").alias("at", "token"))
+    window = int_div(F.coalesce("at", F.lit(0)), WINDOW_TOKENS).cast("int")
     return placed.select(*key, "has_text", window.alias("window"), "token")
 
 
@@ -93,8 +93,15 @@ def window_labels(scores: DataFrame, models: Sequence[Model], key: Sequence[str]
 
 
 def article_labels(labels: DataFrame, models: Sequence[Model], key: Sequence[str]) -> DataFrame:
-    """Majority label over the windows of each article."""
-    return labels.groupBy(*key).agg(*[vote(F.col(m.name)).alias(m.name) for m in models])
+    """Majority label over the windows of each article; null when no window has one."""
+    counts: list[Column] = []
+    chosen: list[Column] = []
+    for model in models:
+        votes = label_votes(F.col(model.name), model.labels)
+        columns = [f"v_{model.name}_{i}" for i in range(len(votes))]
+        counts += [vote.alias(column) for vote, column in zip(votes, columns)]
+        chosen.append(elected(F.array(*columns), model.labels).alias(model.name))
+    return labels.groupBy(*key).agg(*counts).select(*key, *chosen)
 
 
 def label_keys(
@@ -131,5 +138,6 @@ def label_articles(
     condition = same[0]
     for part in same[1:]:
         condition = condition & part
-    joined = digested.join(right, condition, "left")
+    # Hash join: the articles, which are wide, are shuffled but never sorted.
+    joined = digested.join(right.hint("shuffle_hash"), condition, "left")
     return joined.select(*articles.columns, *[m.name for m in models])

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from presswork.functions.constants import CHUNK_ROWS
+from presswork.functions.numbers import int_div
 from presswork.sources.shared import materialize
 
 # monotonically_increasing_id() holds the partition above this bit and the row index below it.
@@ -44,5 +45,5 @@ def chunk_rows(
 ) -> DataFrame:
     """Assign every row to exactly one chunk of `size` rows, 0-based, in the given order."""
     numbered = dense_number(df, order_by, "_index")
-    chunk = F.floor((F.col("_index") - 1) / size).cast("bigint")
+    chunk = int_div(F.col("_index") - 1, size)
     return numbered.withColumn(name, chunk).drop("_index")

@@ -44,10 +44,10 @@ def linear_scorer(models: list[Model], max_rows: int = BROADCAST_ROWS) -> Callab
     for model in models:
         if not fits_broadcast(model.weights, max_rows):
             raise ValueError(f"model {model.name} is too large to broadcast; use label_articles")
-        table = model.weights.select("token", "w").toPandas()
-        index = {token: i for i, token in enumerate(table["token"])}
-        width = len(model.labels)
-        matrix = np.array(table["w"].tolist(), dtype=np.int64).reshape(-1, width)
+        table = model.weights.select("token", "w").toArrow()
+        index = {token: i for i, token in enumerate(table["token"].to_pylist())}
+        flat = table["w"].combine_chunks().flatten().to_numpy()
+        matrix = flat.astype(np.int64).reshape(-1, len(model.labels))
         parts.append((model.name, list(model.labels), index, matrix))
     spark = models[0].weights.sparkSession
     shared = spark.sparkContext.broadcast(parts)

@@ -1,6 +1,6 @@
 """Silver -> gold: label every article, partition by batch."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +9,7 @@ from presswork.functions.urls import article_key
 from presswork.operators.batches import latest_batch
 from presswork.operators.labels import label_articles
 from presswork.operators.models import BROADCAST_ROWS, Model
+from presswork.operators.predict import Scorer, predict_labels
 from presswork.sources.tables import replace_partitions
 
 
@@ -32,6 +33,12 @@ def build_gold(
     return labelled.select("id", "url", "article", "sentiment", "emotion", "batch")
 
 
+def predict_gold(silver: DataFrame, make_scorer: Callable[[], Scorer]) -> DataFrame:
+    """Gold rows from a pluggable scorer: one map over the articles, nothing is shuffled."""
+    labelled = predict_labels(gold_input(silver), make_scorer, ["sentiment", "emotion"])
+    return labelled.select("id", "url", "article", "sentiment", "emotion", "batch")
+
+
 def build_latest_gold(silver: DataFrame, models: Sequence[Model], whole: bool = True) -> DataFrame:
     """Gold rows of silver's highest batch."""
     return build_gold(latest_batch(silver), models, whole)

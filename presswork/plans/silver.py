@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.functions.constants import CHUNK_ROWS
+from presswork.functions.numbers import int_div
 from presswork.operators.fetch import fetch_articles, fetch_outcomes, locate_pages
 from presswork.operators.numbering import dense_number
 from presswork.operators.queue import work_queue
@@ -21,7 +22,7 @@ def numbered_queue(
     """
     todo = work_queue(bronze).groupBy("url").agg(F.min("SNo").alias("_first"))
     numbered = dense_number(todo, ["_first", "url"])
-    chunk = F.floor((F.col("SNo") - 1) / chunk_size).cast("int")
+    chunk = int_div(F.col("SNo") - 1, chunk_size)
     base = F.lit(0) if silver is None else silver.agg(F.coalesce(F.max("batch"), F.lit(0))).scalar()
     return numbered.select("SNo", (chunk + 1 + base).cast("int").alias("batch"), "url")
 
