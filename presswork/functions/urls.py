@@ -17,22 +17,31 @@ def article_key(url: Column) -> Column:
 
 # A URL is a head, then units, the last of which must be a "closing" unit. A unit is one visible
 # character or one parenthesised group (nested two deep); a closing unit is any unit that is not
-# sentence punctuation. Characters and groups never start alike, so every repeat below can be
-# possessive: the matcher never backs up into a body, whatever the text holds.
+# sentence punctuation. Characters and groups never start alike, so repeats can be possessive.
+# Head characters are units too: once a head and enough units are known to follow, the URL is
+# simply all units up to the last closing one.
 _CHAR = rf"[^{SPACE_CHARS}()<>]"
 _CLOSING = rf"[^{SPACE_CHARS}()<>{URL_TRAILING_PUNCTUATION}]"
 _GROUP = rf"\((?:{_CHAR}++|\({_CHAR}++\))*+\)"
-_BODY = rf"(?:{_CHAR}|{_GROUP})(?:[{URL_TRAILING_PUNCTUATION}]*+(?:{_CLOSING}++|{_GROUP}))++"
-
-_SCHEME = rf"[a-z][{WORD_CHARS}-]++:[/a-z0-9%]"
-_WWW = r"www\p{Nd}{0,3}+[.]"
-_DOMAIN_TAIL = r"[a-z0-9.-]*[.][a-z]{2,4}/"
-
-# A head starts at a word boundary: before a word character, or at "." / "-" after one.
-URL_PATTERN = (
-    rf"(?iu)(?:(?<![{WORD_CHARS}])(?:{_SCHEME}{_BODY}|{_WWW}{_BODY}|[a-z0-9]{_DOMAIN_TAIL}{_BODY})"
-    rf"|(?<=[{WORD_CHARS}])[.-]{_DOMAIN_TAIL}{_BODY})"
+_UNITS = rf"(?:{_CHAR}|{_GROUP})(?:[{URL_TRAILING_PUNCTUATION}]*+(?:{_CLOSING}++|{_GROUP}))++"
+_ENOUGH = rf"(?:{_CHAR}|{_GROUP})[{URL_TRAILING_PUNCTUATION}]*+(?:{_CLOSING}|{_GROUP})"
+
+# A head starts at a word boundary. All starts within one run of head characters share the end
+# of the run, so only the first start of a run is tried, from the run's beginning: a text is
+# searched in linear time, however long its runs are.
+_WORD = rf"[{WORD_CHARS}]"
+_SCHEME = (  # run of words and hyphens; first word that starts with a letter; colon
+    rf"(?<![{WORD_CHARS}-])(?:-++|(?![a-z]){_WORD}++)*+"
+    rf"(?=[a-z][{WORD_CHARS}-]++:[/a-z0-9%]{_ENOUGH})"
 )
+_DOMAIN = (  # run of letters, digits, dots and hyphens; first word boundary; ends in .tld/
+    rf"(?<![a-z0-9.-])(?:(?<!{_WORD})[.-]*+(?=[a-z0-9])|(?<={_WORD})[a-z0-9]*+(?=[.-]))"
+    rf"(?=[a-z0-9.-]+[.][a-z]{{2,4}}/{_ENOUGH})"
+)
+_WWW = rf"(?<!{_WORD})(?=www\p{{Nd}}{{0,3}}+[.]{_ENOUGH})"
+
+# Group 1 is the URL.
+URL_PATTERN = rf"(?iu)(?:{_SCHEME}|{_DOMAIN}|{_WWW})({_UNITS})"
 
 
 # No URL spans these, so a text is searched piece by piece.
@@ -48,7 +57,7 @@ def _may_hold_url(piece: Column) -> Column:
 def find_urls(text: Column) -> Column:
     """All URLs of a text, in order, repeats kept."""
     pieces = F.filter(F.split(text, _GAP), _may_hold_url)
-    found = F.transform(pieces, lambda p: F.regexp_extract_all(p, F.lit(URL_PATTERN), F.lit(0)))
+    found = F.transform(pieces, lambda p: F.regexp_extract_all(p, F.lit(URL_PATTERN), F.lit(1)))
     return F.flatten(found)
 
 

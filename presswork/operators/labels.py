@@ -61,21 +61,18 @@ def window_scores(
     sums: list[Column] = [F.max("has_text").alias("has_text")]
     for model in models:
         words = _weigh(words, model, broadcast_rows)
-        weight = F.col(f"w_{model.name}")
-        sums.append(F.count(weight).alias(f"known_{model.name}"))
+        name = model.name
+        sums.append(F.expr(f"count(w_{name}) AS known_{name}"))
         sums += [
-            F.coalesce(F.sum(weight[i]), F.lit(0)).alias(f"s_{model.name}_{i}")
+            F.expr(f"coalesce(sum(w_{name}[{i}]), 0) AS s_{name}_{i}")
             for i in range(len(model.labels))
         ]
     totals = words.groupBy(*key, "window").agg(*sums)
-    columns: list[Column] = [F.col(c) for c in (*key, "window", "has_text")]
+    columns: list[Column] = []
     for model in models:
-        scores = F.array(*[F.col(f"s_{model.name}_{i}") for i in range(len(model.labels))])
-        columns += [
-            F.col(f"known_{model.name}"),
-            scores.alias(f"scores_{model.name}"),
-        ]
-    return totals.select(*columns)
+        scores = F.array(*[f"s_{model.name}_{i}" for i in range(len(model.labels))])
+        columns += [F.col(f"known_{model.name}"), scores.alias(f"scores_{model.name}")]
+    return totals.select(*key, "window", "has_text", *columns)
 
 
 def window_label_index(model: Model) -> Column:
