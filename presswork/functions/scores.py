@@ -12,8 +12,8 @@ def argmax(scores: Column) -> Column:
 
 
 def label_of(index: Column, labels: Sequence[str]) -> Column:
-    """Name of a class index."""
-    return F.element_at(F.array(*[F.lit(name) for name in labels]), index + 1)
+    """Name of a class index, null for a null index (which element_at over literals is not)."""
+    return F.get(F.array(*[F.lit(name) for name in labels]), index)
 
 
 def label_votes(label: Column, labels: Sequence[str]) -> list[Column]:
