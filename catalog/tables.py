@@ -31,8 +31,16 @@ MODEL_VERSIONS = (1, 2)
 _written: dict[tuple[str, str, str], str] = {}
 
 
+INPUTS = {
+    "pages": "page_id bigint, url string, html string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table with its declared schema, so that no file is opened to plan a query."""
+    return spark.read.schema(INPUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,45 +53,36 @@ def loaded_at() -> Column:
 
 def document_url() -> Column:
     """URL of a document, equal for documents of one source, language and length."""
-    return F.concat(
-        F.lit("https://"), "source", F.lit(".example.net/"), "lang", F.lit("/"), F.col("n_chars").cast("string")
-    )
+    return F.expr("concat('https://', source, '.example.net/', lang, '/', n_chars)")
 
 
-def _queue_row(number: Column, batch: Column, status: Column) -> list[Column]:
-    done = F.when(status == 2, 1).otherwise(0)
-    return [
-        number.cast("bigint").alias("SNo"),
-        batch.cast("bigint").alias("batch"),
-        loaded_at().alias("Timestamp"),
-        F.col("url"),
-        done.cast("smallint").alias("processed"),
-        status.cast("smallint").alias("status"),
-    ]
+def _queue_rows(rows: DataFrame, number: str, batch: str) -> DataFrame:
+    return rows.selectExpr(
+        f"{number} AS SNo",
+        f"{batch} AS batch",
+        f"TIMESTAMP '{LOADED_AT}' AS Timestamp",
+        "url",
+        "CAST(IF(status = 2, 1, 0) AS SMALLINT) AS processed",
+        "CAST(status AS SMALLINT) AS status",
+    )
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queue in mid-work: https pages are downloaded, labelled documents failed, the rest is to do."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    page_status = F.when(F.col("url").startswith("https:"), 2).otherwise(0)
-    page_rows = pages.select(
-        *_queue_row(F.col("page_id") * 5 + 1, int_div(F.col("page_id"), 50) + 1, page_status)
+    pages = table(spark, sf_dir, "pages").selectExpr(
+        "page_id", "url", "IF(startswith(url, 'https:'), 2, 0) AS status"
     )
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.lit(1).alias("tried"))
+    tried = table(spark, sf_dir, "labels").selectExpr("doc_id", "1 AS failed")
     documents = (
         table(spark, sf_dir, "documents")
         .select("doc_id", document_url().alias("url"))
-        .join(labels, "doc_id", "left")
+        .join(tried, "doc_id", "left")
+        .selectExpr("doc_id", "url", "coalesce(failed, 0) AS status")
     )
-    doc_id = F.col("doc_id")
-    doc_rows = documents.select(
-        *_queue_row(
-            int_div(doc_id, 4) * 5 + doc_id % 4 + 2,
-            int_div(doc_id, 200) + 1,
-            F.coalesce("tried", F.lit(0))
-        )
+    page_rows = _queue_rows(pages, "page_id * 5 + 1", "page_id div 50 + 1")
+    return page_rows.unionByName(
+        _queue_rows(documents, "doc_id div 4 * 5 + doc_id % 4 + 2", "doc_id div 200 + 1")
     )
-    return page_rows.unionByName(doc_rows)
 
 
 def new_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

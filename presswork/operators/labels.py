@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from presswork.functions.constants import NEUTRAL, WINDOW_TOKENS
 from presswork.functions.numbers import int_div
-from presswork.functions.scores import argmax, elected, label_of, label_votes
+from presswork.functions.scores import argmax, class_sums, elected, label_of, label_votes
 from presswork.functions.tokens import head_tokens, tokens
 from presswork.operators.models import BROADCAST_ROWS, Model, fits_broadcast
 
@@ -61,18 +61,10 @@ def window_scores(
     sums: list[Column] = [F.max("has_text").alias("has_text")]
     for model in models:
         words = _weigh(words, model, broadcast_rows)
-        name = model.name
-        sums.append(F.expr(f"count(w_{name}) AS known_{name}"))
-        sums += [
-            F.expr(f"coalesce(sum(w_{name}[{i}]), 0) AS s_{name}_{i}")
-            for i in range(len(model.labels))
-        ]
-    totals = words.groupBy(*key, "window").agg(*sums)
-    columns: list[Column] = []
-    for model in models:
-        scores = F.array(*[f"s_{model.name}_{i}" for i in range(len(model.labels))])
-        columns += [F.col(f"known_{model.name}"), scores.alias(f"scores_{model.name}")]
-    return totals.select(*key, "window", "has_text", *columns)
+        weights = f"w_{model.name}"
+        sums.append(F.count(weights).alias(f"known_{model.name}"))
+        sums.append(class_sums(weights, len(model.labels)).alias(f"scores_{model.name}"))
+    return words.groupBy(*key, "window").agg(*sums)
 
 
 def window_label_index(model: Model) -> Column:
@@ -91,14 +83,8 @@ def window_labels(scores: DataFrame, models: Sequence[Model], key: Sequence[str]
 
 def article_labels(labels: DataFrame, models: Sequence[Model], key: Sequence[str]) -> DataFrame:
     """Majority label over the windows of each article; null when no window has one."""
-    counts: list[Column] = []
-    chosen: list[Column] = []
-    for model in models:
-        votes = label_votes(F.col(model.name), model.labels)
-        columns = [f"v_{model.name}_{i}" for i in range(len(votes))]
-        counts += [vote.alias(column) for vote, column in zip(votes, columns)]
-        chosen.append(elected(F.array(*columns), model.labels).alias(model.name))
-    return labels.groupBy(*key).agg(*counts).select(*key, *chosen)
+    votes = labels.groupBy(*key).agg(*[label_votes(m.name, m.labels).alias(m.name) for m in models])
+    return votes.select(*key, *[elected(F.col(m.name), m.labels).alias(m.name) for m in models])
 
 
 def label_keys(
