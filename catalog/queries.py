@@ -403,7 +403,7 @@ def compact_partition_rows(spark, sf):
 def stream_gold(spark, sf):
     """All silver files as a stream, labelled per micro-batch, read back."""
     path, checkpoint = new_path(spark, "stream-gold"), new_path(spark, "stream-state")
-    stream = read_silver_stream(spark, t.silver_path(spark, sf), files_per_trigger=16)
+    stream = read_silver_stream(spark, t.silver_path(spark, sf), files_per_trigger=1000)
     started = start_gold_stream(stream, path, checkpoint, t.models(spark, sf))
     started.awaitTermination()
     return read_gold_stream(spark, path)

@@ -37,7 +37,7 @@ def _weigh(words: DataFrame, model: Model, broadcast_rows: int) -> DataFrame:
     the one its article picked. AQE splits what is still large. Further models join in place.
     """
     weights = model.weights.select("token", F.col("w").alias(f"w_{model.name}"))
-    if fits_broadcast(weights, broadcast_rows):
+    if fits_broadcast(model, broadcast_rows):
         return words.join(F.broadcast(weights), "token", "left")
     copies = weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return words.join(copies, ["token", "salt"], "left")

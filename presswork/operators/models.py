@@ -16,11 +16,12 @@ BROADCAST_ROWS = 500_000
 
 @dataclass(frozen=True)
 class Model:
-    """Name of the label column, class names in order, and weights (token, w)."""
+    """Name of the label column, class names in order, weights (token, w) and their row count."""
 
     name: str
     labels: Sequence[str]
     weights: DataFrame
+    rows: int | None = None
 
 
 def rule_weights(tokens: DataFrame, model: str, version: int, n_labels: int) -> DataFrame:
@@ -56,14 +57,33 @@ def load_model(
     return stored.where(F.col("version") == wanted)
 
 
+def open_model(
+    spark: SparkSession, root: str, name: str, labels: Sequence[str], version: int | None = None
+) -> Model:
+    """A stored model ready to score with, the newest version by default.
+
+    One small job lists versions with their row counts; scoring then reads a fixed version and
+    knows its size.
+    """
+    stored = spark.read.schema(WEIGHTS).parquet(root).where(F.col("model") == name)
+    counts = stored.groupBy("version").count()
+    chosen = counts.where(F.col("version") == version) if version is not None else counts
+    newest = chosen.orderBy(F.desc("version")).first()
+    if newest is None:
+        raise ValueError(f"no such version of model {name} under {root}")
+    weights = stored.where(F.col("version") == newest["version"])
+    return Model(name, labels, weights, newest["count"])
+
+
 def sentiment_model(spark: SparkSession, root: str, version: int | None = None) -> Model:
-    return Model("sentiment", SENTIMENTS, load_model(spark, root, "sentiment", version))
+    return open_model(spark, root, "sentiment", SENTIMENTS, version)
 
 
 def emotion_model(spark: SparkSession, root: str, version: int | None = None) -> Model:
-    return Model("emotion", EMOTIONS, load_model(spark, root, "emotion", version))
+    return open_model(spark, root, "emotion", EMOTIONS, version)
 
 
-def fits_broadcast(weights: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a stored weights table has few enough rows to send to every executor."""
-    return weights.count() <= max_rows
+def fits_broadcast(model: Model, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a model has few enough rows to send to every executor."""
+    rows = model.weights.count() if model.rows is None else model.rows
+    return rows <= max_rows

@@ -42,7 +42,7 @@ def linear_scorer(models: list[Model], max_rows: int = BROADCAST_ROWS) -> Callab
     """
     parts = []
     for model in models:
-        if not fits_broadcast(model.weights, max_rows):
+        if not fits_broadcast(model, max_rows):
             raise ValueError(f"model {model.name} is too large to broadcast; use label_articles")
         table = model.weights.select("token", "w").toArrow()
         index = {token: i for i, token in enumerate(table["token"].to_pylist())}

@@ -11,6 +11,7 @@ from presswork.operators.models import (
     emotion_model,
     fits_broadcast,
     load_model,
+    open_model,
     rule_weights,
     save_model,
     sentiment_model,
@@ -74,7 +75,8 @@ def test_pluggable_scorer_gives_the_same(spark, models, texts):
 
 
 def test_large_model_is_not_sent_to_tasks(models):
-    assert fits_broadcast(models[0].weights) and not fits_broadcast(models[0].weights, 10)
+    assert fits_broadcast(models[0]) and not fits_broadcast(models[0], 10)
+    assert models[0].rows == models[0].weights.count()
     with pytest.raises(ValueError):
         linear_scorer(models, max_rows=10)
 
@@ -127,4 +129,8 @@ def test_model_versions(spark):
     assert [(r["token"], r["w"]) for r in load_model(spark, root, "m").collect()] == [("a", [7])]
     assert load_model(spark, root, "m", 2).count() == 2
     assert load_model(spark, root, "m", 3).count() == 0
+    assert open_model(spark, root, "m", ["x"]).weights.first()["version"] == 10
+    assert open_model(spark, root, "m", ["x"], 2).rows == 2
+    with pytest.raises(ValueError):
+        open_model(spark, root, "m", ["x"], 3)
     assert all(-3 <= w <= 3 for ws in one.values() for w in ws)
