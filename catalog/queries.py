@@ -334,6 +334,15 @@ def silver_build(spark, sf):
     return rows.select(SILVER_COLUMNS)
 
 
+@query("silver_build_shuffled")
+def silver_build_shuffled(spark, sf):
+    """The same by the shuffle that serves queues too long to broadcast."""
+    rows, _ = build_silver(
+        t.new_bronze(spark, sf), t.crawl(spark, sf), loaded_at=t.loaded_at(), broadcast_rows=0
+    )
+    return rows.select(SILVER_COLUMNS)
+
+
 @query("gold_input")
 def gold_input_rows(spark, sf):
     return gold_input(t.silver(spark, sf))

@@ -1,5 +1,7 @@
 """Fetching as a join: queued URLs against a table of crawled pages (page_id, url, html)."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,8 @@ def fetch_outcomes(located: DataFrame) -> DataFrame:
     return located.select("url", *outcome_flags(F.col("page_id").isNotNull()))
 
 
-def extract_articles(crawl: DataFrame) -> DataFrame:
-    """Title and text of every page; the raw page goes no further.
+def extract_articles(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
+    """Title and text of every page, with the kept columns; the raw page goes no further.
 
     The pair is a generated row, so that a later filter on it reads the extracted values;
     a filter on plain columns would be pushed below and extract everything a second time.
@@ -32,7 +34,7 @@ def extract_articles(crawl: DataFrame) -> DataFrame:
         page_title(F.col("html")).alias("article_title"),
         page_text(F.col("html")).alias("article_text"),
     )
-    return crawl.select("page_id", F.inline(F.array(pair)))
+    return pages.select(*keep, F.inline(F.array(pair)))
 
 
 def non_empty(articles: DataFrame) -> DataFrame:
@@ -45,12 +47,19 @@ def title_without_text(articles: DataFrame) -> DataFrame:
     return articles.where((F.col("article_text") == "") & (F.col("article_title") != ""))
 
 
-def fetch_articles(located: DataFrame, crawl: DataFrame) -> DataFrame:
-    """Located rows with title, text and cleaned text; rows that lack either are left out."""
+def fetch_articles(located: DataFrame, crawl: DataFrame, few: bool = False) -> DataFrame:
+    """Located rows with title, text and cleaned text; rows that lack either are left out.
+
+    `few` says that the located rows were counted and fit a broadcast: pages are then picked
+    before they are read, and no page moves. Otherwise pages are reduced to text, then shuffled.
+    """
     found = located.where(F.col("page_id").isNotNull())
-    return non_empty(found.join(extract_articles(crawl), "page_id")).withColumn(
-        "transformed_text", remove_urls(F.col("article_text"))
-    )
+    if few:
+        picked = crawl.select("page_id", "html").join(F.broadcast(found), "page_id")
+        articles = extract_articles(picked, found.columns)
+    else:
+        articles = found.join(extract_articles(crawl), "page_id")
+    return non_empty(articles).withColumn("transformed_text", remove_urls(F.col("article_text")))
 
 
 def distinct_articles(articles: DataFrame) -> DataFrame:

@@ -12,6 +12,15 @@ from presswork.sources.shared import materialize
 from presswork.sources.tables import replace_partitions
 
 
+# A queue row is a URL and three numbers, about 200 bytes: a broadcast stays under 100 MB.
+BROADCAST_URLS = 500_000
+
+
+def is_few(queue: DataFrame, max_rows: int) -> bool:
+    """Whether a stored queue is small enough to send to every executor."""
+    return queue.count() <= max_rows
+
+
 def numbered_queue(
     bronze: DataFrame, silver: DataFrame | None = None, chunk_size: int = CHUNK_ROWS
 ) -> DataFrame:
@@ -33,10 +42,12 @@ def build_silver(
     silver: DataFrame | None = None,
     chunk_size: int = CHUNK_ROWS,
     loaded_at: Column | None = None,
+    broadcast_rows: int = BROADCAST_URLS,
 ) -> tuple[DataFrame, DataFrame]:
     """Silver rows of all queued URLs, and the outcome (url, processed, status) of each."""
-    located = locate_pages(numbered_queue(bronze, silver, chunk_size), crawl)
-    articles = fetch_articles(located, crawl).select(
+    queue = numbered_queue(bronze, silver, chunk_size)
+    located = locate_pages(queue, crawl)
+    articles = fetch_articles(located, crawl, is_few(queue, broadcast_rows)).select(
         "SNo",
         (F.current_timestamp() if loaded_at is None else loaded_at).alias("Timestamp"),
         "url",
@@ -56,6 +67,7 @@ def run_silver(
     run_id: int,
     silver: DataFrame | None = None,
     chunk_size: int = CHUNK_ROWS,
+    broadcast_rows: int = BROADCAST_URLS,
 ) -> None:
     """Write silver, then the outcome log. Rerunning after a stop in between rewrites both.
 
@@ -64,7 +76,8 @@ def run_silver(
     """
     queue = materialize(numbered_queue(bronze, silver, chunk_size), "queue")
     located = locate_pages(queue, crawl)
-    articles = fetch_articles(located, crawl).withColumn("Timestamp", F.current_timestamp())
+    few = is_few(queue, broadcast_rows)
+    articles = fetch_articles(located, crawl, few).withColumn("Timestamp", F.current_timestamp())
     replace_partitions(articles.drop("page_id"), silver_path, ["batch"])
     log = fetch_outcomes(located).withColumn("run_id", F.lit(run_id).cast("bigint"))
     replace_partitions(log, log_path, ["run_id"])

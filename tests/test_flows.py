@@ -65,6 +65,12 @@ def test_silver_fetches_each_url_once(spark, bronze, crawl):
     assert [f.dataType for f in silver.schema] == [f.dataType for f in SILVER]
 
 
+def test_small_and_large_queues_give_the_same_silver(spark, bronze, crawl):
+    small, _ = build_silver(bronze, crawl, chunk_size=25)
+    large, _ = build_silver(bronze, crawl, chunk_size=25, broadcast_rows=0)
+    assert plain(small, CONTENT) == plain(large, CONTENT)
+
+
 def test_later_runs_number_on(spark, bronze, crawl):
     first, _ = build_silver(bronze, crawl, chunk_size=25)
     second, _ = build_silver(bronze, crawl, silver=first, chunk_size=25)
