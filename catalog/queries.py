@@ -296,7 +296,7 @@ def labels_head(spark, sf):
 @query("labels_salted")
 def labels_salted(spark, sf):
     """Both labels with the salted join that serves models too large to broadcast."""
-    return label_keys(_long_articles(spark, sf), t.models(spark, sf), ["doc_id"], broadcast_rows=0)
+    return label_keys(_long_articles(spark, sf), t.models(spark, sf), ["doc_id"], broadcast_bytes=0)
 
 
 @query("labels_arrow")
@@ -338,7 +338,7 @@ def silver_build(spark, sf):
 def silver_build_shuffled(spark, sf):
     """The same by the shuffle that serves queues too long to broadcast."""
     rows, _ = build_silver(
-        t.new_bronze(spark, sf), t.crawl(spark, sf), loaded_at=t.loaded_at(), broadcast_rows=0
+        t.new_bronze(spark, sf), t.crawl(spark, sf), loaded_at=t.loaded_at(), broadcast_bytes=0
     )
     return rows.select(SILVER_COLUMNS)
 

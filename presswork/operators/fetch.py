@@ -50,7 +50,7 @@ def title_without_text(articles: DataFrame) -> DataFrame:
 def fetch_articles(located: DataFrame, crawl: DataFrame, few: bool = False) -> DataFrame:
     """Located rows with title, text and cleaned text; rows that lack either are left out.
 
-    `few` says that the located rows were counted and fit a broadcast: pages are then picked
+    `few` says that the located rows were measured and fit a broadcast: pages are then picked
     before they are read, and no page moves. Otherwise pages are reduced to text, then shuffled.
     """
     found = located.where(F.col("page_id").isNotNull())

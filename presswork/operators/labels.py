@@ -9,7 +9,7 @@ from presswork.functions.constants import NEUTRAL, WINDOW_TOKENS
 from presswork.functions.numbers import int_div
 from presswork.functions.scores import argmax, class_sums, elected, label_of, label_votes
 from presswork.functions.tokens import head_tokens, tokens
-from presswork.operators.models import BROADCAST_ROWS, Model, fits_broadcast
+from presswork.operators.models import BROADCAST_BYTES, Model, fits_broadcast
 
 # Ways a hot word is split when the weights are too many to broadcast.
 SALTS = 8
@@ -30,14 +30,14 @@ def window_words(
     return placed.select(*key, "has_text", window.alias("window"), "token")
 
 
-def _weigh(words: DataFrame, model: Model, broadcast_rows: int) -> DataFrame:
+def _weigh(words: DataFrame, model: Model, broadcast_bytes: int) -> DataFrame:
     """Attach the model's weights to each word, null for unknown words.
 
     A model above the bound is shuffled: each weight is sent to SALTS tasks, and a word goes to
     the one its article picked. AQE splits what is still large. Further models join in place.
     """
     weights = model.weights.select("token", F.col("w").alias(f"w_{model.name}"))
-    if fits_broadcast(model, broadcast_rows):
+    if fits_broadcast(model, broadcast_bytes):
         return words.join(F.broadcast(weights), "token", "left")
     copies = weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return words.join(copies, ["token", "salt"], "left")
@@ -49,7 +49,7 @@ def window_scores(
     key: Sequence[str],
     text: str = "article",
     whole: bool = True,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per key and window: score array and count of known words for each model.
 
@@ -60,7 +60,7 @@ def window_scores(
     words = window_words(articles, key, text, whole).withColumn("salt", salt)
     sums: list[Column] = [F.max("has_text").alias("has_text")]
     for model in models:
-        words = _weigh(words, model, broadcast_rows)
+        words = _weigh(words, model, broadcast_bytes)
         weights = f"w_{model.name}"
         sums.append(F.count(weights).alias(f"known_{model.name}"))
         sums.append(class_sums(weights, len(model.labels)).alias(f"scores_{model.name}"))
@@ -93,10 +93,10 @@ def label_keys(
     key: Sequence[str],
     text: str = "article",
     whole: bool = True,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Key and labels of every article; texts that share a key are scored as one."""
-    scores = window_scores(articles, models, key, text, whole, broadcast_rows)
+    scores = window_scores(articles, models, key, text, whole, broadcast_bytes)
     return article_labels(window_labels(scores, models, key), models, key)
 
 
@@ -106,7 +106,7 @@ def label_articles(
     key: Sequence[str] = ("id", "batch"),
     text: str = "article",
     whole: bool = True,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The articles with one label column per model; row for row, also for null or repeated keys.
 
@@ -115,7 +115,7 @@ def label_articles(
     """
     digested = articles.withColumn("_digest", F.md5(text))
     full_key = [*key, "_digest"]
-    labels = label_keys(digested, models, full_key, text, whole, broadcast_rows)
+    labels = label_keys(digested, models, full_key, text, whole, broadcast_bytes)
     right = labels.select(*[F.col(c).alias(f"r_{c}") for c in full_key], *[m.name for m in models])
     same = [digested[c].eqNullSafe(right[f"r_{c}"]) for c in full_key]
     condition = same[0]

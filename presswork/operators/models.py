@@ -9,19 +9,18 @@ from pyspark.sql import functions as F
 from presswork.functions.constants import EMOTIONS, SENTIMENTS
 from presswork.schemas import WEIGHTS
 
-# A row holds a word and at most a few dozen integers, about 300 bytes in a hash table:
-# a broadcast stays under roughly 150 MB.
-BROADCAST_ROWS = 500_000
+# Largest model, as counted by `weights_size`, that is sent to every executor.
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 @dataclass(frozen=True)
 class Model:
-    """Name of the label column, class names in order, weights (token, w) and their row count."""
+    """Name of the label column, class names in order, weights (token, w) and their size in bytes."""
 
     name: str
     labels: Sequence[str]
     weights: DataFrame
-    rows: int | None = None
+    size: int | None = None
 
 
 def rule_weights(tokens: DataFrame, model: str, version: int, n_labels: int) -> DataFrame:
@@ -57,22 +56,27 @@ def load_model(
     return stored.where(F.col("version") == wanted)
 
 
+def weights_size(n_labels: int) -> Column:
+    """Aggregate: bytes of a weights table in memory: words, weights and 64 bytes per row."""
+    return F.coalesce(F.sum(F.octet_length("token") + (64 + 4 * n_labels)), F.lit(0))
+
+
 def open_model(
     spark: SparkSession, root: str, name: str, labels: Sequence[str], version: int | None = None
 ) -> Model:
     """A stored model ready to score with, the newest version by default.
 
-    One small job lists versions with their row counts; scoring then reads a fixed version and
-    knows its size.
+    One small job lists versions with their sizes; scoring then reads a fixed version and
+    knows how large it is.
     """
     stored = spark.read.schema(WEIGHTS).parquet(root).where(F.col("model") == name)
-    counts = stored.groupBy("version").count()
-    chosen = counts.where(F.col("version") == version) if version is not None else counts
-    newest = chosen.orderBy(F.desc("version")).first()
+    chosen = stored.where(F.col("version") == version) if version is not None else stored
+    sizes = chosen.groupBy("version").agg(weights_size(len(labels)).alias("size"))
+    newest = sizes.orderBy(F.desc("version")).first()
     if newest is None:
         raise ValueError(f"no such version of model {name} under {root}")
     weights = stored.where(F.col("version") == newest["version"])
-    return Model(name, labels, weights, newest["count"])
+    return Model(name, labels, weights, newest["size"])
 
 
 def sentiment_model(spark: SparkSession, root: str, version: int | None = None) -> Model:
@@ -83,7 +87,9 @@ def emotion_model(spark: SparkSession, root: str, version: int | None = None) ->
     return open_model(spark, root, "emotion", EMOTIONS, version)
 
 
-def fits_broadcast(model: Model, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a model has few enough rows to send to every executor."""
-    rows = model.weights.count() if model.rows is None else model.rows
-    return rows <= max_rows
+def fits_broadcast(model: Model, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a model is small enough to send to every executor."""
+    size = model.size
+    if size is None:
+        size = model.weights.agg(weights_size(len(model.labels))).first()[0]
+    return size <= max_bytes

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from presswork.functions.constants import NEUTRAL, WINDOW_TOKENS
-from presswork.operators.models import BROADCAST_ROWS, Model, fits_broadcast
+from presswork.operators.models import BROADCAST_BYTES, Model, fits_broadcast
 
 Scorer = Callable[[pd.Series], pd.DataFrame]
 
@@ -35,14 +35,14 @@ def predict_labels(
     return articles.mapInPandas(run, schema)
 
 
-def linear_scorer(models: list[Model], max_rows: int = BROADCAST_ROWS) -> Callable[[], Scorer]:
+def linear_scorer(models: list[Model], max_bytes: int = BROADCAST_BYTES) -> Callable[[], Scorer]:
     """Factory of a scorer for stored word models, sent to the executors once.
 
     Refuses models above the broadcast bound: those are scored by joins instead.
     """
     parts = []
     for model in models:
-        if not fits_broadcast(model, max_rows):
+        if not fits_broadcast(model, max_bytes):
             raise ValueError(f"model {model.name} is too large to broadcast; use label_articles")
         table = model.weights.select("token", "w").toArrow()
         index = {token: i for i, token in enumerate(table["token"].to_pylist())}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from presswork.functions.urls import article_key
 from presswork.operators.batches import latest_batch
 from presswork.operators.labels import label_articles
-from presswork.operators.models import BROADCAST_ROWS, Model
+from presswork.operators.models import BROADCAST_BYTES, Model
 from presswork.operators.predict import Scorer, predict_labels
 from presswork.sources.tables import replace_partitions
 
@@ -24,11 +24,11 @@ def build_gold(
     silver: DataFrame,
     models: Sequence[Model],
     whole: bool = True,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Gold rows of every batch of the given silver rows, in one job."""
     labelled = label_articles(
-        gold_input(silver), models, ("id", "batch"), "article", whole, broadcast_rows
+        gold_input(silver), models, ("id", "batch"), "article", whole, broadcast_bytes
     )
     return labelled.select("id", "url", "article", "sentiment", "emotion", "batch")
 

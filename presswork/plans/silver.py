@@ -12,13 +12,14 @@ from presswork.sources.shared import materialize
 from presswork.sources.tables import replace_partitions
 
 
-# A queue row is a URL and three numbers, about 200 bytes: a broadcast stays under 100 MB.
-BROADCAST_URLS = 500_000
+# Largest queue, URLs and 100 bytes per row, that is sent to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def is_few(queue: DataFrame, max_rows: int) -> bool:
+def is_few(queue: DataFrame, max_bytes: int) -> bool:
     """Whether a stored queue is small enough to send to every executor."""
-    return queue.count() <= max_rows
+    size = F.sum(F.coalesce(F.octet_length("url"), F.lit(0)) + 100)
+    return queue.agg(F.coalesce(size, F.lit(0))).first()[0] <= max_bytes
 
 
 def numbered_queue(
@@ -42,12 +43,12 @@ def build_silver(
     silver: DataFrame | None = None,
     chunk_size: int = CHUNK_ROWS,
     loaded_at: Column | None = None,
-    broadcast_rows: int = BROADCAST_URLS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """Silver rows of all queued URLs, and the outcome (url, processed, status) of each."""
     queue = numbered_queue(bronze, silver, chunk_size)
     located = locate_pages(queue, crawl)
-    articles = fetch_articles(located, crawl, is_few(queue, broadcast_rows)).select(
+    articles = fetch_articles(located, crawl, is_few(queue, broadcast_bytes)).select(
         "SNo",
         (F.current_timestamp() if loaded_at is None else loaded_at).alias("Timestamp"),
         "url",
@@ -67,7 +68,7 @@ def run_silver(
     run_id: int,
     silver: DataFrame | None = None,
     chunk_size: int = CHUNK_ROWS,
-    broadcast_rows: int = BROADCAST_URLS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
     """Write silver, then the outcome log. Rerunning after a stop in between rewrites both.
 
@@ -76,7 +77,7 @@ def run_silver(
     """
     queue = materialize(numbered_queue(bronze, silver, chunk_size), "queue")
     located = locate_pages(queue, crawl)
-    few = is_few(queue, broadcast_rows)
+    few = is_few(queue, broadcast_bytes)
     articles = fetch_articles(located, crawl, few).withColumn("Timestamp", F.current_timestamp())
     replace_partitions(articles.drop("page_id"), silver_path, ["batch"])
     log = fetch_outcomes(located).withColumn("run_id", F.lit(run_id).cast("bigint"))

@@ -67,7 +67,7 @@ def test_silver_fetches_each_url_once(spark, bronze, crawl):
 
 def test_small_and_large_queues_give_the_same_silver(spark, bronze, crawl):
     small, _ = build_silver(bronze, crawl, chunk_size=25)
-    large, _ = build_silver(bronze, crawl, chunk_size=25, broadcast_rows=0)
+    large, _ = build_silver(bronze, crawl, chunk_size=25, broadcast_bytes=0)
     assert plain(small, CONTENT) == plain(large, CONTENT)
 
 

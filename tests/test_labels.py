@@ -54,12 +54,12 @@ def texts():
 
 
 @pytest.mark.parametrize("whole", [True, False])
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_labels_match_brute_force(spark, models, texts, whole, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [1_000_000, 0])
+def test_labels_match_brute_force(spark, models, texts, whole, broadcast_bytes):
     articles = spark.createDataFrame(list(enumerate(texts)), "k int, article string").repartition(3)
     got = {
         r["k"]: (r["sentiment"], r["emotion"])
-        for r in label_keys(articles, models, ["k"], "article", whole, broadcast_rows).collect()
+        for r in label_keys(articles, models, ["k"], "article", whole, broadcast_bytes).collect()
     }
     weights = [{r["token"]: r["w"] for r in m.weights.collect()} for m in models]
     for k, text in enumerate(texts):
@@ -76,9 +76,9 @@ def test_pluggable_scorer_gives_the_same(spark, models, texts):
 
 def test_large_model_is_not_sent_to_tasks(models):
     assert fits_broadcast(models[0]) and not fits_broadcast(models[0], 10)
-    assert models[0].rows == models[0].weights.count()
+    assert models[0].size == sum(len(r["token"]) + 76 for r in models[0].weights.collect())
     with pytest.raises(ValueError):
-        linear_scorer(models, max_rows=10)
+        linear_scorer(models, max_bytes=10)
 
 
 def test_rows_are_neither_multiplied_nor_lost(spark, models):
@@ -111,7 +111,7 @@ def test_hot_word_and_long_article_with_salted_join(spark):
         F.col("id").alias("k"),
         F.when(F.col("id") == 0, F.repeat(F.lit("hot "), 20_000)).otherwise(F.lit("hot cold hot")).alias("article"),
     )
-    labels = label_keys(articles, [model], ["k"], broadcast_rows=0).groupBy("sentiment").count().collect()
+    labels = label_keys(articles, [model], ["k"], broadcast_bytes=0).groupBy("sentiment").count().collect()
     assert {r["sentiment"]: r["count"] for r in labels} == {"negative": 1, "positive": 299}
 
 
@@ -130,7 +130,7 @@ def test_model_versions(spark):
     assert load_model(spark, root, "m", 2).count() == 2
     assert load_model(spark, root, "m", 3).count() == 0
     assert open_model(spark, root, "m", ["x"]).weights.first()["version"] == 10
-    assert open_model(spark, root, "m", ["x"], 2).rows == 2
+    assert open_model(spark, root, "m", ["x"], 2).size == 2 * 69
     with pytest.raises(ValueError):
         open_model(spark, root, "m", ["x"], 3)
     assert all(-3 <= w <= 3 for ws in one.values() for w in ws)
