@@ -5,13 +5,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import quality, toxicity
+from llm import quality, sentencepieces, token_counts, toxicity
 from llm.chat import chat_digests, format_chats, text_part
 from llm.common import read_table
 
+# Files of public tokenizers, in a package that driver and executors have.
+BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    documents = read_table(spark, sf_dir, "documents")
+    return token_counts.count_documents(documents, tokenizer_path(BYTE_BPE))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     documents = read_table(spark, sf_dir, "documents")
@@ -28,6 +43,12 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_chats(messages))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, compared with the sentencepiece library and decoded again."""
+    documents = read_table(spark, sf_dir, "documents")
+    return sentencepieces.encode_digests(documents, tokenizer_path(PIECES))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     documents = read_table(spark, sf_dir, "documents")
@@ -36,5 +57,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_toxicity, op7_chat_formatting, op9_quality_classifier)
+    f.__name__: f
+    for f in (
+        op3_token_counts,
+        op6_toxicity,
+        op7_chat_formatting,
+        op8_sentencepiece,
+        op9_quality_classifier,
+    )
 }
