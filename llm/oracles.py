@@ -24,4 +24,51 @@ select conv_id,
 from sized group by conv_id
 """
 
-ORACLES = {"op7_chat_formatting": _OP7}
+_OP5 = """
+with vectors as (
+  select vec_id, list_transform(embedding, x -> floor(64 * x::double)::bigint) as weights
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, v.vec_id,
+    coalesce(list_sum(list_transform(range(1, least(len(q.weights), len(v.weights)) + 1),
+      i -> q.weights[i] * v.weights[i])), 0)::bigint as score
+  from vectors q, vectors v where q.vec_id % 20 = 0 and v.vec_id <> q.vec_id
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+_OP10 = """
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), x -> x <> '') as w
+  from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end as s
+  from words
+), shingles as (
+  select doc_id, len(s) as n, unnest(s) as shingle from sets
+), pairs as (
+  select a.doc_id as a, b.doc_id as b, any_value(a.n) as n, any_value(b.n) as m, count(*) as shared
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id
+    and 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
+  group by all
+), links as (
+  select a, b from pairs where 100 * shared >= 90 * (n + m - shared)
+), edges as (
+  select a, b from links union select b, a from links
+), reach(a, b) as (
+  select doc_id, doc_id from documents
+  union
+  select reach.a, edges.b from reach join edges on reach.b = edges.a
+)
+select s.doc_id, len(s.s)::bigint as n_shingles, r.component_id
+from sets s join (select a, min(b) as component_id from reach group by a) r on r.a = s.doc_id
+"""
+
+ORACLES = {"op5_topk_search": _OP5, "op7_chat_formatting": _OP7, "op10_jaccard_join": _OP10}

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import quality, sentencepieces, token_counts, toxicity
+from llm import decontaminate, jaccard_join, quality, sentencepieces, token_counts, toxicity, vector_search
 from llm.chat import chat_digests, format_chats, text_part
 from llm.common import read_table
 
@@ -27,6 +27,17 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_documents(documents, tokenizer_path(BYTE_BPE))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy of a benchmark item in a document."""
+    documents = read_table(spark, sf_dir, "documents")
+    return decontaminate.find_leaks(documents, read_table(spark, sf_dir, "benchmark"))
+
+
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th, by integer inner product."""
+    return vector_search.search(read_table(spark, sf_dir, "embeddings"), every=20)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     documents = read_table(spark, sf_dir, "documents")
@@ -56,13 +67,21 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents, model)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near-equal documents that every document is in."""
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op3_token_counts,
+        op4_decontamination,
+        op5_topk_search,
         op6_toxicity,
         op7_chat_formatting,
         op8_sentencepiece,
         op9_quality_classifier,
+        op10_jaccard_join,
     )
 }
