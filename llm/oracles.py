@@ -26,14 +26,14 @@ from sized group by conv_id
 
 _OP5 = """
 with vectors as (
-  select vec_id, list_transform(embedding, x -> floor(64 * x::double)::bigint) as weights
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as weights
   from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
   select q.vec_id as query_id, v.vec_id,
     coalesce(list_sum(list_transform(range(1, least(len(q.weights), len(v.weights)) + 1),
-      i -> q.weights[i] * v.weights[i])), 0)::bigint as score
+      lambda i: q.weights[i] * v.weights[i])), 0)::bigint as score
   from vectors q, vectors v where q.vec_id % 20 = 0 and v.vec_id <> q.vec_id
 ), ranked as (
   select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored
@@ -45,11 +45,11 @@ _OP10 = """
 with recursive words as (
   select doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\\x20\\x09-\\x0D]+'), x -> x <> '') as w
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
   from documents
 ), sets as (
   select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
-    else list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end as s
+    else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end as s
   from words
 ), shingles as (
   select doc_id, len(s) as n, unnest(s) as shingle from sets
