@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, jaccard_join, quality, sentencepieces, token_counts, toxicity, vector_search
+from llm import decontaminate, jaccard_join, line_dedup, quality, sentencepieces, token_counts, toxicity, vector_search
 from llm.chat import chat_digests, format_chats, text_part
 from llm.common import read_table
 
@@ -21,6 +21,18 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated lines: how many are left, and a digest of its text."""
+    reduced = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return reduced.select(
+        "doc_id",
+        "n_lines",
+        "n_kept",
+        F.length("text").cast("bigint").alias("kept_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     documents = read_table(spark, sf_dir, "documents")
@@ -75,6 +87,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_line_dedup,
         op3_token_counts,
         op4_decontamination,
         op5_topk_search,
