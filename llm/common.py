@@ -101,3 +101,9 @@ def fits_broadcast(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_BYTE
     """Whether a stored frame, measured in one small job, may be sent to every executor."""
     size = df.agg(F.coalesce(F.sum(row_bytes.cast("bigint")), F.lit(0))).first()[0]
     return size <= limit
+
+
+def without(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not among `ids`, a stored frame of one column; null ids stay."""
+    side = F.broadcast(ids) if fits_broadcast(ids, F.lit(32)) else ids
+    return documents.join(side, "doc_id", "left_anti").select(documents.columns)

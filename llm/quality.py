@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from llm.common import held_out, learning_sample, mix, ship, slices
 from llm.features import Words, char_ngrams, split_words, word_hashes
@@ -105,30 +106,37 @@ def train(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 7) ->
     return QualityModel((vectors @ (weights[1] - weights[0])).astype(np.float32))
 
 
-def score_documents(documents: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents' ids with held_out, score and predicted, row for row.
-
-    Null and empty texts get the score of a text without words; ids may be null or repeat.
-    """
+def score_rows(documents: DataFrame, model: QualityModel) -> DataFrame:
+    """The documents, whatever their columns, with the column _score. Null texts count as empty."""
     spark = documents.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    kind = documents.schema["doc_id"].dataType
+    schema = T.StructType([*documents.schema.fields, T.StructField("_score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches, "text"):
             scores = pa.array(score_texts(shared.value, texts), pa.float64())
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), scores], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, scores], [*rows.schema.names, "_score"])
+
+    return documents.mapInArrow(run, schema)
+
 
-    scored = documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind.simpleString()}, score double")
+def score_documents(documents: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents' ids with held_out, score and predicted, row for row; ids may be null or repeat."""
+    scored = score_rows(documents.select("doc_id", "text"), model)
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= threshold).cast("int").alias("predicted"),
     )
 
 
+def keep_good(documents: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents of class 1, with their columns."""
+    return score_rows(documents, model).where(F.col("_score") >= threshold).select(documents.columns)
+
+
 def fit(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> QualityModel:
     """A model of `labels.quality` from a bounded sample of rows that are not held out."""
     return train(learning_sample(documents, labels, "quality", per_class))

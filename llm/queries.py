@@ -5,13 +5,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, jaccard_join, line_dedup, quality, sentencepieces, token_counts, toxicity, vector_search
+from llm import (
+    decontaminate,
+    jaccard_join,
+    line_dedup,
+    quality,
+    sentencepieces,
+    token_counts,
+    toxicity,
+    training_order,
+    vector_search,
+)
 from llm.chat import chat_digests, format_chats, text_part
 from llm.common import read_table
+from presswork.sources.shared import new_path
 
 # Files of public tokenizers, in a package that driver and executors have.
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
+ORDER_KEY = 20_261_201
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -21,6 +33,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of every document, read back from the shards that it was written to."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    layout = training_order.write_training_order(documents, new_path(spark, "training-order"), ORDER_KEY)
+    read = training_order.read_order(spark, layout)
+    return read.select(
+        "slot",
+        (F.col("slot") / layout.shard_slots).cast("int").alias("shard"),
+        "doc_id",
+        "piece",
+        "n_tokens",
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated lines: how many are left, and a digest of its text."""
     reduced = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
@@ -87,6 +114,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_training_order,
         op2_line_dedup,
         op3_token_counts,
         op4_decontamination,
