@@ -21,13 +21,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier one has. What is left of a copy goes; texts without lines stay."""
-    before = docs.withColumn("_size", F.length("text"))
-    reduced = line_dedup.dedup_lines(before)
-    copied = (F.col("n_lines") > 0) & (F.length("text") < F.col("_size") * LEAST_LEFT)
-    kept = reduced.where(~F.coalesce(copied, F.lit(False)))
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(docs.columns)
+    return line_dedup.drop_repeated_lines(docs, LEAST_LEFT)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,16 +29,11 @@ def normalised(line: Column) -> Column:
     return F.lower(F.btrim(line, F.lit(" \t\r\f\x0b")))
 
 
-def with_row_key(documents: DataFrame) -> DataFrame:
-    """Adds _doc and _hash, which tell documents apart by id and text, and _lines."""
+def _key_columns() -> list[Column]:
+    """_doc and _hash, which tell documents apart by id and text, and _lines."""
     text = F.coalesce("text", F.lit(""))
-    return documents.withColumns(
-        {
-            "_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1)),
-            "_hash": F.xxhash64(text),
-            "_lines": F.split(text, "\n"),
-        }
-    )
+    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1))
+    return [doc.alias("_doc"), F.xxhash64(text).alias("_hash"), F.split(text, "\n").alias("_lines")]
 
 
 def _shingle(wide: Column, place: Column) -> Column:
@@ -52,7 +47,7 @@ def _places(line: Column) -> Column:
 
 def distinct_lines(documents: DataFrame) -> DataFrame:
     """Every distinct non-blank line: two hashes (h, g), its first place and the line itself."""
-    placed = with_row_key(documents).select("_doc", "_hash", F.posexplode("_lines").alias("_pos", "_line"))
+    placed = documents.select(*_key_columns()).select("_doc", "_hash", F.posexplode("_lines").alias("_pos", "_line"))
     lines = placed.withColumn("_line", normalised(F.col("_line"))).where(F.col("_line") != "")
     first = F.min(F.struct("_doc", "_hash", "_pos")).alias("first")
     keyed = lines.select(
@@ -110,7 +105,7 @@ def _texts_of(documents: DataFrame, lines: DataFrame) -> DataFrame:
     wanted = materialize(wanted, "wanted-lines")
     size = F.size("_wanted") * 24 + 64
     side = F.broadcast(wanted) if fits_broadcast(wanted, size) else wanted
-    joined = with_row_key(documents).join(side, ["_doc", "_hash"]).select("_lines", F.inline("_wanted"))
+    joined = documents.select(*_key_columns()).join(side, ["_doc", "_hash"]).select("_lines", F.inline("_wanted"))
     line = normalised(F.get("_lines", F.col("_pos")))
     # Rows that repeat a document give a line more than once.
     return joined.select("h", line.alias("line")).dropDuplicates(["h"])
@@ -186,25 +181,44 @@ def kept_lines(documents: DataFrame) -> DataFrame:
     return keepers.groupBy("_doc", "_hash").agg(F.sort_array(F.collect_list("_pos")).alias("_kept"))
 
 
-def dedup_lines(documents: DataFrame) -> DataFrame:
-    """The documents with `text` reduced to the lines that are kept, and the columns n_lines and n_kept.
-
-    Of similar lines, anywhere in the table, the first by doc_id and place is kept. Lines are compared
-    in lower case and without surrounding blanks. Blank lines stay and are not counted. A null text stays null; a
-    document may end up without any line. Null ids come last; rows with the same id and text
-    are one document and keep the same lines.
-    """
+def _reduced(documents: DataFrame) -> DataFrame:
+    """_row, the document as it is, with _n_lines, _n_kept and _text, what is left of its text."""
     kept = materialize(kept_lines(documents), "kept-lines")
     side = F.broadcast(kept) if fits_broadcast(kept, F.size("_kept") * 8 + 64) else kept
-    joined = with_row_key(documents).join(side, ["_doc", "_hash"], "left")
+    rows = documents.select(F.struct(*documents.columns).alias("_row"), *_key_columns())
+    joined = rows.join(side, ["_doc", "_hash"], "left")
     places = F.transform("_lines", lambda line, i: F.when(F.btrim(line, F.lit(" \t\r\f\x0b")) == "", i))
     blank = F.filter(places, lambda i: i.isNotNull())
     own = F.coalesce("_kept", F.array().cast("array<int>"))
     stays = F.transform(F.sort_array(F.array_union(own, blank)), lambda i: F.get("_lines", i))
-    ready = joined.select(
-        *documents.columns,
-        (F.size("_lines") - F.size(blank)).cast("bigint").alias("n_lines"),
-        F.size(own).cast("bigint").alias("n_kept"),
-        F.when(F.col("text").isNotNull(), F.array_join(stays, "\n")).alias("_text"),
+    return joined.select(
+        "_row",
+        (F.size("_lines") - F.size(blank)).cast("bigint").alias("_n_lines"),
+        F.size(own).cast("bigint").alias("_n_kept"),
+        F.when(F.col("_row.text").isNotNull(), F.array_join(stays, "\n")).alias("_text"),
     )
-    return ready.withColumn("text", F.col("_text")).drop("_text")
+
+
+def dedup_lines(documents: DataFrame) -> DataFrame:
+    """The documents with `text` reduced to the lines that are kept, and the columns n_lines and n_kept.
+
+    Of similar lines, anywhere in the table, the first by doc_id and place is kept. Lines are compared
+    in lower case and without surrounding blanks. Blank lines stay and are not counted. A null text stays null; a
+    document may end up without any line. Null ids come last; rows with the same id and text
+    are one document and keep the same lines. Columns of the input that are named n_lines or n_kept are replaced.
+    """
+    others = [F.col("_row")[c].alias(c) for c in documents.columns if c not in ("text", "n_lines", "n_kept")]
+    counts = [F.col("_n_lines").alias("n_lines"), F.col("_n_kept").alias("n_kept")]
+    return _reduced(documents).select(*others, F.col("_text").alias("text"), *counts)
+
+
+def drop_repeated_lines(documents: DataFrame, least_left: float) -> DataFrame:
+    """As dedup_lines with the input's columns only, and without documents that had lines and of whose
+    characters less than the share `least_left` remains. A column n_chars is brought up to date."""
+    old = F.length("_row.text")
+    copied = (F.col("_n_lines") > 0) & (F.length("_text") < old * least_left)
+    new = {"text": F.col("_text"), "n_chars": F.length("_text")}
+    columns = [
+        new.get(f.name, F.col("_row")[f.name]).cast(f.dataType).alias(f.name) for f in documents.schema.fields
+    ]
+    return _reduced(documents).where(~F.coalesce(copied, F.lit(False))).select(*columns)

@@ -23,6 +23,8 @@ CHAR_SIZES = range(2, 5)
 # Learned from at most so many labelled documents of each class.
 SAMPLE_PER_CLASS = 2000
 EPOCHS = 5
+# A small sample is gone through more often.
+LEAST_STEPS = 8000
 RATE = 0.5
 THRESHOLD = 0.5
 # Buckets with a meaning of their own: the end of a text, and a word that follows itself.
@@ -89,7 +91,7 @@ def train(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 7) ->
         buckets, place = np.unique(found, return_inverse=True)
         share = np.bincount(place, often).astype(np.float32)
         documents.append((buckets, share / share.sum(), label))
-    steps = epochs * len(documents)
+    steps = max(epochs * len(documents), LEAST_STEPS)
     for step in range(steps):
         if step % len(documents) == 0:
             order = rng.permutation(len(documents))
@@ -106,17 +108,17 @@ def train(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 7) ->
     return QualityModel((vectors @ (weights[1] - weights[0])).astype(np.float32))
 
 
-def score_rows(documents: DataFrame, model: QualityModel) -> DataFrame:
-    """The documents, whatever their columns, with the column _score. Null texts count as empty."""
+def score_rows(documents: DataFrame, model: QualityModel, name: str = "_score") -> DataFrame:
+    """The documents, whatever their columns, with the score under a new name. Null texts count as empty."""
     spark = documents.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    schema = T.StructType([*documents.schema.fields, T.StructField("_score", T.DoubleType())])
+    schema = T.StructType([*documents.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches, "text"):
             scores = pa.array(score_texts(shared.value, texts), pa.float64())
-            yield pa.RecordBatch.from_arrays([*rows.columns, scores], [*rows.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, scores], [*rows.schema.names, name])
 
     return documents.mapInArrow(run, schema)
 
@@ -134,7 +136,10 @@ def score_documents(documents: DataFrame, model: QualityModel, threshold: float
 
 def keep_good(documents: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The documents of class 1, with their columns."""
-    return score_rows(documents, model).where(F.col("_score") >= threshold).select(documents.columns)
+    name = "_score"
+    while name in documents.columns:
+        name += "_"
+    return score_rows(documents, model, name).where(F.col(name) >= threshold).select(documents.columns)
 
 
 def fit(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> QualityModel:

@@ -98,6 +98,7 @@ def write_training_order(
 ) -> Layout:
     """Write the sequences of all documents (doc_id bigint, text) in training order to shards under `path`.
 
+    The documents must be a stored table, without a shuffle since, so that it reads alike twice.
     A first job counts the sequences of every input split; a second, over the same splits, numbers,
     permutes and shuffles them once, by shard. Splits are told apart by number and checked: should the second job
     see others, it fails and nothing is kept. Null and empty texts give no sequence, null ids are written as -1.
