@@ -20,10 +20,10 @@ from presswork.operators.labels import (
 )
 from presswork.operators.models import load_model
 from presswork.operators.numbering import chunk_rows, dense_number
-from presswork.operators.predict import linear_scorer, predict_labels
+from presswork.operators.predict import linear_scorer, predict_labels, word_windows
 from presswork.plans.bronze import bronze_rows
 from presswork.plans.gold import build_gold, build_latest_gold, gold_input, predict_gold
-from presswork.plans.silver import build_silver
+from presswork.plans.silver import build_silver, current_queue
 from presswork.schemas import SILVER
 from presswork.sources.feed import read_feed
 from presswork.sources.shared import new_path
@@ -165,6 +165,13 @@ def bronze_update(spark, sf):
     return queue.apply_outcomes(t.bronze(spark, sf), _outcomes(spark, sf)).select(QUEUE_COLUMNS)
 
 
+@query("current_queue")
+def current_queue_state(spark, sf):
+    """The whole queue after a logged run over its open rows."""
+    log = _outcomes(spark, sf).withColumn("run_id", F.lit(1_700_000_000_000_000_000).cast("bigint"))
+    return current_queue(t.bronze(spark, sf), log).select(QUEUE_COLUMNS)
+
+
 @query("dense_sno")
 def dense_sno(spark, sf):
     """All queue rows numbered 1..n by URL."""
@@ -241,8 +248,8 @@ def silver_insert(spark, sf):
 # --- scoring ---------------------------------------------------------------------------------
 
 
-def _scores(spark, sf, models, whole=True) -> DataFrame:
-    return window_scores(_long_articles(spark, sf), models, ["doc_id"], "article", whole)
+def _scores(spark, sf, models) -> DataFrame:
+    return window_scores(_long_articles(spark, sf), models, ["doc_id"], "article")
 
 
 @query("window_scores")
@@ -273,8 +280,7 @@ def window_vote(spark, sf):
     """Majority of the window labels, with the number of windows."""
     model = t.models(spark, sf)[0]
     labels = window_labels(_scores(spark, sf, [model]), [model], ["doc_id"])
-    windows = labels.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    return article_labels(labels, [model], ["doc_id"]).join(windows, "doc_id")
+    return article_labels(labels, [model], ["doc_id"], F.count(F.lit(1)).alias("n_windows"))
 
 
 @query("sentiment")
@@ -289,13 +295,15 @@ def emotion(spark, sf):
 
 @query("labels_head")
 def labels_head(spark, sf):
-    """Both labels from the first window only, as a scorer with a 512-word input gives them."""
-    return label_keys(_long_articles(spark, sf), t.models(spark, sf), ["doc_id"], whole=False)
+    """Both labels of the first window of every document, all windows of which are scored."""
+    models = t.models(spark, sf)
+    labels = window_labels(_scores(spark, sf, models), models, ["doc_id"])
+    return labels.where("window = 0").drop("window")
 
 
 @query("labels_salted")
 def labels_salted(spark, sf):
-    """Both labels with the salted join that serves models too large to broadcast."""
+    """Both labels with the merge join, hot words dealt out, that serves models too large to broadcast."""
     return label_keys(_long_articles(spark, sf), t.models(spark, sf), ["doc_id"], broadcast_bytes=0)
 
 
@@ -303,7 +311,8 @@ def labels_salted(spark, sf):
 def labels_arrow(spark, sf):
     """Both labels from a pluggable scorer in Arrow batches."""
     models = t.models(spark, sf)
-    scored = predict_labels(_long_articles(spark, sf), linear_scorer(models), ["sentiment", "emotion"])
+    articles, outputs = _long_articles(spark, sf), ["sentiment", "emotion"]
+    scored = predict_labels(articles, linear_scorer(models), outputs, given=word_windows)
     return scored.select("doc_id", "sentiment", "emotion")
 
 
@@ -369,7 +378,7 @@ def gold_all_batches(spark, sf):
 @query("gold_arrow")
 def gold_arrow(spark, sf):
     """Gold of all batches from the pluggable scorer."""
-    return predict_gold(t.silver(spark, sf), linear_scorer(t.models(spark, sf)))
+    return predict_gold(t.silver(spark, sf), linear_scorer(t.models(spark, sf)), word_windows)
 
 
 @query("gold_latest")
@@ -399,12 +408,12 @@ def write_metrics(spark, sf):
 
 @query("compact_partition")
 def compact_partition_rows(spark, sf):
-    """Silver in many small files, its latest batch then rewritten into one."""
+    """Silver in many small files, its latest batch then rewritten into few."""
     path = new_path(spark, "compact")
     rows = t.silver(spark, sf)
     rows.repartition(16).write.partitionBy("batch").parquet(path)
     newest = batches.max_batch(rows).first()["max_batch"]
-    compact_partition(spark, path, SILVER, "batch", newest, files=1)
+    compact_partition(spark, path, SILVER, "batch", newest)
     return spark.read.schema(SILVER).parquet(path).select(SILVER_COLUMNS)
 
 

@@ -16,6 +16,9 @@ NEUTRAL = "neutral"
 WINDOW_TOKENS = 512
 CHUNK_ROWS = 500
 
+# URLs of one silver batch in a run: a batch is a folder, so it holds far more than a chunk of work.
+BATCH_ROWS = 5_000_000
+
 # End of a manifest line that names a feed archive; 0-based feed column of the URL.
 FEED_SUFFIX = ".gkg.csv.zip"
 FEED_URL_COLUMN = 4
@@ -27,23 +30,3 @@ SPACE_CHARS = (
     r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 URL_TRAILING_PUNCTUATION = r"`!\[\]{};:'\".,?«»“”‘’"
-
-# Named HTML entities that are decoded; "&amp;" goes last.
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&mdash;", "—"),
-    ("&ndash;", "–"),
-    ("&hellip;", "…"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&amp;", "&"),
-)

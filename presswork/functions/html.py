@@ -1,24 +1,55 @@
 """Title and body text of a crawled page."""
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from presswork.functions.constants import ENTITIES
-
-_TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-_ARTICLE = r"(?is)<article[^>]*>(.*?)</article>"
-_INVISIBLE = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
+_END = r"(?:[ \t\r\n\f/][^>]*)?>"
+_TITLE = rf"(?is)<title{_END}(.*?)</title{_END}"
+_INVISIBLE = (
+    rf"(?is)<script{_END}.*?</script{_END}|<style{_END}.*?</style{_END}|<title{_END}.*?</title{_END}|<!--.*?-->"
+)
+_ARTICLE_TAG = r"(?i)(?=</?article[ \t\r\n\f/>])"
+_BODY = rf"(?is)<body{_END}(.*?)(?:</body{_END}|$)"
 _BLOCK_TAG = (
-    r"(?i)</?(?:p|br|div|h[1-6]|ul|ol|li|table|tr|blockquote|section|header|footer)"
-    r"(?:[ \t\r\n][^>]*)?/?>"
+    rf"(?i)</?(?:p|br|div|h[1-6]|ul|ol|li|table|tr|blockquote|section|header|footer|article){_END}"
 )
 _TAG = r"<[^>]*>"
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+
+
+def _names() -> Column:
+    """The named entities of HTML 4, with a plain blank for the one that does not break."""
+    table = {f"&{name};": chr(code) for name, code in name2codepoint.items()}
+    table |= {"&apos;": "'", "&nbsp;": " "}
+    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+
+
+def _character(entity: Column) -> Column:
+    """What an entity stands for; one that is not known stays as it is."""
+    digits = F.regexp_extract(entity, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+    decimal = ~F.lower(F.substring(entity, 3, 1)).eqNullSafe("x")
+    code = F.when(decimal, F.conv(digits, 10, 10)).otherwise(F.conv(digits, 16, 10)).cast("bigint")
+    sound = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    wide = F.unhex(F.lpad(F.hex(F.when(sound, code).otherwise(0xFFFD)), 8, "0"))
+    mark = F.unhex(F.lit("0000FEFF"))
+    number = F.when(code == 160, " ").otherwise(F.decode(F.concat(mark, wide), "UTF-32"))
+    return F.when(F.substring(entity, 2, 1) == "#", number).otherwise(F.coalesce(F.try_element_at(_names(), entity), entity))
 
 
 def _decode_entities(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Each entity of the text is replaced once; what that leaves is not read again."""
+    # Text and entities alternate: the pieces between entities, each but the first led by its entity.
+    pieces = F.split(text, rf"(?={_ENTITY})")
+
+    def decoded(piece: Column) -> Column:
+        entity = F.regexp_extract(piece, f"^{_ENTITY}", 0)
+        return F.when(entity == "", piece).otherwise(
+            F.concat(_character(entity), F.substring(piece, F.length(entity) + 1, F.length(piece)))
+        )
+
+    return F.when(F.instr(text, "&") == 0, text).otherwise(F.array_join(F.transform(pieces, decoded), ""))
 
 
 def page_title(html: Column) -> Column:
@@ -27,11 +58,30 @@ def page_title(html: Column) -> Column:
     return F.trim(F.regexp_replace(_decode_entities(title), r"[ \t\r\n]+", " "))
 
 
+def _articles(html: Column) -> Column:
+    """Content of all article elements, nested ones included; an open one reaches to the end. Null if there is none."""
+    pieces = F.split(html, _ARTICLE_TAG)
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opens = F.rlike(piece, F.lit(r"(?i)^<article[ \t\r\n\f/>]"))
+        closes = F.rlike(piece, F.lit(r"(?i)^</article[ \t\r\n\f/>]"))
+        depth = F.when(opens, state["depth"] + 1).when(closes, F.greatest(state["depth"] - 1, F.lit(0)))
+        depth = depth.otherwise(state["depth"])
+        kept = F.when(depth > 0, F.concat(state["kept"], F.array(piece))).otherwise(state["kept"])
+        return F.struct(depth.alias("depth"), kept.alias("kept"))
+
+    kept = F.aggregate(pieces, start, step, lambda state: state["kept"])
+    return F.when(F.size(kept) > 0, F.array_join(kept, "\n"))
+
+
 def page_text(html: Column) -> Column:
-    """Text of the first article element, blocks set apart by a blank line; '' when there is none."""
-    body = F.regexp_replace(F.regexp_extract(html, _ARTICLE, 1), _INVISIBLE, "")
-    body = F.regexp_replace(body, _BLOCK_TAG, "\n")
-    body = _decode_entities(F.regexp_replace(body, _TAG, ""))
-    body = F.regexp_replace(body, r"[ \t\r]+", " ")
-    body = F.regexp_replace(body, r" ?\n[ \n]*", "\n\n")
-    return F.btrim(body, F.lit(" \n"))
+    """Text of the article elements, else of the body, else of the whole page; blocks set apart by a blank line."""
+    visible = F.regexp_replace(html, _INVISIBLE, "")
+    body = F.regexp_extract(visible, _BODY, 1)
+    text = F.coalesce(_articles(visible), F.when(body != "", body), visible)
+    text = F.regexp_replace(text, _BLOCK_TAG, "\n")
+    text = _decode_entities(F.regexp_replace(text, _TAG, ""))
+    text = F.regexp_replace(text, r"[ \t\r]+", " ")
+    text = F.regexp_replace(text, r" ?\n[ \n]*", "\n\n")
+    return F.btrim(text, F.lit(" \n"))

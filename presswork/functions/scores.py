@@ -20,9 +20,9 @@ def label_of(index: Column, labels: Sequence[str]) -> Column:
     return F.get(_names(labels), index)
 
 
-def class_sums(weights: str, n_labels: int) -> Column:
-    """Aggregate: array with the sum of each element of an array column."""
-    sums = [f"coalesce(sum({weights}[{i}]), 0L)" for i in range(n_labels)]
+def class_sums(weights: str, n_labels: int, times: str = "1") -> Column:
+    """Aggregate: array with the sum of each element of an array column, each row counted `times`."""
+    sums = [f"coalesce(sum({weights}[{i}] * {times}), 0L)" for i in range(n_labels)]
     return F.expr(f"array({', '.join(sums)})")
 
 

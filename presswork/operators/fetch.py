@@ -10,13 +10,21 @@ from presswork.functions.urls import remove_urls
 from presswork.operators.queue import outcome_flags
 
 
-def locate_pages(queue: DataFrame, crawl: DataFrame) -> DataFrame:
+def locate_pages(queue: DataFrame, crawl: DataFrame, few: bool = False) -> DataFrame:
     """Queue rows with the page_id of the newest crawl of their URL, null when there is none.
 
-    Only keys are shuffled here; a URL that was crawled often is reduced before the shuffle.
+    Crawled URLs are reduced to those in the queue before they are grouped, and grouped on the map side, so
+    a URL crawled often is one row per task. `few` says that the queue was measured and fits a broadcast:
+    then only its own URLs move. Rows without a URL are set apart and not joined.
     """
-    newest = crawl.groupBy("url").agg(F.max("page_id").alias("page_id"))
-    return queue.join(newest, "url", "left")
+    known = queue.where(F.col("url").isNotNull())
+    urls = known.select("url").distinct()
+    urls = F.broadcast(urls) if few else urls.hint("merge")
+    newest = crawl.join(urls, "url", "left_semi").groupBy("url").agg(F.max("page_id").alias("page_id"))
+    located = known.join(F.broadcast(newest) if few else newest.hint("merge"), "url", "left")
+    kind = crawl.schema["page_id"].dataType
+    nameless = queue.where(F.col("url").isNull()).withColumn("page_id", F.lit(None).cast(kind))
+    return located.unionByName(nameless)
 
 
 def fetch_outcomes(located: DataFrame) -> DataFrame:
@@ -50,15 +58,13 @@ def title_without_text(articles: DataFrame) -> DataFrame:
 def fetch_articles(located: DataFrame, crawl: DataFrame, few: bool = False) -> DataFrame:
     """Located rows with title, text and cleaned text; rows that lack either are left out.
 
-    `few` says that the located rows were measured and fit a broadcast: pages are then picked
-    before they are read, and no page moves. Otherwise pages are reduced to text, then shuffled.
+    Pages are picked before they are read, so that only queued ones are parsed. `few` says that the located
+    rows were measured and fit a broadcast: no page moves then. Otherwise pages and rows meet in a merge
+    join, whose key lets Spark's runtime filter keep unqueued pages from the shuffle.
     """
     found = located.where(F.col("page_id").isNotNull())
-    if few:
-        picked = crawl.select("page_id", "html").join(F.broadcast(found), "page_id")
-        articles = extract_articles(picked, found.columns)
-    else:
-        articles = found.join(extract_articles(crawl), "page_id")
+    side = F.broadcast(found) if few else found.hint("merge")
+    articles = extract_articles(crawl.select("page_id", "html").join(side, "page_id"), found.columns)
     return non_empty(articles).withColumn("transformed_text", remove_urls(F.col("article_text")))
 
 

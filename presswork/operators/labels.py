@@ -8,39 +8,52 @@ from pyspark.sql import functions as F
 from presswork.functions.constants import NEUTRAL, WINDOW_TOKENS
 from presswork.functions.numbers import int_div
 from presswork.functions.scores import argmax, class_sums, elected, label_of, label_votes
-from presswork.functions.tokens import head_tokens, tokens
+from presswork.functions.tokens import tokens
 from presswork.operators.models import BROADCAST_BYTES, Model, fits_broadcast
+from presswork.sources.shared import materialize
 
-# Ways a hot word is split when the weights are too many to broadcast.
-SALTS = 8
+# A word is hot with more than this share of all rows; there are at most as many hot words as shares.
+HOT_SHARES = 1000
 
 
-def window_words(
-    articles: DataFrame, key: Sequence[str], text: str, whole: bool = True
-) -> DataFrame:
-    """One row per word: key, window, token. A text without words gives one row with a null token.
-
-    `whole` takes all windows of the text; otherwise only the first one, as a scorer with a
-    fixed input length does. `has_text` is false for null texts.
-    """
-    words = tokens(F.col(text)) if whole else head_tokens(F.col(text))
+def window_words(articles: DataFrame, key: Sequence[str], text: str) -> DataFrame:
+    """One row per word of the whole text: key, window, token. A text without words gives one row
+    with a null token. `has_text` is false for null texts."""
+    words = tokens(F.col(text))
     listed = articles.select(*key, F.col(text).isNotNull().alias("has_text"), words.alias("words"))
     placed = listed.select(*key, "has_text", F.posexplode_outer("words").alias("at", "token"))
     window = int_div(F.coalesce("at", F.lit(0)), WINDOW_TOKENS).cast("int")
     return placed.select(*key, "has_text", window.alias("window"), "token")
 
 
-def _weigh(words: DataFrame, model: Model, broadcast_bytes: int) -> DataFrame:
-    """Attach the model's weights to each word, null for unknown words.
+def _joint_weights(models: Sequence[Model]) -> DataFrame:
+    """token and one weight column per model, so that words are joined once."""
+    joint = None
+    for model in models:
+        weights = model.weights.select("token", F.col("w").alias(f"w_{model.name}"))
+        joint = weights if joint is None else joint.join(weights.hint("merge"), "token", "full")
+    return joint
+
 
-    A model above the bound is shuffled: each weight is sent to SALTS tasks, and a word goes to
-    the one its article picked. AQE splits what is still large. Further models join in place.
+def _weigh_by_shuffle(words: DataFrame, key: Sequence[str], models: Sequence[Model]) -> DataFrame:
+    """Words with their weights and how often each occurs in its window, by a sorted merge join.
+
+    Words are counted per window first, so a frequent word is one row per window. How hot a word is, is
+    measured on these rows; a hot word's weights are copied and its rows dealt over the copies.
     """
-    weights = model.weights.select("token", F.col("w").alias(f"w_{model.name}"))
-    if fits_broadcast(model, broadcast_bytes):
-        return words.join(F.broadcast(weights), "token", "left")
-    copies = weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return words.join(copies, ["token", "salt"], "left")
+    counted = words.groupBy(*key, "has_text", "window", "token").agg(F.count(F.lit(1)).alias("times"))
+    counted = materialize(counted, "window-words")
+    rows = counted.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
+    share = F.greatest(int_div(counted.agg(F.count(F.lit(1)).alias("n")).scalar(), HOT_SHARES), F.lit(1000))
+    hot = rows.where((F.col("_n") > share) & F.col("token").isNotNull())
+    # Fewer than HOT_SHARES rows, whatever the input.
+    hot = F.broadcast(hot.select("token", F.ceil(F.col("_n") / share).cast("int").alias("_copies")))
+    copies = F.coalesce("_copies", F.lit(1))
+    number = F.pmod(F.xxhash64(*key, "window"), copies).cast("int")
+    dealt = counted.join(hot, "token", "left").withColumn("_copy", number).drop("_copies")
+    weights = _joint_weights(models).join(hot, "token", "left")
+    copied = weights.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_copies")
+    return dealt.join(copied.hint("merge"), ["token", "_copy"], "left")
 
 
 def window_scores(
@@ -48,22 +61,27 @@ def window_scores(
     models: Sequence[Model],
     key: Sequence[str],
     text: str = "article",
-    whole: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per key and window: score array and count of known words for each model.
 
-    All words of a text come from one row, so sums are complete before the shuffle, which
-    carries one row per window whatever the number of words.
+    Models that measure at most `broadcast_bytes` together are sent to every executor: all words of a text
+    come from one row, so sums are complete before the shuffle, which carries one row per window.
+    Larger ones are joined by a shuffle of the words. Both give the same scores.
     """
-    salt = F.pmod(F.xxhash64(*key, "window"), F.lit(SALTS)).cast("int")
-    words = window_words(articles, key, text, whole).withColumn("salt", salt)
+    words = window_words(articles, key, text)
+    if fits_broadcast(models, broadcast_bytes):
+        words = words.withColumn("times", F.lit(1))
+        for model in models:
+            weights = model.weights.select("token", F.col("w").alias(f"w_{model.name}"))
+            words = words.join(F.broadcast(weights), "token", "left")
+    else:
+        words = _weigh_by_shuffle(words, key, models)
     sums: list[Column] = [F.max("has_text").alias("has_text")]
     for model in models:
-        words = _weigh(words, model, broadcast_bytes)
         weights = f"w_{model.name}"
         sums.append(F.count(weights).alias(f"known_{model.name}"))
-        sums.append(class_sums(weights, len(model.labels)).alias(f"scores_{model.name}"))
+        sums.append(class_sums(weights, len(model.labels), "times").alias(f"scores_{model.name}"))
     return words.groupBy(*key, "window").agg(*sums)
 
 
@@ -81,10 +99,13 @@ def window_labels(scores: DataFrame, models: Sequence[Model], key: Sequence[str]
     )
 
 
-def article_labels(labels: DataFrame, models: Sequence[Model], key: Sequence[str]) -> DataFrame:
-    """Majority label over the windows of each article; null when no window has one."""
-    votes = labels.groupBy(*key).agg(*[label_votes(m.name, m.labels).alias(m.name) for m in models])
-    return votes.select(*key, *[elected(F.col(m.name), m.labels).alias(m.name) for m in models])
+def article_labels(
+    labels: DataFrame, models: Sequence[Model], key: Sequence[str], *also: Column
+) -> DataFrame:
+    """Majority label over the windows of each article, null when no window has one; `also` are more aggregates."""
+    votes = labels.groupBy(*key).agg(*[label_votes(m.name, m.labels).alias(m.name) for m in models], *also)
+    more = [c for c in votes.columns if c not in key and c not in {m.name for m in models}]
+    return votes.select(*key, *[elected(F.col(m.name), m.labels).alias(m.name) for m in models], *more)
 
 
 def label_keys(
@@ -92,35 +113,35 @@ def label_keys(
     models: Sequence[Model],
     key: Sequence[str],
     text: str = "article",
-    whole: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Key and labels of every article; texts that share a key are scored as one."""
-    scores = window_scores(articles, models, key, text, whole, broadcast_bytes)
+    scores = window_scores(articles, models, key, text, broadcast_bytes)
     return article_labels(window_labels(scores, models, key), models, key)
 
 
+def article_digest(key: Sequence[str], text: str) -> Column:
+    """Digest of key columns and text; lengths and marks keep nulls and neighbours apart."""
+    parts = []
+    for name in [*key, text]:
+        value = F.col(name).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(value), F.lit(":"), value), F.lit("-")))
+    return F.md5(F.concat(*parts))
+
+
 def label_articles(
     articles: DataFrame,
     models: Sequence[Model],
     key: Sequence[str] = ("id", "batch"),
     text: str = "article",
-    whole: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The articles with one label column per model; row for row, also for null or repeated keys.
 
-    Labels join back on the key and the digest of the text, one label row per pair, so no row
-    is multiplied and different texts under one key keep their own labels.
+    One digest of key and text, never null, is what articles are scored and joined by: no row
+    is multiplied, different texts under one key keep their own labels, and the labels arrive at the
+    join already partitioned by it.
     """
-    digested = articles.withColumn("_digest", F.md5(text))
-    full_key = [*key, "_digest"]
-    labels = label_keys(digested, models, full_key, text, whole, broadcast_bytes)
-    right = labels.select(*[F.col(c).alias(f"r_{c}") for c in full_key], *[m.name for m in models])
-    same = [digested[c].eqNullSafe(right[f"r_{c}"]) for c in full_key]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    # Hash join: the articles, which are wide, are shuffled but never sorted.
-    joined = digested.join(right.hint("shuffle_hash"), condition, "left")
-    return joined.select(*articles.columns, *[m.name for m in models])
+    digested = articles.withColumn("_article", article_digest(key, text))
+    labels = label_keys(digested, models, ["_article"], text, broadcast_bytes)
+    return digested.join(labels, "_article", "left").select(*articles.columns, *[m.name for m in models])

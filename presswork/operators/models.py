@@ -87,9 +87,12 @@ def emotion_model(spark: SparkSession, root: str, version: int | None = None) ->
     return open_model(spark, root, "emotion", EMOTIONS, version)
 
 
-def fits_broadcast(model: Model, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a model is small enough to send to every executor."""
-    size = model.size
-    if size is None:
-        size = model.weights.agg(weights_size(len(model.labels))).first()[0]
-    return size <= max_bytes
+def model_size(model: Model) -> int:
+    if model.size is not None:
+        return model.size
+    return model.weights.agg(weights_size(len(model.labels))).first()[0]
+
+
+def fits_broadcast(models: Sequence[Model], max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether models are together small enough to send to every executor."""
+    return sum(model_size(model) for model in models) <= max_bytes

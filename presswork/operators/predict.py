@@ -1,73 +1,107 @@
 """Labels from a pluggable scorer inside Arrow batches: map-only, no shuffle."""
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from presswork.functions.constants import NEUTRAL, WINDOW_TOKENS
-from presswork.operators.models import BROADCAST_BYTES, Model, fits_broadcast
+from presswork.functions.constants import NEUTRAL
+from presswork.functions.tokens import token_windows, tokens
+from presswork.operators.models import Model
+from presswork.sources.shared import new_path
 
-Scorer = Callable[[pd.Series], pd.DataFrame]
+Scorer = Callable[[pa.Array], pa.RecordBatch]
 
 
 def predict_labels(
-    articles: DataFrame, make_scorer: Callable[[], Scorer], outputs: list[str], text: str = "article"
+    articles: DataFrame,
+    make_scorer: Callable[[], Scorer],
+    outputs: list[str],
+    text: str = "article",
+    given: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """The articles with the scorer's string columns; each task builds its scorer once.
 
-    The scorer takes a batch of texts and returns a frame with the output columns, row for row.
+    The scorer takes an Arrow array, the texts or what `given` makes of them by SQL, and returns a
+    record batch with the output columns, row for row.
     """
-    names = list(outputs)
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in articles.schema]
-        + [f"`{name}` string" for name in names]
-    )
+    source = given(F.col(text)) if given else F.col(text)
+    rows = articles.select(F.struct(*articles.columns).alias("row"), source.alias("given"))
+    columns = articles.schema.fields
+    schema = T.StructType([*columns, *[T.StructField(name, T.StringType()) for name in outputs]])
+    names = [f.name for f in schema.fields]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = make_scorer()
         for batch in batches:
-            labels = scorer(batch[text])
-            yield batch.assign(**{name: labels[name].to_numpy() for name in names})
+            labels = scorer(batch.column("given"))
+            found = [labels.column(name) for name in outputs]
+            yield pa.RecordBatch.from_arrays([*batch.column("row").flatten(), *found], names)
 
-    return articles.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
-def linear_scorer(models: list[Model], max_bytes: int = BROADCAST_BYTES) -> Callable[[], Scorer]:
-    """Factory of a scorer for stored word models, sent to the executors once.
+def word_windows(text: Column) -> Column:
+    """What the linear scorer is given: the words of each window, as the joins see them."""
+    return F.when(text.isNotNull(), token_windows(tokens(text)))
 
-    Refuses models above the broadcast bound: those are scored by joins instead.
+
+def linear_scorer(models: list[Model]) -> Callable[[], Scorer]:
+    """Factory of a scorer for stored word models, whatever their size, to be given `word_windows`.
+
+    Executors fetch the models' files themselves, and each task reads them from there: no model
+    passes through the driver.
     """
+    context = models[0].weights.sparkSession.sparkContext
     parts = []
     for model in models:
-        if not fits_broadcast(model, max_bytes):
-            raise ValueError(f"model {model.name} is too large to broadcast; use label_articles")
-        table = model.weights.select("token", "w").toArrow()
-        index = {token: i for i, token in enumerate(table["token"].to_pylist())}
-        flat = table["w"].combine_chunks().flatten().to_numpy()
-        matrix = flat.astype(np.int64).reshape(-1, len(model.labels))
-        parts.append((model.name, list(model.labels), index, matrix))
-    spark = models[0].weights.sparkSession
-    shared = spark.sparkContext.broadcast(parts)
-    word = re.compile(r"[^\W\d_]+")
-
-    def label(text: str | None, labels: list[str], index: dict, matrix: np.ndarray) -> str | None:
-        if text is None:
-            return None
-        words = word.findall(text.lower())
-        names = []
-        for start in range(0, max(len(words), 1), WINDOW_TOKENS):
-            known = [index[w] for w in words[start : start + WINDOW_TOKENS] if w in index]
-            names.append(labels[int(matrix[known].sum(axis=0).argmax())] if known else NEUTRAL)
-        return min(set(names), key=lambda name: (-names.count(name), name))
+        path = new_path(models[0].weights.sparkSession, f"scorer-{model.name}")
+        model.weights.select("token", "w").write.parquet(path)
+        context.addFile(path, recursive=True)
+        parts.append((model.name, list(model.labels), path.rsplit("/", 1)[-1]))
+
+    def load(labels: list[str], folder: str) -> tuple[pa.Array, np.ndarray]:
+        table = pq.read_table(SparkFiles.get(folder), partitioning=None).combine_chunks()
+        weights = table["w"].combine_chunks().flatten().to_numpy().reshape(-1, len(labels))
+        return table["token"].combine_chunks(), weights
+
+    def vote(found: np.ndarray, starts: np.ndarray, labels: list[str]) -> list[str]:
+        """Most frequent label between starts, the smallest name on a tie."""
+        ranked = sorted(range(len(labels)), key=lambda i: labels[i])
+        names = [labels[i] for i in ranked]
+        counts = np.zeros((len(starts) - 1, len(labels)), np.int64)
+        text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        np.add.at(counts, (text, np.argsort(ranked)[found]), 1)
+        return [names[i] for i in counts.argmax(axis=1)]
 
     def make() -> Scorer:
-        def score(texts: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame(
-                {name: [label(t, ls, ix, mx) for t in texts] for name, ls, ix, mx in shared.value}
-            )
+        loaded = [(name, labels, *load(labels, folder)) for name, labels, folder in parts]
+
+        def score(texts: pa.Array) -> pa.RecordBatch:
+            null = texts.is_null().to_numpy(zero_copy_only=False)
+            held = texts.drop_null()
+            windows = held.flatten()
+            starts = np.concatenate([[0], np.cumsum(pc.list_value_length(held).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            words = windows.flatten()
+            owner = np.repeat(np.arange(len(windows)), pc.list_value_length(windows).to_numpy(zero_copy_only=False))
+            columns = []
+            for _, labels, known_words, weights in loaded:
+                place = pc.fill_null(pc.index_in(words, known_words), -1).to_numpy(zero_copy_only=False)
+                known = place >= 0
+                sums = np.zeros((len(windows), len(labels)), np.int64)
+                np.add.at(sums, owner[known], weights[place[known]])
+                best = sums.argmax(axis=1)
+                best[np.bincount(owner[known], minlength=len(windows)) == 0] = labels.index(NEUTRAL)
+                out = np.full(len(null), None, object)
+                out[~null] = vote(best, starts, labels)
+                columns.append(pa.array(out, pa.string()))
+            return pa.RecordBatch.from_arrays(columns, [name for name, *_ in loaded])
 
         return score
 

@@ -28,8 +28,8 @@ def failed_rows(bronze: DataFrame) -> DataFrame:
 
 
 def queue_head(bronze: DataFrame, rows: int) -> DataFrame:
-    """First rows of the queue by number."""
-    return work_queue(bronze).orderBy("SNo").limit(rows)
+    """First rows of the queue by batch and, as numbers start anew in each, by number."""
+    return work_queue(bronze).orderBy("batch", "SNo", "url").limit(rows)
 
 
 def status_breakdown(bronze: DataFrame) -> DataFrame:
@@ -51,25 +51,23 @@ def outcome_per_url(outcomes: DataFrame) -> DataFrame:
 
 
 def latest_outcome(log: DataFrame) -> DataFrame:
-    """Highest flags per URL within the last run that tried it.
-
-    One shuffle: run and code are packed into the sort key, so fixed-width buffers suffice.
-    """
+    """Highest flags per URL within the last run that tried it; any run id is in order."""
 
     def in_last_run(code: str) -> Column:
-        return F.max_by(code, F.col("run_id") * 8 + F.col(code)).alias(code)
+        return F.max(F.struct("run_id", code))[code].alias(code)
 
     return log.groupBy("url").agg(in_last_run("processed"), in_last_run("status"))
 
 
 def touched_rows(bronze: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Queue rows whose URL has an outcome."""
-    return bronze.join(outcomes.select("url"), "url", "left_semi").select(bronze.columns)
+    urls = outcomes.where(F.col("url").isNotNull()).select("url").distinct()
+    return bronze.join(urls, "url", "left_semi").select(bronze.columns)
 
 
 def apply_outcomes(bronze: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Queue with its flags replaced by the outcome of each URL; other rows keep theirs."""
-    news = outcome_per_url(outcomes).select(
+    news = outcome_per_url(outcomes.where(F.col("url").isNotNull())).select(
         "url",
         F.col("processed").alias("_processed"),
         F.col("status").alias("_status"),

@@ -1,20 +1,25 @@
 """Feed -> bronze: number new URLs and append them to the queue."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.operators.batches import next_batch
 from presswork.operators.numbering import dense_number
-from presswork.schemas import STATUS_DEFAULT, TO_DO
+from presswork.schemas import BRONZE, STATUS_DEFAULT, TO_DO
+from presswork.sources.feed import feed_urls, newest_feed_file, read_archives
+from presswork.sources.shared import Work, path_exists
+from presswork.sources.tables import append_counted, read_layer
 
 
-def bronze_rows(urls: DataFrame, bronze: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def bronze_rows(
+    urls: DataFrame, bronze: DataFrame, loaded_at: Column | None = None, work: Work | None = None
+) -> DataFrame:
     """Queue rows for new URLs: dense number, next batch, load time, flags 0/0.
 
     Repeated URLs stay; a row id after the URL splits one that fills a large share of the feed.
     """
     tagged = urls.select("url", F.monotonically_increasing_id().alias("_at"))
-    numbered = dense_number(tagged, ["url", "_at"])
+    numbered = dense_number(tagged, ["url", "_at"], work=work)
     return numbered.select(
         F.col("SNo").cast("bigint").alias("SNo"),
         next_batch(bronze).scalar().alias("batch"),
@@ -23,3 +28,19 @@ def bronze_rows(urls: DataFrame, bronze: DataFrame, loaded_at: Column | None = N
         F.lit(TO_DO).cast("smallint").alias("processed"),
         F.lit(STATUS_DEFAULT).cast("smallint").alias("status"),
     )
+
+
+def run_import(spark: SparkSession, landing: str, bronze_path: str, manifest: str | None = None) -> int:
+    """Archives in a landing folder -> their lines -> URLs -> a new batch of the queue; returns its rows.
+
+    With a manifest only the archive that it names is taken, by file name, and none if it names none.
+    """
+    lines = read_archives(spark, landing)
+    if manifest is not None:
+        newest = newest_feed_file(spark.read.text(manifest)).select(F.substring_index("file_url", "/", -1).alias("_name"))
+        lines = lines.where(F.substring_index("path", "/", -1) == newest.scalar())
+    old = read_layer(spark, bronze_path, "bronze") if path_exists(spark, bronze_path) else None
+    bronze = spark.createDataFrame([], BRONZE) if old is None else old
+    with Work(spark, "import") as work:
+        rows = work.materialize(bronze_rows(feed_urls(lines), bronze, work=work), "rows")
+        return append_counted(rows, bronze_path, [])

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.functions.urls import article_key
@@ -10,6 +10,7 @@ from presswork.operators.batches import latest_batch
 from presswork.operators.labels import label_articles
 from presswork.operators.models import BROADCAST_BYTES, Model
 from presswork.operators.predict import Scorer, predict_labels
+from presswork.schemas import GOLD
 from presswork.sources.tables import replace_partitions
 
 
@@ -21,29 +22,28 @@ def gold_input(silver: DataFrame) -> DataFrame:
 
 
 def build_gold(
-    silver: DataFrame,
-    models: Sequence[Model],
-    whole: bool = True,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    silver: DataFrame, models: Sequence[Model], broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Gold rows of every batch of the given silver rows, in one job."""
-    labelled = label_articles(
-        gold_input(silver), models, ("id", "batch"), "article", whole, broadcast_bytes
-    )
-    return labelled.select("id", "url", "article", "sentiment", "emotion", "batch")
+    labelled = label_articles(gold_input(silver), models, ("id", "batch"), "article", broadcast_bytes)
+    return labelled.select(GOLD.names)
 
 
-def predict_gold(silver: DataFrame, make_scorer: Callable[[], Scorer]) -> DataFrame:
+def predict_gold(
+    silver: DataFrame,
+    make_scorer: Callable[[], Scorer],
+    given: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """Gold rows from a pluggable scorer: one map over the articles, nothing is shuffled."""
-    labelled = predict_labels(gold_input(silver), make_scorer, ["sentiment", "emotion"])
-    return labelled.select("id", "url", "article", "sentiment", "emotion", "batch")
+    labelled = predict_labels(gold_input(silver), make_scorer, ["sentiment", "emotion"], "article", given)
+    return labelled.select(GOLD.names)
 
 
-def build_latest_gold(silver: DataFrame, models: Sequence[Model], whole: bool = True) -> DataFrame:
+def build_latest_gold(silver: DataFrame, models: Sequence[Model]) -> DataFrame:
     """Gold rows of silver's highest batch."""
-    return build_gold(latest_batch(silver), models, whole)
+    return build_gold(latest_batch(silver), models)
 
 
-def write_gold(gold: DataFrame, path: str) -> None:
-    """Write whole batches; writing a batch again replaces it."""
-    replace_partitions(gold, path, ["batch"])
+def write_gold(gold: DataFrame, path: str) -> int:
+    """Write whole batches; writing a batch again replaces it. Returns the rows written."""
+    return replace_partitions(gold, path, ["batch"])

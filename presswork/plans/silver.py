@@ -3,13 +3,14 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.functions.constants import CHUNK_ROWS
+from presswork.functions.constants import BATCH_ROWS, CHUNK_ROWS
 from presswork.functions.numbers import int_div
 from presswork.operators.fetch import fetch_articles, fetch_outcomes, locate_pages
 from presswork.operators.numbering import dense_number
-from presswork.operators.queue import work_queue
-from presswork.sources.shared import materialize
-from presswork.sources.tables import replace_partitions
+from presswork.operators.queue import apply_outcomes, latest_outcome, work_queue
+from presswork.schemas import FETCH_LOG, SILVER
+from presswork.sources.shared import Work, path_exists
+from presswork.sources.tables import read_layer, replace_partitions
 
 
 # Largest queue, URLs and 100 bytes per row, that is sent to every executor.
@@ -23,20 +24,29 @@ def is_few(queue: DataFrame, max_bytes: int) -> bool:
 
 
 def numbered_queue(
-    bronze: DataFrame, silver: DataFrame | None = None, chunk_size: int = CHUNK_ROWS
+    bronze: DataFrame,
+    silver: DataFrame | None = None,
+    chunk_size: int = CHUNK_ROWS,
+    work: Work | None = None,
 ) -> DataFrame:
     """Distinct queued URLs with their number in this run and the silver batch they go to.
 
     Every chunk of `chunk_size` URLs is one batch, numbered on from silver's highest. Only
-    URLs and numbers move here. At scale pass a large `chunk_size`: batches are partitions.
+    URLs and numbers move here. Rows without a URL are not fetched.
     """
-    todo = work_queue(bronze).groupBy("url").agg(F.min("SNo").alias("_first"))
-    numbered = dense_number(todo, ["_first", "url"])
+    named = work_queue(bronze).where(F.col("url").isNotNull())
+    todo = named.groupBy("url").agg(F.min("SNo").alias("_first"))
+    numbered = dense_number(todo, ["_first", "url"], work=work)
     chunk = int_div(F.col("SNo") - 1, chunk_size)
     base = F.lit(0) if silver is None else silver.agg(F.coalesce(F.max("batch"), F.lit(0))).scalar()
     return numbered.select("SNo", (chunk + 1 + base).cast("int").alias("batch"), "url")
 
 
+def _silver_rows(located: DataFrame, crawl: DataFrame, few: bool, loaded_at: Column | None) -> DataFrame:
+    at = F.current_timestamp() if loaded_at is None else loaded_at
+    return fetch_articles(located, crawl, few).withColumn("Timestamp", at).select(SILVER.names)
+
+
 def build_silver(
     bronze: DataFrame,
     crawl: DataFrame,
@@ -47,17 +57,29 @@ def build_silver(
 ) -> tuple[DataFrame, DataFrame]:
     """Silver rows of all queued URLs, and the outcome (url, processed, status) of each."""
     queue = numbered_queue(bronze, silver, chunk_size)
-    located = locate_pages(queue, crawl)
-    articles = fetch_articles(located, crawl, is_few(queue, broadcast_bytes)).select(
-        "SNo",
-        (F.current_timestamp() if loaded_at is None else loaded_at).alias("Timestamp"),
-        "url",
-        "article_title",
-        "article_text",
-        "transformed_text",
-        "batch",
-    )
-    return articles, fetch_outcomes(located)
+    few = is_few(queue, broadcast_bytes)
+    located = locate_pages(queue, crawl, few)
+    return _silver_rows(located, crawl, few, loaded_at), fetch_outcomes(located)
+
+
+def current_queue(bronze: DataFrame, log: DataFrame) -> DataFrame:
+    """The queue as it stands: imported rows with the flags of the last run that tried their URL."""
+    return apply_outcomes(bronze, latest_outcome(log))
+
+
+def _numbering(
+    bronze: DataFrame, silver: DataFrame | None, log_path: str, run_id: int, chunk_size: int, work: Work
+) -> DataFrame:
+    """The run's queue, from the store beside the log if the run was begun before."""
+    spark = bronze.sparkSession
+    # A name with an underscore in front is no part of the log to Spark's readers.
+    path = f"{log_path}/_numbering/run_id={run_id}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        if path_exists(spark, log_path):
+            log = spark.read.schema(FETCH_LOG).parquet(log_path)
+            bronze = current_queue(bronze, log.where(F.col("run_id") != run_id))
+        numbered_queue(bronze, silver, chunk_size, work).write.mode("overwrite").parquet(path)
+    return spark.read.schema("SNo bigint, batch int, url string").parquet(path)
 
 
 def run_silver(
@@ -67,20 +89,22 @@ def run_silver(
     log_path: str,
     run_id: int,
     silver: DataFrame | None = None,
-    chunk_size: int = CHUNK_ROWS,
+    chunk_size: int = BATCH_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
-) -> None:
-    """Write silver, then the outcome log. Rerunning after a stop in between rewrites both.
+) -> dict[str, int]:
+    """Fetch what is still to do into silver and log every outcome; returns the rows written to each.
 
-    `silver` is the table before this run; the queue numbering is stored once, so both writes
-    agree. The outcome log is partitioned by run: a rerun replaces its own partition.
+    The numbers and batches of a run are stored under its run_id before anything else is written. A
+    rerun, whatever has been written meanwhile, finds them and writes the same batches and log partition
+    again. `silver` is the table that batches are numbered on from, in a first run. What earlier runs tried is left out.
     """
-    queue = materialize(numbered_queue(bronze, silver, chunk_size), "queue")
-    located = locate_pages(queue, crawl)
-    few = is_few(queue, broadcast_bytes)
-    articles = fetch_articles(located, crawl, few).withColumn("Timestamp", F.current_timestamp())
-    replace_partitions(articles.drop("page_id"), silver_path, ["batch"])
-    log = fetch_outcomes(located).withColumn("run_id", F.lit(run_id).cast("bigint"))
-    replace_partitions(log, log_path, ["run_id"])
-
-
+    spark = bronze.sparkSession
+    if silver is None and path_exists(spark, silver_path):
+        silver = read_layer(spark, silver_path, "silver")
+    with Work(spark, "silver-run") as work:
+        queue = _numbering(bronze, silver, log_path, run_id, chunk_size, work)
+        few = is_few(queue, broadcast_bytes)
+        located = work.materialize(locate_pages(queue, crawl, few), "located")
+        written = replace_partitions(_silver_rows(located, crawl, few, None), silver_path, ["batch"])
+        log = fetch_outcomes(located).withColumn("run_id", F.lit(run_id).cast("bigint"))
+        return {"silver": written, "log": replace_partitions(log, log_path, ["run_id"])}

@@ -1,19 +1,28 @@
 """The folder every executor can reach, and frames written to it to cut lineage."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from types import TracebackType
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Largest table, by Spark's own estimate, that is dealt out anew because it has fewer splits than cores.
+SPREAD_BYTES = 128 * 1024 * 1024
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; a temporary one only when Spark runs on one machine."""
+    """Folder named by spark.checkpoint.dir; where that is unset, on one machine only, a temporary one
+    that goes when the program ends."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="presswork-"))
+    own = tempfile.mkdtemp(prefix="presswork-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext.getCheckpointDir()
 
 
@@ -22,18 +31,53 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/presswork/{label}-{uuid.uuid4().hex}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _hadoop(spark, path)
+    return files.exists(place)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, place = _hadoop(spark, path)
+    files.delete(place, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when a stored table has fewer splits than cores; else leave it alone.
+    """Give every core work when a small stored table has fewer splits than cores.
 
-    For scans in front of heavy per-row work. At scale a scan has many splits, and nothing moves.
+    Only a table that is small by estimate is moved; larger ones have splits of their own.
     """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if size <= SPREAD_BYTES and df.rdd.getNumPartitions() < cores else df
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: lost executors cost no recomputation."""
-    path = new_path(df.sparkSession, label)
+    return _stored(df, new_path(df.sparkSession, label), partition_by)
+
+
+def _stored(df: DataFrame, path: str, partition_by: str | None) -> DataFrame:
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    writer.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Work:
+    """Frames stored for the length of a flow: `with Work(spark) as work: work.materialize(...)`."""
+
+    def __init__(self, spark: SparkSession, label: str = "work"):
+        self.spark, self.path = spark, new_path(spark, label)
+
+    def __enter__(self) -> "Work":
+        return self
+
+    def __exit__(self, kind: type | None, error: BaseException | None, trace: TracebackType | None) -> None:
+        delete_path(self.spark, self.path)
+
+    def materialize(self, df: DataFrame, label: str) -> DataFrame:
+        return _stored(df, f"{self.path}/{label}-{uuid.uuid4().hex}", None)

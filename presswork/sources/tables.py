@@ -1,11 +1,17 @@
 """Layer tables: create, read, append, replace partitions, compact, report."""
 
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presswork.schemas import LAYERS
 
+# Size of a file that compaction aims at.
+FILE_BYTES = 256 * 1024 * 1024
+
 
 def create_layer_table(
     spark: SparkSession,
@@ -51,22 +57,46 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Write whole partitions; a rerun replaces the ones it writes and leaves the others alone."""
-    (
-        balanced(df, partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Rows of a write, counted while it runs."""
+    written = Observation()
+    write(df.observe(written, F.count(F.lit(1)).alias("rows")))
+    try:
+        return written.get["rows"]
+    except Py4JJavaError:
+        # A plan that is found empty before it runs observes nothing.
+        if df.isEmpty():
+            return 0
+        raise
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int:
+    """Write whole partitions; a rerun replaces the ones it writes and leaves the others alone.
+    Returns the rows written."""
+
+    def write(rows: DataFrame) -> None:
+        (
+            balanced(rows, partition_by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
+
+    return _counted(df, write)
 
 
 def compact_partition(
-    spark: SparkSession, path: str, schema: T.StructType, column: str, value: int, files: int
-) -> None:
-    """Rewrite one partition into few files."""
+    spark: SparkSession, path: str, schema: T.StructType, column: str, value: int, file_bytes: int = FILE_BYTES
+) -> int:
+    """Rewrite one partition into files of about `file_bytes`; returns how many were planned.
+
+    The partition's size is read from the file listing, so a large one goes through many tasks.
+    """
     rows = spark.read.schema(schema).parquet(path).where(F.col(column) == value)
+    sizes = rows.select("_metadata.file_path", "_metadata.file_size").distinct()
+    size = sizes.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]
+    files = max(1, -(-size // file_bytes))
     (
         rows.repartition(files)
         .write.mode("overwrite")
@@ -74,21 +104,33 @@ def compact_partition(
         .partitionBy(column)
         .parquet(path)
     )
+    return files
 
 
 def append_counted(df: DataFrame, path: str, partition_by: list[str]) -> int:
     """Append rows and return how many, counted while they are written."""
-    written = Observation()
-    (
-        df.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("append")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-    return written.get["rows"]
+    return _counted(df, lambda rows: rows.write.mode("append").partitionBy(*partition_by).parquet(path))
+
+
+def write_table(df: DataFrame, name: str, layer: str) -> int:
+    """Write rows to a catalog table of a layer: partitions are replaced and registered, a table
+    without any is appended to, buckets are kept. Returns the rows written."""
+    schema, partition = LAYERS[layer]
+    ordered = df.select(schema.names)
+    if partition is None:
+        return _counted(ordered, lambda rows: rows.write.mode("append").insertInto(name))
+    spark = df.sparkSession
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        return _counted(balanced(ordered, [partition]), lambda rows: rows.write.mode("overwrite").insertInto(name))
+    finally:
+        spark.conf.set(setting, before)
 
 
 def write_report(spark: SparkSession, action: str, rows: int) -> DataFrame:
     """One row about a write: its row count and a message."""
+    # The wording of the two messages.
     message = f"Successfully {action} {rows} records" if rows > 0 else "No updates performed"
     return spark.createDataFrame([(rows, message)], "n_rows bigint, message string")

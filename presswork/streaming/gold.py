@@ -1,5 +1,6 @@
 """Silver files as a stream, labelled per micro-batch into a replay-safe gold table."""
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,53 +8,87 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from presswork.functions.urls import article_key
 from presswork.operators.batches import one_batch
 from presswork.operators.models import Model
 from presswork.plans.gold import build_gold
 from presswork.schemas import GOLD, SILVER
+from presswork.sources.shared import Work, path_exists
 from presswork.sources.tables import replace_partitions
 
 
+STORED = T.StructType(
+    [*GOLD.fields, T.StructField("stream", T.StringType()), T.StructField("epoch_id", T.LongType())]
+)
+
+
 def read_silver_stream(
-    spark: SparkSession, path: str, files_per_trigger: int | None = None, batch: int | None = None
+    spark: SparkSession,
+    path: str | None = None,
+    files_per_trigger: int | None = None,
+    batch: int | None = None,
+    table: str | None = None,
 ) -> DataFrame:
-    """Silver as an unbounded table, all batches or one."""
-    reader = spark.readStream.schema(SILVER)
+    """Silver as an unbounded table, all batches or one, from files or from a catalog table."""
+    reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    stream = reader.parquet(path)
+    stream = reader.table(table) if table else reader.schema(SILVER).parquet(path)
     return stream if batch is None else one_batch(stream, batch)
 
 
-def gold_sink(
-    path: str, models: Sequence[Model], whole: bool = True
-) -> Callable[[DataFrame, int], None]:
-    """Sink that labels a micro-batch and writes it under its epoch.
+def _new_articles(rows: DataFrame, path: str, stream: str, epoch_id: int) -> DataFrame:
+    """Rows, one per batch and article, that no other epoch or stream has written to gold yet."""
+    spark = rows.sparkSession
+    keyed = rows.withColumn("_id", article_key(F.col("url"))).dropDuplicates(["batch", "_id"])
+    if not path_exists(spark, path):
+        return keyed.drop("_id")
+    written = spark.read.schema(STORED).parquet(path)
+    own = (F.col("stream") == stream) & (F.col("epoch_id") == epoch_id)
+    touched = rows.select("batch").distinct()
+    others = written.where(~own).join(touched, "batch", "left_semi").select("batch", F.col("id").alias("_id"))
+    return keyed.join(others.distinct(), ["batch", "_id"], "left_anti").drop("_id")
+
+
+def gold_sink(path: str, models: Sequence[Model], stream: str = "gold") -> Callable[[DataFrame, int], None]:
+    """Sink that labels a micro-batch and writes it under the name of its stream and its epoch.
 
-    A replayed epoch overwrites the partitions it wrote before, so nothing is doubled.
+    A replayed epoch overwrites the partitions it wrote before. Articles that gold has from another epoch or
+    stream are left out, so rewritten or compacted silver files, which a stream takes
+    for new ones, and a stream begun anew add nothing. An article is its batch and URL.
     """
 
     def write(rows: DataFrame, epoch_id: int) -> None:
-        gold = build_gold(rows, models, whole).withColumn("epoch_id", F.lit(epoch_id).cast("bigint"))
-        replace_partitions(gold, path, ["batch", "epoch_id"])
+        fresh = _new_articles(rows, path, stream, epoch_id)
+        gold = build_gold(fresh, models).withColumns(
+            {"stream": F.lit(stream), "epoch_id": F.lit(epoch_id).cast("bigint")}
+        )
+        # Stored first: what is left out is read from the folder that is written to.
+        with Work(rows.sparkSession, "epoch") as work:
+            replace_partitions(work.materialize(gold, "gold"), path, ["batch", "stream", "epoch_id"])
 
     return write
 
 
 def start_gold_stream(
-    silver: DataFrame, path: str, checkpoint: str, models: Sequence[Model], whole: bool = True
+    silver: DataFrame,
+    path: str,
+    checkpoint: str,
+    models: Sequence[Model],
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Label all silver files that are there and stop; run again for those that came since."""
+    """Label a silver stream into gold. By default all files that are there are taken and the stream stops;
+    a trigger such as {"processingTime": "1 minute"} keeps it running. The stream goes by its checkpoint's name."""
+    name = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     return (
         silver.writeStream.outputMode("append")
-        .foreachBatch(gold_sink(path, models, whole))
+        .foreachBatch(gold_sink(path, models, name))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
 def read_gold_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Gold rows written by the stream."""
-    stored = T.StructType([*GOLD.fields, T.StructField("epoch_id", T.LongType())])
-    return spark.read.schema(stored).parquet(path).select(GOLD.names)
+    """Gold rows written by streams."""
+    return spark.read.schema(STORED).parquet(path).select(GOLD.names)

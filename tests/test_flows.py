@@ -6,10 +6,11 @@ from presswork.operators.batches import rows_per_batch
 from presswork.operators.models import emotion_model, rule_weights, save_model, sentiment_model
 from presswork.operators.queue import apply_outcomes, latest_outcome, work_queue
 from presswork.plans.gold import build_gold, build_latest_gold, write_gold
-from presswork.plans.silver import build_silver, run_silver
+from presswork.plans.bronze import run_import
+from presswork.plans.silver import build_silver, current_queue, run_silver
 from presswork.schemas import FETCH_LOG, GOLD, SILVER
-from presswork.sources.shared import new_path
-from presswork.sources.tables import read_layer, replace_partitions
+from presswork.sources.shared import Work, new_path, path_exists, shared_folder
+from presswork.sources.tables import compact_partition, create_layer_table, drop_layer_table, read_layer, replace_partitions, write_table
 from presswork.streaming.gold import (
     gold_sink,
     read_gold_stream,
@@ -81,7 +82,9 @@ def test_rerun_changes_nothing_and_empties_the_queue(spark, bronze, crawl):
     silver_path, log_path = new_path(spark, "silver"), new_path(spark, "log")
     run_silver(bronze, crawl, silver_path, log_path, run_id=1, chunk_size=25)
     once = plain(read_layer(spark, silver_path, "silver"), CONTENT)
-    run_silver(bronze, crawl, silver_path, log_path, run_id=1, chunk_size=25)
+    live = read_layer(spark, silver_path, "silver")
+    counts = run_silver(bronze, crawl, silver_path, log_path, run_id=1, silver=live, chunk_size=25)
+    assert counts == {"silver": N * 2 // 3, "log": N}
     assert plain(read_layer(spark, silver_path, "silver"), CONTENT) == once
     log = spark.read.schema(FETCH_LOG).parquet(log_path)
     assert log.count() == N
@@ -91,6 +94,59 @@ def test_rerun_changes_nothing_and_empties_the_queue(spark, bronze, crawl):
     assert states == {(0, 1): 2 * N // 3, (1, 2): 4 * N // 3}
 
 
+def test_second_run_fetches_only_what_is_new(spark, bronze, crawl, tmp_path):
+    silver_path, log_path = new_path(spark, "silver"), new_path(spark, "log")
+    run_silver(bronze.where("url < 'u3'"), crawl, silver_path, log_path, run_id=5)
+    tried = {r["url"] for r in spark.read.schema(FETCH_LOG).parquet(log_path).collect()}
+    later = 1_700_000_000_000_000_000
+    counts = run_silver(bronze, crawl, silver_path, log_path, run_id=later)
+    log = spark.read.schema(FETCH_LOG).parquet(log_path)
+    assert counts["log"] == N - len(tried) and log.count() == N
+    assert {r["url"] for r in log.where(F.col("run_id") == later).collect()}.isdisjoint(tried)
+    silver = read_layer(spark, silver_path, "silver")
+    assert silver.count() == silver.select("url").distinct().count() == N * 2 // 3
+    assert {r["batch"] for r in silver.collect()} == {1, 2}
+    assert work_queue(current_queue(bronze, log)).count() == 0
+
+
+def test_rows_without_url_are_left_alone(spark, bronze, crawl):
+    nameless = bronze.limit(1).withColumn("url", F.lit(None).cast("string"))
+    silver, outcomes = build_silver(bronze.unionByName(nameless), crawl)
+    assert silver.count() == N * 2 // 3 and outcomes.count() == N
+
+
+def test_import_takes_archives_to_the_queue(spark, tmp_path):
+    import zipfile
+
+    landing, path = tmp_path / "landing", new_path(spark, "bronze")
+    landing.mkdir()
+    for name, urls in (("a.gkg.csv.zip", ["u1", "u2"]), ("b.gkg.csv.zip", ["u3"])):
+        with zipfile.ZipFile(landing / name, "w") as archive:
+            archive.writestr("feed.csv", "".join(f'1\t2\t3\t"4\t{u}\t6\n' for u in urls))
+    manifest = tmp_path / "list.txt"
+    manifest.write_text("1 x http://h/other.zip\n2 y http://h/b.gkg.csv.zip\n")
+    assert run_import(spark, str(landing), path) == 3
+    assert run_import(spark, str(landing), path, str(manifest)) == 1
+    rows = read_layer(spark, path, "bronze").collect()
+    assert sorted((r["batch"], r["SNo"], r["url"]) for r in rows) == [(1, 1, "u1"), (1, 2, "u2"), (1, 3, "u3"), (2, 1, "u3")]
+    assert {(r["processed"], r["status"]) for r in rows} == {(0, 0)}
+
+
+def test_work_folder_goes_with_its_flow(spark, bronze, crawl):
+    from pathlib import Path
+
+    folder = Path(shared_folder(spark)) / "presswork"
+    before = {p.name for p in folder.iterdir()} if folder.exists() else set()
+    silver_path, log_path = new_path(spark, "kept-silver"), new_path(spark, "kept-log")
+    run_silver(bronze, crawl, silver_path, log_path, run_id=1)
+    left = {p.name for p in folder.iterdir()} - before
+    assert {name.rsplit("-", 1)[0] for name in left} == {"kept-silver", "kept-log"}
+    with Work(spark) as work:
+        stored = work.materialize(spark.range(3), "x")
+        assert stored.count() == 3 and path_exists(spark, work.path)
+    assert not path_exists(spark, work.path)
+
+
 @pytest.fixture(scope="module")
 def silver_path(spark, bronze, crawl):
     path = new_path(spark, "silver")
@@ -151,3 +207,37 @@ def test_stream_of_one_batch(spark, silver_path, models):
     path, state = new_path(spark, "out"), new_path(spark, "state")
     start_gold_stream(read_silver_stream(spark, silver_path, batch=2), path, state, models).awaitTermination(300)
     assert {r["batch"] for r in read_gold_stream(spark, path).collect()} == {2}
+
+
+def test_rewritten_silver_adds_nothing_to_the_stream(spark, bronze, crawl, models):
+    rows, _ = build_silver(bronze, crawl, chunk_size=25)
+    source, path, state = (new_path(spark, name) for name in ("in", "out", "state"))
+    rows.repartition(3).write.partitionBy("batch").parquet(source)
+
+    def run(checkpoint):
+        query = start_gold_stream(read_silver_stream(spark, source), path, checkpoint, models)
+        assert query.awaitTermination(300)
+        return plain(read_gold_stream(spark, path), GOLD.names)
+
+    once = run(state)
+    assert len(once) == N * 2 // 3
+    compact_partition(spark, source, SILVER, "batch", 1)
+    assert run(state) == once
+    stored = read_layer(spark, source, "silver").where("batch = 2")
+    stored = spark.createDataFrame(stored.collect(), stored.schema)
+    replace_partitions(stored, source, ["batch"])
+    assert run(state) == once
+    assert run(new_path(spark, "state")) == once
+
+
+def test_stream_from_a_table_runs_on(spark, silver_path, models):
+    create_layer_table(spark, "t_silver", "silver", replace=True)
+    write_table(read_layer(spark, silver_path, "silver"), "t_silver", "silver")
+    path, state = new_path(spark, "out"), new_path(spark, "state")
+    stream = read_silver_stream(spark, table="t_silver")
+    query = start_gold_stream(stream, path, state, models, trigger={"processingTime": "1 second"})
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert read_gold_stream(spark, path).count() == spark.table("t_silver").count()
+    drop_layer_table(spark, "t_silver")

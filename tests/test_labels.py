@@ -16,7 +16,7 @@ from presswork.operators.models import (
     save_model,
     sentiment_model,
 )
-from presswork.operators.predict import linear_scorer, predict_labels
+from presswork.operators.predict import linear_scorer, predict_labels, word_windows
 from presswork.sources.shared import new_path
 
 VOCABULARY = ["".join(random.Random(i).choices("abcdefgh", k=3)) + "x" * (i % 3) for i in range(150)]
@@ -31,13 +31,13 @@ def models(spark):
     return [sentiment_model(spark, root), emotion_model(spark, root)]
 
 
-def brute_label(text, weights, labels, whole):
+def brute_label(text, weights, labels):
     if text is None:
         return None
     words = text.lower().split()
     windows = [words[i : i + 512] for i in range(0, max(len(words), 1), 512)]
     names = []
-    for window in windows if whole else windows[:1]:
+    for window in windows:
         known = [weights[w] for w in window if w in weights]
         scores = [sum(column) for column in zip(*known)]
         names.append(labels[scores.index(max(scores))] if known else "neutral")
@@ -53,32 +53,41 @@ def texts():
     return [*made, None, "zzz zzz", "ZZZ " * 600, "the " * 600 + VOCABULARY[0].upper()]
 
 
-@pytest.mark.parametrize("whole", [True, False])
 @pytest.mark.parametrize("broadcast_bytes", [1_000_000, 0])
-def test_labels_match_brute_force(spark, models, texts, whole, broadcast_bytes):
+def test_labels_match_brute_force(spark, models, texts, broadcast_bytes):
     articles = spark.createDataFrame(list(enumerate(texts)), "k int, article string").repartition(3)
     got = {
         r["k"]: (r["sentiment"], r["emotion"])
-        for r in label_keys(articles, models, ["k"], "article", whole, broadcast_bytes).collect()
+        for r in label_keys(articles, models, ["k"], "article", broadcast_bytes).collect()
     }
     weights = [{r["token"]: r["w"] for r in m.weights.collect()} for m in models]
     for k, text in enumerate(texts):
-        expected = tuple(brute_label(text, w, list(m.labels), whole) for w, m in zip(weights, models))
+        expected = tuple(brute_label(text, w, list(m.labels)) for w, m in zip(weights, models))
         assert got[k] == expected, (k, text and len(text))
 
 
 def test_pluggable_scorer_gives_the_same(spark, models, texts):
-    articles = spark.createDataFrame(list(enumerate(texts)), "k int, article string").repartition(3)
+    word = VOCABULARY[0]
+    odd = [f"x² {word}½ Ⅷ{word}", "x² x² x²", f"{word}\u0301{word}", "½x abcⅧ", f"{word}_{word} ٣{word}"]
+    articles = spark.createDataFrame(list(enumerate(texts + odd)), "k int, article string").repartition(3)
     native = label_articles(articles, models, ["k"])
-    arrow = predict_labels(articles, linear_scorer(models), ["sentiment", "emotion"])
+    arrow = predict_labels(articles, linear_scorer(models), ["sentiment", "emotion"], given=word_windows)
     assert sorted(map(repr, native.collect())) == sorted(map(repr, arrow.collect()))
 
 
-def test_large_model_is_not_sent_to_tasks(models):
-    assert fits_broadcast(models[0]) and not fits_broadcast(models[0], 10)
-    assert models[0].size == sum(len(r["token"]) + 76 for r in models[0].weights.collect())
-    with pytest.raises(ValueError):
-        linear_scorer(models, max_bytes=10)
+def test_models_are_measured_together(models):
+    sizes = [sum(len(r["token"]) + 64 + 4 * len(m.labels) for r in m.weights.collect()) for m in models]
+    assert [m.size for m in models] == sizes
+    assert fits_broadcast(models, sum(sizes)) and not fits_broadcast(models, sum(sizes) - 1)
+
+
+def test_scorer_takes_a_model_of_any_size(spark, models):
+    """Above 128 MB by the measure that decides on a broadcast."""
+    large = Model("sentiment", SENTIMENTS, models[0].weights, 200 << 20)
+    articles = spark.createDataFrame([(1, VOCABULARY[0]), (2, None)], "k int, article string")
+    arrow = predict_labels(articles, linear_scorer([large]), ["sentiment"], given=word_windows)
+    native = label_articles(articles, [large], ["k"])
+    assert sorted(map(repr, arrow.collect())) == sorted(map(repr, native.collect()))
 
 
 def test_rows_are_neither_multiplied_nor_lost(spark, models):

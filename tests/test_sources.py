@@ -77,7 +77,8 @@ def test_compaction_keeps_rows_and_leaves_other_partitions(spark, tmp_path):
     )
     rows.repartition(8).write.partitionBy("batch").parquet(path)
     before = len(list((tmp_path / "gold" / "batch=0").glob("*.parquet")))
-    tables.compact_partition(spark, path, GOLD, "batch", 1, files=1)
+    assert tables.compact_partition(spark, path, GOLD, "batch", 1, file_bytes=3_000) > 1
+    assert tables.compact_partition(spark, path, GOLD, "batch", 1) == 1
     assert len(list((tmp_path / "gold" / "batch=1").glob("*.parquet"))) == 1
     assert len(list((tmp_path / "gold" / "batch=0").glob("*.parquet"))) == before > 1
     assert sorted(int(r["id"]) for r in tables.read_layer(spark, path, "gold").collect()) == list(range(200))
@@ -98,10 +99,11 @@ def test_layer_tables(spark, tmp_path, layer, schema):
 def test_bucketed_tables_join_without_shuffle(spark):
     for name in ("b_left", "b_right"):
         tables.create_layer_table(spark, name, "bronze", replace=True, buckets=4)
-        spark.range(100).selectExpr(
+        rows = spark.range(100).selectExpr(
             "id as SNo", "id as batch", "current_timestamp() as Timestamp", "string(id) as url",
             "cast(0 as smallint) as processed", "cast(0 as smallint) as status",
-        ).write.mode("append").insertInto(name)
+        )
+        assert tables.write_table(rows, name, "bronze") == 100
     joined = spark.table("b_left").hint("merge").join(spark.table("b_right").select("url"), "url")
     assert joined.count() == 100
     assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().toString()
@@ -109,6 +111,18 @@ def test_bucketed_tables_join_without_shuffle(spark):
         tables.drop_layer_table(spark, name)
 
 
+def test_writing_a_table_registers_its_partitions(spark, tmp_path):
+    for location in (None, str(tmp_path / "gold_table")):
+        tables.create_layer_table(spark, "t_gold", "gold", replace=True, location=location)
+        rows = gold(spark, [("a", "u", "x", "s", "e", 1), ("b", "u", "x", "s", "e", 2)])
+        assert tables.write_table(rows, "t_gold", "gold") == 2
+        assert tables.write_table(rows.where("batch = 2"), "t_gold", "gold") == 1
+        assert sorted(r["id"] for r in spark.table("t_gold").collect()) == ["a", "b"]
+        if location:
+            assert tables.read_layer(spark, location, "gold").count() == 2
+        tables.drop_layer_table(spark, "t_gold")
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     kept = materialize(spark.range(10), "kept")

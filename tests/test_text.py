@@ -17,7 +17,13 @@ def one(spark, value, *columns):
         ("<title>A</title><article><p>b</p></article>", "A", "b"),
         ("<TITLE lang=x>A\n  B</TITLE><ARTICLE class=y>b</ARTICLE>", "A B", "b"),
         ("<title></title><article>b</article>", "", "b"),
-        ("<title>A</title><body>b</body>", "A", ""),
+        ("<title>A</title><body class=x><p>b</p></body>", "A", "b"),
+        ("<title>A</title><p>b</p>", "A", "b"),
+        ("<article>a<article>b</article>c</article>d<article>e</article>f", "", "a\n\nb\n\nc\n\ne"),
+        ("<article>a", "", "a"),
+        ("<article-nav>menu</article-nav><article\nid=1>b</article>", "", "b"),
+        ("<titles>x</titles><title>A</title><scripts>y</scripts><article>b<scripted>c</scripted></article>", "A", "bc"),
+        ("<article>it&#8217;s &#x27;q&#x27; &eacute;&hearts;&nope;&#0; &#38;lt; &#1114112;&amp;amp;</article>", "", "it’s 'q' é♥&nope;\ufffd &lt; \ufffd&amp;"),
         ("<article>a &amp;lt; b &lt; c&nbsp;d</article>", "", "a &lt; b < c d"),
         ("<article><p>a<b>b</b><br>c<p>d</article>", "", "ab\n\nc\n\nd"),
         ("<article>a<script>var t='</p>'</script>b<!-- c -->d<style>p{}</style></article>", "", "abd"),
