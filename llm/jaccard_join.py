@@ -5,10 +5,10 @@ in at most d shingles, d following from their sizes. Sizes are banded; within a
 hash space is dealt into more than d parts, so that linked sets agree on a part as a whole: a tile
 is what shares a band, a part and that part's content. Unlike sets hardly ever meet in a tile.
 
-Sets that meet are compared in two rounds. First every member of a tile with one of them; what that
-links needs no further comparison. Then, in tiles that still hold several components, all pairs
-across components: bitmaps with a bit per hashed shingle, set by the parity of their number, bound
-the overlap from above by a bit count, and what passes is intersected.
+Sets that meet are compared with one member of a tile first, and again while a tile holds several
+components; then, in tiles that still do, all pairs across components. Bitmaps with a bit per hashed
+shingle, set by the parity of their number, bound the overlap from above by a bit count, and only
+what passes is intersected: hashes of sets move for pairs that are likely to link.
 """
 
 from collections.abc import Iterator
@@ -29,7 +29,9 @@ SHINGLE = 3
 # Documents link when PART * |intersection| >= SHARE * |union|.
 SHARE, PART = 90, 100
 BAND_GROWTH = 1.5
-BITMAP_WORDS = 8
+BITMAP_WORDS = 32
+# Rounds in which sets outside a tile's largest component are compared with a member of that.
+PROBES = 2
 # Sets that are compared at once in a tile; larger tiles are cut into blocks and paired.
 BLOCK = 1024
 
@@ -198,12 +200,12 @@ def describe(documents: DataFrame) -> DataFrame:
 
 
 def _load_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, f1, size, bitmap and sorted hashes of the wanted sets (node, f1, f2), from the texts of their nodes."""
+    """node, size, bitmap and sorted hashes of the wanted sets (node, f1, f2), from the texts of their nodes."""
     texts = documents.select(F.col("doc_id").alias("node"), "text")
     side = F.broadcast(wanted) if fits_broadcast(wanted, F.lit(48)) else wanted
     chosen = texts.join(side, "node")
     kind = chosen.schema["node"].dataType.simpleString()
-    names = ["node", "f1", "size", "bitmap", "hashes"]
+    names = ["node", "size", "bitmap", "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches, "text"):
@@ -213,47 +215,59 @@ def _load_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
             at = np.flatnonzero(right)
             maps = [x.tobytes() for x in sets.bitmaps()[at]]
             hashes = [sets.hashes[sets.bounds[i] : sets.bounds[i + 1]].tobytes() for i in at]
-            columns = [rows.column("node").take(pa.array(at)), rows.column("f1").take(pa.array(at))]
+            columns = [rows.column("node").take(pa.array(at))]
             columns += [pa.array(sets.sizes[at]), pa.array(maps, pa.binary()), pa.array(hashes, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = f"node {kind}, f1 bigint, size bigint, bitmap binary, hashes binary"
-    return chosen.mapInArrow(run, schema).dropDuplicates(["node", "f1"])
+    schema = f"node {kind}, size bigint, bitmap binary, hashes binary"
+    # Rows that share an id are one node; of their sets, those that were wanted.
+    return chosen.mapInArrow(run, schema).dropDuplicates(["node", "hashes"])
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs (f1 of one set, c of the other) that link, as nodes a and b."""
+def _both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs (a, b) of nodes with columns of both sets, named by side."""
+    for side in "ab":
+        own = sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+        pairs = pairs.join(own, side)
+    return pairs
 
-    def side(name: str) -> DataFrame:
-        return sets.select(*[F.col(c).alias(f"{c}_{name}") for c in sets.columns])
 
-    joined = pairs.join(side("a"), F.col("f1") == F.col("f1_a")).join(side("b"), F.col("c") == F.col("f1_b"))
+def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those pairs whose bitmaps do not rule a link out."""
+    joined = _both(pairs, sets, ["size", "bitmap"])
     kind = sets.schema["node"].dataType.simpleString()
-    columns = [f"{c}_{s}" for c in ("node", "size", "bitmap", "hashes") for s in "ab"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            if not rows.num_rows:
-                continue
-            get = {name: rows.column(name) for name in columns}
-            sizes = [get[f"size_{s}"].to_numpy() for s in "ab"]
-            maps = [
-                np.frombuffer(b"".join(get[f"bitmap_{s}"].to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS)
-                for s in "ab"
-            ]
-            likely = np.flatnonzero(links(overlap_bound(*sizes, *maps), *sizes))
-            found = [
-                i
-                for i in likely
-                if links(_shared(get["hashes_a"][i].as_py(), get["hashes_b"][i].as_py()), sizes[0][i], sizes[1][i])
-            ]
-            at = pa.array(found, pa.int64())
-            yield pa.RecordBatch.from_arrays([get["node_a"].take(at), get["node_b"].take(at)], ["a", "b"])
-
-    return joined.select(*columns).mapInArrow(run, f"a {kind}, b {kind}")
-
-
-def _shared(a: bytes, b: bytes) -> int:
+            sizes = [rows.column(f"size_{s}").to_numpy() for s in "ab"]
+            maps = [_unpack(rows.column(f"bitmap_{s}").to_pylist()) for s in "ab"]
+            likely = pa.array(np.flatnonzero(links(overlap_bound(*sizes, *maps), *sizes)))
+            yield pa.RecordBatch.from_arrays([rows.column(s).take(likely) for s in "ab"], ["a", "b"])
+
+    return joined.mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those pairs that link: bitmaps first, which are small, then the hashes of what is left."""
+    joined = _both(_possible(pairs, sets), sets, ["size", "hashes"])
+    kind = sets.schema["node"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            sizes = [rows.column(f"size_{s}").to_numpy() for s in "ab"]
+            both = zip(rows.column("hashes_a"), rows.column("hashes_b"))
+            shared = np.array([_shared(x.as_buffer(), y.as_buffer()) for x, y in both], np.int64)
+            found = pa.array(np.flatnonzero(links(shared, *sizes)))
+            yield pa.RecordBatch.from_arrays([rows.column(s).take(found) for s in "ab"], ["a", "b"])
+
+    return joined.mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def _unpack(maps: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(maps), np.uint64).reshape(-1, BITMAP_WORDS)
+
+
+def _shared(a: pa.Buffer, b: pa.Buffer) -> int:
     """Size of the intersection of two sorted arrays."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
@@ -261,35 +275,23 @@ def _shared(a: bytes, b: bytes) -> int:
 
 
 def _compare_tile(tile: pd.DataFrame) -> pd.DataFrame:
-    """Links across components within a tile, or between its two blocks.
-
-    What is linked is merged at once, so of several links between two components the first is enough.
-    """
-    tile = tile.reset_index(drop=True)
-    n = len(tile)
+    """Pairs across components, within a tile or between two blocks of it, that bitmaps do not rule out."""
     size = tile["size"].to_numpy()
-    maps = np.frombuffer(b"".join(tile["bitmap"]), np.uint64).reshape(n, BITMAP_WORDS)
+    node = tile["node"].to_numpy()
+    maps = _unpack(list(tile["bitmap"]))
     _, group = np.unique(tile["component"].to_numpy(), return_inverse=True)
     found = []
-    for i in range(n - 1):
-        rest = np.arange(i + 1, n)
-        near = (group[rest] != group[i]) & links(overlap_bound(size[i], size[rest], maps[i], maps[rest]), size[i], size[rest])
-        for j in rest[near]:
-            if group[j] == group[i]:
-                continue
-            if links(_shared(tile["hashes"][i], tile["hashes"][j]), size[i], size[j]):
-                found.append((tile["node"][i], tile["node"][j]))
-                group[group == group[j]] = group[i]
+    for i in range(len(tile) - 1):
+        rest = np.flatnonzero(group[i + 1 :] != group[i]) + i + 1
+        near = links(overlap_bound(size[i], size[rest], maps[i], maps[rest]), size[i], size[rest])
+        found += [(min(node[i], node[j]), max(node[i], node[j])) for j in rest[near]]
     return pd.DataFrame(found, columns=["a", "b"])
 
 
-def _remaining(shared: DataFrame, sets: DataFrame, first: DataFrame) -> DataFrame:
-    """Links found by comparing all pairs across components in the tiles that hold several."""
-    placed = connected_components(first)
-    nodes = sets.select("node", "f1")
-    component = F.coalesce("component", "node").alias("component")
-    named = nodes.join(placed, "node", "left").select("node", "f1", component)
-    members = shared.select("key", "f1").join(named, "f1")
+def _open_tiles(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (key, node, component) of the tiles that hold several components, and the largest one, _main."""
+    members = shared.join(connected_components(found), "node", "left")
+    members = members.select("key", "node", F.coalesce("component", "node").alias("component"))
     tiles = members.groupBy("key").agg(
         F.min("component").alias("_low"),
         F.max("component").alias("_high"),
@@ -297,19 +299,56 @@ def _remaining(shared: DataFrame, sets: DataFrame, first: DataFrame) -> DataFram
         F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("_y"),
         F.count(F.lit(1)).alias("_n"),
     )
-    # Tiles with the same members are compared once.
-    open_tiles = tiles.where(F.col("_low") != F.col("_high")).groupBy("_x", "_y", "_n").agg(F.min("key").alias("key"))
-    rows = members.join(open_tiles.select("key", "_n"), "key")
+    # Tiles with the same members are gone through once.
+    mixed = tiles.where(F.col("_low") != F.col("_high")).groupBy("_x", "_y", "_n").agg(F.min("key").alias("key"))
+    rows = members.join(mixed.select("key", "_n"), "key")
+    sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_size"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("_size", "component"))["component"].alias("_main"))
+    return materialize(rows.join(largest, "key"), "open-tiles")
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _probes(seated: DataFrame, number: int) -> DataFrame:
+    """A pair for every node outside the largest component of a tile: one tile each, and one member of that component."""
+    draw = F.min(F.struct(F.xxhash64(F.lit(number), "node"), "node"))["node"].alias("_probe")
+    probe = seated.where(F.col("component") == F.col("_main")).groupBy("key").agg(draw)
+    others = seated.where(F.col("component") != F.col("_main")).join(probe, "key")
+    one = others.groupBy("node").agg(F.min(F.struct(F.xxhash64(F.lit(number), "_probe"), "_probe"))["_probe"].alias("_probe"))
+    return one.select(*_pair("node", "_probe")).distinct()
+
+
+def _pairs_across(seated: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs across components in open tiles that bitmaps do not rule out; large tiles go by pairs of blocks."""
     blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
     # A set goes to the pairs of its block with every block.
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    cells = rows.select("key", "node", "f1", "component", block.alias("_block"), other.alias("_other")).select(
-        "key", "node", "f1", "component", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j")
+    cells = seated.select("key", "node", "component", block.alias("_block"), other.alias("_other")).select(
+        "key", "node", "component", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j")
     )
-    cells = cells.join(sets.select("node", "f1", "size", "bitmap", "hashes"), ["node", "f1"])
+    cells = cells.join(sets.select("node", "size", "bitmap"), "node")
     kind = sets.schema["node"].dataType.simpleString()
-    return cells.groupBy("key", "_i", "_j").applyInPandas(_compare_tile, f"a {kind}, b {kind}")
+    return cells.groupBy("key", "_i", "_j").applyInPandas(_compare_tile, f"a {kind}, b {kind}").distinct()
+
+
+def set_links(shared: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of nodes, enough to connect all that link, from the members (key, node) of tiles."""
+    lowest = shared.groupBy("key").agg(F.min("node").alias("_probe"))
+    first = shared.join(lowest, "key").groupBy("node").agg(F.min("_probe").alias("_probe"))
+    pairs = first.where(F.col("node") != F.col("_probe")).select(*_pair("node", "_probe"))
+    found = tried = None
+    for number in range(PROBES + 1):
+        pairs = materialize(pairs, "probes")
+        new = materialize(_verify(pairs, sets), "set-links")
+        found = new if found is None else found.unionAll(new)
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        seated = _open_tiles(shared, found)
+        pairs = _probes(seated, number).join(tried, ["a", "b"], "left_anti")
+    rest = _pairs_across(seated, sets).join(tried, ["a", "b"], "left_anti")
+    return found.unionAll(materialize(_verify(materialize(rest, "probes"), sets), "set-links"))
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:
@@ -323,19 +362,16 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     classes = linked.groupBy("f1", "f2").agg(F.min("doc_id").alias("node"))
     seats = linked.select("f1", F.explode("keys").alias("key"))
     # Lowest and highest member, combined before the shuffle, tell which tiles hold several sets.
-    centres = seats.groupBy("key").agg(F.min("f1").alias("c"), F.max("f1").alias("_high"))
-    centres = centres.where(F.col("c") != F.col("_high")).select("key", "c")
-    shared = materialize(seats.join(centres, "key").distinct(), "tiles")
-    met = shared.select("f1").distinct()
-    wanted = materialize(classes.join(met, "f1", "left_semi").select("node", "f1", "f2"), "wanted")
+    several = seats.groupBy("key").agg(F.min("f1").alias("_low"), F.max("f1").alias("_high"))
+    several = several.where(F.col("_low") != F.col("_high")).select("key")
+    met = materialize(seats.join(several, "key").distinct(), "tiles")
+    wanted = classes.join(met.select("f1").distinct(), "f1", "left_semi").select("node", "f1", "f2")
+    wanted = materialize(wanted, "wanted")
     sets = materialize(_load_sets(documents, wanted), "hashes")
-    pairs = shared.where(F.col("f1") != F.col("c")).select("f1", "c").distinct()
-    first = materialize(_verify(pairs, sets), "first")
+    shared = materialize(met.join(wanted, "f1").select("key", "node").distinct(), "tiles")
     same_id = linked.join(classes, ["f1", "f2"]).where(F.col("doc_id") != F.col("node"))
-    every = first.unionAll(_remaining(shared, sets, first))
-    every = every.unionAll(same_id.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
-    components = connected_components(every)
-    return _attach(described, components)
+    every = set_links(shared, sets).unionAll(same_id.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
+    return _attach(described, connected_components(every))
 
 
 def _attach(described: DataFrame, components: DataFrame) -> DataFrame:
