@@ -2,8 +2,9 @@
 
 Equal lines are one line from the start. A line's signature is the lowest hash of its character
 shingles in each bin of the hash space; bands of the signature are the tiles in which
-lines meet. Each line of a tile is compared with the tile's lowest; where a tile then still holds
-several components, the members of all but its largest are compared with the rest, some at a time.
+lines meet. Each line of a tile is compared with the tile's lowest, then, while the tile still holds
+several components, with members of its largest. Tiles that are not of one piece after that are
+gone through pair by pair across components, some members at a time.
 Of every component the first line, by document and place, is kept.
 
 Everything is SQL functions. Shingles are hashed within the row of their line and never move.
@@ -20,6 +21,9 @@ SHINGLE = 8
 # Lines are the same when SHARE * |union| <= PART * |intersection|: a similarity of 0.8 or more.
 SHARE, PART = 4, 5
 BANDS, ROWS = 8, 4
+PER_BIN = 5
+# Rounds in which members of a tile's smaller components are compared with one of its largest.
+PROBES = 3
 # Members of a tile that are compared with all others of it in one round.
 PER_ROUND = 8
 _WIDTH = 4
@@ -36,13 +40,15 @@ def _key_columns() -> list[Column]:
     return [doc.alias("_doc"), F.xxhash64(text).alias("_hash"), F.split(text, "\n").alias("_lines")]
 
 
-def _shingle(wide: Column, place: Column) -> Column:
-    """Hash of the shingle at a place of a line in a fixed-width encoding."""
-    return F.xxhash64(F.substring(wide, (place * _WIDTH + 1).cast("int"), F.lit(SHINGLE * _WIDTH)))
+def _shingle(wide: Column, at: Column) -> Column:
+    """Hash of the shingle that begins at a byte of a line in a fixed-width encoding."""
+    return F.xxhash64(F.substring(wide, at, F.lit(SHINGLE * _WIDTH)))
 
 
 def _places(line: Column) -> Column:
-    return F.sequence(F.lit(0), F.greatest(F.length(line) - SHINGLE, F.lit(0)))
+    """First bytes, from 1, of the shingles of a line."""
+    last = F.greatest(F.length(line) - SHINGLE, F.lit(0)) * _WIDTH + 1
+    return F.sequence(F.lit(1), last, F.lit(_WIDTH))
 
 
 def distinct_lines(documents: DataFrame) -> DataFrame:
@@ -63,6 +69,9 @@ def _shingles(line: str) -> Column:
     return F.array_distinct(F.flatten(each))
 
 
+_IN_BIN = 2**59 - 1
+
+
 def _bin(value: Column) -> Column:
     return F.shiftright(value, 59)
 
@@ -73,21 +82,36 @@ def signed_lines(lines: DataFrame) -> DataFrame:
     What several expressions read is the one element of an array, so that it is computed once.
     """
     n = BANDS * ROWS
-    ordered = F.array(F.sort_array(_shingles("line")))
+    low = F.lit(float(_IN_BIN) * n * PER_BIN)
+    # Of many shingles those low within their bin are enough: on average PER_BIN are left in each.
+    few = F.transform(
+        F.array(_shingles("line")),
+        lambda s: F.filter(s, lambda x: x.bitwiseAND(F.lit(_IN_BIN)) * F.size(s).cast("double") < low),
+    )
+    ordered = F.transform(few, lambda s: F.sort_array(s))
     # One permutation, cut into as many bins as the signature has values: the lowest hash of each bin.
     lowest = F.transform(
         ordered, lambda s: F.filter(s, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(s, F.greatest(i - 1, F.lit(0))))))
     )
-    # A bin that a short line leaves empty takes the value of the next one that it fills.
-    signature = F.transform(
+    # A bin that a short line leaves empty takes the value of the next one that it fills; which that is
+    # follows from the number of filled bins below, counted in a bit mask.
+    one = F.lit(1).cast("bigint")
+    masked = F.transform(
         lowest,
-        lambda m: F.when(F.size(m) == n, m).otherwise(
-            F.transform(
-                F.sequence(F.lit(-n // 2), F.lit(n // 2 - 1)),
-                lambda i: F.coalesce(F.get(F.filter(m, lambda x: _bin(x) >= i), F.lit(0)), F.get(m, F.lit(0))),
-            )
+        lambda m: F.struct(
+            m.alias("m"),
+            F.aggregate(m, F.lit(0).cast("bigint"), lambda mask, x: mask.bitwiseOR(F.call_function("shiftleft", one, (_bin(x) + n // 2).cast("int")))).alias("mask"),
         ),
     )
+
+    def value(s: Column, i: Column) -> Column:
+        below = F.bit_count(s["mask"].bitwiseAND(F.call_function("shiftleft", one, i) - 1))
+        return F.coalesce(F.get(s["m"], below), F.get(s["m"], F.lit(0)))
+
+    every = F.sequence(F.lit(0), F.lit(n - 1))
+    signature = F.transform(
+        masked, lambda s: F.when(F.size(s["m"]) == n, s["m"]).otherwise(F.transform(every, lambda i: value(s, i)))
+    )
     bands = F.transform(
         signature,
         lambda m: F.transform(
@@ -131,8 +155,8 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_similar("_a", "_b")).select("a", "b")
 
 
-def _across_components(shared: DataFrame, links: DataFrame) -> list[DataFrame]:
-    """Pairs of lines of different components in the same tile, in rounds that are bounded per tile."""
+def _open_tiles(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """Members (key, h, component) of the tiles that hold several components, with the largest one, _main."""
     placed = connected_components(links).withColumnRenamed("node", "h")
     members = shared.select("key", "h").join(placed, "h", "left").withColumn("component", F.coalesce("component", "h"))
     mixed = members.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
@@ -140,9 +164,25 @@ def _across_components(shared: DataFrame, links: DataFrame) -> list[DataFrame]:
     open_members = members.join(tiles, "key")
     sizes = open_members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_n"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("_n", "component"))["component"].alias("_main"))
-    seated = materialize(open_members.join(largest, "key"), "open-tiles")
-    # The largest component is left out of the ranking; the rest may be many in a hostile tile only.
+    return materialize(open_members.join(largest, "key"), "open-tiles")
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _probes(seated: DataFrame, number: int) -> DataFrame:
+    """Pairs of every member outside a tile's largest component with one member of that, another each time."""
+    draw = F.min(F.struct(F.xxhash64(F.lit(number), "h"), "h"))["h"].alias("_probe")
+    probe = seated.where(F.col("component") == F.col("_main")).groupBy("key").agg(draw)
+    others = seated.where(F.col("component") != F.col("_main")).join(probe, "key")
+    return others.select(*_pair("h", "_probe")).distinct()
+
+
+def _across_components(seated: DataFrame) -> list[DataFrame]:
+    """All pairs of lines of different components in the same tile, in rounds that are bounded per tile."""
     order = Window.partitionBy("key").orderBy("component", "h")
+    # The largest component is left out of the ranking; the rest may be many in a hostile tile only.
     small = seated.where(F.col("component") != F.col("_main")).withColumn("_rank", F.row_number().over(order))
     small = materialize(small.select("key", F.col("h").alias("a"), F.col("component").alias("_own"), "_rank"), "small")
     rounds = -(-(small.agg(F.coalesce(F.max("_rank"), F.lit(0))).first()[0]) // PER_ROUND)
@@ -150,7 +190,7 @@ def _across_components(shared: DataFrame, links: DataFrame) -> list[DataFrame]:
     for number in range(rounds):
         chosen = small.where(F.col("_rank").between(number * PER_ROUND + 1, (number + 1) * PER_ROUND))
         met = seated.join(chosen, "key").where(F.col("component") != F.col("_own"))
-        pairs.append(met.select(F.least("a", "h").alias("a"), F.greatest("a", "h").alias("b")).distinct())
+        pairs.append(met.select(*_pair("a", "h")).distinct())
     return pairs
 
 
@@ -162,12 +202,19 @@ def line_links(documents: DataFrame, signed: DataFrame) -> DataFrame:
     shared = materialize(seats.join(centres, "key"), "line-tiles")
     met = shared.select("h").distinct()
     texts = materialize(_texts_of(documents, signed.join(met, "h", "left_semi").select("h", "first")), "lines")
-    pairs = shared.where(F.col("h") != F.col("c")).select(F.col("c").alias("a"), F.col("h").alias("b")).distinct()
-    links = materialize(_verify(pairs, texts), "line-links")
-    every = links
-    for more in _across_components(shared, links):
-        every = every.unionAll(materialize(_verify(more, texts), "line-links"))
-    return every
+    pairs = materialize(shared.where(F.col("h") != F.col("c")).select(*_pair("c", "h")).distinct(), "probes")
+    links = tried = None
+    for number in range(PROBES + 1):
+        found = materialize(_verify(pairs, texts), "line-links")
+        links = found if links is None else links.unionAll(found)
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        seated = _open_tiles(shared, links)
+        if number < PROBES:
+            pairs = materialize(_probes(seated, number).join(tried, ["a", "b"], "left_anti"), "probes")
+    for more in _across_components(seated):
+        fresh = more.join(tried, ["a", "b"], "left_anti")
+        links = links.unionAll(materialize(_verify(fresh, texts), "line-links"))
+    return links
 
 
 def kept_lines(documents: DataFrame) -> DataFrame:
