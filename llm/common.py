@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Text that a task works on at once, in bytes; a single longer text is worked on alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 # Largest side, as measured, that is sent to every executor.
 BROADCAST_BYTES = 64 << 20
 
@@ -68,15 +68,17 @@ def hash_text(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Pieces of the batches with about SLICE_BYTES of text each, and the texts (null: empty)."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Pieces of the batches with about `size` bytes of text each, and the texts (null: empty)."""
     for batch in batches:
         texts = pc.fill_null(batch.column(text).cast(pa.large_string()), "")
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, done + size, side="right")))
             yield batch.slice(start, stop - start), texts.slice(start, stop - start)
             start = stop
 

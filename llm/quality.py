@@ -21,7 +21,7 @@ BUCKETS = 1 << 18
 DIMENSIONS = 8
 CHAR_SIZES = range(2, 5)
 # Learned from at most so many labelled documents of each class.
-SAMPLE_PER_CLASS = 2000
+SAMPLE_PER_CLASS = 1200
 EPOCHS = 5
 # A small sample is gone through more often.
 LEAST_STEPS = 8000
@@ -90,7 +90,7 @@ def train(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 7) ->
         often = np.concatenate([[1], times, times[owner], np.ones((pairs >= 0).sum(), np.int64)])
         buckets, place = np.unique(found, return_inverse=True)
         share = np.bincount(place, often).astype(np.float32)
-        documents.append((buckets, share / share.sum(), label))
+        documents.append((buckets.astype(np.int32), share / share.sum(), label))
     steps = max(epochs * len(documents), LEAST_STEPS)
     for step in range(steps):
         if step % len(documents) == 0:

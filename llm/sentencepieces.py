@@ -22,6 +22,8 @@ from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_toke
 from llm.common import ship, slices, utf8_bytes
 
 MARK = "▁"
+# Text that is encoded at once: the libraries' lists and objects take many times its size.
+SLICE_BYTES = 1 << 20
 # Kinds of pieces in a model file: fixed values of the format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -266,7 +268,7 @@ def encode_documents(documents: DataFrame, path: str) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in slices(batches, "text"):
+        for rows, texts in slices(batches, "text", SLICE_BYTES):
             found = codec(path).encode(texts)
             ids = pa.ListArray.from_arrays(pa.array(found.bounds, pa.int32()), pa.array(found.ids, pa.int32()))
             columns = [rows.column("doc_id"), ids, pa.array(np.diff(found.bounds), pa.int64())]
@@ -283,7 +285,7 @@ def encode_digests(documents: DataFrame, path: str) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in slices(batches, "text"):
+        for rows, texts in slices(batches, "text", SLICE_BYTES):
             found = codec(path).encode(texts)
             data, ends = memoryview(found.ids.astype("<i4")).cast("B"), (found.bounds * 4).tolist()
             digests = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(ends, ends[1:])]
