@@ -93,6 +93,18 @@ def _records(texts: pa.Array, ids: np.ndarray, number: int, layout: Layout, key:
     return slots, records
 
 
+def _packed(shards: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
+    """Records gathered by shard and compressed together, so that less is shuffled."""
+    order = np.argsort(shards, kind="stable")
+    found, at = np.unique(shards[order], return_index=True)
+    codec = pa.Codec("zstd")
+    groups = np.split(order, at[1:]) if len(found) else []
+    blobs = [codec.compress(records[group].tobytes(), asbytes=True) for group in groups]
+    sizes = [len(group) for group in groups]
+    columns = [pa.array(found.astype(np.int32)), pa.array(sizes, pa.int32()), pa.array(blobs, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["shard", "records", "blob"])
+
+
 def write_training_order(
     documents: DataFrame, path: str, key: int, tokens: int = SEQUENCE_TOKENS, shard_slots: int = SHARD_SLOTS
 ) -> Layout:
@@ -142,22 +154,30 @@ def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots:
             slots, records = _records(texts, ids, number, layout, key)
             number += len(slots)
             # The end mark is the writer's line feed.
-            body = np.ascontiguousarray(records[:, :-1])
-            ends = np.arange(len(slots) + 1, dtype=np.int32) * body.shape[1]
-            binary = pa.BinaryArray.from_buffers(
-                pa.binary(), len(slots), [None, pa.py_buffer(ends), pa.py_buffer(body.tobytes())]
-            )
-            shards = pa.array((slots // shard_slots).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([shards, pa.array(slots), binary], ["shard", "slot", "record"])
+            yield _packed(slots // shard_slots, records[:, :-1])
         expected = int(bounds[split + 1]) - start if split + 1 < len(bounds) else 0
         if number - start != expected:
             raise RuntimeError(f"split {split} gave {number - start} sequences after {expected} were counted")
 
-    schema = "shard int, slot bigint, record binary"
-    placed = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
-    shards = placed.repartitionById(layout.shards, F.col("shard")).sortWithinPartitions("shard", "slot")
+    width = layout.stride - 1
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for shard, blob, n in zip(*[rows.column(c).to_pylist() for c in ("shard", "blob", "records")]):
+                content = pa.Codec("zstd").decompress(blob, n * width)
+                ends = np.arange(n + 1, dtype=np.int32) * width
+                binary = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), content])
+                slots = np.frombuffer(content, np.uint8).reshape(n, width)[:, :8].copy().view("<i8").ravel()
+                shards = pa.array(np.full(n, shard, np.int32))
+                yield pa.RecordBatch.from_arrays([shards, pa.array(slots), binary], ["shard", "slot", "record"])
+
+    named = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    packed = named.mapInArrow(run, "shard int, records int, blob binary")
+    dealt = packed.repartitionById(layout.shards, F.col("shard"))
+    placed = dealt.mapInArrow(unpack, "shard int, slot bigint, record binary")
     (
-        shards.select("shard", F.col("record").cast("string").alias("value"))
+        placed.sortWithinPartitions("shard", "slot")
+        .select("shard", F.col("record").cast("string").alias("value"))
         .write.mode("overwrite")
         .option("lineSep", chr(END))
         .partitionBy("shard")
