@@ -10,9 +10,6 @@ from llm.common import read_table, without
 from llm.queries import PIECES, tokenizer_path
 from presswork.sources.shared import materialize
 
-# A document of which less than this share is left, because its lines stand elsewhere already, goes.
-LEAST_LEFT = 0.2
-
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from these documents' labels, does not reject."""
@@ -20,8 +17,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier one has. What is left of a copy goes; texts without lines stay."""
-    return line_dedup.drop_repeated_lines(docs, LEAST_LEFT)
+    """Documents without lines that an earlier one has. One that keeps no line goes; texts without lines stay."""
+    return line_dedup.drop_repeated_lines(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -225,6 +225,24 @@ def test_lines_of_odd_tables(spark, frame):
     assert kept.columns == frame(rows).columns and kept.where(F.col("doc_id").isNull()).count() == 0
 
 
+def test_dropping_copies_keeps_every_line(spark, frame, prose):
+    """Each component of lines of the input has a line in the output, however little is left of a document."""
+    import corpus_pipeline
+
+    passages = [prose(30, 300 + i, 10**6) for i in range(12)]
+    rows = [(i, "\n".join(passages[4 * i : 4 * i + 4])) for i in range(3)]
+    # Mostly repeated with a line of its own; a keeper that others have lost; one line many times; nothing left.
+    rows += [(10, "\n".join([*passages, "only here"])), (11, "\n".join([*passages, "Shared end"])), (12, "shared end\n" + prose(9, 7, 10**6))]
+    rows += [(13, "\n".join(["again and again"] * 9)), (14, "\n".join(passages)), (15, None), (16, "\n")]
+    stage = dict(corpus_pipeline.STAGES)["line dedup"]
+    out = {r["doc_id"]: r["text"] for r in stage(spark, frame(rows), "").collect()}
+    expected = lines_brute(rows)
+    assert out.keys() == {i for i, text in rows if not (text or "").strip() or i in expected}
+    for i, places in expected.items():
+        lines = dict(rows)[i].split("\n")
+        assert [x for x in out[i].split("\n") if x] == [lines[p] for p in places]
+
+
 def test_line_dedup_runs_no_python(spark, frame):
     lines = line_dedup.signed_lines(line_dedup.distinct_lines(frame([(1, "a line")])))
     plan = lines._jdf.queryExecution().toString()
