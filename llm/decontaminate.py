@@ -4,7 +4,8 @@ An item of which a document may hold a copy with up to k edits is cut into k + 1
 stand in the copy unchanged. Pieces of all items are found by one automaton per pass over a text;
 around each hit the whole item is looked for by Myers' bit-parallel edit distance.
 
-Items and texts are compared as lower-case words set apart by one space.
+Items and texts are compared as lower-case words set apart by one space. Short items are looked for as
+they are, between word bounds.
 """
 
 import re
@@ -20,12 +21,18 @@ from llm.common import ship, slices
 
 # Edits allowed per character of an item.
 ERROR_RATE = 0.08
-# Items with fewer characters say nothing about where a text comes from and are not looked for.
+# Items with fewer characters are found without edits only, and only as whole words.
 MIN_CHARS = 24
 # Item text that one pass over the documents looks for; more items take more passes.
 PASS_BYTES = 2 << 20
 
 _WORD = re.compile(r"[^\W_]+")
+# Scripts that are written without spaces, where a word may end at any character: Thai, Lao, Myanmar,
+# Khmer, kana, bopomofo and Han.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf"
+    "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"
+)
 
 
 def normalise(text: str) -> str:
@@ -33,7 +40,15 @@ def normalise(text: str) -> str:
 
 
 def budget(length: int, rate: float = ERROR_RATE) -> int:
-    return int(length * rate)
+    return int(length * rate) if length >= MIN_CHARS else 0
+
+
+def at_bound(text: str, place: int) -> bool:
+    """Whether a word may begin or end at a place of a normalised text."""
+    if place in (0, len(text)):
+        return True
+    left, right = text[place - 1], text[place]
+    return " " in (left, right) or bool(_UNSPACED.match(left) or _UNSPACED.match(right))
 
 
 def split_pieces(item: str, errors: int) -> list[tuple[int, str]]:
@@ -97,15 +112,24 @@ class Matcher:
         if places:
             self.finder.make_automaton()
 
-    def find(self, text: str) -> list[tuple[int | None, int, int, int, int]]:
-        """(item, distance, budget, start, end) of the nearest copy of each item in a normalised text."""
+    def find(self, text: str) -> list[tuple[int | None, int, int, int, int, int]]:
+        """(item, distance, budget, start, end, item length) of the nearest copy of each item in a normalised text."""
         if not self.items:
             return []
         hits: dict[int, list[int]] = {}
+        whole: dict[int, int] = {}
         for last, (size, found) in self.finder.iter(text):
             for number, at in found:
-                hits.setdefault(number, []).append(last + 1 - size - at)
+                start = last + 1 - size - at
+                if self.items[number][2].size >= MIN_CHARS:
+                    hits.setdefault(number, []).append(start)
+                elif number not in whole and at_bound(text, start) and at_bound(text, last + 1):
+                    # A short item is one piece, so that a hit is a copy.
+                    whole[number] = start
         matches = []
+        for number, start in whole.items():
+            item_id, errors, pattern, _ = self.items[number]
+            matches.append((item_id, 0, errors, start, start + pattern.size, pattern.size))
         for number, starts in hits.items():
             item_id, errors, pattern, mirrored = self.items[number]
             best = None
@@ -118,7 +142,7 @@ class Matcher:
                 distance, end = best
                 before = text[max(0, end - pattern.size - errors) : end][::-1]
                 _, back = mirrored.nearest(before, anchored=True)
-                matches.append((item_id, distance, errors, end - back, end))
+                matches.append((item_id, distance, errors, end - back, end, pattern.size))
         return matches
 
 
@@ -157,24 +181,25 @@ def _passes(benchmark: DataFrame) -> list[list[tuple[int | None, str]]]:
     for number in range(groups):
         rows = benchmark.where(F.col("text").isNotNull() & (group == number)).select("item_id", "text").collect()
         items = sorted({(r["item_id"], normalise(r["text"])) for r in rows}, key=lambda x: (x[0] is None, x))
-        yield [(i, text) for i, text in items if len(text) >= MIN_CHARS]
+        yield [(i, text) for i, text in items if text]
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """One row per document and benchmark item that it holds a copy of, with up to `rate` edits per character.
 
-    Columns: doc_id, item_id, distance, budget, start and end (code points of the text). Of several
+    Columns: doc_id, item_id, distance, budget, start and end (code points of the text) and length, the
+    characters of the normalised item, by which a filter may weigh short ones. Of several
     copies the nearest is reported, the first of equal ones. Null and empty texts hold nothing;
-    items that are null or shorter than MIN_CHARS are not looked for. Repeated items give one row, repeated
-    documents a row each.
+    items that are null or have no letters or digits are not looked for. Those shorter than MIN_CHARS are
+    found without edits, between word bounds. Repeated items give one row, repeated documents a row each.
     """
     ship(documents.sparkSession)
     spark = documents.sparkSession
     doc_kind = documents.schema["doc_id"].dataType.simpleString()
     item_type = benchmark.schema["item_id"].dataType
     item_kind = item_type.simpleString()
-    schema = f"doc_id {doc_kind}, item_id {item_kind}, distance int, budget int, start int, end int"
-    names = ["doc_id", "item_id", "distance", "budget", "start", "end"]
+    schema = f"doc_id {doc_kind}, item_id {item_kind}, distance int, budget int, start int, end int, length int"
+    names = ["doc_id", "item_id", "distance", "budget", "start", "end", "length"]
 
     def one_pass(items: list[tuple[int | None, str]]) -> DataFrame:
         shared = spark.sparkContext.broadcast(items)
@@ -185,11 +210,11 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = ERROR_R
                 ids, found = [], []
                 for place, text in enumerate(texts):
                     text = text.as_py()
-                    for item, distance, errors, start, end in matcher.find(normalise(text)):
+                    for item, distance, errors, start, end, size in matcher.find(normalise(text)):
                         ids.append(place)
-                        found.append((item, distance, errors, *original_span(text, start, end)))
-                columns = [pa.array([f[i] for f in found]) for i in range(5)]
-                kinds = [pa.int64() if item_kind == "bigint" else columns[0].type] + [pa.int32()] * 4
+                        found.append((item, distance, errors, *original_span(text, start, end), size))
+                columns = [pa.array([f[i] for f in found]) for i in range(6)]
+                kinds = [pa.int64() if item_kind == "bigint" else columns[0].type] + [pa.int32()] * 5
                 doc_ids = rows.column("doc_id").take(pa.array(ids, pa.int64()))
                 yield pa.RecordBatch.from_arrays([doc_ids, *(c.cast(k) for c, k in zip(columns, kinds))], names)
 

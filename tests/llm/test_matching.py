@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from llm import decontaminate, jaccard_join, line_dedup, vector_search
 from llm.components import connected_components
+from presswork.sources.shared import new_path
 
 
 def distance(pattern, text):
@@ -86,6 +87,27 @@ def test_leaks_equal_brute_force(spark, frame, prose):
     assert decontaminate.find_leaks(frame(rows), benchmark.limit(0)).count() == 0
 
 
+def test_short_items_are_found_between_bounds(spark, frame):
+    import corpus_pipeline
+
+    items = [(1, "What is 6 x 7?"), (2, "日本の首都はどこですか"), (3, "¿Quién?"), (4, "tiny"), (5, "?!"), (6, "中国的首都是哪里?"), (7, "x" * 23)]
+    rows = [(1, "Q: WHAT is\n6 x 7 -- 42"), (2, "what is 6 x 77"), (3, "では、日本の首都はどこですかと聞く"), (4, "日本の首都はどこ"), (5, "aquién")]
+    rows += [(6, "tinyness, untiny; Tiny."), (7, "?!"), (8, "问题：中国的首都是哪里？答案"), (9, "what is 6 y 7"), (10, "x" * 24), (11, "x" * 23), (12, None)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.find_leaks(frame(rows), benchmark).collect()
+    texts, names = dict(rows), dict(items)
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (3, 2), (6, 4), (8, 6), (11, 7)}
+    for r in found:
+        item = decontaminate.normalise(names[r["item_id"]])
+        assert decontaminate.normalise(texts[r["doc_id"]][r["start"] : r["end"]]) == item
+        assert (r["distance"], r["budget"], r["length"]) == (0, 0, len(item))
+    assert [r["start"] for r in found if r["doc_id"] == 6] == [18]
+    stage = dict(corpus_pipeline.STAGES)["benchmark decontamination"]
+    folder = f"{new_path(spark, 'short-items')}"
+    benchmark.write.parquet(f"{folder}/benchmark.parquet")
+    assert sorted(r["doc_id"] for r in stage(spark, frame(rows), folder).collect()) == [2, 4, 5, 7, 9, 10, 12]
+
+
 def test_search_equals_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(2)
     vectors = [(i, [float(x) for x in rng.normal(0, 0.1, 16)]) for i in range(300)]
