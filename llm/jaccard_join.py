@@ -9,9 +9,13 @@ Sets that meet are compared with one member of a tile first, and again while a t
 components; then, in tiles that still do, all pairs across components. Bitmaps with a bit per hashed
 shingle, set by the parity of their number, bound the overlap from above by a bit count, and only
 what passes is intersected: hashes of sets move for pairs that are likely to link.
+
+That connects what links. To count every link, sets of a component, which holds all links of its
+members, are then compared with each other, block by block: each pair in one cell, counted there and
+never made a row.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
@@ -34,6 +38,8 @@ BITMAP_WORDS = 32
 PROBES = 2
 # Sets that are compared at once in a tile; larger tiles are cut into blocks and paired.
 BLOCK = 1024
+# Sets, and bytes of their hashes, in a block in which links of a component are counted.
+COUNT_BLOCK, COUNT_BYTES = 512, 8 << 20
 
 
 def difference_bound(size_sum: int) -> int:
@@ -200,12 +206,13 @@ def describe(documents: DataFrame) -> DataFrame:
 
 
 def _load_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, size, bitmap and sorted hashes of the wanted sets (node, f1, f2), from the texts of their nodes."""
+    """node, size, bitmap and sorted hashes of the wanted sets (node, f1, f2, weight), and f1, f2 and weight,
+    from the texts of their nodes."""
     texts = documents.select(F.col("doc_id").alias("node"), "text")
     side = F.broadcast(wanted) if fits_broadcast(wanted, F.lit(48)) else wanted
     chosen = texts.join(side, "node")
     kind = chosen.schema["node"].dataType.simpleString()
-    names = ["node", "size", "bitmap", "hashes"]
+    names = ["node", "size", "bitmap", "hashes", "f1", "f2", "weight"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches, "text"):
@@ -217,9 +224,10 @@ def _load_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
             hashes = [sets.hashes[sets.bounds[i] : sets.bounds[i + 1]].tobytes() for i in at]
             columns = [rows.column("node").take(pa.array(at))]
             columns += [pa.array(sets.sizes[at]), pa.array(maps, pa.binary()), pa.array(hashes, pa.binary())]
+            columns += [rows.column(c).take(pa.array(at)) for c in ("f1", "f2", "weight")]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = f"node {kind}, size bigint, bitmap binary, hashes binary"
+    schema = f"node {kind}, size bigint, bitmap binary, hashes binary, f1 bigint, f2 bigint, weight bigint"
     # Rows that share an id are one node; of their sets, those that were wanted.
     return chosen.mapInArrow(run, schema).dropDuplicates(["node", "hashes"])
 
@@ -351,30 +359,101 @@ def set_links(shared: DataFrame, sets: DataFrame) -> DataFrame:
     return found.unionAll(materialize(_verify(materialize(rest, "probes"), sets), "set-links"))
 
 
-def jaccard_components(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest id that a document is linked with, per row.
+def _count_cell(cell: pd.DataFrame) -> pd.DataFrame:
+    """f1, f2 and the weight of the sets that link with each, within a block or between two."""
+    cell = cell.sort_values(["_block", "size"], kind="stable")
+    size, weight = cell["size"].to_numpy(), cell["weight"].to_numpy()
+    flat = np.concatenate([np.frombuffer(h, np.uint64) for h in cell["hashes"]])
+    _, place = np.unique(flat, return_inverse=True)
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    first = int((cell["_block"] == cell["_block"].iloc[0]).sum())
+    apart = first < len(cell)
+    mark = np.zeros(len(flat), bool)
+    total = np.zeros(len(cell), np.int64)
+    within = cell["_i"].iloc[0] == cell["_j"].iloc[0]
+    # A cell of two blocks of which one is empty has no pairs.
+    for i in range(first if within or apart else 0):
+        # Others are in order of size: those near enough stand together.
+        start = first if apart else i + 1
+        low, high = -(-SHARE * size[i] // PART), PART * size[i] // SHARE
+        a = start + int(np.searchsorted(size[start:], low))
+        b = start + int(np.searchsorted(size[start:], high, side="right"))
+        if a >= b:
+            continue
+        own = place[bounds[i] : bounds[i + 1]]
+        mark[own] = True
+        shared = np.add.reduceat(mark[place[bounds[a] : bounds[b]]], bounds[a:b] - bounds[a], dtype=np.int64)
+        mark[own] = False
+        linked = links(shared, size[i], size[a:b])
+        total[i] += weight[a:b][linked].sum()
+        total[a:b][linked] += weight[i]
+    return pd.DataFrame({"f1": cell["f1"].to_numpy(), "f2": cell["f2"].to_numpy(), "n": total})
+
+
+def count_links(sets: DataFrame, components: DataFrame) -> DataFrame:
+    """f1, f2 and n, the weight of all other sets that link with a set, for those in a component with others."""
+    placed = sets.select("node", "f1", "f2", "size").join(components, "node")
+    stats = placed.groupBy("component").agg(F.count(F.lit(1)).alias("_n"), (F.sum("size") * 8).alias("_bytes"))
+    blocks = F.ceil(F.greatest(F.col("_n") / COUNT_BLOCK, F.col("_bytes") / COUNT_BYTES)).cast("int")
+    several = stats.where(F.col("_n") > 1).select("component", blocks.alias("_blocks"))
+    seats = placed.join(several, "component").select("node", "f1", "f2", "component", "_blocks")
+    seats = materialize(seats, "seats")
+    side = F.broadcast(seats) if fits_broadcast(seats, F.lit(56)) else seats
+    block = F.pmod(F.xxhash64("f1", "f2"), F.col("_blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    rows = sets.select("node", "f1", "f2", "weight", "size", "hashes").join(side, ["node", "f1", "f2"])
+    dealt = rows.select("component", "f1", "f2", "weight", "size", "hashes", block.alias("_block"), other.alias("_other"))
+    cells = dealt.withColumn("_i", F.least("_block", "_other")).withColumn("_j", F.greatest("_block", "_other"))
+    counted = cells.drop("_other").groupBy("component", "_i", "_j").applyInPandas(
+        _count_cell, "f1 bigint, f2 bigint, n bigint"
+    )
+    return counted.groupBy("f1", "f2").agg(F.sum("n").alias("n"))
 
-    Null and empty texts have no shingles and link with nothing. A document without an id has no component; rows
-    that share an id are one document, whatever their texts. Equal sets are compared as one.
-    """
+
+def _join(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What `describe` gives, the classes of equal sets, those sets that met others, and the components of ids."""
     described = materialize(describe(documents), "sets")
     linked = described.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = linked.groupBy("f1", "f2").agg(F.min("doc_id").alias("node"))
+    classes = linked.groupBy("f1", "f2").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("weight"))
     seats = linked.select("f1", F.explode("keys").alias("key"))
     # Lowest and highest member, combined before the shuffle, tell which tiles hold several sets.
     several = seats.groupBy("key").agg(F.min("f1").alias("_low"), F.max("f1").alias("_high"))
     several = several.where(F.col("_low") != F.col("_high")).select("key")
     met = materialize(seats.join(several, "key").distinct(), "tiles")
-    wanted = classes.join(met.select("f1").distinct(), "f1", "left_semi").select("node", "f1", "f2")
+    wanted = classes.join(met.select("f1").distinct(), "f1", "left_semi").select("node", "f1", "f2", "weight")
     wanted = materialize(wanted, "wanted")
     sets = materialize(_load_sets(documents, wanted), "hashes")
     shared = materialize(met.join(wanted, "f1").select("key", "node").distinct(), "tiles")
     same_id = linked.join(classes, ["f1", "f2"]).where(F.col("doc_id") != F.col("node"))
     every = set_links(shared, sets).unionAll(same_id.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
-    return _attach(described, connected_components(every))
+    return described, classes, sets, connected_components(every)
+
+
+def jaccard_components(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest id that a document is linked with, per row.
+
+    Null and empty texts have no shingles and link with nothing. A document without an id has no component; rows
+    that share an id are one document, whatever their texts. Equal sets are compared as one.
+    """
+    described, _, _, components = _join(documents)
+    return _attach(described, components)
+
+
+def jaccard_links(documents: DataFrame) -> DataFrame:
+    """As jaccard_components, with n_links: the number of other rows, of those with an id, that a row links with.
+
+    A row without an id has none. Links with equal sets count; rows that share an id are counted each.
+    """
+    described, classes, sets, components = _join(documents)
+    counted = classes.join(count_links(sets, components), ["f1", "f2"], "left")
+    n_links = F.col("weight") - 1 + F.coalesce("n", F.lit(0))
+    counted = counted.select("f1", "f2", n_links.alias("n_links")).where(F.col("n_links") > 0)
+    named = described.drop("keys").join(counted, ["f1", "f2"], "left")
+    known = F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0)))
+    return _attach(named.withColumn("n_links", known), components, ["n_links"])
 
 
-def _attach(described: DataFrame, components: DataFrame) -> DataFrame:
+def _attach(described: DataFrame, components: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     component: Column = F.coalesce("component", "doc_id").alias("component_id")
     named = components.withColumnRenamed("node", "doc_id")
-    return described.join(named, "doc_id", "left").select("doc_id", "n_shingles", component)
+    return described.join(named, "doc_id", "left").select("doc_id", "n_shingles", component, *more)

@@ -111,6 +111,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op10_jaccard_join, with the number of near-equal documents that every document links with."""
+    return jaccard_join.jaccard_links(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -126,3 +131,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_jaccard_join,
     )
 }
+
+# The SQL of op10_jaccard_join gives classes only; the form with numbers of links is a query of its own.
+MORE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_jaccard_links": op10_jaccard_links}

@@ -171,6 +171,26 @@ def test_jaccard_equals_brute_force(spark, frame, prose, monkeypatch):
     assert set(map(tuple, found.collect())) == jaccard_brute(rows)
 
 
+def test_link_counts_equal_brute_force(spark, frame, prose, monkeypatch):
+    """Every link of every row, also between blocks, weighted by copies."""
+    rows = near_copies(prose)
+    rows += [(900, None), (901, ""), (903, "One two"), (904, "one TWO"), (None, rows[0][1]), (5, rows[3][1]), (5, rows[3][1]), (6, prose(40, 3))]
+    rows += [(1000 + i, rows[3][1].upper()) for i in range(4)]
+    sets = [shingle_sets([row])[row[0]] for row in rows]
+    expected = []
+    for a, (i, _) in enumerate(rows):
+        near = [b for b, (j, _) in enumerate(rows) if b != a and j is not None and sets[b] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+        expected.append((-1 if i is None else i, -1 if i is None else len(near)))
+    assert max(n for _, n in expected) >= 6
+    for block in (jaccard_join.COUNT_BLOCK, 3):
+        monkeypatch.setattr(jaccard_join, "COUNT_BLOCK", block)
+        found = jaccard_join.jaccard_links(frame(rows))
+        assert found.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+        rows_found = [(-1, -1) if r["doc_id"] is None else (r["doc_id"], r["n_links"]) for r in found.collect()]
+        assert sorted(rows_found) == sorted(expected)
+    assert jaccard_join.jaccard_links(frame([])).count() == 0
+
+
 def test_jaccard_of_repeated_and_nameless_rows(spark, frame, prose):
     text = prose(60, 1)
     rows = [(5, text), (5, text), (7, text), (None, text), (2, prose(50, 2)), (5, prose(50, 2)), (8, prose(9, 3))]
