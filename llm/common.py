@@ -69,11 +69,11 @@ def hash_text(text: str) -> int:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES
+    batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES, kind: pa.DataType = pa.large_string()
 ) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Pieces of the batches with about `size` bytes of text each, and the texts (null: empty)."""
     for batch in batches:
-        texts = pc.fill_null(batch.column(text).cast(pa.large_string()), "")
+        texts = pc.fill_null(batch.column(text).cast(kind), pa.scalar("", kind))
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
@@ -84,7 +84,7 @@ def slices(
 
 
 def utf8_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a large_string array and the offsets of its rows in them."""
+    """All bytes of a large_string or large_binary array and the offsets of its rows in them."""
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     content = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)

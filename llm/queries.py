@@ -34,9 +34,11 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every sequence of every document, read back from the shards that it was written to."""
+    """Every sequence of token ids of every document, read back from the shards that it was written to."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    layout = training_order.write_training_order(documents, new_path(spark, "training-order"), ORDER_KEY)
+    encoder = sentencepieces.id_encoder(tokenizer_path(PIECES))
+    path = new_path(spark, "training-order")
+    layout = training_order.write_training_order(documents, path, ORDER_KEY, encoder=encoder)
     read = training_order.read_order(spark, layout)
     return read.select(
         "slot",

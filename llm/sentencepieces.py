@@ -10,7 +10,7 @@ import hashlib
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 from llm.common import ship, slices, utf8_bytes
+from llm.training_order import Encoder
 
 MARK = "▁"
 # Text that is encoded at once: the libraries' lists and objects take many times its size.
@@ -174,10 +175,8 @@ class Codec:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.by_cut = separable(self.model) and not self.model.charsmap and not self.model.squeeze_spaces
 
-    def encode(self, texts: pa.Array) -> "Encoded":
-        """Ids of every whole text."""
-        if not self.by_cut:
-            return self._encode_whole(texts)
+    def _cuts(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct cuts, the cut at every place, and the bounds of texts in these."""
         filled = pc.greater(pc.binary_length(texts), 0)
         marked = pc.replace_substring(texts, " ", MARK)
         if self.model.dummy_prefix:
@@ -196,20 +195,41 @@ class Codec:
             len(at), pa.py_buffer(np.append(at, len(content)).astype(np.int64)), pa.py_buffer(content)
         ).dictionary_encode()
         place = cuts.indices.to_numpy().astype(np.int64)
-        words = cuts.dictionary.to_pylist()
+        return cuts.dictionary.to_pylist(), place, np.searchsorted(at, offsets)
+
+    @staticmethod
+    def _joined(found: list[list[int]], place: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after another, and their bounds, from the ids of distinct cuts."""
+        sizes = np.array([len(x) for x in found], np.int64)
+        flat = np.concatenate([np.array(x, np.int32) for x in found]) if found else np.zeros(0, np.int32)
+        first = np.cumsum(sizes) - sizes
+        n = sizes[place]
+        ids = flat[np.repeat(first[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        return ids, np.concatenate([[0], np.cumsum(n)])[bounds]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts one after another, and their bounds, without a comparison."""
+        if self.by_cut:
+            words, place, bounds = self._cuts(texts)
+            found = [e.ids for e in self.cuts.encode_batch_fast(words, add_special_tokens=False)]
+            return self._joined(found, place, bounds)
+        rows = texts.to_pylist()
+        found = [e.ids for e in self.texts.encode_batch_fast(rows, add_special_tokens=False)]
+        found = [x if r else [] for x, r in zip(found, rows)]
+        return np.array([i for x in found for i in x], np.int32), np.cumsum([0, *map(len, found)])
+
+    def encode(self, texts: pa.Array) -> "Encoded":
+        """Ids of every whole text."""
+        if not self.by_cut:
+            return self._encode_whole(texts)
+        words, place, bounds = self._cuts(texts)
         found = [e.ids for e in self.cuts.encode_batch_fast(words, add_special_tokens=False)]
         expected = self._library_ids(words)
         plain = [w.replace(MARK, " ") for w in words]
         back = self.cuts.decode_batch(found, skip_special_tokens=False)
         same = np.array([a == b for a, b in zip(found, expected)], bool)
         whole = np.array([a == b for a, b in zip(plain, back)], bool)
-        sizes = np.array([len(x) for x in found], np.int64)
-        flat = np.concatenate([np.array(x, np.int32) for x in found]) if found else np.zeros(0, np.int32)
-        first = np.cumsum(sizes) - sizes
-        n = sizes[place]
-        ids = flat[np.repeat(first[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        bounds = np.searchsorted(at, offsets)
-        ends = np.concatenate([[0], np.cumsum(n)])[bounds]
+        ids, ends = self._joined(found, place, bounds)
         return Encoded(ids, ends, _all(same[place], bounds), _all(whole[place], bounds))
 
     def _library_ids(self, words: list[str]) -> list[list[int]]:
@@ -257,6 +277,17 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def _ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return codec(path).ids(texts)
+
+
+def id_encoder(path: str) -> Encoder:
+    """The model as an encoder of training sequences; ids take two bytes, or four in a large vocabulary."""
+    with open(path, "rb") as file:
+        pieces = len(parse_model(file.read()).pieces)
+    return Encoder(partial(_ids, path), 2 if pieces <= 1 << 16 else 4)
+
+
 def encode_documents(documents: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, n_tokens, parity and round_trip of every document, row for row.
 

@@ -1,14 +1,15 @@
 """Training-order materialisation: every sequence at a slot given by a keyed permutation.
 
-Documents become sequences of token ids of fixed length; the ids here are the bytes of the text, so
-a document's number of sequences follows from its length. A Feistel network over the
+Documents become sequences of token ids of fixed length, each id of as many bytes as the vocabulary calls
+for. An encoder gives the ids; they are stored once, so that counting and writing read the same ones.
+Without an encoder ids are the bytes of the text. A Feistel network over the
 smallest even number of bits that holds all sequence numbers, walked until it lands below their count,
 gives each sequence one slot in 0 .. n-1. Shards take equal ranges of slots; a record is a
 header, the ids, padding and an end mark, always of the same size, so slot s stands at byte
 (s mod shard slots) * stride of its shard, and a reader can go on at any slot.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,16 +18,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import mix, ship, slices, utf8_bytes
+from presswork.sources.shared import delete_path, new_path
 
 SEQUENCE_TOKENS = 512
 # 35 MB a shard; many terabytes call for more.
 SHARD_SLOTS = 1 << 16
-# Record: slot, document, sequence within it, tokens; then the ids, zeros and a line feed.
+# Text that is encoded at once.
+ENCODE_BYTES = 1 << 20
+# Record: slot, document, sequence within it, tokens; then the ids (little-endian), zeros and a line feed.
 HEADER = np.dtype([("slot", "<i8"), ("doc_id", "<i8"), ("piece", "<i4"), ("tokens", "<i4")])
 END = 10
 ROUNDS = 6
 
 
+@dataclass(frozen=True)
+class Encoder:
+    """Gives the ids of texts, one after another, with their bounds; an id takes `id_bytes` bytes (1, 2 or 4)."""
+
+    encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+    id_bytes: int
+
+
 @dataclass(frozen=True)
 class Layout:
     """What a reader needs to know about the files."""
@@ -35,10 +47,11 @@ class Layout:
     sequences: int
     sequence_tokens: int
     shard_slots: int
+    id_bytes: int = 1
 
     @property
     def stride(self) -> int:
-        return HEADER.itemsize + self.sequence_tokens + 1
+        return HEADER.itemsize + self.sequence_tokens * self.id_bytes + 1
 
     @property
     def shards(self) -> int:
@@ -65,28 +78,44 @@ def permute(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
     return slots.astype(np.int64)
 
 
-def pieces_of(size: Column, tokens: int) -> Column:
-    """Sequences of a text of so many bytes; an empty one has none."""
-    return F.ceil(size / tokens).cast("bigint")
+def pieces_of(size: Column, width: int) -> Column:
+    """Sequences, of `width` bytes, of a document whose ids take so many bytes; an empty one has none."""
+    return F.ceil(size / width).cast("bigint")
+
 
+def encode_ids(documents: DataFrame, encoder: Encoder) -> DataFrame:
+    """doc_id and ids, as bytes, of every document."""
+    kind = np.dtype(f"<u{encoder.id_bytes}")
 
-def _records(texts: pa.Array, ids: np.ndarray, number: int, layout: Layout, key: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots and records of the sequences of some texts, numbered from `number`."""
-    width = layout.sequence_tokens
-    content, offsets = utf8_bytes(texts)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in slices(batches, "text", ENCODE_BYTES):
+            ids, bounds = encoder.encode(texts)
+            if len(ids) and (ids.min() < 0 or ids.max() > np.iinfo(kind).max):
+                raise ValueError(f"an id does not fit in {encoder.id_bytes} bytes")
+            ends = pa.py_buffer((bounds * encoder.id_bytes).astype(np.int32))
+            packed = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, ends, pa.py_buffer(ids.astype(kind))])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), packed], ["doc_id", "ids"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids binary")
+
+
+def _records(packed: pa.Array, ids: np.ndarray, number: int, layout: Layout, key: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and records of the sequences of some documents' token ids, numbered from `number`."""
+    width = layout.sequence_tokens * layout.id_bytes
+    content, offsets = utf8_bytes(packed)
     sizes = np.diff(offsets)
     pieces = -(-sizes // width)
     owner = np.repeat(np.arange(len(sizes)), pieces)
     piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    tokens = np.minimum(width, sizes[owner] - piece * width)
+    filled = np.minimum(width, sizes[owner] - piece * width)
     slots = permute(number + np.arange(len(owner)), layout.sequences, key)
     records = np.zeros((len(owner), layout.stride), np.uint8)
     header = np.zeros(len(owner), HEADER)
-    header["slot"], header["doc_id"], header["piece"], header["tokens"] = slots, ids[owner], piece, tokens
+    header["slot"], header["doc_id"], header["piece"], header["tokens"] = slots, ids[owner], piece, filled // layout.id_bytes
     records[:, : HEADER.itemsize] = header.view(np.uint8).reshape(len(owner), -1)
     start = offsets[owner] + piece * width
     place = start[:, None] + np.arange(width)
-    inside = np.arange(width) < tokens[:, None]
+    inside = np.arange(width) < filled[:, None]
     if len(content):
         records[:, HEADER.itemsize : -1] = np.where(inside, content[np.minimum(place, len(content) - 1)], 0)
     records[:, -1] = END
@@ -106,11 +135,17 @@ def _packed(shards: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
 
 
 def write_training_order(
-    documents: DataFrame, path: str, key: int, tokens: int = SEQUENCE_TOKENS, shard_slots: int = SHARD_SLOTS
+    documents: DataFrame,
+    path: str,
+    key: int,
+    tokens: int = SEQUENCE_TOKENS,
+    shard_slots: int = SHARD_SLOTS,
+    encoder: Encoder | None = None,
 ) -> Layout:
     """Write the sequences of all documents (doc_id bigint, text) in training order to shards under `path`.
 
-    The documents must be a stored table, without a shuffle since, so that it reads alike twice.
+    With an encoder its ids are stored first, in the shared folder until the shards are written. Without one
+    ids are bytes, and the documents must be a stored table, without a shuffle since, so that it reads alike twice.
     A first job counts the sequences of every input split; a second, over the same splits, numbers,
     permutes and shuffles them once, by shard. Splits are told apart by number and checked: should the second job
     see others, it fails and nothing is kept. Null and empty texts give no sequence, null ids are written as -1.
@@ -122,18 +157,27 @@ def write_training_order(
     before = spark.conf.get(pinned, None)
     # Without this the size of splits follows the number of live cores, which may change between jobs.
     spark.conf.set(pinned, before or str(spark.sparkContext.defaultParallelism))
+    named = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    stored = new_path(spark, "token-ids") if encoder else None
     try:
-        return _write(documents, path, key, tokens, shard_slots)
+        if encoder:
+            encode_ids(named, encoder).write.option("compression", "zstd").parquet(stored)
+            packed = spark.read.schema("doc_id bigint, ids binary").parquet(stored)
+        else:
+            packed = named.select("doc_id", F.col("text").cast("binary").alias("ids"))
+        return _write(packed, path, key, tokens, shard_slots, encoder.id_bytes if encoder else 1)
     finally:
+        if stored:
+            delete_path(spark, stored)
         if before is None:
             spark.conf.unset(pinned)
 
 
-def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots: int) -> Layout:
+def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots: int, id_bytes: int) -> Layout:
     spark = documents.sparkSession
-    size = F.octet_length(F.coalesce("text", F.lit("")))
+    size = F.coalesce(F.octet_length("ids"), F.lit(0))
     counted = documents.groupBy(F.spark_partition_id().alias("split")).agg(
-        F.sum(pieces_of(size, tokens)).alias("n")
+        F.sum(pieces_of(size, tokens * id_bytes)).alias("n")
     )
     # One number per input split.
     counts = {r["split"]: r["n"] for r in counted.collect()}
@@ -141,7 +185,7 @@ def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots:
     for split, n in counts.items():
         splits[split + 1] = n
     first = spark.sparkContext.broadcast(np.cumsum(splits))
-    layout = Layout(path, int(first.value[-1]), tokens, shard_slots)
+    layout = Layout(path, int(first.value[-1]), tokens, shard_slots, id_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -149,9 +193,9 @@ def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots:
         split = TaskContext.get().partitionId()
         bounds = first.value
         number = start = int(bounds[min(split, len(bounds) - 1)])
-        for rows, texts in slices(batches, "text"):
+        for rows, packed in slices(batches, "ids", kind=pa.large_binary()):
             ids = rows.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
-            slots, records = _records(texts, ids, number, layout, key)
+            slots, records = _records(packed, ids, number, layout, key)
             number += len(slots)
             # The end mark is the writer's line feed.
             yield _packed(slots // shard_slots, records[:, :-1])
@@ -171,8 +215,7 @@ def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots:
                 shards = pa.array(np.full(n, shard, np.int32))
                 yield pa.RecordBatch.from_arrays([shards, pa.array(slots), binary], ["shard", "slot", "record"])
 
-    named = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    packed = named.mapInArrow(run, "shard int, records int, blob binary")
+    packed = documents.mapInArrow(run, "shard int, records int, blob binary")
     dealt = packed.repartitionById(layout.shards, F.col("shard"))
     placed = dealt.mapInArrow(unpack, "shard int, slot bigint, record binary")
     (
@@ -183,20 +226,20 @@ def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots:
         .partitionBy("shard")
         .text(f"{path}/shards")
     )
-    manifest = [(layout.sequences, tokens, shard_slots, layout.stride)]
-    names = "sequences bigint, sequence_tokens int, shard_slots int, stride int"
+    manifest = [(layout.sequences, tokens, shard_slots, id_bytes, layout.stride)]
+    names = "sequences bigint, sequence_tokens int, shard_slots int, id_bytes int, stride int"
     spark.createDataFrame(manifest, names).coalesce(1).write.mode("overwrite").json(f"{path}/layout")
     return layout
 
 
 def open_layout(spark: SparkSession, path: str) -> Layout:
-    names = "sequences bigint, sequence_tokens int, shard_slots int, stride int"
+    names = "sequences bigint, sequence_tokens int, shard_slots int, id_bytes int, stride int"
     row = spark.read.schema(names).json(f"{path}/layout").first()
-    return Layout(path, row["sequences"], row["sequence_tokens"], row["shard_slots"])
+    return Layout(path, row["sequences"], row["sequence_tokens"], row["shard_slots"], row["id_bytes"] or 1)
 
 
 def read_order(spark: SparkSession, layout: Layout, start: int = 0, stop: int | None = None) -> DataFrame:
-    """Sequences of the slots start .. stop-1: slot, doc_id, piece, n_tokens and ids (one byte each).
+    """Sequences of the slots start .. stop-1: slot, doc_id, piece, n_tokens and ids (id_bytes bytes each).
 
     Only the shards that hold these slots are read, and in them records are cut at their places.
     """
@@ -226,5 +269,5 @@ def read_order(spark: SparkSession, layout: Layout, start: int = 0, stop: int |
         number(8, 8).alias("doc_id"),
         number(16, 4).cast("int").alias("piece"),
         tokens.alias("n_tokens"),
-        F.substring(F.col("r"), F.lit(HEADER.itemsize + 1), tokens).alias("ids"),
+        F.substring(F.col("r"), F.lit(HEADER.itemsize + 1), tokens * layout.id_bytes).alias("ids"),
     )

@@ -43,6 +43,41 @@ def test_records_stand_at_their_places(spark, frame, prose):
             assert slot == shard * 10 + at // layout.stride
 
 
+def test_sequences_hold_token_ids(spark, frame, prose):
+    """Ids of the whole text, as the library gives them, come back from the shards of the registered query's encoder."""
+    pytest.importorskip("public_tokenizers")
+    import sentencepiece
+    from llm import sentencepieces
+    from llm.queries import PIECES, tokenizer_path
+
+    model = tokenizer_path(PIECES)
+    encoder = sentencepieces.id_encoder(model)
+    rows = [(i, prose(i * 9, i) + "  é \n日本 \x00") for i in range(30)] + [(60, None), (61, ""), (62, " "), (63, "\n\n a"), (None, "nameless")]
+    path = new_path(spark, "order-test")
+    layout = training_order.write_training_order(frame(rows), path, 9, tokens=50, shard_slots=16, encoder=encoder)
+    assert training_order.open_layout(spark, path) == layout and layout.id_bytes == 2
+    found = {}
+    for r in sorted(training_order.read_order(spark, layout).collect(), key=lambda r: (r["doc_id"], r["piece"])):
+        ids = np.frombuffer(bytes(r["ids"]), "<u2").tolist()
+        assert len(ids) == r["n_tokens"] <= 50
+        found[r["doc_id"]] = found.get(r["doc_id"], []) + ids
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    assert found == {-1 if i is None else i: library.encode(t) for i, t in rows if t}
+    for row in spark.read.format("binaryFile").load(f"{path}/shards").collect():
+        assert len(row["content"]) % layout.stride == 0 and layout.stride == 24 + 100 + 1
+
+
+def test_registered_query_counts_token_ids(spark):
+    pytest.importorskip("public_tokenizers")
+    from llm.queries import QUERIES
+
+    def tokens(name):
+        rows = QUERIES[name](spark, "/root/testdata/sf0.001").groupBy("doc_id").sum("n_tokens").collect()
+        return {r[0]: r[1] for r in rows if r[1]}
+
+    assert tokens("op1_training_order") == tokens("op8_sentencepiece")
+
+
 def test_empty_table(spark, frame):
     layout = training_order.write_training_order(frame([]), new_path(spark, "order-test"), 1)
     assert layout.sequences == 0 and training_order.read_order(spark, layout).count() == 0
