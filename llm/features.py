@@ -76,3 +76,27 @@ def char_ngrams(words: pa.Array, sizes: range, buckets: int) -> tuple[np.ndarray
     if not owners:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(owners), np.concatenate(found)
+
+
+# ASCII other than letters becomes a space, A-Z become small; all other bytes stay.
+_LETTERS = bytes(
+    ord(" ") if b < 128 and not chr(b).isalpha() else ord(chr(b).lower()) if b < 128 else b for b in range(256)
+)
+
+
+def letter_runs(texts: pa.Array) -> Words:
+    """Runs of letters and non-ASCII characters of every text, with A-Z made small."""
+    content, offsets = utf8_bytes(texts)
+    content = np.frombuffer(content.tobytes().translate(_LETTERS), np.uint8)
+    inside = content != ord(" ")
+    begins = inside.copy()
+    if len(content) > 1:
+        begins[1:] &= ~inside[:-1]
+    edges = offsets[:-1][np.diff(offsets) > 0]
+    begins[edges] = inside[edges]
+    at = np.flatnonzero(begins)
+    kept = np.cumsum(inside) - 1
+    ends = np.append(kept[at], inside.sum()).astype(np.int64)
+    runs = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(content[inside]))
+    coded = runs.dictionary_encode()
+    return Words(coded.indices.to_numpy().astype(np.int64), np.searchsorted(at, offsets), coded.dictionary)

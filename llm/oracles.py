@@ -71,4 +71,51 @@ select s.doc_id, len(s.s)::bigint as n_shingles, r.component_id
 from sets s join (select a, min(b) as component_id from reach group by a) r on r.a = s.doc_id
 """
 
-ORACLES = {"op5_topk_search": _OP5, "op7_chat_formatting": _OP7, "op10_jaccard_join": _OP10}
+_OP11 = """
+with docs as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+  from documents
+), said as (
+  select d, lang, source, unnest(terms) as term from docs
+), kept as (
+  select lang, term, count(*)::hugeint as n from said group by all having count(distinct d) >= 3
+), langs as (
+  select lang, count(*)::hugeint as v, sum(n)::hugeint as total from kept group by all
+), pairs as (
+  select distinct lang, source from docs
+), counts as (
+  select said.lang, source, term, count(*)::hugeint as n from said join kept using (lang, term) group by all
+), totals as (
+  select pairs.lang, pairs.source, coalesce(any_value(v), 0)::hugeint as v, coalesce(sum(counts.n), 0)::hugeint as total
+  from pairs left join langs on langs.lang = pairs.lang
+    left join counts on counts.lang = pairs.lang and counts.source = pairs.source
+  group by all
+), shares as (
+  select totals.lang, totals.source, kept.term, coalesce(counts.n, 0) as n,
+    1 + 1000000000 * (coalesce(counts.n, 0) + 1) // (totals.total + totals.v) as p,
+    1 + 1000000000 * (kept.n + 1) // (langs.total + langs.v) as q
+  from totals join kept on kept.lang = totals.lang join langs on langs.lang = totals.lang
+    left join counts on counts.lang = totals.lang and counts.source = totals.source and counts.term = kept.term
+), matched as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), answers as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from pairs a join pairs b on a.lang = b.lang and a.source <> b.source
+    left join matched on matched.lang = a.lang and matched.source = a.source and matched.item = b.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q) // q)::bigint from shares where n > 0 and p > q
+)
+select lang, source, part, item, value,
+  row_number() over (partition by lang, source, part order by value desc, item)::integer as rank
+from answers qualify part = 'pair' or rank <= 200
+"""
+
+ORACLES = {
+    "op5_topk_search": _OP5,
+    "op7_chat_formatting": _OP7,
+    "op10_jaccard_join": _OP10,
+    "op11_source_divergence": _OP11,
+}

@@ -11,6 +11,7 @@ from llm import (
     line_dedup,
     quality,
     sentencepieces,
+    source_divergence,
     token_counts,
     toxicity,
     training_order,
@@ -113,6 +114,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the words of every source lie from those of the language's other sources, and by which terms."""
+    return source_divergence.audit_sources(read_table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As op10_jaccard_join, with the number of near-equal documents that every document links with."""
     return jaccard_join.jaccard_links(read_table(spark, sf_dir, "documents"))
@@ -131,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sentencepiece,
         op9_quality_classifier,
         op10_jaccard_join,
+        op11_source_divergence,
     )
 }
 
