@@ -113,9 +113,34 @@ select lang, source, part, item, value,
 from answers qualify part = 'pair' or rank <= 200
 """
 
+_OP13 = """
+with vectors as (
+  select vec_id::bigint as vec_id,
+    case when vec_id % 7 = 0 then ((label::bigint + 1) % 10 + 10) % 10 else label::bigint end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as w
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, v.vec_id, a.label = v.label as same,
+    coalesce(list_sum(list_transform(range(1, least(len(a.w), len(v.w)) + 1), lambda i: a.w[i] * v.w[i])), 0)::bigint as score
+  from vectors a, vectors v where a.vec_id % 50 = 0 and v.vec_id <> a.vec_id
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score,
+    row_number() over (partition by anchor_id order by score desc, vec_id)::integer as positive_rank
+  from scored where same qualify positive_rank <= 5
+)
+select p.anchor_id, positive_id, positive_rank, positive_score, s.vec_id as negative_id, s.score as negative_score,
+  row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id)::integer as rank
+from positives p join scored s on s.anchor_id = p.anchor_id and not s.same
+  and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+qualify rank <= 3
+"""
+
 ORACLES = {
     "op5_topk_search": _OP5,
     "op7_chat_formatting": _OP7,
     "op10_jaccard_join": _OP10,
     "op11_source_divergence": _OP11,
+    "op13_hard_negatives": _OP13,
 }

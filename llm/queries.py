@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from llm import (
     decontaminate,
+    hard_negatives,
     jaccard_join,
+    language_mixture,
     line_dedup,
     quality,
     sentencepieces,
@@ -119,6 +121,18 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op12_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, and of how many languages it is a mixture."""
+    documents = read_table(spark, sf_dir, "documents")
+    found = language_mixture.identify(documents, language_mixture.learn(documents))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("languages").alias("n_languages"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every 50th vector and each of its positives the highest rows of other labels in the window below."""
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As op10_jaccard_join, with the number of near-equal documents that every document links with."""
     return jaccard_join.jaccard_links(read_table(spark, sf_dir, "documents"))
@@ -138,6 +152,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_classifier,
         op10_jaccard_join,
         op11_source_divergence,
+        op12_language_mixture,
+        op13_hard_negatives,
     )
 }
 
