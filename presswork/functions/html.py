@@ -1,87 +1,145 @@
-"""Title and body text of a crawled page."""
+"""Title and body text of a crawled page, in time linear in its length whatever it holds.
 
+Patterns are possessive and end at the next "<" or ">", or reach to the end of the page at most once: what is
+left open (a script, a style sheet, a comment) hides the rest. Nesting is counted over pieces of the page.
+"""
+
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_END = r"(?:[ \t\r\n\f/][^>]*)?>"
-_TITLE = rf"(?is)<title{_END}(.*?)</title{_END}"
+_END = r"(?:[ \t\r\n\f/][^<>]*+)?>"
+_TITLE_OPENS, _TITLE_CLOSES = rf"(?i)<title{_END}", rf"(?i)</title{_END}"
+# A title may hold a few stray "<"; one that is never closed hides nothing.
 _INVISIBLE = (
-    rf"(?is)<script{_END}.*?</script{_END}|<style{_END}.*?</style{_END}|<title{_END}.*?</title{_END}|<!--.*?-->"
+    rf"(?is)<(?:script{_END}.*?(?:</script{_END}|\z)|style{_END}.*?(?:</style{_END}|\z)|!--.*?(?:-->|\z)"
+    rf"|title{_END}[^<]*+(?:<(?!/title)[^<]*+){{0,8}}</title{_END})"
 )
 _ARTICLE_TAG = r"(?i)(?=</?article[ \t\r\n\f/>])"
-_BODY = rf"(?is)<body{_END}(.*?)(?:</body{_END}|$)"
+_ARTICLE_OPENS, _ARTICLE_CLOSES = r"(?i)^<article[ \t\r\n\f/>]", r"(?i)^</article[ \t\r\n\f/>]"
+_BODY = rf"(?is)<body{_END}(.*?)(?:</body{_END}|\z)"
 _BLOCK_TAG = (
     rf"(?i)</?(?:p|br|div|h[1-6]|ul|ol|li|table|tr|blockquote|section|header|footer|article){_END}"
 )
-_TAG = r"<[^>]*>"
-_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+_TAG = r"<[^<>]*+>"
+# What follows the "&" of an entity.
+_ENTITY = r"^(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+# Pieces that are counted at a time, so that no array that grows does so with the page.
+_TOGETHER = 256
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _names() -> Column:
     """The named entities of HTML 4, with a plain blank for the one that does not break."""
-    table = {f"&{name};": chr(code) for name, code in name2codepoint.items()}
-    table |= {"&apos;": "'", "&nbsp;": " "}
+    table = {f"{name};": chr(code) for name, code in name2codepoint.items()}
+    table |= {"apos;": "'", "nbsp;": " "}
     return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
 
 
-def _character(entity: Column) -> Column:
-    """What an entity stands for; one that is not known stays as it is."""
-    digits = F.regexp_extract(entity, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
-    decimal = ~F.lower(F.substring(entity, 3, 1)).eqNullSafe("x")
+def _number(entity: Column) -> Column:
+    """The character of a numeric entity."""
+    digits = F.regexp_extract(entity, r"^#[xX]?([0-9a-fA-F]+);$", 1)
+    decimal = ~F.lower(F.substring(entity, 2, 1)).eqNullSafe("x")
     code = F.when(decimal, F.conv(digits, 10, 10)).otherwise(F.conv(digits, 16, 10)).cast("bigint")
     sound = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
     wide = F.unhex(F.lpad(F.hex(F.when(sound, code).otherwise(0xFFFD)), 8, "0"))
     mark = F.unhex(F.lit("0000FEFF"))
-    number = F.when(code == 160, " ").otherwise(F.decode(F.concat(mark, wide), "UTF-32"))
-    return F.when(F.substring(entity, 2, 1) == "#", number).otherwise(F.coalesce(F.try_element_at(_names(), entity), entity))
+    return F.when(code == 160, " ").otherwise(F.decode(F.concat(mark, wide), "UTF-32"))
 
 
 def _decode_entities(text: Column) -> Column:
-    """Each entity of the text is replaced once; what that leaves is not read again."""
-    # Text and entities alternate: the pieces between entities, each but the first led by its entity.
-    pieces = F.split(text, rf"(?={_ENTITY})")
-
-    def decoded(piece: Column) -> Column:
-        entity = F.regexp_extract(piece, f"^{_ENTITY}", 0)
-        return F.when(entity == "", piece).otherwise(
-            F.concat(_character(entity), F.substring(piece, F.length(entity) + 1, F.length(piece)))
-        )
+    """Each entity of the text is replaced once; what that leaves is not read again. Unknown ones stay."""
+
+    def decoded(piece: Column, place: Column) -> Column:
+        def put(entity: Column) -> Column:
+            known = F.when(F.substring(entity, 1, 1) == "#", _number(entity)).otherwise(F.try_element_at(_names(), entity))
+            rest = F.substring(piece, F.length(entity) + 1, F.length(piece))
+            return F.coalesce(F.concat(known, rest), F.concat(F.lit("&"), piece))
+
+        return F.when(place == 0, piece).otherwise(_once(F.regexp_extract(piece, _ENTITY, 0), put))
 
-    return F.when(F.instr(text, "&") == 0, text).otherwise(F.array_join(F.transform(pieces, decoded), ""))
+    pieces = F.transform(F.split(text, "&"), decoded)
+    return F.when(F.instr(text, "&") == 0, text).otherwise(F.array_join(pieces, ""))
 
 
 def page_title(html: Column) -> Column:
-    """Text of the first title element, on one line; '' when there is none."""
-    title = F.regexp_replace(F.regexp_extract(html, _TITLE, 1), _TAG, "")
-    return F.trim(F.regexp_replace(_decode_entities(title), r"[ \t\r\n]+", " "))
+    """Text of the first title element, on one line; '' when there is none. One left open ends at the next tag."""
+    after = F.get(F.split(html, _TITLE_OPENS, 2), F.lit(1))
+    parts = F.split(after, _TITLE_CLOSES, 2)
+    inside = _once(
+        parts, lambda p: F.when(F.size(p) > 1, F.get(p, F.lit(0))).otherwise(F.substring_index(F.get(p, F.lit(0)), "<", 1))
+    )
+    title = _once(F.regexp_replace(inside, _TAG, ""), _decode_entities)
+    title = F.trim(F.regexp_replace(title, r"[ \t\r\n]+", " "))
+    return F.when(html.isNotNull(), F.coalesce(title, F.lit("")))
+
+
+def _depths(steps: Column) -> Column:
+    """Running depth of each step, never below none: first over blocks of steps, then inside every block."""
+    none = F.array().cast("array<int>")
+
+    def after(depth: Column, step: Column) -> Column:
+        return F.greatest(depth + step, F.lit(0))
+
+    def listed(block: Column, depth: Column) -> Column:
+        start = F.struct(depth.alias("depth"), none.alias("list"))
+        grown = F.aggregate(
+            block,
+            start,
+            lambda s, x: F.struct(
+                after(s["depth"], x).alias("depth"), F.concat(s["list"], F.array(after(s["depth"], x))).alias("list")
+            ),
+        )
+        return grown["list"]
+
+    def of_blocks(blocks: Column) -> Column:
+        begins = F.aggregate(
+            blocks,
+            F.struct(F.lit(0).alias("depth"), none.alias("list")),
+            lambda s, b: F.struct(
+                F.aggregate(b, s["depth"], after).alias("depth"), F.concat(s["list"], F.array(s["depth"])).alias("list")
+            ),
+        )["list"]
+        return F.flatten(F.zip_with(blocks, begins, listed))
+
+    last = F.floor((F.size(steps) - 1) / F.lit(_TOGETHER)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(steps, i * _TOGETHER + 1, F.lit(_TOGETHER)))
+    return _once(cut, of_blocks)
 
 
-def _articles(html: Column) -> Column:
-    """Content of all article elements, nested ones included; an open one reaches to the end. Null if there is none."""
-    pieces = F.split(html, _ARTICLE_TAG)
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+def _articles(pieces: Column) -> Column:
+    """Content of all article elements, nested ones included, from a page split before its article tags.
 
-    def step(state: Column, piece: Column) -> Column:
-        opens = F.rlike(piece, F.lit(r"(?i)^<article[ \t\r\n\f/>]"))
-        closes = F.rlike(piece, F.lit(r"(?i)^</article[ \t\r\n\f/>]"))
-        depth = F.when(opens, state["depth"] + 1).when(closes, F.greatest(state["depth"] - 1, F.lit(0)))
-        depth = depth.otherwise(state["depth"])
-        kept = F.when(depth > 0, F.concat(state["kept"], F.array(piece))).otherwise(state["kept"])
-        return F.struct(depth.alias("depth"), kept.alias("kept"))
+    The depth is the count of tags opened less that of tags closed, never below none; an article left open
+    reaches to the end. Null if there is none.
+    """
 
-    kept = F.aggregate(pieces, start, step, lambda state: state["kept"])
-    return F.when(F.size(kept) > 0, F.array_join(kept, "\n"))
+    def step(piece: Column) -> Column:
+        opens, closes = F.rlike(piece, F.lit(_ARTICLE_OPENS)), F.rlike(piece, F.lit(_ARTICLE_CLOSES))
+        return F.when(opens, 1).when(closes, -1).otherwise(0)
+
+    depths = _once(F.transform(pieces, step), _depths)
+    kept = _once(depths, lambda d: F.filter(pieces, lambda _, i: F.get(d, i) > 0))
+    joined = _once(kept, lambda k: F.when(F.size(k) > 0, F.array_join(k, "\n")))
+    return F.when(F.size(pieces) > 1, joined)
 
 
 def page_text(html: Column) -> Column:
     """Text of the article elements, else of the body, else of the whole page; blocks set apart by a blank line."""
-    visible = F.regexp_replace(html, _INVISIBLE, "")
-    body = F.regexp_extract(visible, _BODY, 1)
-    text = F.coalesce(_articles(visible), F.when(body != "", body), visible)
+
+    def main(visible: Column) -> Column:
+        body = F.nullif(F.regexp_extract(visible, _BODY, 1), F.lit(""))
+        return F.coalesce(_once(F.split(visible, _ARTICLE_TAG), _articles), body, visible)
+
+    text = _once(F.regexp_replace(html, _INVISIBLE, ""), main)
     text = F.regexp_replace(text, _BLOCK_TAG, "\n")
-    text = _decode_entities(F.regexp_replace(text, _TAG, ""))
+    text = _once(F.regexp_replace(text, _TAG, ""), _decode_entities)
     text = F.regexp_replace(text, r"[ \t\r]+", " ")
     text = F.regexp_replace(text, r" ?\n[ \n]*", "\n\n")
     return F.btrim(text, F.lit(" \n"))

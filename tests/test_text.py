@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,6 +38,42 @@ def test_page_extraction(spark, html, title, text):
     assert one(spark, html, page_title(F.col("v")), page_text(F.col("v"))) == (title, text)
 
 
+@pytest.mark.parametrize(
+    "html, title, text",
+    [
+        ("<title>A<title>B</title><article>c</article>", "AB", "c"),
+        ("<title>a < b</title>c", "a < b", "c"),
+        ("<title>A<p>b", "A", "A\n\nb"),
+        ("<title>A</title>b<script>c<p>d", "A", "b"),
+        ("a<!-- b <article>c</article>", "", "a"),
+        ("<article>a < b > c <x</article>", "", "a c <x"),
+        ("a & b &amp;&amp;amp; &&lt;", "", "a & b &&amp; &<"),
+        ("</article>a<article>b</article></article>c<article>d", "", "b\n\nd"),
+    ],
+)
+def test_broken_pages(spark, html, title, text):
+    assert one(spark, html, page_title(F.col("v")), page_text(F.col("v"))) == (title, text)
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["<", "<title>", "<title ", "<script>", "<script ", "</script ", "<!--", "<style><title>", "<article>", "<article ",
+     "</article>", "<article>x</article>", "<body>", "<p", "<p>", "&", "&#", "&lt;", "&#60;", " ", " \n", "<title><", "</title>"],
+)
+def test_pages_of_a_megabyte_take_seconds(spark, unit):
+    """Every page below took minutes or more with patterns that search to its end from each start."""
+    page = unit * (1_000_000 // len(unit))
+    start = time.monotonic()
+    one(spark, page, F.length(page_title(F.col("v"))), F.length(page_text(F.col("v"))))
+    assert time.monotonic() - start < 15
+
+
+def test_many_articles_are_put_together_whole(spark):
+    page = "".join(f"<article>a{i}<article>b{i}</article>c{i}</article>d" for i in range(50_000))
+    [text] = one(spark, page, page_text(F.col("v")))
+    assert text.split() == [f"{x}{i}" for i in range(50_000) for x in "abc"]
+
+
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 1024, 1025])
 def test_windows_cut_all_words(spark, n):
     words = tokens(F.col("v"))
