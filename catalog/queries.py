@@ -21,7 +21,7 @@ from presswork.operators.labels import (
 from presswork.operators.models import load_model
 from presswork.operators.numbering import chunk_rows, dense_number
 from presswork.operators.predict import linear_scorer, predict_labels, word_windows
-from presswork.plans.bronze import bronze_rows
+from presswork.plans.bronze import bronze_rows, run_import
 from presswork.plans.gold import build_gold, build_latest_gold, gold_input, predict_gold
 from presswork.plans.silver import build_silver, current_queue
 from presswork.schemas import SILVER
@@ -84,6 +84,15 @@ def bronze_import(spark, sf):
     return read_layer(spark, path, "bronze").select(QUEUE_COLUMNS)
 
 
+@query("import_archives")
+def import_archives(spark, sf):
+    """Archives of all pages imported as a stream, then imported again, which adds nothing."""
+    landing, path = t.archives(spark, sf), new_path(spark, "imported")
+    for _ in range(2):
+        run_import(spark, landing, path)
+    return read_layer(spark, path, "bronze").select(QUEUE_COLUMNS)
+
+
 @query("work_queue")
 def work_queue(spark, sf):
     return queue.work_queue(t.bronze(spark, sf)).select(QUEUE_COLUMNS)

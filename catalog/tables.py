@@ -6,6 +6,12 @@ silver  articles of all queued pages (written once per application and folder, t
 models  word models over the vocabulary of all documents (written once, then read)
 """
 
+import os
+import uuid
+import zipfile
+
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,6 +132,35 @@ def documents_with_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def archives(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder of zip archives with all pages as feed lines, packed by the tasks that hold them.
+
+    Spark has no writer for archives, so tasks write plain files: the shared folder must be mounted. A task that
+    runs again puts its archive in the place of the same one.
+    """
+    folder = new_path(spark, "archives")
+    place = folder.removeprefix("file://") if folder.startswith("file:///") else folder.removeprefix("file:")
+    if "://" in place:
+        raise ValueError("archives are packed into plain files; spark.checkpoint.dir is none")
+    fields = [F.col("page_id").cast("string"), F.lit("20240101"), F.lit("1"), F.lit('say "hi'), F.col("url"), F.lit("")]
+    lines = spread(table(spark, sf_dir, "pages")).select(F.concat_ws("\t", *fields).alias("value"))
+
+    def pack(frames):
+        number = TaskContext.get().partitionId()
+        packed = 0
+        os.makedirs(place, exist_ok=True)
+        own = f"{place}/.{number}-{uuid.uuid4().hex}"
+        with zipfile.ZipFile(own, "w", zipfile.ZIP_DEFLATED) as archive, archive.open("feed.csv", "w") as member:
+            for frame in frames:
+                member.write("".join(f"{v}\n" for v in frame["value"]).encode())
+                packed += len(frame)
+        os.replace(own, f"{place}/{number}.gkg.csv.zip")
+        yield pd.DataFrame({"n": [packed]})
+
+    lines.mapInPandas(pack, "n bigint").agg(F.sum("n")).collect()
+    return folder
+
+
 def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:

@@ -41,6 +41,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def has_files(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches a pattern."""
+    files, place = _hadoop(spark, pattern)
+    return bool(files.globStatus(place) or [])
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     files, place = _hadoop(spark, path)
     files.delete(place, True)

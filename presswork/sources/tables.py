@@ -44,8 +44,9 @@ def drop_layer_table(spark: SparkSession, name: str) -> None:
 
 
 def read_layer(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    """Layer files at a path, with the declared schema: nothing is inferred."""
-    return spark.read.schema(LAYERS[layer][0]).parquet(path)
+    """Layer files at a path, with the declared schema and column order: nothing is inferred."""
+    schema = LAYERS[layer][0]
+    return spark.read.schema(schema).parquet(path).select(schema.names)
 
 
 def balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from presswork.operators.queue import apply_outcomes, latest_outcome, work_queue
 from presswork.plans.gold import build_gold, build_latest_gold, write_gold
 from presswork.plans.bronze import run_import
 from presswork.plans.silver import build_silver, current_queue, run_silver
-from presswork.schemas import FETCH_LOG, GOLD, SILVER
+from presswork.schemas import BRONZE, FETCH_LOG, GOLD, SILVER
 from presswork.sources.shared import Work, new_path, path_exists, shared_folder
 from presswork.sources.tables import compact_partition, create_layer_table, drop_layer_table, read_layer, replace_partitions, write_table
 from presswork.streaming.gold import (
@@ -115,21 +117,75 @@ def test_rows_without_url_are_left_alone(spark, bronze, crawl):
     assert silver.count() == N * 2 // 3 and outcomes.count() == N
 
 
-def test_import_takes_archives_to_the_queue(spark, tmp_path):
+def _land(folder, **archives):
     import zipfile
 
-    landing, path = tmp_path / "landing", new_path(spark, "bronze")
-    landing.mkdir()
-    for name, urls in (("a.gkg.csv.zip", ["u1", "u2"]), ("b.gkg.csv.zip", ["u3"])):
-        with zipfile.ZipFile(landing / name, "w") as archive:
+    folder.mkdir(exist_ok=True)
+    for name, urls in archives.items():
+        with zipfile.ZipFile(folder / f"{name}.gkg.csv.zip", "w") as archive:
             archive.writestr("feed.csv", "".join(f'1\t2\t3\t"4\t{u}\t6\n' for u in urls))
-    manifest = tmp_path / "list.txt"
-    manifest.write_text("1 x http://h/other.zip\n2 y http://h/b.gkg.csv.zip\n")
+
+
+def _queue(spark, path):
+    return sorted((r["batch"], r["SNo"], r["url"]) for r in read_layer(spark, path, "bronze").collect())
+
+
+def test_import_takes_each_archive_once(spark, tmp_path):
+    landing, path = tmp_path / "landing", new_path(spark, "bronze")
+    _land(landing, a=["u1", "u2"], b=["u3"])
     assert run_import(spark, str(landing), path) == 3
+    first = [(1, 1, "u1"), (1, 2, "u2"), (1, 3, "u3")]
+    assert run_import(spark, str(landing), path) == 0 and _queue(spark, path) == first
+    _land(landing, c=["u3", "u4"])
+    assert run_import(spark, str(landing), path) == 2 and run_import(spark, str(landing), path) == 0
+    assert _queue(spark, path) == [*first, (2, 1, "u3"), (2, 2, "u4")]
+    rows = read_layer(spark, path, "bronze")
+    assert {(r["processed"], r["status"]) for r in rows.collect()} == {(0, 0)}
+    assert rows.columns == BRONZE.names
+
+
+def test_manifest_opens_only_what_it_names(spark, tmp_path):
+    landing, path, manifest = tmp_path / "landing", new_path(spark, "bronze"), tmp_path / "list.txt"
+    _land(landing, **{"a": ["u1"], "b[1]*": ["u2"], "b1": ["u9"]})
+    (landing / "broken.gkg.csv.zip").write_bytes(b"no archive")
+    manifest.write_text("1 x http://h/other.zip\n2 y http://h/b[1]*.gkg.csv.zip\n")
+    assert run_import(spark, str(landing), path, str(manifest)) == 1 and _queue(spark, path) == [(1, 1, "u2")]
+    assert run_import(spark, str(landing), path, str(manifest)) == 0
+    manifest.write_text("1 y http://h/none.zip\n")
+    assert run_import(spark, str(landing), path, str(manifest)) == 0
+    manifest.write_text("1 y http://h/a.gkg.csv.zip\n")
     assert run_import(spark, str(landing), path, str(manifest)) == 1
-    rows = read_layer(spark, path, "bronze").collect()
-    assert sorted((r["batch"], r["SNo"], r["url"]) for r in rows) == [(1, 1, "u1"), (1, 2, "u2"), (1, 3, "u3"), (2, 1, "u3")]
-    assert {(r["processed"], r["status"]) for r in rows} == {(0, 0)}
+    assert _queue(spark, path) == [(1, 1, "u2"), (2, 1, "u1")]
+
+
+def test_replayed_import_writes_the_same_batch(spark, tmp_path):
+    landing, path = tmp_path / "landing", new_path(spark, "bronze")
+    _land(landing, a=["u1", "u2"])
+    assert run_import(spark, str(landing), path) == 2
+    # A checkpoint that lost its last commit has the stream give the epoch again.
+    checkpoint = Path(path) / "_import" / "checkpoint" / "commits"
+    for file in checkpoint.glob("*0*"):
+        file.unlink()
+    assert run_import(spark, str(landing), path) == 2
+    assert _queue(spark, path) == [(1, 1, "u1"), (1, 2, "u2")]
+
+
+def test_old_archives_are_not_passed_over(spark, tmp_path):
+    import os
+
+    landing, path = tmp_path / "landing", new_path(spark, "bronze")
+    _land(landing, a=["u1"])
+    assert run_import(spark, str(landing), path) == 1
+    _land(landing, b=["u2"])
+    os.utime(landing / "b.gkg.csv.zip", (1_000_000_000, 1_000_000_000))
+    assert run_import(spark, str(landing), path) == 1
+
+
+def test_queue_without_batch_folders_is_not_mixed(spark, tmp_path):
+    path = new_path(spark, "bronze")
+    spark.createDataFrame([], BRONZE).write.parquet(path)
+    with pytest.raises(ValueError, match="batch folders"):
+        run_import(spark, str(tmp_path), path)
 
 
 def test_work_folder_goes_with_its_flow(spark, bronze, crawl):

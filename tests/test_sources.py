@@ -38,6 +38,21 @@ def test_archives_give_lines_of_their_first_member(spark, tmp_path):
     assert {r["url"] for r in urls.collect()} == {f"http://{n}/{i}" for n in range(3) for i in range(25_000)}
 
 
+def test_archives_are_chosen_before_they_are_opened(spark, tmp_path):
+    for n in range(3):
+        with zipfile.ZipFile(tmp_path / f"{n}.gkg.csv.zip", "w") as archive:
+            archive.writestr("feed.csv", LINE.format(name="x", url=f"http://{n}"))
+    (tmp_path / "bad.gkg.csv.zip").write_bytes(b"no archive")
+    with zipfile.ZipFile(tmp_path / "empty.zip", "w"):
+        pass
+    lines = read_archives(spark, str(tmp_path), "1.gkg.csv.zip")
+    assert [r["url"] for r in feed_urls(lines).collect()] == ["http://1"]
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInPandas") < plan.index("Relation")
+    assert len(lines.select("path").distinct().collect()) == 1
+    assert read_archives(spark, str(tmp_path), "empty.zip").count() == 0
+
+
 def test_feed_file_takes_column_by_position(spark, tmp_path):
     lines = [LINE.format(name='"stray', url="http://a"), "short\trow", "1\t2\t3\t4\t\t6", LINE.format(name="n", url="http://a")]
     (tmp_path / "feed.csv").write_text("\n".join(lines) + "\n")
