@@ -23,7 +23,7 @@ from presswork.operators.numbering import chunk_rows, dense_number
 from presswork.operators.predict import linear_scorer, predict_labels, word_windows
 from presswork.plans.bronze import bronze_rows, run_import
 from presswork.plans.gold import build_gold, build_latest_gold, gold_input, predict_gold
-from presswork.plans.silver import build_silver, current_queue
+from presswork.plans.silver import build_silver, current_queue, run_silver_chunks
 from presswork.schemas import SILVER
 from presswork.sources.feed import read_feed
 from presswork.sources.shared import new_path
@@ -34,6 +34,7 @@ from presswork.sources.tables import (
     read_layer,
     write_report,
 )
+from presswork.streaming.evolving import epoch_counts
 from presswork.streaming.gold import read_gold_stream, read_silver_stream, start_gold_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -352,6 +353,15 @@ def silver_build(spark, sf):
     return rows.select(SILVER_COLUMNS)
 
 
+@query("silver_chunked")
+def silver_chunked(spark, sf):
+    """The same articles from a run in chunks of 500 with its state written between them, stopped and resumed."""
+    silver_path, log_path = new_path(spark, "chunked-silver"), new_path(spark, "chunked-log")
+    for most in (2, None):
+        run_silver_chunks(t.new_bronze(spark, sf), t.crawl(spark, sf), silver_path, log_path, 1, most_commits=most)
+    return read_layer(spark, silver_path, "silver").select(SILVER_COLUMNS)
+
+
 @query("silver_build_shuffled")
 def silver_build_shuffled(spark, sf):
     """The same by the shuffle that serves queues too long to broadcast."""
@@ -426,11 +436,21 @@ def compact_partition_rows(spark, sf):
     return spark.read.schema(SILVER).parquet(path).select(SILVER_COLUMNS)
 
 
+def _run_stream(spark, sf) -> str:
+    path, checkpoint = new_path(spark, "stream-gold"), new_path(spark, "stream-state")
+    stream = read_silver_stream(spark, t.silver_path(spark, sf), files_per_trigger=1000)
+    start_gold_stream(stream, path, checkpoint, t.models(spark, sf)).awaitTermination()
+    return path
+
+
 @query("stream_gold")
 def stream_gold(spark, sf):
     """All silver files as a stream, labelled per micro-batch, read back."""
-    path, checkpoint = new_path(spark, "stream-gold"), new_path(spark, "stream-state")
-    stream = read_silver_stream(spark, t.silver_path(spark, sf), files_per_trigger=1000)
-    started = start_gold_stream(stream, path, checkpoint, t.models(spark, sf))
-    started.awaitTermination()
-    return read_gold_stream(spark, path)
+    return read_gold_stream(spark, _run_stream(spark, sf))
+
+
+@query("stream_counts")
+def stream_counts(spark, sf):
+    """What a stream over all silver files read and wrote, from its counts by epoch."""
+    sums = [F.sum(c).alias(c) for c in ("rows_read", "articles", "rows_written")]
+    return epoch_counts(spark, _run_stream(spark, sf)).agg(*sums)

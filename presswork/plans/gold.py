@@ -14,19 +14,19 @@ from presswork.schemas import GOLD
 from presswork.sources.tables import replace_partitions
 
 
-def gold_input(silver: DataFrame) -> DataFrame:
-    """What is scored: key, batch, URL and the cleaned text."""
+def gold_input(silver: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """What is scored: key, batch, URL and the cleaned text; and columns to keep."""
     return silver.select(
-        article_key(F.col("url")).alias("id"), "batch", "url", F.col("transformed_text").alias("article")
+        article_key(F.col("url")).alias("id"), "batch", "url", F.col("transformed_text").alias("article"), *keep
     )
 
 
 def build_gold(
-    silver: DataFrame, models: Sequence[Model], broadcast_bytes: int = BROADCAST_BYTES
+    silver: DataFrame, models: Sequence[Model], broadcast_bytes: int = BROADCAST_BYTES, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Gold rows of every batch of the given silver rows, in one job."""
-    labelled = label_articles(gold_input(silver), models, ("id", "batch"), "article", broadcast_bytes)
-    return labelled.select(GOLD.names)
+    """Gold rows of every batch of the given silver rows, in one job, with the columns to keep."""
+    labelled = label_articles(gold_input(silver, keep), models, ("id", "batch"), "article", broadcast_bytes)
+    return labelled.select(*GOLD.names, *keep)
 
 
 def predict_gold(

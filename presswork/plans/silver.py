@@ -1,5 +1,8 @@
 """Bronze -> silver: queue -> pages -> clean articles, and the outcome of every tried URL."""
 
+import time
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from presswork.operators.numbering import dense_number
 from presswork.operators.queue import apply_outcomes, latest_outcome, work_queue
 from presswork.schemas import FETCH_LOG, SILVER
 from presswork.sources.shared import Work, path_exists
-from presswork.sources.tables import read_layer, replace_partitions
+from presswork.sources.tables import overwrite_counted, read_layer, replace_partitions
 
 
 # Largest queue, URLs and 100 bytes per row, that is sent to every executor.
@@ -108,3 +111,60 @@ def run_silver(
         written = replace_partitions(_silver_rows(located, crawl, few, None), silver_path, ["batch"])
         log = fetch_outcomes(located).withColumn("run_id", F.lit(run_id).cast("bigint"))
         return {"silver": written, "log": replace_partitions(log, log_path, ["run_id"])}
+
+
+@dataclass
+class ChunkedRun:
+    """How far a chunked run has come: commits made by this call and in all, those planned, and the rows written by this call."""
+
+    commits: int
+    done: int
+    planned: int
+    silver: int
+    log: int
+
+
+def run_silver_chunks(
+    bronze: DataFrame,
+    crawl: DataFrame,
+    silver_path: str,
+    log_path: str,
+    run_id: int,
+    silver: DataFrame | None = None,
+    chunk_size: int = CHUNK_ROWS,
+    chunks_per_commit: int = 1,
+    most_commits: int | None = None,
+    urls_per_second: float | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> ChunkedRun:
+    """As run_silver, chunk by chunk: articles, then outcomes of some chunks are written before the next ones are begun.
+
+    Between commits the queue's state is that of the log, so what was tried is seen by every reader. A run
+    that stopped, by `most_commits` or by a failure, is resumed by the same run_id: its stored numbering is read
+    again and committed chunks are passed over; one that was cut short is written anew as a whole. With `urls_per_second`
+    commits are spaced so that no more URLs than that are tried on average. Without a need for state
+    between chunks or for a rate, run_silver does the same in one job.
+    """
+    spark = bronze.sparkSession
+    if silver is None and path_exists(spark, silver_path):
+        silver = read_layer(spark, silver_path, "silver")
+    made = rows = logged = 0
+    with Work(spark, "chunked-run") as work:
+        queue = _numbering(bronze, silver, log_path, run_id, chunk_size, work)
+        first, last = queue.agg(F.min("batch"), F.max("batch")).first()
+        starts = [] if first is None else list(range(first, last + 1, chunks_per_commit))
+        # Folders below a run's partition carry no column; each is one commit, complete or not there.
+        folder = f"{log_path}/run_id={run_id}/chunks-"
+        todo = [start for start in starts if not path_exists(spark, f"{folder}{start}/_SUCCESS")]
+        done = len(starts) - len(todo)
+        for start in todo[:most_commits]:
+            began = time.monotonic()
+            chunk = queue.where(F.col("batch").between(start, start + chunks_per_commit - 1))
+            few = is_few(chunk, broadcast_bytes)
+            located = work.materialize(locate_pages(chunk, crawl, few), "located")
+            rows += replace_partitions(_silver_rows(located, crawl, few, None), silver_path, ["batch"])
+            tried = overwrite_counted(fetch_outcomes(located), f"{folder}{start}")
+            made, logged = made + 1, logged + tried
+            if urls_per_second and made < len(todo):
+                time.sleep(max(0.0, tried / urls_per_second - (time.monotonic() - began)))
+    return ChunkedRun(made, done + made, len(starts), rows, logged)

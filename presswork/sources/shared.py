@@ -41,10 +41,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def paths_like(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern."""
+    files, place = _hadoop(spark, pattern)
+    return [status.getPath().toString() for status in files.globStatus(place) or []]
+
+
 def has_files(spark: SparkSession, pattern: str) -> bool:
     """Whether any path matches a pattern."""
-    files, place = _hadoop(spark, pattern)
-    return bool(files.globStatus(place) or [])
+    return bool(paths_like(spark, pattern))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -108,6 +108,11 @@ def compact_partition(
     return files
 
 
+def overwrite_counted(df: DataFrame, path: str) -> int:
+    """Write a whole folder anew and return its rows, counted while they are written."""
+    return _counted(df, lambda rows: rows.write.mode("overwrite").parquet(path))
+
+
 def append_counted(df: DataFrame, path: str, partition_by: list[str]) -> int:
     """Append rows and return how many, counted while they are written."""
     return _counted(df, lambda rows: rows.write.mode("append").partitionBy(*partition_by).parquet(path))

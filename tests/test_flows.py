@@ -1,7 +1,9 @@
+import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from presswork.functions.constants import EMOTIONS, SENTIMENTS
 from presswork.operators.batches import rows_per_batch
@@ -9,15 +11,19 @@ from presswork.operators.models import emotion_model, rule_weights, save_model,
 from presswork.operators.queue import apply_outcomes, latest_outcome, work_queue
 from presswork.plans.gold import build_gold, build_latest_gold, write_gold
 from presswork.plans.bronze import run_import
-from presswork.plans.silver import build_silver, current_queue, run_silver
+from presswork.plans.silver import build_silver, current_queue, run_silver, run_silver_chunks
 from presswork.schemas import BRONZE, FETCH_LOG, GOLD, SILVER
 from presswork.sources.shared import Work, new_path, path_exists, shared_folder
 from presswork.sources.tables import compact_partition, create_layer_table, drop_layer_table, read_layer, replace_partitions, write_table
+from presswork.streaming import evolving
+from presswork.streaming.evolving import epoch_counts
 from presswork.streaming.gold import (
     gold_sink,
+    read_all_gold,
     read_gold_stream,
     read_silver_stream,
     start_gold_stream,
+    written_elsewhere,
 )
 
 N = 60
@@ -111,6 +117,41 @@ def test_second_run_fetches_only_what_is_new(spark, bronze, crawl, tmp_path):
     assert work_queue(current_queue(bronze, log)).count() == 0
 
 
+def test_chunked_run_stops_and_resumes(spark, bronze, crawl):
+    silver_path, log_path = new_path(spark, "silver"), new_path(spark, "log")
+    read_log = lambda: spark.read.schema(FETCH_LOG).parquet(log_path)
+    run = lambda most=None: run_silver_chunks(bronze, crawl, silver_path, log_path, 7, chunk_size=12, most_commits=most)
+    first = run(2)
+    assert (first.commits, first.done, first.planned, first.log) == (2, 2, 5, 24)
+    assert read_log().count() == 24 and work_queue(current_queue(bronze, read_log())).count() == 2 * (N - 24)
+    # The third chunk is cut short after its articles: it has no commit and is written again.
+    whole, _ = build_silver(bronze, crawl, chunk_size=12)
+    replace_partitions(whole.where("batch = 3").limit(2), silver_path, ["batch"])
+    rest = run()
+    assert (rest.commits, rest.done, rest.planned, rest.log) == (3, 5, 5, N - 24)
+    assert run().commits == 0
+    assert read_log().count() == N == read_log().select("url").distinct().count()
+    assert {r["run_id"] for r in read_log().collect()} == {7}
+    assert plain(read_layer(spark, silver_path, "silver"), CONTENT) == plain(whole, CONTENT)
+    # A later run of the plain kind sees these outcomes, and stands in the same log.
+    assert run_silver(bronze, crawl, silver_path, log_path, run_id=8)["log"] == 0
+    more = bronze.where("SNo = 1").withColumn("url", F.lit("new"))
+    assert run_silver(bronze.unionByName(more), crawl, silver_path, log_path, run_id=9)["log"] == 1
+    assert read_log().count() == N + 1
+
+
+def test_chunked_run_keeps_its_rate(spark, bronze, crawl):
+    import time
+
+    start = time.monotonic()
+    found = run_silver_chunks(
+        bronze, crawl, new_path(spark, "silver"), new_path(spark, "log"), 1, chunk_size=15, chunks_per_commit=2, urls_per_second=6
+    )
+    assert (found.commits, found.planned) == (2, 2) and time.monotonic() - start >= 30 / 6
+    empty = run_silver_chunks(bronze.where("false"), crawl, new_path(spark, "silver"), new_path(spark, "log"), 1)
+    assert (empty.commits, empty.planned) == (0, 0)
+
+
 def test_rows_without_url_are_left_alone(spark, bronze, crawl):
     nameless = bronze.limit(1).withColumn("url", F.lit(None).cast("string"))
     silver, outcomes = build_silver(bronze.unionByName(nameless), crawl)
@@ -297,3 +338,93 @@ def test_stream_from_a_table_runs_on(spark, silver_path, models):
     query.stop()
     assert read_gold_stream(spark, path).count() == spark.table("t_silver").count()
     drop_layer_table(spark, "t_silver")
+
+
+def _one_per_epoch(spark, silver_path):
+    """Silver rows one by one, as a stream would bring them."""
+    silver = read_layer(spark, silver_path, "silver").where("batch = 1").orderBy("SNo").collect()
+    return [spark.createDataFrame([r], SILVER) for r in silver]
+
+
+def test_only_the_batches_of_a_micro_batch_are_read(spark, silver_path, models):
+    path = new_path(spark, "out")
+    write = gold_sink(path, models)
+    silver = read_layer(spark, silver_path, "silver")
+    write(silver.where("batch <= 2"), 0)
+    keys = silver.where("batch = 2").select("batch", F.md5("url").alias("_id"))
+    found = written_elsewhere(keys, path, "gold", 1, [2], few=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert re.search(r"\(batch#\d+ =", filters)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert found.count() == keys.count()
+    assert written_elsewhere(keys, path, "gold", 1, None, few=False).count() == keys.count()
+    assert written_elsewhere(keys, path, "gold", 0, [2], few=True).count() == 0
+
+
+def test_folders_stay_few_over_many_epochs(spark, silver_path, models, monkeypatch):
+    monkeypatch.setattr(evolving, "MERGE_EPOCHS", 3)
+    path = new_path(spark, "out")
+    write = gold_sink(path, models)
+    pieces = _one_per_epoch(spark, silver_path)[:7]
+    for epoch, piece in enumerate(pieces):
+        write(piece, epoch)
+        write(piece, epoch)
+    folders = list(Path(path).glob("batch=1/stream=gold/epoch_id=*"))
+    assert len(folders) <= 4 and any("=-" in f.name for f in folders)
+    rows = read_gold_stream(spark, path)
+    assert rows.count() == rows.select("id").distinct().count() == 7
+    counts = epoch_counts(spark, path)
+    assert counts.count() == 7 and counts.agg(F.sum("rows_written")).first()[0] == 7
+
+
+def test_merge_that_was_cut_short_shows_no_row_twice(spark, silver_path, models, monkeypatch):
+    monkeypatch.setattr(evolving, "MERGE_EPOCHS", 2)
+    path = new_path(spark, "out")
+    write = gold_sink(path, models)
+    pieces = _one_per_epoch(spark, silver_path)[:5]
+    for epoch in range(2):
+        write(pieces[epoch], epoch)
+    monkeypatch.setattr(evolving, "delete_path", lambda spark, path: None)
+    write(pieces[2], 2)
+    assert len(list(Path(path).glob("batch=1/stream=gold/epoch_id=*"))) == 4
+    assert read_gold_stream(spark, path).count() == 3
+    monkeypatch.undo()
+    write(pieces[3], 3)
+    assert sorted(p.name for p in Path(path).glob("batch=1/stream=gold/epoch_id=*")) == ["epoch_id=-2", "epoch_id=2", "epoch_id=3"]
+    assert read_gold_stream(spark, path).count() == 4
+
+
+def test_stream_may_gain_a_column(spark, bronze, crawl, models):
+    rows, _ = build_silver(bronze, crawl, chunk_size=25)
+    source, path, state, batch_path = (new_path(spark, n) for n in ("in", "out", "state", "gold"))
+    rows.where("batch = 1").write.partitionBy("batch").parquet(source)
+    run = lambda more: start_gold_stream(read_silver_stream(spark, source, more=more), path, state, models).awaitTermination(300)
+    assert run(None)
+    rows.where("batch = 2").withColumn("author", F.concat(F.lit("by "), "url")).write.mode("append").partitionBy("batch").parquet(source)
+    assert run(T.StructType([T.StructField("author", T.StringType())]))
+    found = read_gold_stream(spark, path)
+    assert found.columns == [*GOLD.names, "author"]
+    assert plain(found, GOLD.names) == plain(build_gold(rows.where("batch < 3"), models), GOLD.names)
+    assert {(r["batch"], r["author"] == f"by {r['url']}") for r in found.collect()} == {(1, False), (2, True)}
+    assert found.where("batch = 1 and author is not null").count() == 0
+    write_gold(build_gold(rows.where("batch = 3"), models), batch_path)
+    assert read_all_gold(spark, batch_path, path).count() == rows.count()
+    wrong = rows.where("batch = 3").withColumn("author", F.lit(1))
+    with pytest.raises(ValueError, match="author is string, not int"):
+        gold_sink(path, models)(wrong, 9)
+
+
+def test_counts_of_epochs_add_up_after_a_replay(spark, silver_path, models):
+    path = new_path(spark, "out")
+    silver = read_layer(spark, silver_path, "silver")
+    write = gold_sink(path, models)
+    write(silver.where("SNo <= 30").unionByName(silver.where("SNo <= 5")), 0)
+    for _ in range(2):
+        write(silver.where("SNo > 20"), 1)
+    write(silver.where("false"), 2)
+    n = {(r["epoch_id"], r["rows_read"], r["articles"], r["rows_written"]) for r in epoch_counts(spark, path).collect()}
+    at = lambda condition: silver.where(condition).count()
+    first, both = at("SNo <= 30"), at("SNo > 20 and SNo <= 30")
+    assert n == {(0, first + at("SNo <= 5"), first, first), (1, at("SNo > 20"), at("SNo > 20"), at("SNo > 20") - both), (2, 0, 0, 0)}
+    assert sum(x[3] for x in n) == read_gold_stream(spark, path).count() == silver.count()
