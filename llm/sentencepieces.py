@@ -2,15 +2,16 @@
 
 The model file is parsed here; normaliser, word mark, piece scores and byte fallback are rebuilt as
 a tokenizers object. Texts are cut before every run of word marks where no piece of the model spans
-such a place, and distinct cuts are encoded once per piece of input, as a batch on all threads the
-library has. What comes out is held against the sentencepiece library, cut by cut.
+such a place; cuts that are new to a worker are encoded as a batch on all threads the library has, and kept.
+What comes out is held against the sentencepiece library, which is given whole texts, and decoded again.
 """
 
 import hashlib
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache, partial
+from functools import cache, cached_property, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ from llm.training_order import Encoder
 MARK = "▁"
 # Text that is encoded at once: the libraries' lists and objects take many times its size.
 SLICE_BYTES = 1 << 20
+# Cuts that a worker keeps with their ids.
+KNOWN_BYTES = 64 << 20
 # Kinds of pieces in a model file: fixed values of the format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -161,19 +164,70 @@ def build_tokenizer(model: PieceModel, whole: bool = True) -> Tokenizer:
     return tokenizer
 
 
+class KnownCuts:
+    """Ids of cuts that were encoded before, kept up to a number of bytes; then begun anew."""
+
+    def __init__(self, most_bytes: int = 0):
+        self.most = most_bytes or KNOWN_BYTES
+        self._begin()
+
+    def _begin(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.starts, self.used, self.held = np.zeros(1 << 16, np.int32), [np.zeros(1, np.int64)], 0, 0
+
+    def ids(self, words: list[str], tokenizer: Tokenizer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of many cuts in one array, and where those of each given cut begin and end."""
+        if self.held > self.most:
+            self._begin()
+        if new := [w for w in words if w not in self.place]:
+            found = [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) + self.used
+            if ends[-1] > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(max(ends[-1] - len(self.flat), len(self.flat)), np.int32)])
+            self.flat[self.used : ends[-1]] = np.fromiter(chain.from_iterable(found), np.int32, ends[-1] - self.used)
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            # A dictionary's entry, a string's head and a number besides the text and the ids themselves.
+            self.held += sum(map(len, new)) + 4 * int(ends[-1] - self.used) + 200 * len(new)
+            self.used = int(ends[-1])
+            self.starts = [np.concatenate([*self.starts, ends])]
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        return self.flat, self.starts[0][at], self.starts[0][at + 1]
+
+
 class Codec:
-    """Encoder and decoder of one model, with the library it is held against."""
+    """Encoder and decoder of one model, with the library it is held against; each is built when it is first asked."""
 
     def __init__(self, path: str):
-        import sentencepiece
-
         with open(path, "rb") as file:
-            data = file.read()
-        self.model = parse_model(data)
-        self.texts = build_tokenizer(self.model)
-        self.cuts = build_tokenizer(self.model, whole=False)
-        self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
+            self._data = file.read()
+        self.model = parse_model(self._data)
         self.by_cut = separable(self.model) and not self.model.charsmap and not self.model.squeeze_spaces
+        self._known = KnownCuts()
+
+    @cached_property
+    def texts(self) -> Tokenizer:
+        """For whole texts."""
+        return build_tokenizer(self.model)
+
+    @cached_property
+    def cuts(self) -> Tokenizer:
+        """For cuts that are normalised already."""
+        return build_tokenizer(self.model, whole=False)
+
+    @cached_property
+    def library(self):
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_proto=self._data)
+
+    @cached_property
+    def _piece_bytes(self) -> tuple[np.ndarray, np.ndarray]:
+        """What the pieces decode to, one after another, and where each begins."""
+        parts = []
+        for text, _, kind in self.model.pieces:
+            plain = bytes([int(text[1:-1], 16)]) if kind == BYTE else text.replace(MARK, " ").encode("utf-8", "surrogatepass")
+            parts.append(b"" if kind == CONTROL else plain)
+        return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
 
     def _cuts(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Distinct cuts, the cut at every place, and the bounds of texts in these."""
@@ -197,48 +251,45 @@ class Codec:
         place = cuts.indices.to_numpy().astype(np.int64)
         return cuts.dictionary.to_pylist(), place, np.searchsorted(at, offsets)
 
-    @staticmethod
-    def _joined(found: list[list[int]], place: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _found(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts one after another, and their bounds, from the ids of distinct cuts."""
-        sizes = np.array([len(x) for x in found], np.int64)
-        flat = np.concatenate([np.array(x, np.int32) for x in found]) if found else np.zeros(0, np.int32)
-        first = np.cumsum(sizes) - sizes
-        n = sizes[place]
-        ids = flat[np.repeat(first[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        words, place, bounds = self._cuts(texts)
+        flat, starts, ends = self._known.ids(words, self.cuts)
+        first, n = starts[place], (ends - starts)[place]
+        ids = flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         return ids, np.concatenate([[0], np.cumsum(n)])[bounds]
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts one after another, and their bounds, without a comparison."""
         if self.by_cut:
-            words, place, bounds = self._cuts(texts)
-            found = [e.ids for e in self.cuts.encode_batch_fast(words, add_special_tokens=False)]
-            return self._joined(found, place, bounds)
+            return self._found(texts)
         rows = texts.to_pylist()
         found = [e.ids for e in self.texts.encode_batch_fast(rows, add_special_tokens=False)]
         found = [x if r else [] for x, r in zip(found, rows)]
         return np.array([i for x in found for i in x], np.int32), np.cumsum([0, *map(len, found)])
 
     def encode(self, texts: pa.Array) -> "Encoded":
-        """Ids of every whole text."""
+        """Ids of every whole text, compared with the library's for the whole text, and decoded again."""
         if not self.by_cut:
             return self._encode_whole(texts)
-        words, place, bounds = self._cuts(texts)
-        found = [e.ids for e in self.cuts.encode_batch_fast(words, add_special_tokens=False)]
-        expected = self._library_ids(words)
-        plain = [w.replace(MARK, " ") for w in words]
-        back = self.cuts.decode_batch(found, skip_special_tokens=False)
-        same = np.array([a == b for a, b in zip(found, expected)], bool)
-        whole = np.array([a == b for a, b in zip(plain, back)], bool)
-        ids, ends = self._joined(found, place, bounds)
-        return Encoded(ids, ends, _all(same[place], bounds), _all(whole[place], bounds))
-
-    def _library_ids(self, words: list[str]) -> list[list[int]]:
-        """The library's ids of cuts: it puts a mark in front itself, so each cut is given without its first."""
-        if not self.model.dummy_prefix:
-            return self.library.encode(words, num_threads=1)
-        return self.library.encode([w[1:] for w in words], num_threads=1) if all(
-            len(w) > 1 for w in words
-        ) else [self.library.encode(w[1:]) if len(w) > 1 else [self.library.piece_to_id(w)] for w in words]
+        ids, ends = self._found(texts)
+        expected = self.library.encode(texts.to_pylist(), num_threads=1)
+        same = [len(x) == b - a and bool((ids[a:b] == x).all()) for x, a, b in zip(expected, ends, ends[1:])]
+        return Encoded(ids, ends, np.array(same, bool), self._decodes(ids, ends, texts))
+
+    def _decodes(self, ids: np.ndarray, ends: np.ndarray, texts: pa.Array) -> np.ndarray:
+        """Whether the ids of every text decode to its bytes; the mark put in front of a text is taken off."""
+        content, starts = self._piece_bytes
+        n = np.diff(starts)[ids]
+        flat = content[np.repeat(starts[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())].tobytes()
+        at = np.concatenate([[0], np.cumsum(n)])[ends].tolist()
+        plain, offsets = utf8_bytes(texts)
+        plain, offsets = plain.tobytes(), offsets.tolist()
+        lead = b" " if self.model.dummy_prefix else b""
+        found = []
+        for a, b, c, d in zip(at, at[1:], offsets, offsets[1:]):
+            found.append(flat[a:b] == (lead + plain[c:d] if d > c else b""))
+        return np.array(found, bool)
 
     def _encode_whole(self, texts: pa.Array) -> "Encoded":
         rows = texts.to_pylist()
@@ -267,11 +318,6 @@ class Encoded:
     round_trip: np.ndarray
 
 
-def _all(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    wrong = np.concatenate([[0], np.cumsum(~flags)])
-    return wrong[bounds[1:]] == wrong[bounds[:-1]]
-
-
 @cache
 def codec(path: str) -> Codec:
     return Codec(path)

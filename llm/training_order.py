@@ -21,7 +21,7 @@ from llm.common import mix, ship, slices, utf8_bytes
 from presswork.sources.shared import delete_path, new_path
 
 SEQUENCE_TOKENS = 512
-# 35 MB a shard; many terabytes call for more.
+# 69 MB a shard; many terabytes call for more.
 SHARD_SLOTS = 1 << 16
 # Text that is encoded at once.
 ENCODE_BYTES = 1 << 20

@@ -101,3 +101,25 @@ def test_unigram_models_are_rebuilt(tmp_path):
     texts = ["".join(rng.choice("ab ") for _ in range(rng.randint(0, 12))) for _ in range(500)]
     found = codec.encode(pa.array(texts, pa.large_string()))
     assert [found.ids[a:b].tolist() for a, b in zip(found.bounds, found.bounds[1:])] == library.encode(texts)
+
+
+def test_known_cuts_are_bounded_and_change_nothing():
+    codec = sentencepieces.Codec(PIECES)
+    codec._known = sentencepieces.KnownCuts(2000)
+    fresh = sentencepieces.Codec(PIECES)
+    for i in range(30):
+        texts = pa.array([f"word{i} again {i * 7919} é▁x  two", "again word1", "", " "], pa.large_string())
+        for ours, plain in zip(codec.ids(texts), fresh.ids(texts)):
+            assert ours.tolist() == plain.tolist()
+        assert len(codec._known.place) < 40
+    assert "texts" not in codec.__dict__ and "library" not in codec.__dict__
+
+
+def test_whole_texts_are_compared_and_decoded():
+    codec = sentencepieces.Codec(PIECES)
+    texts = pa.array(["plain text", "a▁b", "", "tab\tünï\u0000 日本 \U0001f600", "  two  "], pa.large_string())
+    found = codec.encode(texts)
+    assert found.parity.tolist() == [True] * 5 and found.round_trip.tolist() == [True, False, True, True, True]
+    codec._known.ids(["▁plain"], codec.cuts)
+    codec._known.flat[:] = 7
+    assert not codec.encode(texts).parity[0] and not codec.encode(texts).round_trip[0]
