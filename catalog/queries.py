@@ -21,6 +21,7 @@ from presswork.operators.labels import (
 from presswork.operators.models import load_model
 from presswork.operators.numbering import chunk_rows, dense_number
 from presswork.operators.predict import linear_scorer, predict_labels, word_windows
+from presswork.operators.snapshot import advance_snapshot, queue_from_snapshot
 from presswork.plans.bronze import bronze_rows, run_import
 from presswork.plans.gold import build_gold, build_latest_gold, gold_input, predict_gold
 from presswork.plans.silver import build_silver, current_queue, run_silver_chunks
@@ -32,6 +33,7 @@ from presswork.sources.tables import (
     append_rows,
     compact_partition,
     read_layer,
+    replace_partitions,
     write_report,
 )
 from presswork.streaming.evolving import epoch_counts
@@ -182,6 +184,21 @@ def current_queue_state(spark, sf):
     return current_queue(t.bronze(spark, sf), log).select(QUEUE_COLUMNS)
 
 
+@query("queue_snapshot")
+def queue_snapshot(spark, sf):
+    """The same state from a snapshot that holds one run, and a second run that came after it."""
+    path, log_path, bronze_path = (new_path(spark, n) for n in ("snapshot", "snapshot-log", "snapshot-queue"))
+    replace_partitions(t.bronze(spark, sf), bronze_path, ["batch"])
+    bronze = read_layer(spark, bronze_path, "bronze")
+    outcomes = _outcomes(spark, sf)
+    for run_id in (1, 2):
+        mine = outcomes.where(F.crc32("url") % 2 == run_id - 1).withColumn("run_id", F.lit(run_id).cast("bigint"))
+        replace_partitions(mine, log_path, ["run_id"])
+        if run_id == 1:
+            advance_snapshot(spark, path, bronze, log_path)
+    return queue_from_snapshot(spark, path, bronze, log_path).select(QUEUE_COLUMNS)
+
+
 @query("dense_sno")
 def dense_sno(spark, sf):
     """All queue rows numbered 1..n by URL."""

@@ -11,6 +11,7 @@ from presswork.functions.numbers import int_div
 from presswork.operators.fetch import fetch_articles, fetch_outcomes, locate_pages
 from presswork.operators.numbering import dense_number
 from presswork.operators.queue import apply_outcomes, latest_outcome, work_queue
+from presswork.operators.snapshot import advance_snapshot, queue_from_snapshot
 from presswork.schemas import FETCH_LOG, SILVER
 from presswork.sources.shared import Work, path_exists
 from presswork.sources.tables import overwrite_counted, read_layer, replace_partitions
@@ -71,14 +72,22 @@ def current_queue(bronze: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def _numbering(
-    bronze: DataFrame, silver: DataFrame | None, log_path: str, run_id: int, chunk_size: int, work: Work
+    bronze: DataFrame,
+    silver: DataFrame | None,
+    log_path: str,
+    run_id: int,
+    chunk_size: int,
+    work: Work,
+    snapshot: str | None = None,
 ) -> DataFrame:
     """The run's queue, from the store beside the log if the run was begun before."""
     spark = bronze.sparkSession
     # A name with an underscore in front is no part of the log to Spark's readers.
     path = f"{log_path}/_numbering/run_id={run_id}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        if path_exists(spark, log_path):
+        if snapshot is not None:
+            bronze = queue_from_snapshot(spark, snapshot, bronze, log_path)
+        elif path_exists(spark, log_path):
             log = spark.read.schema(FETCH_LOG).parquet(log_path)
             bronze = current_queue(bronze, log.where(F.col("run_id") != run_id))
         numbered_queue(bronze, silver, chunk_size, work).write.mode("overwrite").parquet(path)
@@ -94,23 +103,28 @@ def run_silver(
     silver: DataFrame | None = None,
     chunk_size: int = BATCH_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    snapshot: str | None = None,
 ) -> dict[str, int]:
     """Fetch what is still to do into silver and log every outcome; returns the rows written to each.
 
     The numbers and batches of a run are stored under its run_id before anything else is written. A
     rerun, whatever has been written meanwhile, finds them and writes the same batches and log partition
     again. `silver` is the table that batches are numbered on from, in a first run. What earlier runs tried is left out.
+    With a `snapshot` of the queue that is known from there and from the runs since, and this run is taken in at the end.
     """
     spark = bronze.sparkSession
     if silver is None and path_exists(spark, silver_path):
         silver = read_layer(spark, silver_path, "silver")
     with Work(spark, "silver-run") as work:
-        queue = _numbering(bronze, silver, log_path, run_id, chunk_size, work)
+        queue = _numbering(bronze, silver, log_path, run_id, chunk_size, work, snapshot)
         few = is_few(queue, broadcast_bytes)
         located = work.materialize(locate_pages(queue, crawl, few), "located")
         written = replace_partitions(_silver_rows(located, crawl, few, None), silver_path, ["batch"])
         log = fetch_outcomes(located).withColumn("run_id", F.lit(run_id).cast("bigint"))
-        return {"silver": written, "log": replace_partitions(log, log_path, ["run_id"])}
+        tried = replace_partitions(log, log_path, ["run_id"])
+    if snapshot is not None:
+        advance_snapshot(spark, snapshot, bronze, log_path)
+    return {"silver": written, "log": tried}
 
 
 @dataclass
