@@ -20,7 +20,7 @@ from presswork.operators.labels import (
 )
 from presswork.operators.models import load_model
 from presswork.operators.numbering import chunk_rows, dense_number
-from presswork.operators.predict import linear_scorer, predict_labels, word_windows
+from presswork.operators.predict import linear_scorer, predict_labels, word_keys
 from presswork.operators.snapshot import advance_snapshot, queue_from_snapshot
 from presswork.plans.bronze import bronze_rows, run_import
 from presswork.plans.gold import build_gold, build_latest_gold, gold_input, predict_gold
@@ -339,7 +339,7 @@ def labels_arrow(spark, sf):
     """Both labels from a pluggable scorer in Arrow batches."""
     models = t.models(spark, sf)
     articles, outputs = _long_articles(spark, sf), ["sentiment", "emotion"]
-    scored = predict_labels(articles, linear_scorer(models), outputs, given=word_windows)
+    scored = predict_labels(articles, linear_scorer(models), outputs, given=word_keys)
     return scored.select("doc_id", "sentiment", "emotion")
 
 
@@ -414,7 +414,7 @@ def gold_all_batches(spark, sf):
 @query("gold_arrow")
 def gold_arrow(spark, sf):
     """Gold of all batches from the pluggable scorer."""
-    return predict_gold(t.silver(spark, sf), linear_scorer(t.models(spark, sf)), word_windows)
+    return predict_gold(t.silver(spark, sf), linear_scorer(t.models(spark, sf)), word_keys)
 
 
 @query("gold_latest")

@@ -1,6 +1,10 @@
 """Labels from a pluggable scorer inside Arrow batches: map-only, no shuffle."""
 
+import fcntl
+import os
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +15,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presswork.functions.constants import NEUTRAL
-from presswork.functions.tokens import token_windows, tokens
-from presswork.operators.models import Model
+from presswork.functions.constants import NEUTRAL, WINDOW_TOKENS
+from presswork.functions.tokens import tokens
+from presswork.operators.models import Model, model_size
 from presswork.sources.shared import new_path
 
 Scorer = Callable[[pa.Array], pa.RecordBatch]
+# Largest models, together, that a machine maps into memory.
+MACHINE_BYTES = 8 << 30
+# Windows whose words' weights are looked up at a time.
+_WINDOWS_TOGETHER = 256
 
 
 def predict_labels(
@@ -47,59 +55,145 @@ def predict_labels(
     return rows.mapInArrow(run, schema)
 
 
-def word_windows(text: Column) -> Column:
-    """What the linear scorer is given: the words of each window, as the joins see them."""
-    return F.when(text.isNotNull(), token_windows(tokens(text)))
+def word_keys(text: Column) -> Column:
+    """What the linear scorer is given: two digests of every word, 128 bits together; null for a null text."""
 
+    def digests(words: Column) -> Column:
+        return F.struct(*[F.transform(words, partial(_digest, n)).alias(f"key{n}") for n in (1, 2)])
 
-def linear_scorer(models: list[Model]) -> Callable[[], Scorer]:
-    """Factory of a scorer for stored word models, whatever their size, to be given `word_windows`.
+    return F.when(text.isNotNull(), F.get(F.transform(F.array(tokens(text)), digests), F.lit(0)))
 
-    Executors fetch the models' files themselves, and each task reads them from there: no model
-    passes through the driver.
+
+def _digest(number: int, word: Column) -> Column:
+    return F.xxhash64(word, F.lit(number))
+
+
+@dataclass
+class WordTable:
+    """A model on disk, mapped into memory: sorted first digests, second digests, weights by label."""
+
+    first: np.ndarray
+    second: np.ndarray
+    weights: np.ndarray
+
+    def places(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Rows of words, by binary search; -1 for words that the model does not know."""
+        out = np.full(len(first), -1, np.int64)
+        if not len(self.first):
+            return out
+        at = np.searchsorted(self.first, first)
+        open_ = np.flatnonzero(at < len(self.first))
+        # Words that share the first digest stand side by side: nearly always one step.
+        while len(open_):
+            here = at[open_]
+            alike = self.first[here] == first[open_]
+            open_, here = open_[alike], here[alike]
+            hit = self.second[here] == second[open_]
+            out[open_[hit]] = here[hit]
+            open_ = open_[~hit]
+            at[open_] += 1
+            open_ = open_[at[open_] < len(self.first)]
+        return out
+
+
+_opened: dict[str, WordTable] = {}
+
+
+def open_words(folder: str, n_labels: int) -> WordTable:
+    """The model that Spark fetched into a folder; opened once by a process, its pages shared by all of a machine.
+
+    The first process to come turns the fetched files, each a sorted range, into plain columns, file by file;
+    they take their names when they are whole, so a process that is ended meanwhile leaves nothing half done.
     """
+    if folder in _opened:
+        return _opened[folder]
+    kinds = {"first": np.int64, "second": np.int64, "weights": np.int32}
+    with open(f"{folder}.lock", "w") as lock:
+        fcntl.flock(lock, fcntl.LOCK_EX)
+        if not os.path.exists(f"{folder}.weights"):
+            files = [open(f"{folder}.{name}.part", "wb") for name in kinds]
+            for part in sorted(x for x in os.listdir(folder) if x.startswith("part-")):
+                for batch in pq.ParquetFile(f"{folder}/{part}").iter_batches():
+                    columns = [batch.column(0), batch.column(1), batch.column(2).flatten()]
+                    for file, column, kind in zip(files, columns, kinds.values()):
+                        file.write(column.to_numpy(zero_copy_only=False).astype(kind).tobytes())
+            for file, name in zip(files, kinds):
+                file.close()
+                os.replace(f"{folder}.{name}.part", f"{folder}.{name}")
+
+    def mapped(name: str) -> np.ndarray:
+        path = f"{folder}.{name}"
+        return np.memmap(path, kinds[name], "r") if os.path.getsize(path) else np.zeros(0, kinds[name])
+
+    table = WordTable(mapped("first"), mapped("second"), mapped("weights").reshape(-1, n_labels))
+    _opened[folder] = table
+    return table
+
+
+def _best(table: WordTable, place: np.ndarray, ends: np.ndarray, neutral: int) -> np.ndarray:
+    """Class of every window: the largest sum of its words' weights, the lowest class on a tie."""
+    out = np.full(len(ends), neutral, np.int64)
+    begins = np.concatenate([[0], ends[:-1]])
+    for start in range(0, len(ends), _WINDOWS_TOGETHER):
+        stop = min(start + _WINDOWS_TOGETHER, len(ends))
+        words = place[begins[start] : ends[stop - 1]]
+        known = words >= 0
+        before = np.concatenate([[0], np.cumsum(known)])
+        edges = before[np.append(begins[start:stop], ends[stop - 1]) - begins[start]]
+        held = np.flatnonzero(np.diff(edges))
+        if len(held):
+            sums = np.add.reduceat(table.weights[words[known]].astype(np.int64), edges[:-1][held], axis=0)
+            out[start + held] = sums.argmax(axis=1)
+    return out
+
+
+def _vote(found: np.ndarray, starts: np.ndarray, labels: list[str]) -> list[str]:
+    """Most frequent label between starts, the smallest name on a tie."""
+    ranked = sorted(range(len(labels)), key=lambda i: labels[i])
+    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    cells = text * len(labels) + np.argsort(ranked)[found]
+    counts = np.bincount(cells, minlength=(len(starts) - 1) * len(labels)).reshape(-1, len(labels))
+    return [labels[ranked[i]] for i in counts.argmax(axis=1)]
+
+
+def linear_scorer(models: list[Model], most_bytes: int = MACHINE_BYTES) -> Callable[[], Scorer]:
+    """Factory of a scorer for stored word models that fit a machine's memory, to be given `word_keys`.
+
+    Spark sorts a model by the digest of its words and executors fetch the files; no model passes through
+    the driver. A model is mapped into memory, so that all tasks of an executor share one copy. Larger models are
+    for `label_articles`, which joins them by word.
+    """
+    size = sum(model_size(model) for model in models)
+    if size > most_bytes:
+        raise ValueError(f"models of {size} bytes outgrow {most_bytes}: join them by word with label_articles")
     context = models[0].weights.sparkSession.sparkContext
     parts = []
     for model in models:
         path = new_path(models[0].weights.sparkSession, f"scorer-{model.name}")
-        model.weights.select("token", "w").write.parquet(path)
+        keys = [_digest(n, F.col("token")).alias(f"key{n}") for n in (1, 2)]
+        model.weights.select(*keys, "w").repartitionByRange("key1").sortWithinPartitions("key1").write.parquet(path)
         context.addFile(path, recursive=True)
         parts.append((model.name, list(model.labels), path.rsplit("/", 1)[-1]))
 
-    def load(labels: list[str], folder: str) -> tuple[pa.Array, np.ndarray]:
-        table = pq.read_table(SparkFiles.get(folder), partitioning=None).combine_chunks()
-        weights = table["w"].combine_chunks().flatten().to_numpy().reshape(-1, len(labels))
-        return table["token"].combine_chunks(), weights
-
-    def vote(found: np.ndarray, starts: np.ndarray, labels: list[str]) -> list[str]:
-        """Most frequent label between starts, the smallest name on a tie."""
-        ranked = sorted(range(len(labels)), key=lambda i: labels[i])
-        names = [labels[i] for i in ranked]
-        counts = np.zeros((len(starts) - 1, len(labels)), np.int64)
-        text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        np.add.at(counts, (text, np.argsort(ranked)[found]), 1)
-        return [names[i] for i in counts.argmax(axis=1)]
-
     def make() -> Scorer:
-        loaded = [(name, labels, *load(labels, folder)) for name, labels, folder in parts]
-
-        def score(texts: pa.Array) -> pa.RecordBatch:
-            null = texts.is_null().to_numpy(zero_copy_only=False)
-            held = texts.drop_null()
-            windows = held.flatten()
-            starts = np.concatenate([[0], np.cumsum(pc.list_value_length(held).to_numpy(zero_copy_only=False))]).astype(np.int64)
-            words = windows.flatten()
-            owner = np.repeat(np.arange(len(windows)), pc.list_value_length(windows).to_numpy(zero_copy_only=False))
+        loaded = [(name, labels, open_words(SparkFiles.get(folder), len(labels))) for name, labels, folder in parts]
+
+        def score(keys: pa.Array) -> pa.RecordBatch:
+            null = keys.is_null().to_numpy(zero_copy_only=False)
+            held = keys.drop_null()
+            lists = [held.field(i) for i in range(2)]
+            n = pc.list_value_length(lists[0]).to_numpy(zero_copy_only=False).astype(np.int64)
+            first, second = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+            # A text has a window for every WINDOW_TOKENS words begun, and one if it has none.
+            windows = np.maximum(1, -(-n // WINDOW_TOKENS))
+            starts = np.concatenate([[0], np.cumsum(windows)])
+            inside = np.arange(starts[-1]) - np.repeat(starts[:-1], windows) + 1
+            ends = np.minimum(inside * WINDOW_TOKENS, np.repeat(n, windows)) + np.repeat(np.cumsum(n) - n, windows)
             columns = []
-            for _, labels, known_words, weights in loaded:
-                place = pc.fill_null(pc.index_in(words, known_words), -1).to_numpy(zero_copy_only=False)
-                known = place >= 0
-                sums = np.zeros((len(windows), len(labels)), np.int64)
-                np.add.at(sums, owner[known], weights[place[known]])
-                best = sums.argmax(axis=1)
-                best[np.bincount(owner[known], minlength=len(windows)) == 0] = labels.index(NEUTRAL)
+            for _, labels, table in loaded:
+                best = _best(table, table.places(first, second), ends, labels.index(NEUTRAL))
                 out = np.full(len(null), None, object)
-                out[~null] = vote(best, starts, labels)
+                out[~null] = _vote(best, starts, labels)
                 columns.append(pa.array(out, pa.string()))
             return pa.RecordBatch.from_arrays(columns, [name for name, *_ in loaded])
 

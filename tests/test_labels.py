@@ -1,6 +1,7 @@
 import collections
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from presswork.operators.models import (
     save_model,
     sentiment_model,
 )
-from presswork.operators.predict import linear_scorer, predict_labels, word_windows
+from presswork.operators.predict import WordTable, linear_scorer, open_words, predict_labels, word_keys
 from presswork.sources.shared import new_path
 
 VOCABULARY = ["".join(random.Random(i).choices("abcdefgh", k=3)) + "x" * (i % 3) for i in range(150)]
@@ -71,7 +72,7 @@ def test_pluggable_scorer_gives_the_same(spark, models, texts):
     odd = [f"x² {word}½ Ⅷ{word}", "x² x² x²", f"{word}\u0301{word}", "½x abcⅧ", f"{word}_{word} ٣{word}"]
     articles = spark.createDataFrame(list(enumerate(texts + odd)), "k int, article string").repartition(3)
     native = label_articles(articles, models, ["k"])
-    arrow = predict_labels(articles, linear_scorer(models), ["sentiment", "emotion"], given=word_windows)
+    arrow = predict_labels(articles, linear_scorer(models), ["sentiment", "emotion"], given=word_keys)
     assert sorted(map(repr, native.collect())) == sorted(map(repr, arrow.collect()))
 
 
@@ -85,11 +86,38 @@ def test_scorer_takes_a_model_of_any_size(spark, models):
     """Above 128 MB by the measure that decides on a broadcast."""
     large = Model("sentiment", SENTIMENTS, models[0].weights, 200 << 20)
     articles = spark.createDataFrame([(1, VOCABULARY[0]), (2, None)], "k int, article string")
-    arrow = predict_labels(articles, linear_scorer([large]), ["sentiment"], given=word_windows)
+    arrow = predict_labels(articles, linear_scorer([large]), ["sentiment"], given=word_keys)
     native = label_articles(articles, [large], ["k"])
     assert sorted(map(repr, arrow.collect())) == sorted(map(repr, native.collect()))
 
 
+def test_words_are_found_by_both_digests():
+    first = np.array([-5, 2, 2, 2, 9])
+    table = WordTable(first, np.array([1, 7, 3, 5, 1]), np.zeros((5, 3), np.int32))
+    asked = [(-5, 1), (-5, 2), (2, 3), (2, 5), (2, 7), (2, 4), (9, 1), (10, 1), (-9, 1), (3, 1)]
+    found = table.places(*(np.array(x) for x in zip(*asked)))
+    assert found.tolist() == [0, -1, 2, 3, 1, -1, 4, -1, -1, -1]
+    assert WordTable(first[:0], first[:0], np.zeros((0, 3))).places(first, first).tolist() == [-1] * 5
+
+
+def test_model_is_turned_and_opened_once(spark, models, tmp_path):
+    keys = [F.xxhash64("token", F.lit(n)).alias(f"key{n}") for n in (1, 2)]
+    rows = models[0].weights.select(*keys, "w")
+    folder = str(tmp_path / "model")
+    rows.repartitionByRange(3, "key1").sortWithinPartitions("key1").write.parquet(folder)
+    (tmp_path / "model.first.part").write_bytes(b"left by a process that was ended")
+    table = open_words(folder, 3)
+    assert open_words(folder, 3) is table and isinstance(table.weights, np.memmap)
+    assert len(table.first) == rows.count() and (np.diff(table.first) >= 0).all()
+    stored = {(r["key1"], r["key2"]): r["w"] for r in rows.collect()}
+    assert all(stored[int(a), int(b)] == list(w) for a, b, w in zip(table.first, table.second, table.weights))
+
+
+def test_models_that_outgrow_a_machine_are_refused(models):
+    with pytest.raises(ValueError, match="outgrow"):
+        linear_scorer(models, most_bytes=10)
+
+
 def test_rows_are_neither_multiplied_nor_lost(spark, models):
     word = VOCABULARY[0]
     rows = [("u", 1, word), ("u", 1, word), ("u", 1, VOCABULARY[1]), (None, 1, word), ("v", None, None), ("v", 1, "")]
