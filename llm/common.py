@@ -57,7 +57,8 @@ def learning_sample(
         part = usable.where(F.col("_label") == value).orderBy(*order).limit(per_class)
         chosen = part if chosen is None else chosen.unionAll(part)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()
+    # Of texts that share an id the first in order: the choice is the same in every run.
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.min("text").alias("text")).collect()
     return sorted(((r["text"], r["_label"]) for r in rows), key=lambda r: (hash_text(r[0]), r))
 
 

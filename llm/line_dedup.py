@@ -259,14 +259,11 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     return _reduced(documents).select(*others, F.col("_text").alias("text"), *counts)
 
 
-def drop_repeated_lines(documents: DataFrame, least_left: float = 0.0) -> DataFrame:
+def drop_repeated_lines(documents: DataFrame) -> DataFrame:
     """As dedup_lines with the input's columns only, and without documents that had lines and keep none of them.
 
-    Of every line one place stays this way. A caller that gives `least_left` also leaves out documents of whose
-    characters less than that share remains, and with them lines that stand nowhere else. A column n_chars is
-    brought up to date."""
-    old = F.length("_row.text")
-    copied = (F.col("_n_lines") > 0) & ((F.col("_n_kept") == 0) | (F.length("_text") < old * least_left))
+    Of every line one place stays this way. A column n_chars is brought up to date."""
+    copied = (F.col("_n_lines") > 0) & (F.col("_n_kept") == 0)
     new = {"text": F.col("_text"), "n_chars": F.length("_text")}
     columns = [
         new.get(f.name, F.col("_row")[f.name]).cast(f.dataType).alias(f.name) for f in documents.schema.fields
