@@ -370,6 +370,14 @@ def silver_build(spark, sf):
     return rows.select(SILVER_COLUMNS)
 
 
+@query("silver_build_in_place")
+def silver_build_in_place(spark, sf):
+    """The same articles from pages in buckets by URL, which stay where they are."""
+    crawl = t.stored_crawl(spark, sf)
+    rows, _ = build_silver(t.new_bronze(spark, sf), crawl, loaded_at=t.loaded_at(), broadcast_bytes=0, in_place=True)
+    return rows.select(SILVER_COLUMNS)
+
+
 @query("silver_chunked")
 def silver_chunked(spark, sf):
     """The same articles from a run in chunks of 500 with its state written between them, stopped and resumed."""

@@ -29,7 +29,7 @@ from presswork.operators.models import (
 from presswork.plans.gold import build_gold, write_gold
 from presswork.plans.silver import build_silver
 from presswork.sources.shared import materialize, new_path, spread
-from presswork.sources.tables import read_layer, replace_partitions
+from presswork.sources.tables import read_layer, replace_partitions, store_crawl
 
 LOADED_AT = "2024-01-01 00:00:00"
 MODEL_VERSIONS = (1, 2)
@@ -101,6 +101,15 @@ def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def stored_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crawl as a table in buckets by URL, written once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, "crawl-table")
+    if key not in _written:
+        _written[key] = f"crawl_{uuid.uuid4().hex}"
+        store_crawl(table(spark, sf_dir, "pages"), _written[key], spark.sparkContext.defaultParallelism)
+    return spark.table(_written[key])
+
+
 def document_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as articles: first line is the title, the other lines are the text."""
     first = F.substring_index("text", "\n", 1)

@@ -55,16 +55,24 @@ def title_without_text(articles: DataFrame) -> DataFrame:
     return articles.where((F.col("article_text") == "") & (F.col("article_title") != ""))
 
 
-def fetch_articles(located: DataFrame, crawl: DataFrame, few: bool = False) -> DataFrame:
+def fetch_articles(located: DataFrame, crawl: DataFrame, few: bool = False, in_place: bool = False) -> DataFrame:
     """Located rows with title, text and cleaned text; rows that lack either are left out.
 
     Pages are picked before they are read, so that only queued ones are parsed. `few` says that the located
-    rows were measured and fit a broadcast: no page moves then. Otherwise pages and rows meet in a merge
-    join, whose key lets Spark's runtime filter keep unqueued pages from the shuffle.
+    rows were measured and fit a broadcast: no page moves then. `in_place` says that the crawl is a table in buckets
+    by URL (`store_crawl`): the located rows are dealt like it and no page moves either. Otherwise pages and
+    rows meet in a merge join, whose key lets Spark's runtime filter keep unqueued pages from the shuffle.
     """
     found = located.where(F.col("page_id").isNotNull())
-    side = F.broadcast(found) if few else found.hint("merge")
-    articles = extract_articles(crawl.select("page_id", "html").join(side, "page_id"), found.columns)
+    if few:
+        joined = crawl.select("page_id", "html").join(F.broadcast(found), "page_id")
+    elif in_place:
+        # Joined by URL alone, as the buckets are; as a difference the page is no key that would deal both sides anew.
+        pages = crawl.select("url", F.col("page_id").alias("_page"), "html")
+        joined = pages.join(found.hint("merge"), "url").where(F.col("_page") - F.col("page_id") == 0)
+    else:
+        joined = crawl.select("page_id", "html").join(found.hint("merge"), "page_id")
+    articles = extract_articles(joined, found.columns)
     return non_empty(articles).withColumn("transformed_text", remove_urls(F.col("article_text")))
 
 

@@ -46,9 +46,11 @@ def numbered_queue(
     return numbered.select("SNo", (chunk + 1 + base).cast("int").alias("batch"), "url")
 
 
-def _silver_rows(located: DataFrame, crawl: DataFrame, few: bool, loaded_at: Column | None) -> DataFrame:
+def _silver_rows(
+    located: DataFrame, crawl: DataFrame, few: bool, loaded_at: Column | None, in_place: bool = False
+) -> DataFrame:
     at = F.current_timestamp() if loaded_at is None else loaded_at
-    return fetch_articles(located, crawl, few).withColumn("Timestamp", at).select(SILVER.names)
+    return fetch_articles(located, crawl, few, in_place).withColumn("Timestamp", at).select(SILVER.names)
 
 
 def build_silver(
@@ -58,12 +60,15 @@ def build_silver(
     chunk_size: int = CHUNK_ROWS,
     loaded_at: Column | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    in_place: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Silver rows of all queued URLs, and the outcome (url, processed, status) of each."""
+    """Silver rows of all queued URLs, and the outcome (url, processed, status) of each.
+
+    `in_place` says that the crawl is a table in buckets by URL, which is read without moving a page."""
     queue = numbered_queue(bronze, silver, chunk_size)
     few = is_few(queue, broadcast_bytes)
     located = locate_pages(queue, crawl, few)
-    return _silver_rows(located, crawl, few, loaded_at), fetch_outcomes(located)
+    return _silver_rows(located, crawl, few, loaded_at, in_place), fetch_outcomes(located)
 
 
 def current_queue(bronze: DataFrame, log: DataFrame) -> DataFrame:
@@ -104,12 +109,14 @@ def run_silver(
     chunk_size: int = BATCH_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     snapshot: str | None = None,
+    in_place: bool = False,
 ) -> dict[str, int]:
     """Fetch what is still to do into silver and log every outcome; returns the rows written to each.
 
     The numbers and batches of a run are stored under its run_id before anything else is written. A
     rerun, whatever has been written meanwhile, finds them and writes the same batches and log partition
     again. `silver` is the table that batches are numbered on from, in a first run. What earlier runs tried is left out.
+    `in_place` is for a crawl in buckets by URL.
     With a `snapshot` of the queue that is known from there and from the runs since, and this run is taken in at the end.
     """
     spark = bronze.sparkSession
@@ -119,7 +126,7 @@ def run_silver(
         queue = _numbering(bronze, silver, log_path, run_id, chunk_size, work, snapshot)
         few = is_few(queue, broadcast_bytes)
         located = work.materialize(locate_pages(queue, crawl, few), "located")
-        written = replace_partitions(_silver_rows(located, crawl, few, None), silver_path, ["batch"])
+        written = replace_partitions(_silver_rows(located, crawl, few, None, in_place), silver_path, ["batch"])
         log = fetch_outcomes(located).withColumn("run_id", F.lit(run_id).cast("bigint"))
         tried = replace_partitions(log, log_path, ["run_id"])
     if snapshot is not None:

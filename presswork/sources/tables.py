@@ -39,6 +39,18 @@ def create_layer_table(
     spark.sql(" ".join(clauses))
 
 
+def store_crawl(crawl: DataFrame, name: str, buckets: int, append: bool = False) -> DataFrame:
+    """Store crawled pages as a catalog table in buckets by URL, sorted in each, and return it.
+
+    Pages are shuffled once, here; every later look-up reads them in place. A bucket should fit a task: a URL that
+    was crawled very often fills one, so many buckets help only among URLs.
+    """
+    mode = "append" if append else "overwrite"
+    dealt = crawl.repartition(buckets, "url")
+    dealt.write.mode(mode).format("parquet").bucketBy(buckets, "url").sortBy("url").saveAsTable(name)
+    return crawl.sparkSession.table(name)
+
+
 def drop_layer_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 

@@ -14,7 +14,7 @@ from presswork.plans.bronze import run_import
 from presswork.plans.silver import build_silver, current_queue, run_silver, run_silver_chunks
 from presswork.schemas import BRONZE, FETCH_LOG, GOLD, SILVER
 from presswork.sources.shared import Work, new_path, path_exists, shared_folder
-from presswork.sources.tables import compact_partition, create_layer_table, drop_layer_table, read_layer, replace_partitions, write_table
+from presswork.sources.tables import compact_partition, create_layer_table, drop_layer_table, read_layer, replace_partitions, store_crawl, write_table
 from presswork.streaming import evolving
 from presswork.streaming.evolving import epoch_counts
 from presswork.streaming.gold import (
@@ -80,6 +80,30 @@ def test_small_and_large_queues_give_the_same_silver(spark, bronze, crawl):
     assert plain(small, CONTENT) == plain(large, CONTENT)
 
 
+def _moved_columns(spark, df):
+    """The columns of every exchange in a plan."""
+    explain = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", explain(df._jdf.queryExecution(), "formatted"))
+
+
+def test_pages_in_buckets_stay_where_they_are(spark, bronze, crawl):
+    # Two pages of one URL: the newer one counts.
+    older = crawl.where("page_id = 4").selectExpr("-1L as page_id", "url", "'<title>old</title><article>old</article>' as html")
+    pages = crawl.unionByName(older)
+    stored = store_crawl(pages, "t_crawl", 6)
+    moved, _ = build_silver(bronze, pages, chunk_size=25, broadcast_bytes=0)
+    still, outcomes = build_silver(bronze, stored, chunk_size=25, broadcast_bytes=0, in_place=True)
+    assert any("html" in columns for columns in _moved_columns(spark, moved))
+    exchanges = _moved_columns(spark, still)
+    assert exchanges and not any("html" in columns or "article" in columns for columns in exchanges)
+    assert plain(still, CONTENT) == plain(moved, CONTENT)
+    assert outcomes.count() == N
+    store_crawl(pages.selectExpr("page_id + 1000 as page_id", "url", "html"), "t_crawl", 6, append=True)
+    again, _ = build_silver(bronze, spark.table("t_crawl"), chunk_size=25, broadcast_bytes=0, in_place=True)
+    assert again.count() == N * 2 // 3
+    drop_layer_table(spark, "t_crawl")
+
+
 def test_later_runs_number_on(spark, bronze, crawl):
     first, _ = build_silver(bronze, crawl, chunk_size=25)
     second, _ = build_silver(bronze, crawl, silver=first, chunk_size=25)
