@@ -42,10 +42,12 @@ def _weigh_by_shuffle(words: DataFrame, key: Sequence[str], models: Sequence[Mod
     measured on these rows; a hot word's weights are copied and its rows dealt over the copies.
     """
     counted = words.groupBy(*key, "has_text", "window", "token").agg(F.count(F.lit(1)).alias("times"))
-    counted = materialize(counted, "window-words")
+    stored = materialize(counted, "window-words")
+    # Texts without words have a row without one: it meets no weight and need not move.
+    counted, wordless = stored.where(F.col("token").isNotNull()), stored.where(F.col("token").isNull())
     rows = counted.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
     share = F.greatest(int_div(counted.agg(F.count(F.lit(1)).alias("n")).scalar(), HOT_SHARES), F.lit(1000))
-    hot = rows.where((F.col("_n") > share) & F.col("token").isNotNull())
+    hot = rows.where(F.col("_n") > share)
     # Fewer than HOT_SHARES rows, whatever the input.
     hot = F.broadcast(hot.select("token", F.ceil(F.col("_n") / share).cast("int").alias("_copies")))
     copies = F.coalesce("_copies", F.lit(1))
@@ -53,7 +55,8 @@ def _weigh_by_shuffle(words: DataFrame, key: Sequence[str], models: Sequence[Mod
     dealt = counted.join(hot, "token", "left").withColumn("_copy", number).drop("_copies")
     weights = _joint_weights(models).join(hot, "token", "left")
     copied = weights.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_copies")
-    return dealt.join(copied.hint("merge"), ["token", "_copy"], "left")
+    weighed = dealt.join(copied.hint("merge"), ["token", "_copy"], "left")
+    return weighed.unionByName(wordless, allowMissingColumns=True)
 
 
 def window_scores(
