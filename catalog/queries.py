@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog import tables as t
 from presswork.functions.scores import label_of
+from presswork.functions.subwords import subword_tokenizer
 from presswork.functions.tokens import head_tokens, token_windows, tokens
 from presswork.functions.urls import article_key, remove_urls
 from presswork.operators import batches, fetch, queue
@@ -255,6 +256,16 @@ def token_windows_all(spark, sf):
     )
 
 
+@query("subword_windows")
+def subword_windows(spark, sf):
+    """Windows of 512 subword tokens of every document: their number, and the digest of each."""
+    tokenize = subword_tokenizer(t.subword_pieces(spark, sf))
+    words = t.documents(spark, sf).select("doc_id", tokenize(F.col("text")).alias("words"))
+    windows = words.select("doc_id", F.posexplode(token_windows(F.col("words"))).alias("window", "w"))
+    digest = F.md5(F.array_join("w", " ")).alias("tokens_md5")
+    return windows.select("doc_id", "window", F.size("w").alias("n_tokens"), digest)
+
+
 @query("silver_nonempty")
 def silver_nonempty(spark, sf):
     return fetch.non_empty(t.document_articles(spark, sf)).select("SNo", "batch", "url", "article_title")

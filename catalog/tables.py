@@ -53,6 +53,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"))
 
 
+def subword_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vocabulary by rule: what at least five words begin with, and what is inside of as many, of up to three characters."""
+    words = documents(spark, sf_dir).select(F.explode(tokens(F.col("text"))).alias("word")).distinct()
+    places = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("at"))
+    cut = places.select("word", "at", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("n"))
+    cut = cut.where(F.col("at") + F.col("n") - 1 <= F.length("word"))
+    mark = F.when(F.col("at") > 1, "##").otherwise("")
+    pieces = cut.select(F.concat(mark, F.substring("word", F.col("at"), F.col("n"))).alias("piece"))
+    return pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("n")).where("n >= 5").select("piece")
+
+
 def loaded_at() -> Column:
     return F.lit(LOADED_AT).cast("timestamp")
 

@@ -1,6 +1,6 @@
 """Scoring as joins and sums: words x weights -> window scores -> window labels -> article label."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +16,12 @@ from presswork.sources.shared import materialize
 HOT_SHARES = 1000
 
 
-def window_words(articles: DataFrame, key: Sequence[str], text: str) -> DataFrame:
+def window_words(
+    articles: DataFrame, key: Sequence[str], text: str, tokenize: Callable[[Column], Column] = tokens
+) -> DataFrame:
     """One row per word of the whole text: key, window, token. A text without words gives one row
-    with a null token. `has_text` is false for null texts."""
-    words = tokens(F.col(text))
+    with a null token. `has_text` is false for null texts. Words are what `tokenize` makes of a text."""
+    words = tokenize(F.col(text))
     listed = articles.select(*key, F.col(text).isNotNull().alias("has_text"), words.alias("words"))
     placed = listed.select(*key, "has_text", F.posexplode_outer("words").alias("at", "token"))
     window = int_div(F.coalesce("at", F.lit(0)), WINDOW_TOKENS).cast("int")
@@ -65,6 +67,7 @@ def window_scores(
     key: Sequence[str],
     text: str = "article",
     broadcast_bytes: int = BROADCAST_BYTES,
+    tokenize: Callable[[Column], Column] = tokens,
 ) -> DataFrame:
     """Per key and window: score array and count of known words for each model.
 
@@ -72,7 +75,7 @@ def window_scores(
     come from one row, so sums are complete before the shuffle, which carries one row per window.
     Larger ones are joined by a shuffle of the words. Both give the same scores.
     """
-    words = window_words(articles, key, text)
+    words = window_words(articles, key, text, tokenize)
     if fits_broadcast(models, broadcast_bytes):
         words = words.withColumn("times", F.lit(1))
         for model in models:
@@ -117,9 +120,10 @@ def label_keys(
     key: Sequence[str],
     text: str = "article",
     broadcast_bytes: int = BROADCAST_BYTES,
+    tokenize: Callable[[Column], Column] = tokens,
 ) -> DataFrame:
     """Key and labels of every article; texts that share a key are scored as one."""
-    scores = window_scores(articles, models, key, text, broadcast_bytes)
+    scores = window_scores(articles, models, key, text, broadcast_bytes, tokenize)
     return article_labels(window_labels(scores, models, key), models, key)
 
 
@@ -138,6 +142,7 @@ def label_articles(
     key: Sequence[str] = ("id", "batch"),
     text: str = "article",
     broadcast_bytes: int = BROADCAST_BYTES,
+    tokenize: Callable[[Column], Column] = tokens,
 ) -> DataFrame:
     """The articles with one label column per model; row for row, also for null or repeated keys.
 
@@ -146,5 +151,5 @@ def label_articles(
     join already partitioned by it.
     """
     digested = articles.withColumn("_article", article_digest(key, text))
-    labels = label_keys(digested, models, ["_article"], text, broadcast_bytes)
+    labels = label_keys(digested, models, ["_article"], text, broadcast_bytes, tokenize)
     return digested.join(labels, "_article", "left").select(*articles.columns, *[m.name for m in models])
