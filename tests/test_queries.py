@@ -13,7 +13,7 @@ from check import differences
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
 
-PYTHON_QUERIES = {"labels_arrow", "gold_arrow"}
+PYTHON_QUERIES = {"labels_arrow", "gold_arrow", "subword_windows"}
 
 
 @pytest.fixture(scope="module")
