@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 TOP = 20
 SCALE = 64
-CANDIDATES, QUERIES = 8192, 1024
-# Queries whose score arrays a task holds at once.
-_TOGETHER = 64
+CANDIDATES, QUERIES = 8192, 16384
+# Queries whose score arrays a task holds at once, and candidates that are scored at once.
+_TOGETHER, _ROWS = 64, 2048
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -42,34 +42,73 @@ def postings(weights: pa.ChunkedArray | pa.Array) -> dict[int, tuple[np.ndarray,
     return {int(t): (row[order[a:b]], values[order[a:b]]) for t, a, b in zip(terms, at, ends)}
 
 
+def _score_type(asked: dict, lists: dict) -> type:
+    """Whole numbers wide enough for every score and every sum on the way to it."""
+    bound = sum(
+        int(np.abs(asked[t][1]).max()) * int(np.abs(lists[t][1]).max()) for t in asked.keys() & lists.keys()
+    )
+    return np.int32 if bound < 2**31 else np.int64
+
+
+def _spread_list(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """A posting list with its zeros."""
+    out = np.zeros(size, values.dtype)
+    out[rows] = values
+    return out
+
+
+def _accumulate(scores: np.ndarray, asked: dict, lists: dict, start: int) -> None:
+    """Scatter the queries from `start` on, one column of `scores` each, over the postings of their dimensions."""
+    size, together = scores.shape
+    product = np.empty_like(scores)
+    for term, (rows, values) in asked.items():
+        low, high = np.searchsorted(rows, [start, start + together])
+        if term not in lists or low == high:
+            continue
+        weights = _spread_list(rows[low:high] - start, values[low:high], together)
+        held, held_values = lists[term]
+        if 2 * len(held) < size:
+            scores[held] += held_values[:, None] * weights
+        else:
+            # A list that holds most rows is cheaper with its zeros than by row number.
+            np.multiply(_spread_list(held, held_values, size)[:, None], weights, out=product)
+            scores += product
+
+
 def best_of_block(query_ids, query_weights, ids, weights, top: int = TOP) -> tuple[list, list, list]:
     """For every query its best candidates of the block: query ids, candidate ids and scores."""
     order = np.argsort(ids, kind="stable")
     ids, weights = ids[order], weights.take(pa.array(order))
     lists, asked = postings(weights), postings(query_weights)
+    kind = _score_type(asked, lists)
+    lists, asked = ({t: (rows, v.astype(kind)) for t, (rows, v) in x.items()} for x in (lists, asked))
+    own_from = np.searchsorted(ids, query_ids)
+    own_to = np.searchsorted(ids, query_ids, side="right")
     out: tuple[list, list, list] = ([], [], [])
     for start in range(0, len(query_ids), _TOGETHER):
-        stop = min(start + _TOGETHER, len(query_ids))
-        scores = np.zeros((stop - start, len(ids)), np.int64)
-        for term, (rows, values) in asked.items():
-            if term not in lists:
-                continue
-            low, high = np.searchsorted(rows, [start, stop])
-            held, held_values = lists[term]
-            for row, value in zip(rows[low:high], values[low:high]):
-                scores[row - start, held] += value * held_values
-        for i in range(start, stop):
-            others = np.flatnonzero(ids != query_ids[i])
-            mine = scores[i - start, others]
-            if len(mine) > top:
-                bar = np.partition(mine, len(mine) - top)[len(mine) - top]
-                above, level = np.flatnonzero(mine > bar), np.flatnonzero(mine == bar)
+        together = min(_TOGETHER, len(query_ids) - start)
+        scores = np.zeros((len(ids), together), kind)
+        # Some candidates at a time, so that their scores stay in the processor's cache.
+        for a in range(0, len(ids), _ROWS):
+            part = {}
+            for term, (rows, values) in lists.items():
+                low, high = np.searchsorted(rows, [a, a + _ROWS])
+                if low < high:
+                    part[term] = (rows[low:high] - a, values[low:high])
+            _accumulate(scores[a : a + _ROWS], asked, part, start)
+        scores = np.ascontiguousarray(scores.T)
+        for i in range(start, start + together):
+            mine, a, b = scores[i - start], own_from[i], own_to[i]
+            others = np.delete(mine, slice(a, b)) if a < b else mine
+            if len(others) > top:
+                bar = np.partition(others, len(others) - top)[len(others) - top]
+                above, level = np.flatnonzero(others > bar), np.flatnonzero(others == bar)
                 chosen = np.concatenate([above, level[: top - len(above)]])
             else:
-                chosen = np.arange(len(mine))
+                chosen = np.arange(len(others))
             out[0].append(np.full(len(chosen), query_ids[i]))
-            out[1].append(ids[others[chosen]])
-            out[2].append(mine[chosen])
+            out[1].append(ids[np.where(chosen >= a, chosen + (b - a), chosen)])
+            out[2].append(others[chosen].astype(np.int64))
     return out
 
 
