@@ -4,13 +4,16 @@ Equal lines are one line from the start. A line's signature is the lowest hash o
 shingles in each bin of the hash space; bands of the signature are the tiles in which
 lines meet. Each line of a tile is compared with the tile's lowest, then, while the tile still holds
 several components, with members of its largest. Tiles that are not of one piece after that are
-gone through pair by pair across components, some members at a time.
+gone through pair by pair across components, by pairs of blocks.
 Of every component the first line, by document and place, is kept.
 
-Everything is SQL functions. Shingles are hashed within the row of their line and never move.
+Everything is SQL functions. Shingles are rows only within the task that holds their line: they are hashed
+and reduced to lowest hashes and bitmaps in generated code, and never move. A bit that only one of two lines has set
+stands for shingles that only this one has, so bitmaps bound the similarity of a pair from above; pairs that they
+rule out are never compared by their texts.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import fits_broadcast
@@ -21,11 +24,12 @@ SHINGLE = 8
 # Lines are the same when SHARE * |union| <= PART * |intersection|: a similarity of 0.8 or more.
 SHARE, PART = 4, 5
 BANDS, ROWS = 8, 4
-PER_BIN = 5
+# Words of 64 bits that a band adds to the bitmap of a line; a power of two.
+WORDS = 2
 # Rounds in which members of a tile's smaller components are compared with one of its largest.
-PROBES = 3
-# Members of a tile that are compared with all others of it in one round.
-PER_ROUND = 8
+PROBES = 1
+# Members of a tile that meet those of another block, or their own, in one group.
+BLOCK = 1024
 _WIDTH = 4
 
 
@@ -69,56 +73,94 @@ def _shingles(line: str) -> Column:
     return F.array_distinct(F.flatten(each))
 
 
-_IN_BIN = 2**59 - 1
+def _bin(value: Column) -> Column:
+    """The bin, from 0, of a hash: bins in their order are hashes in their order."""
+    return F.shiftright(value, 59) + BANDS * ROWS // 2
 
 
-def _bin(value: Column) -> Column:
-    return F.shiftright(value, 59)
+def _band_columns(band: int) -> list[Column]:
+    """Lowest hashes and bitmap words of a line's band, from rows of bands."""
+    own = F.col("band") == band
+    lowest = [F.min(F.when(own, F.col(f"m{i}"))).alias(f"m{band * ROWS + i}") for i in range(ROWS)]
+    words = [F.bit_or(F.when(own, F.col(f"w{i}"))).alias(f"w{band * WORDS + i}") for i in range(WORDS)]
+    return lowest + words
 
 
-def signed_lines(lines: DataFrame) -> DataFrame:
-    """h, g, first and the keys of the bands of every distinct line.
+def _lowest_hashes(lines: DataFrame) -> DataFrame:
+    """h, first, n, the lowest hash of each bin as m0, m1 ... (null: none) and the words w0, w1 ... of a bitmap.
 
-    What several expressions read is the one element of an array, so that it is computed once.
+    Lines are dealt by (h, g), so both groupings stay within the task.
     """
-    n = BANDS * ROWS
-    low = F.lit(float(_IN_BIN) * n * PER_BIN)
-    # Of many shingles those low within their bin are enough: on average PER_BIN are left in each.
-    few = F.transform(
-        F.array(_shingles("line")),
-        lambda s: F.filter(s, lambda x: x.bitwiseAND(F.lit(_IN_BIN)) * F.size(s).cast("double") < low),
+    line = F.col("line")
+    key = ["h", "g", "_doc", "_hash", "_pos"]
+    wide = lines.select("h", "g", "first.*", F.encode(line, "UTF-32").alias("wide"), _places(line).alias("places"))
+    hashed = wide.select(*key, "wide", F.explode("places").alias("at"))
+    hashed = hashed.select(*key, _shingle(F.col("wide"), F.col("at")).alias("x"))
+    cut = hashed.select(
+        *key,
+        "x",
+        (F.shiftright("x", 61) + BANDS // 2).alias("band"),
+        F.shiftright("x", 59).bitwiseAND(F.lit(ROWS - 1)).alias("row"),
+        F.shiftright("x", 6).bitwiseAND(F.lit(WORDS - 1)).alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("x").bitwiseAND(F.lit(63)).cast("int")).alias("bit"),
     )
-    ordered = F.transform(few, lambda s: F.sort_array(s))
-    # One permutation, cut into as many bins as the signature has values: the lowest hash of each bin.
-    lowest = F.transform(
-        ordered, lambda s: F.filter(s, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(s, F.greatest(i - 1, F.lit(0))))))
+    bands = cut.groupBy("h", "g", "band").agg(
+        *(F.min(F.when(F.col("row") == i, F.col("x"))).alias(f"m{i}") for i in range(ROWS)),
+        *(F.bit_or(F.when(F.col("word") == i, F.col("bit"))).alias(f"w{i}") for i in range(WORDS)),
+        F.count(F.lit(1)).alias("n"),
+        *(F.min(c).alias(c) for c in key[2:]),
     )
-    # A bin that a short line leaves empty takes the value of the next one that it fills; which that is
-    # follows from the number of filled bins below, counted in a bit mask.
+    return bands.groupBy("h", "g").agg(
+        F.struct(*(F.min(c).alias(c) for c in key[2:])).alias("first"),
+        F.sum("n").alias("n"),
+        *(c for band in range(BANDS) for c in _band_columns(band)),
+    )
+
+
+def signed_lines(lines: DataFrame) -> DataFrame:
+    """h, first, n, the number of shingles, the words of a bitmap, and the keys of the bands of every distinct line."""
+    n = BANDS * ROWS
+    every = F.array(*(F.col(f"m{i}") for i in range(n)))
+    # What several expressions read is the one element of an array, so that it is computed once.
     one = F.lit(1).cast("bigint")
     masked = F.transform(
-        lowest,
+        F.array(F.array_compact(every)),
         lambda m: F.struct(
             m.alias("m"),
-            F.aggregate(m, F.lit(0).cast("bigint"), lambda mask, x: mask.bitwiseOR(F.call_function("shiftleft", one, (_bin(x) + n // 2).cast("int")))).alias("mask"),
+            F.aggregate(m, F.lit(0).cast("bigint"), lambda mask, x: mask.bitwiseOR(F.call_function("shiftleft", one, _bin(x).cast("int")))).alias("mask"),
         ),
     )
 
+    # A bin that a short line leaves empty takes the value of the next one that it fills; which that is
+    # follows from the number of filled bins below, counted in a bit mask.
     def value(s: Column, i: Column) -> Column:
         below = F.bit_count(s["mask"].bitwiseAND(F.call_function("shiftleft", one, i) - 1))
         return F.coalesce(F.get(s["m"], below), F.get(s["m"], F.lit(0)))
 
-    every = F.sequence(F.lit(0), F.lit(n - 1))
-    signature = F.transform(
-        masked, lambda s: F.when(F.size(s["m"]) == n, s["m"]).otherwise(F.transform(every, lambda i: value(s, i)))
-    )
-    bands = F.transform(
-        signature,
-        lambda m: F.transform(
-            F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.slice(m, i * ROWS + 1, F.lit(ROWS)))
-        ),
-    )
-    return lines.select("h", "g", "first", F.flatten(bands).alias("bands"))
+    places = F.sequence(F.lit(0), F.lit(n - 1))
+    filled = F.get(F.transform(masked, lambda s: F.transform(places, lambda i: value(s, i))), F.lit(0))
+    full = F.lit(True)
+    for i in range(n):
+        full = full & F.col(f"m{i}").isNotNull()
+    words = [F.coalesce(w, F.lit(0).cast("bigint")).alias(w) for w in _word_names()]
+    signed = _lowest_hashes(lines).select("h", "first", "n", *words, F.when(full, every).otherwise(filled).alias("m"))
+    bands = [F.xxhash64(F.lit(i), F.slice("m", i * ROWS + 1, ROWS)) for i in range(BANDS)]
+    return signed.select("h", "first", "n", *_word_names(), F.array(*bands).alias("bands"))
+
+
+def _word_names() -> list[str]:
+    return [f"w{i}" for i in range(BANDS * WORDS)]
+
+
+def _may_be_similar(left: str, right: str) -> Column:
+    """Whether bitmaps leave room for enough similarity of two lines, given as structs of n and words.
+
+    Similar sets differ in at most a quarter of the smaller one's shingles.
+    """
+    apart = F.lit(0)
+    for w in _word_names():
+        apart = apart + F.bit_count(F.col(f"{left}.{w}").bitwiseXOR(F.col(f"{right}.{w}")))
+    return apart * SHARE <= F.least(F.col(f"{left}.n"), F.col(f"{right}.n")) * (PART - SHARE)
 
 
 def _texts_of(documents: DataFrame, lines: DataFrame) -> DataFrame:
@@ -148,22 +190,36 @@ def _similar(a: str, b: str) -> Column:
     return F.exists(counted, lambda c: c["shared"] * PART >= (c["both"] - c["shared"]) * SHARE)
 
 
-def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, maps: DataFrame, texts: DataFrame) -> DataFrame:
     """Those pairs (a, b) of lines that are similar."""
+    left = maps.select(F.col("h").alias("a"), F.col("map").alias("_x"))
+    right = maps.select(F.col("h").alias("b"), F.col("map").alias("_y"))
+    near = pairs.join(left, "a").join(right, "b").where(_may_be_similar("_x", "_y")).select("a", "b")
+    return _compare_texts(materialize(near, "near-lines"), texts)
+
+
+def _compare_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("h").alias("a"), F.col("line").alias("_a"))
     right = texts.select(F.col("h").alias("b"), F.col("line").alias("_b"))
     return pairs.join(left, "a").join(right, "b").where(_similar("_a", "_b")).select("a", "b")
 
 
-def _open_tiles(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (key, h, component) of the tiles that hold several components, with the largest one, _main."""
-    placed = connected_components(links).withColumnRenamed("node", "h")
-    members = shared.select("key", "h").join(placed, "h", "left").withColumn("component", F.coalesce("component", "h"))
-    mixed = members.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-    tiles = mixed.where(F.col("_low") != F.col("_high")).select("key")
-    open_members = members.join(tiles, "key")
-    sizes = open_members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("_n", "component"))["component"].alias("_main"))
+def _open_tiles(shared: DataFrame, placed: DataFrame) -> DataFrame:
+    """Members (key, h, component) of the tiles that hold several components, with the largest one, _main, and their number, _n."""
+    named = placed.withColumnRenamed("node", "h")
+    members = shared.select("key", "h").join(named, "h", "left").withColumn("component", F.coalesce("component", "h"))
+    mixed = members.groupBy("key").agg(
+        F.min("component").alias("_low"),
+        F.max("component").alias("_high"),
+        F.bit_xor(F.xxhash64("h")).alias("_x"),
+        F.bit_xor(F.xxhash64(F.lit(3), "h")).alias("_y"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    # Tiles with the same members are gone through once.
+    tiles = mixed.where(F.col("_low") != F.col("_high")).groupBy("_x", "_y", "_n").agg(F.min("key").alias("key"))
+    open_members = members.join(tiles.select("key", "_n"), "key")
+    sizes = open_members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_size"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("_size", "component"))["component"].alias("_main"))
     return materialize(open_members.join(largest, "key"), "open-tiles")
 
 
@@ -179,48 +235,58 @@ def _probes(seated: DataFrame, number: int) -> DataFrame:
     return others.select(*_pair("h", "_probe")).distinct()
 
 
-def _across_components(seated: DataFrame) -> list[DataFrame]:
-    """All pairs of lines of different components in the same tile, in rounds that are bounded per tile."""
-    order = Window.partitionBy("key").orderBy("component", "h")
-    # The largest component is left out of the ranking; the rest may be many in a hostile tile only.
-    small = seated.where(F.col("component") != F.col("_main")).withColumn("_rank", F.row_number().over(order))
-    small = materialize(small.select("key", F.col("h").alias("a"), F.col("component").alias("_own"), "_rank"), "small")
-    rounds = -(-(small.agg(F.coalesce(F.max("_rank"), F.lit(0))).first()[0]) // PER_ROUND)
-    pairs = []
-    for number in range(rounds):
-        chosen = small.where(F.col("_rank").between(number * PER_ROUND + 1, (number + 1) * PER_ROUND))
-        met = seated.join(chosen, "key").where(F.col("component") != F.col("_own"))
-        pairs.append(met.select(*_pair("a", "h")).distinct())
-    return pairs
+def _across_components(seated: DataFrame, maps: DataFrame) -> DataFrame:
+    """Pairs of lines of different components in the same tile that bitmaps do not rule out.
+
+    A member meets the blocks of its tile one by one; a group holds at most about BLOCK members of each side,
+    and pairs that are ruled out are never rows.
+    """
+    blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("h"), blocks).cast("int")
+    members = seated.join(maps, "h").select("key", "h", "component", "_main", "map", blocks.alias("_blocks"), own.alias("_own"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    one = members.where(F.col("component") != F.col("_main")).select(
+        "key", F.col("_own").alias("_i"), every.alias("_j"), F.col("h").alias("a"), F.col("component").alias("_c"), F.col("map").alias("_x")
+    )
+    other = members.select("key", every.alias("_i"), F.col("_own").alias("_j"), F.col("h").alias("b"), F.col("component").alias("_d"), F.col("map").alias("_y"))
+    met = one.hint("merge").join(other, ["key", "_i", "_j"]).where((F.col("_c") != F.col("_d")) & _may_be_similar("_x", "_y"))
+    return met.select(*_pair("a", "b")).distinct()
+
+
+def _as_links(placed: DataFrame) -> DataFrame:
+    return placed.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
-def line_links(documents: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of hashes of similar lines, enough to connect all that are."""
+def line_components(documents: DataFrame, signed: DataFrame) -> DataFrame:
+    """node and component of the lines, by hash, that are similar to others."""
     seats = signed.select("h", F.explode("bands").alias("key"))
     centres = seats.groupBy("key").agg(F.min("h").alias("c"), F.max("h").alias("_high"))
     centres = centres.where(F.col("c") != F.col("_high")).select("key", "c")
     shared = materialize(seats.join(centres, "key"), "line-tiles")
-    met = shared.select("h").distinct()
-    texts = materialize(_texts_of(documents, signed.join(met, "h", "left_semi").select("h", "first")), "lines")
+    met = materialize(shared.select("h").distinct(), "met-lines")
+    chosen = signed.join(met, "h", "left_semi")
+    maps = materialize(chosen.select("h", F.struct("n", *_word_names()).alias("map")).dropDuplicates(["h"]), "line-maps")
+    texts = materialize(_texts_of(documents, chosen.select("h", "first")), "lines")
     pairs = materialize(shared.where(F.col("h") != F.col("c")).select(*_pair("c", "h")).distinct(), "probes")
-    links = tried = None
+    placed = None
+    tried = pairs
     for number in range(PROBES + 1):
-        found = materialize(_verify(pairs, texts), "line-links")
-        links = found if links is None else links.unionAll(found)
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        seated = _open_tiles(shared, links)
+        found = _verify(pairs, maps, texts)
+        # Components that are known stand for the links that they came from.
+        links = found if placed is None else found.unionAll(_as_links(placed))
+        placed = materialize(connected_components(links), "line-components")
+        seated = _open_tiles(shared, placed)
         if number < PROBES:
             pairs = materialize(_probes(seated, number).join(tried, ["a", "b"], "left_anti"), "probes")
-    for more in _across_components(seated):
-        fresh = more.join(tried, ["a", "b"], "left_anti")
-        links = links.unionAll(materialize(_verify(fresh, texts), "line-links"))
-    return links
+            tried = tried.unionAll(pairs)
+    rest = materialize(_across_components(seated, maps).join(tried, ["a", "b"], "left_anti"), "near-lines")
+    return connected_components(_compare_texts(rest, texts).unionAll(_as_links(placed)))
 
 
 def kept_lines(documents: DataFrame) -> DataFrame:
     """_doc, _hash and the places, in order, of the lines that each document keeps."""
     signed = materialize(signed_lines(distinct_lines(documents)), "signed-lines")
-    placed = connected_components(line_links(documents, signed)).withColumnRenamed("node", "h")
+    placed = line_components(documents, signed).withColumnRenamed("node", "h")
     grouped = signed.select("h", "first").join(placed, "h", "left")
     alone = grouped.where(F.col("component").isNull()).select("first")
     first = grouped.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("first").alias("first"))

@@ -263,7 +263,7 @@ def test_lines_of_odd_tables(spark, frame):
     out = sorted((r["doc_id"] or 0, r["n_kept"]) for r in line_dedup.dedup_lines(frame(rows)).collect())
     assert out == [(0, 0), (5, 2), (5, 2), (7, 1)]
     assert line_dedup.dedup_lines(frame([])).count() == 0
-    kept = line_dedup.drop_repeated_lines(frame(rows), 0.2)
+    kept = line_dedup.drop_repeated_lines(frame(rows))
     assert kept.columns == frame(rows).columns and kept.where(F.col("doc_id").isNull()).count() == 0
 
 
