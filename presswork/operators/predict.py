@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from presswork.functions.constants import NEUTRAL, WINDOW_TOKENS
 from presswork.functions.tokens import tokens
 from presswork.operators.models import Model, model_size
-from presswork.sources.shared import new_path
+from presswork.sources.shared import mounted_path, new_path
 
 Scorer = Callable[[pa.Array], pa.RecordBatch]
 # Largest models, together, that a machine maps into memory.
@@ -99,19 +99,21 @@ class WordTable:
 _opened: dict[str, WordTable] = {}
 
 
-def open_words(folder: str, n_labels: int) -> WordTable:
-    """The model that Spark fetched into a folder; opened once by a process, its pages shared by all of a machine.
+def open_words(folder: str, n_labels: int, place: str | None = None) -> WordTable:
+    """The model whose files Spark fetched into a folder, or wrote there where it is mounted; opened once by a process.
 
-    The first process to come turns the fetched files, each a sorted range, into plain columns, file by file;
-    they take their names when they are whole, so a process that is ended meanwhile leaves nothing half done.
+    The first process to come turns the files, each a sorted range, into plain columns, file by file; these are
+    named after `place`, a path of this machine, and their pages are shared by all that run there. They take
+    their names when they are whole, so a process that is ended meanwhile leaves nothing half done.
     """
-    if folder in _opened:
-        return _opened[folder]
+    place = place or folder
+    if place in _opened:
+        return _opened[place]
     kinds = {"first": np.int64, "second": np.int64, "weights": np.int32}
-    with open(f"{folder}.lock", "w") as lock:
+    with open(f"{place}.lock", "w") as lock:
         fcntl.flock(lock, fcntl.LOCK_EX)
-        if not os.path.exists(f"{folder}.weights"):
-            files = [open(f"{folder}.{name}.part", "wb") for name in kinds]
+        if not os.path.exists(f"{place}.weights"):
+            files = [open(f"{place}.{name}.part", "wb") for name in kinds]
             for part in sorted(x for x in os.listdir(folder) if x.startswith("part-")):
                 for batch in pq.ParquetFile(f"{folder}/{part}").iter_batches():
                     columns = [batch.column(0), batch.column(1), batch.column(2).flatten()]
@@ -119,14 +121,14 @@ def open_words(folder: str, n_labels: int) -> WordTable:
                         file.write(column.to_numpy(zero_copy_only=False).astype(kind).tobytes())
             for file, name in zip(files, kinds):
                 file.close()
-                os.replace(f"{folder}.{name}.part", f"{folder}.{name}")
+                os.replace(f"{place}.{name}.part", f"{place}.{name}")
 
     def mapped(name: str) -> np.ndarray:
-        path = f"{folder}.{name}"
+        path = f"{place}.{name}"
         return np.memmap(path, kinds[name], "r") if os.path.getsize(path) else np.zeros(0, kinds[name])
 
     table = WordTable(mapped("first"), mapped("second"), mapped("weights").reshape(-1, n_labels))
-    _opened[folder] = table
+    _opened[place] = table
     return table
 
 
@@ -159,24 +161,31 @@ def _vote(found: np.ndarray, starts: np.ndarray, labels: list[str]) -> list[str]
 def linear_scorer(models: list[Model], most_bytes: int = MACHINE_BYTES) -> Callable[[], Scorer]:
     """Factory of a scorer for stored word models that fit a machine's memory, to be given `word_keys`.
 
-    Spark sorts a model by the digest of its words and executors fetch the files; no model passes through
-    the driver. A model is mapped into memory, so that all tasks of an executor share one copy. Larger models are
+    Spark sorts a model by the digest of its words. Executors read the files where the shared folder is mounted, and
+    fetch them from any other store; no model passes through the driver. A model is mapped into memory, so that all tasks of an executor share one copy. Larger models are
     for `label_articles`, which joins them by word.
     """
     size = sum(model_size(model) for model in models)
     if size > most_bytes:
         raise ValueError(f"models of {size} bytes outgrow {most_bytes}: join them by word with label_articles")
-    context = models[0].weights.sparkSession.sparkContext
+    spark = models[0].weights.sparkSession
     parts = []
     for model in models:
-        path = new_path(models[0].weights.sparkSession, f"scorer-{model.name}")
+        path = new_path(spark, f"scorer-{model.name}")
         keys = [_digest(n, F.col("token")).alias(f"key{n}") for n in (1, 2)]
         model.weights.select(*keys, "w").repartitionByRange("key1").sortWithinPartitions("key1").write.parquet(path)
-        context.addFile(path, recursive=True)
-        parts.append((model.name, list(model.labels), path.rsplit("/", 1)[-1]))
+        # Spark hands out no mounted folder on a cluster, where every machine sees it anyway.
+        mounted = mounted_path(spark, path)
+        if mounted is None:
+            spark.sparkContext.addFile(path, recursive=True)
+        parts.append((model.name, list(model.labels), path.rsplit("/", 1)[-1], mounted))
+
+    def opened(folder: str, mounted: str | None, labels: list[str]) -> WordTable:
+        own = SparkFiles.get(folder)
+        return open_words(mounted or own, len(labels), own)
 
     def make() -> Scorer:
-        loaded = [(name, labels, open_words(SparkFiles.get(folder), len(labels))) for name, labels, folder in parts]
+        loaded = [(name, labels, opened(folder, mounted, labels)) for name, labels, folder, mounted in parts]
 
         def score(keys: pa.Array) -> pa.RecordBatch:
             null = keys.is_null().to_numpy(zero_copy_only=False)

@@ -41,6 +41,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def mounted_path(spark: SparkSession, path: str) -> str | None:
+    """The plain path of what lies in a file system of the machine, None for a store that only Spark reads."""
+    files, place = _hadoop(spark, path)
+    uri = files.makeQualified(place).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def paths_like(spark: SparkSession, pattern: str) -> list[str]:
     """The paths that match a pattern."""
     files, place = _hadoop(spark, pattern)

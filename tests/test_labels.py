@@ -1,5 +1,9 @@
 import collections
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -91,6 +95,37 @@ def test_scorer_takes_a_model_of_any_size(spark, models):
     assert sorted(map(repr, arrow.collect())) == sorted(map(repr, native.collect()))
 
 
+_ON_A_CLUSTER = """
+import sys
+from pyspark.sql import SparkSession
+from presswork.functions.constants import SENTIMENTS
+from presswork.operators.models import Model
+from presswork.operators.predict import linear_scorer, predict_labels, word_keys
+
+spark = (
+    SparkSession.builder.master("local-cluster[2,1,1024]")
+    .config("spark.ui.enabled", "false")
+    .config("spark.driver.host", "127.0.0.1")
+    .config("spark.checkpoint.dir", "file://" + sys.argv[1])
+    .getOrCreate()
+)
+model = Model("sentiment", SENTIMENTS, spark.createDataFrame([("good", [0, 0, 1])], "token string, w array<int>"))
+rows = spark.range(40).selectExpr("id", "if(id % 2 = 0, 'good', 'other') AS article").repartition(4)
+scored = predict_labels(rows, linear_scorer([model]), ["sentiment"], given=word_keys)
+print({(r["id"] % 2, r["sentiment"]) for r in scored.collect()} == {(0, "positive"), (1, "neutral")}, scored.count())
+spark.stop()
+"""
+
+
+def test_scorer_on_executors_of_their_own(tmp_path):
+    """The driver is no executor here, and Spark refuses to hand out a folder of its machine."""
+    repo = Path(__file__).resolve().parent.parent
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("SPARK_", "PYSPARK_"))} | {"PYTHONPATH": str(repo)}
+    command = [sys.executable, "-c", _ON_A_CLUSTER, str(tmp_path / "shared")]
+    done = subprocess.run(command, env=env, cwd=tmp_path, capture_output=True, text=True, timeout=180)
+    assert done.stdout.split() == ["True", "40"], done.stderr[-2000:]
+
+
 def test_words_are_found_by_both_digests():
     first = np.array([-5, 2, 2, 2, 9])
     table = WordTable(first, np.array([1, 7, 3, 5, 1]), np.zeros((5, 3), np.int32))
