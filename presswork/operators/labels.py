@@ -1,6 +1,7 @@
 """Scoring as joins and sums: words x weights -> window scores -> window labels -> article label."""
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from presswork.functions.tokens import tokens
 from presswork.operators.models import BROADCAST_BYTES, Model, fits_broadcast
 from presswork.sources.shared import materialize
 
-# A word is hot with more than this share of all rows; there are at most as many hot words as shares.
+# A word is hot with more than this share of all words; there are at most as many hot words as shares.
 HOT_SHARES = 1000
+# Most frequent words of larger models, with their weights, that are sent to every executor.
+FREQUENT_BYTES = 64 * 1024 * 1024
 
 
 def window_words(
@@ -28,37 +31,51 @@ def window_words(
     return placed.select(*key, "has_text", window.alias("window"), "token")
 
 
-def _joint_weights(models: Sequence[Model]) -> DataFrame:
-    """token and one weight column per model, so that words are joined once."""
-    joint = None
+def _weights(model: Model) -> DataFrame:
+    return model.weights.select("token", F.col("w").alias(f"w_{model.name}"))
+
+
+def _frequent_words(words: DataFrame, models: Sequence[Model], most_bytes: int) -> DataFrame:
+    """The words that occur most, as many as measure at most `most_bytes` with their weights, and every hot word.
+
+    Words are counted over the whole input, within each task before they are shuffled. Counts are told apart by
+    powers of the eighth root of two: a table has a few hundred.
+    """
+    counted = words.where(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
+    counted = materialize(counted, "word-counts")
+    step = F.floor(F.log2("_n") * 8).cast("int")
+    size = F.sum(F.octet_length("token") + (64 + 4 * sum(len(m.labels) for m in models)))
+    steps = counted.groupBy(step.alias("step")).agg(size.alias("bytes"), F.sum("_n").alias("rows")).collect()
+    chosen, left = F.lit(False), most_bytes
+    for row in sorted(steps, reverse=True):
+        left -= row["bytes"]
+        if left < 0:
+            break
+        chosen = step >= row["step"]
+    # At most HOT_SHARES words, whatever the input.
+    share = max(1000, sum(row["rows"] for row in steps) // HOT_SHARES)
+    listed = counted.where(chosen | (F.col("_n") > share)).select("token")
+    found = listed
     for model in models:
-        weights = model.weights.select("token", F.col("w").alias(f"w_{model.name}"))
-        joint = weights if joint is None else joint.join(weights.hint("merge"), "token", "full")
-    return joint
+        known = _weights(model).join(F.broadcast(listed), "token", "left_semi")
+        found = found.join(known, "token", "left")
+    return materialize(found, "frequent-words")
 
 
-def _weigh_by_shuffle(words: DataFrame, key: Sequence[str], models: Sequence[Model]) -> DataFrame:
-    """Words with their weights and how often each occurs in its window, by a sorted merge join.
+def _weigh_by_shuffle(words: DataFrame, models: Sequence[Model], frequent_bytes: int) -> DataFrame:
+    """Words with their weights: frequent ones in their place, by a broadcast, the others by a sorted merge join.
 
-    Words are counted per window first, so a frequent word is one row per window. How hot a word is, is
-    measured on these rows; a hot word's weights are copied and its rows dealt over the copies.
+    Every word has a row, with weights if it is frequent. One that is not has a second row, with its weights, from the
+    join if a model knows it. These are few and none of them is hot.
     """
-    counted = words.groupBy(*key, "has_text", "window", "token").agg(F.count(F.lit(1)).alias("times"))
-    stored = materialize(counted, "window-words")
-    # Texts without words have a row without one: it meets no weight and need not move.
-    counted, wordless = stored.where(F.col("token").isNotNull()), stored.where(F.col("token").isNull())
-    rows = counted.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
-    share = F.greatest(int_div(counted.agg(F.count(F.lit(1)).alias("n")).scalar(), HOT_SHARES), F.lit(1000))
-    hot = rows.where(F.col("_n") > share)
-    # Fewer than HOT_SHARES rows, whatever the input.
-    hot = F.broadcast(hot.select("token", F.ceil(F.col("_n") / share).cast("int").alias("_copies")))
-    copies = F.coalesce("_copies", F.lit(1))
-    number = F.pmod(F.xxhash64(*key, "window"), copies).cast("int")
-    dealt = counted.join(hot, "token", "left").withColumn("_copy", number).drop("_copies")
-    weights = _joint_weights(models).join(hot, "token", "left")
-    copied = weights.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_copies")
-    weighed = dealt.join(copied.hint("merge"), ["token", "_copy"], "left")
-    return weighed.unionByName(wordless, allowMissingColumns=True)
+    frequent = _frequent_words(words, models, frequent_bytes)
+    placed = words.join(F.broadcast(frequent), "token", "left")
+    listed = F.broadcast(frequent.select("token"))
+    rare = words.where(F.col("token").isNotNull()).join(listed, "token", "left_anti")
+    for model in models:
+        rare = rare.join(_weights(model).join(listed, "token", "left_anti").hint("merge"), "token", "left")
+    known = reduce(Column.__or__, [F.col(f"w_{model.name}").isNotNull() for model in models])
+    return placed.unionByName(rare.where(known))
 
 
 def window_scores(
@@ -68,26 +85,26 @@ def window_scores(
     text: str = "article",
     broadcast_bytes: int = BROADCAST_BYTES,
     tokenize: Callable[[Column], Column] = tokens,
+    frequent_bytes: int = FREQUENT_BYTES,
 ) -> DataFrame:
     """Per key and window: score array and count of known words for each model.
 
     Models that measure at most `broadcast_bytes` together are sent to every executor: all words of a text
     come from one row, so sums are complete before the shuffle, which carries one row per window.
-    Larger ones are joined by a shuffle of the words. Both give the same scores.
+    Of larger ones the most frequent words are, up to `frequent_bytes`; the others are joined by a shuffle of
+    the words that are none of these. Both give the same scores.
     """
     words = window_words(articles, key, text, tokenize)
     if fits_broadcast(models, broadcast_bytes):
-        words = words.withColumn("times", F.lit(1))
         for model in models:
-            weights = model.weights.select("token", F.col("w").alias(f"w_{model.name}"))
-            words = words.join(F.broadcast(weights), "token", "left")
+            words = words.join(F.broadcast(_weights(model)), "token", "left")
     else:
-        words = _weigh_by_shuffle(words, key, models)
+        words = _weigh_by_shuffle(words, models, frequent_bytes)
     sums: list[Column] = [F.max("has_text").alias("has_text")]
     for model in models:
         weights = f"w_{model.name}"
         sums.append(F.count(weights).alias(f"known_{model.name}"))
-        sums.append(class_sums(weights, len(model.labels), "times").alias(f"scores_{model.name}"))
+        sums.append(class_sums(weights, len(model.labels)).alias(f"scores_{model.name}"))
     return words.groupBy(*key, "window").agg(*sums)
 
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from presswork.functions.constants import EMOTIONS, SENTIMENTS
-from presswork.operators.labels import label_articles, label_keys, window_scores
+from presswork.operators.labels import _frequent_words, label_articles, label_keys, window_scores
 from presswork.operators.models import (
     Model,
     emotion_model,
@@ -187,6 +187,32 @@ def test_hot_word_and_long_article_with_salted_join(spark):
     assert {r["sentiment"]: r["count"] for r in labels} == {"negative": 1, "positive": 299}
 
 
+def test_large_models_shuffle_rare_words_only(spark, models, texts):
+    """Frequent words meet their weights in place; what is frequent changes no score."""
+    articles = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "k int, article string").repartition(3)
+
+    def plain(scores):
+        rows = [(r["k"], r["window"], tuple(r["scores_sentiment"]), tuple(r["scores_emotion"])) for r in scores.collect()]
+        return sorted(rows)
+
+    expected = plain(window_scores(articles, models, ["k"]))
+    for most in (0, 20_000, 1 << 20):
+        assert plain(window_scores(articles, models, ["k"], broadcast_bytes=0, frequent_bytes=most)) == expected
+
+
+def test_frequent_words_fit_their_bytes(spark):
+    weights = spark.createDataFrame([(w, [1, 2, 3]) for w in ("a", "b", "c", "e")], "token string, w array<int>")
+    model = Model("sentiment", SENTIMENTS, weights)
+    words = spark.createDataFrame([(w,) for w in "a" * 9 + "b" * 5 + "d" * 5 + "c"] + [(None,)], "token string")
+    size = 1 + 64 + 4 * 3
+    got = lambda most: {(r["token"], r["w_sentiment"] is not None) for r in _frequent_words(words, [model], most).collect()}
+    assert got(size - 1) == set() and got(3 * size - 1) == {("a", True)}
+    # An unknown word is listed too, so that it need not move.
+    assert got(3 * size) == {("a", True), ("b", True), ("d", False)}
+    hot = words.unionByName(spark.range(3000).selectExpr("'x' AS token"))
+    assert {r["token"] for r in _frequent_words(hot, [model], 0).collect()} == {"x"}
+
+
 def test_model_versions(spark):
     root = new_path(spark, "versions")
     words = spark.createDataFrame([("a",), ("b",)], "token string")
