@@ -55,13 +55,12 @@ def title_without_text(articles: DataFrame) -> DataFrame:
     return articles.where((F.col("article_text") == "") & (F.col("article_title") != ""))
 
 
-def fetch_articles(located: DataFrame, crawl: DataFrame, few: bool = False, in_place: bool = False) -> DataFrame:
-    """Located rows with title, text and cleaned text; rows that lack either are left out.
+def pick_pages(located: DataFrame, crawl: DataFrame, few: bool = False, in_place: bool = False) -> DataFrame:
+    """Located rows with the page found for them, as it is; rows without one are left out.
 
-    Pages are picked before they are read, so that only queued ones are parsed. `few` says that the located
-    rows were measured and fit a broadcast: no page moves then. `in_place` says that the crawl is a table in buckets
-    by URL (`store_crawl`): the located rows are dealt like it and no page moves either. Otherwise pages and
-    rows meet in a merge join, whose key lets Spark's runtime filter keep unqueued pages from the shuffle.
+    `few` says that the located rows were measured and fit a broadcast: no page moves then. `in_place` says that
+    the crawl is a table in buckets by URL (`store_crawl`): the located rows are dealt like it and no page moves either.
+    Otherwise pages and rows meet in a merge join, whose key lets Spark's runtime filter keep unqueued pages from the shuffle.
     """
     found = located.where(F.col("page_id").isNotNull())
     if few:
@@ -72,10 +71,23 @@ def fetch_articles(located: DataFrame, crawl: DataFrame, few: bool = False, in_p
         joined = pages.join(found.hint("merge"), "url").where(F.col("_page") - F.col("page_id") == 0)
     else:
         joined = crawl.select("page_id", "html").join(found.hint("merge"), "page_id")
-    articles = extract_articles(joined, found.columns)
+    return joined.select(*located.columns, "html")
+
+
+def articles_of(pages: DataFrame) -> DataFrame:
+    """Picked pages with title, text and cleaned text in place of the page; rows that lack either are left out."""
+    articles = extract_articles(pages, [c for c in pages.columns if c != "html"])
     return non_empty(articles).withColumn("transformed_text", remove_urls(F.col("article_text")))
 
 
+def fetch_articles(located: DataFrame, crawl: DataFrame, few: bool = False, in_place: bool = False) -> DataFrame:
+    """Located rows with title, text and cleaned text; rows that lack either are left out.
+
+    Pages are picked before they are read, so that only queued ones are parsed.
+    """
+    return articles_of(pick_pages(located, crawl, few, in_place))
+
+
 def distinct_articles(articles: DataFrame) -> DataFrame:
     """One row, the lowest-numbered, per URL and content within a batch.
 

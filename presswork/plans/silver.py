@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from presswork.functions.constants import BATCH_ROWS, CHUNK_ROWS
 from presswork.functions.numbers import int_div
-from presswork.operators.fetch import fetch_articles, fetch_outcomes, locate_pages
+from presswork.operators.fetch import articles_of, fetch_articles, fetch_outcomes, locate_pages, pick_pages
 from presswork.operators.numbering import dense_number
 from presswork.operators.queue import apply_outcomes, latest_outcome, work_queue
 from presswork.operators.snapshot import advance_snapshot, queue_from_snapshot
 from presswork.schemas import FETCH_LOG, SILVER
-from presswork.sources.shared import Work, path_exists
-from presswork.sources.tables import overwrite_counted, read_layer, replace_partitions
+from presswork.sources.shared import StoredPartitions, Work, path_exists, paths_like
+from presswork.sources.tables import overwrite_counted, overwrite_partitions, read_layer, replace_partitions
 
 
 # Largest queue, URLs and 100 bytes per row, that is sent to every executor.
@@ -145,6 +145,15 @@ class ChunkedRun:
     log: int
 
 
+def _staged(
+    queue: DataFrame, crawl: DataFrame, work: Work, broadcast_bytes: int
+) -> tuple[StoredPartitions, StoredPartitions]:
+    """Located rows and the pages found, both by batch, so that a commit reads its own and neither queue nor crawl."""
+    few = is_few(queue, broadcast_bytes)
+    located = work.store_partitions(locate_pages(queue, crawl, few), "located", "batch")
+    return located, work.store_partitions(pick_pages(located.read(), crawl, few), "pages", "batch")
+
+
 def run_silver_chunks(
     bronze: DataFrame,
     crawl: DataFrame,
@@ -164,7 +173,8 @@ def run_silver_chunks(
     that stopped, by `most_commits` or by a failure, is resumed by the same run_id: its stored numbering is read
     again and committed chunks are passed over; one that was cut short is written anew as a whole. With `urls_per_second`
     commits are spaced so that no more URLs than that are tried on average. Without a need for state
-    between chunks or for a rate, run_silver does the same in one job.
+    between chunks or for a rate, run_silver does the same in one job. Queue and crawl meet once in a call, whatever
+    the number of its commits: the pages that it will read, still unread, are stored by batch.
     """
     spark = bronze.sparkSession
     if silver is None and path_exists(spark, silver_path):
@@ -176,15 +186,20 @@ def run_silver_chunks(
         starts = [] if first is None else list(range(first, last + 1, chunks_per_commit))
         # Folders below a run's partition carry no column; each is one commit, complete or not there.
         folder = f"{log_path}/run_id={run_id}/chunks-"
-        todo = [start for start in starts if not path_exists(spark, f"{folder}{start}/_SUCCESS")]
+        committed = paths_like(spark, f"{folder}*/_SUCCESS")
+        taken = {int(path.split("/")[-2].removeprefix("chunks-")) for path in committed}
+        todo = [start for start in starts if start not in taken]
         done = len(starts) - len(todo)
-        for start in todo[:most_commits]:
+        chosen = todo[:most_commits]
+        if chosen:
+            planned = queue.where(F.col("batch").between(chosen[0], chosen[-1] + chunks_per_commit - 1))
+            located, pages = _staged(planned, crawl, work, broadcast_bytes)
+        for start in chosen:
             began = time.monotonic()
-            chunk = queue.where(F.col("batch").between(start, start + chunks_per_commit - 1))
-            few = is_few(chunk, broadcast_bytes)
-            located = work.materialize(locate_pages(chunk, crawl, few), "located")
-            rows += replace_partitions(_silver_rows(located, crawl, few, None), silver_path, ["batch"])
-            tried = overwrite_counted(fetch_outcomes(located), f"{folder}{start}")
+            chunks = range(start, start + chunks_per_commit)
+            articles = articles_of(pages.read(chunks)).withColumn("Timestamp", F.current_timestamp())
+            rows += overwrite_partitions(articles.select(SILVER.names), silver_path, ["batch"])
+            tried = overwrite_counted(fetch_outcomes(located.read(chunks)), f"{folder}{start}")
             made, logged = made + 1, logged + tried
             if urls_per_second and made < len(todo):
                 time.sleep(max(0.0, tried / urls_per_second - (time.monotonic() - began)))

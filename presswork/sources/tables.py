@@ -87,16 +87,17 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int
     """Write whole partitions; a rerun replaces the ones it writes and leaves the others alone.
     Returns the rows written."""
 
-    def write(rows: DataFrame) -> None:
-        (
-            balanced(rows, partition_by)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-            .parquet(path)
-        )
-
-    return _counted(df, write)
+    return _counted(df, lambda rows: _write_partitions(balanced(rows, partition_by), path, partition_by))
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int:
+    """As replace_partitions, for rows that are stored by partition already: every task writes what it holds."""
+    return _counted(df, lambda rows: _write_partitions(rows, path, partition_by))
+
+
+def _write_partitions(rows: DataFrame, path: str, partition_by: list[str]) -> None:
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def compact_partition(

@@ -164,6 +164,16 @@ def test_chunked_run_stops_and_resumes(spark, bronze, crawl):
     assert read_log().count() == N + 1
 
 
+def test_chunked_run_meets_the_crawl_once(spark, bronze, crawl, monkeypatch):
+    from presswork.plans import silver
+
+    calls = []
+    locate = silver.locate_pages
+    monkeypatch.setattr(silver, "locate_pages", lambda *a, **b: calls.append(a) or locate(*a, **b))
+    found = run_silver_chunks(bronze, crawl, new_path(spark, "silver"), new_path(spark, "log"), 1, chunk_size=25)
+    assert found.commits == found.planned > 1 and len(calls) == 1
+
+
 def test_chunked_run_keeps_its_rate(spark, bronze, crawl):
     import time
 
