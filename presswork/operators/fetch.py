@@ -27,9 +27,9 @@ def locate_pages(queue: DataFrame, crawl: DataFrame, few: bool = False) -> DataF
     return located.unionByName(nameless)
 
 
-def fetch_outcomes(located: DataFrame) -> DataFrame:
-    """Queue flags per tried URL."""
-    return located.select("url", *outcome_flags(F.col("page_id").isNotNull()))
+def fetch_outcomes(located: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Queue flags per tried URL, with the kept columns."""
+    return located.select(*keep, "url", *outcome_flags(F.col("page_id").isNotNull()))
 
 
 def extract_articles(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:

@@ -13,8 +13,8 @@ from presswork.operators.numbering import dense_number
 from presswork.operators.queue import apply_outcomes, latest_outcome, work_queue
 from presswork.operators.snapshot import advance_snapshot, queue_from_snapshot
 from presswork.schemas import FETCH_LOG, SILVER
-from presswork.sources.shared import StoredPartitions, Work, path_exists, paths_like
-from presswork.sources.tables import overwrite_counted, overwrite_partitions, read_layer, replace_partitions
+from presswork.sources.shared import Work, path_exists, paths_like
+from presswork.sources.tables import balanced, overwrite_counted, overwrite_partitions, read_layer, replace_partitions
 
 
 # Largest queue, URLs and 100 bytes per row, that is sent to every executor.
@@ -145,13 +145,15 @@ class ChunkedRun:
     log: int
 
 
-def _staged(
-    queue: DataFrame, crawl: DataFrame, work: Work, broadcast_bytes: int
-) -> tuple[StoredPartitions, StoredPartitions]:
-    """Located rows and the pages found, both by batch, so that a commit reads its own and neither queue nor crawl."""
+def _staged(queue: DataFrame, crawl: DataFrame, work: Work, broadcast_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Located rows and the pages found, stored by batch: a commit reads its own folders, and neither queue nor crawl."""
     few = is_few(queue, broadcast_bytes)
-    located = work.store_partitions(locate_pages(queue, crawl, few), "located", "batch")
-    return located, work.store_partitions(pick_pages(located.read(), crawl, few), "pages", "batch")
+
+    def store(rows: DataFrame, label: str) -> DataFrame:
+        return work.materialize(balanced(rows, ["batch"]), label, "batch")
+
+    located = store(locate_pages(queue, crawl, few), "located")
+    return located, store(pick_pages(located, crawl, few), "pages")
 
 
 def run_silver_chunks(
@@ -194,12 +196,14 @@ def run_silver_chunks(
         if chosen:
             planned = queue.where(F.col("batch").between(chosen[0], chosen[-1] + chunks_per_commit - 1))
             located, pages = _staged(planned, crawl, work, broadcast_bytes)
+            # Put together once: a commit only adds which batches it reads.
+            articles = articles_of(pages).withColumn("Timestamp", F.current_timestamp()).select(SILVER.names)
+            outcomes = fetch_outcomes(located, ["batch"])
         for start in chosen:
             began = time.monotonic()
-            chunks = range(start, start + chunks_per_commit)
-            articles = articles_of(pages.read(chunks)).withColumn("Timestamp", F.current_timestamp())
-            rows += overwrite_partitions(articles.select(SILVER.names), silver_path, ["batch"])
-            tried = overwrite_counted(fetch_outcomes(located.read(chunks)), f"{folder}{start}")
+            mine = F.col("batch").between(start, start + chunks_per_commit - 1)
+            rows += overwrite_partitions(articles.where(mine), silver_path, ["batch"])
+            tried = overwrite_counted(outcomes.where(mine).drop("batch"), f"{folder}{start}")
             made, logged = made + 1, logged + tried
             if urls_per_second and made < len(todo):
                 time.sleep(max(0.0, tried / urls_per_second - (time.monotonic() - began)))

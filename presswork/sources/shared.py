@@ -4,12 +4,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable
-from dataclasses import dataclass
 from types import TracebackType
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 # Largest table, by Spark's own estimate, that is dealt out anew because it has fewer splits than cores.
 SPREAD_BYTES = 128 * 1024 * 1024
@@ -88,25 +85,6 @@ def _stored(df: DataFrame, path: str, partition_by: str | None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@dataclass
-class StoredPartitions:
-    """A frame stored by a column of whole numbers: all of it, or the folders of some values, which are listed alone."""
-
-    spark: SparkSession
-    path: str
-    schema: T.StructType
-    column: str
-    values: set[int]
-
-    def read(self, values: Iterable[int] | None = None) -> DataFrame:
-        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
-        held = self.values if values is None else self.values.intersection(values)
-        if not held:
-            return self.spark.createDataFrame([], self.schema)
-        folders = [self.path] if values is None else [f"{self.path}/{self.column}={value}" for value in sorted(held)]
-        return reader.parquet(*folders).select(self.schema.names)
-
-
 class Work:
     """Frames stored for the length of a flow: `with Work(spark) as work: work.materialize(...)`."""
 
@@ -119,12 +97,5 @@ class Work:
     def __exit__(self, kind: type | None, error: BaseException | None, trace: TracebackType | None) -> None:
         delete_path(self.spark, self.path)
 
-    def materialize(self, df: DataFrame, label: str) -> DataFrame:
-        return _stored(df, f"{self.path}/{label}-{uuid.uuid4().hex}", None)
-
-    def store_partitions(self, df: DataFrame, label: str, column: str) -> StoredPartitions:
-        """Store a frame by a column of whole numbers, each value in few files."""
-        path = f"{self.path}/{label}-{uuid.uuid4().hex}"
-        df.hint("rebalance", column).write.partitionBy(column).parquet(path)
-        values = {int(folder.rsplit("=", 1)[1]) for folder in paths_like(self.spark, f"{path}/{column}=*")}
-        return StoredPartitions(self.spark, path, df.schema, column, values)
+    def materialize(self, df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+        return _stored(df, f"{self.path}/{label}-{uuid.uuid4().hex}", partition_by)
