@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2 << 20
 # Largest side, as measured, that is sent to every executor.
 BROADCAST_BYTES = 64 << 20
+# Arrow batch that the JVM hands to a Python worker; both hold it whole. Spark's own 64 MB is 10,000 rows of most tables.
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +25,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the executors' Python workers, once per session."""
+    """Give this package to the executors' Python workers, once per session, and let rows come in small batches.
+
+    A size of batches that the application was started with stands.
+    """
     context = spark.sparkContext
+    batch = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not context.getConf().contains(batch):
+        spark.conf.set(batch, str(BATCH_BYTES))
     if getattr(context, "_llm_shipped", False):
         return
     root = Path(__file__).resolve().parent
@@ -72,7 +80,10 @@ def hash_text(text: str) -> int:
 def slices(
     batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES, kind: pa.DataType = pa.large_string()
 ) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Pieces of the batches with about `size` bytes of text each, and the texts (null: empty)."""
+    """Pieces of the batches with about `size` bytes of text each, and the texts (null: empty).
+
+    At the end Arrow gives back what it keeps for reuse: an idle worker counts towards its executor's memory.
+    """
     for batch in batches:
         texts = pc.fill_null(batch.column(text).cast(kind), pa.scalar("", kind))
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -82,6 +93,8 @@ def slices(
             stop = max(start + 1, int(np.searchsorted(ends, done + size, side="right")))
             yield batch.slice(start, stop - start), texts.slice(start, stop - start)
             start = stop
+        del texts
+    pa.default_memory_pool().release_unused()
 
 
 def utf8_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

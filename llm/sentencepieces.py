@@ -8,6 +8,7 @@ What comes out is held against the sentencepiece library, which is given whole t
 
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache, cached_property, partial
@@ -268,6 +269,14 @@ class Codec:
         found = [x if r else [] for x, r in zip(found, rows)]
         return np.array([i for x in found for i in x], np.int32), np.cumsum([0, *map(len, found)])
 
+    def library_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts one after another, and their bounds, as the library gives them."""
+        flat, bounds = array("i"), [0]
+        for found in self.library.encode(texts.to_pylist(), num_threads=1):
+            flat.fromlist(found)
+            bounds.append(len(flat))
+        return np.array(flat, np.int32), np.array(bounds, np.int64)
+
     def encode(self, texts: pa.Array) -> "Encoded":
         """Ids of every whole text, compared with the library's for the whole text, and decoded again."""
         if not self.by_cut:
@@ -324,7 +333,7 @@ def codec(path: str) -> Codec:
 
 
 def _ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return codec(path).ids(texts)
+    return codec(path).library_ids(texts)
 
 
 def id_encoder(path: str) -> Encoder:

@@ -114,10 +114,9 @@ def _records(packed: pa.Array, ids: np.ndarray, number: int, layout: Layout, key
     header["slot"], header["doc_id"], header["piece"], header["tokens"] = slots, ids[owner], piece, filled // layout.id_bytes
     records[:, : HEADER.itemsize] = header.view(np.uint8).reshape(len(owner), -1)
     start = offsets[owner] + piece * width
-    place = start[:, None] + np.arange(width)
-    inside = np.arange(width) < filled[:, None]
-    if len(content):
-        records[:, HEADER.itemsize : -1] = np.where(inside, content[np.minimum(place, len(content) - 1)], 0)
+    body = records[:, HEADER.itemsize : -1]
+    for row, at, size in zip(body, start.tolist(), filled.tolist()):
+        row[:size] = content[at : at + size]
     records[:, -1] = END
     return slots, records
 
@@ -207,8 +206,9 @@ def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots:
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for shard, blob, n in zip(*[rows.column(c).to_pylist() for c in ("shard", "blob", "records")]):
-                content = pa.Codec("zstd").decompress(blob, n * width)
+            # Blobs stay where they are: all of a batch as objects of Python would be a second copy of it.
+            for shard, n, blob in zip(rows.column("shard").to_pylist(), rows.column("records").to_pylist(), rows.column("blob")):
+                content = pa.Codec("zstd").decompress(blob.as_buffer(), n * width)
                 ends = np.arange(n + 1, dtype=np.int32) * width
                 binary = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), content])
                 slots = np.frombuffer(content, np.uint8).reshape(n, width)[:, :8].copy().view("<i8").ravel()

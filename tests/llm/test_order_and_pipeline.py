@@ -67,6 +67,39 @@ def test_sequences_hold_token_ids(spark, frame, prose):
         assert len(row["content"]) % layout.stride == 0 and layout.stride == 24 + 100 + 1
 
 
+def test_order_encoder_keeps_no_cuts():
+    """A worker that only needs ids builds neither the second tokenizer nor a store of cuts."""
+    pytest.importorskip("public_tokenizers")
+    import pyarrow as pa
+    from llm import sentencepieces
+    from llm.queries import PIECES, tokenizer_path
+
+    model = tokenizer_path(PIECES)
+    sentencepieces.codec.cache_clear()
+    texts = pa.array(["some words of text", "", " ", "é▁x  \n日本 \x00 \U0001f600"], pa.large_string())
+    ids, bounds = sentencepieces.id_encoder(model).encode(texts)
+    used = sentencepieces.codec(model)
+    assert not used._known.place and not {"cuts", "texts"} & set(used.__dict__)
+    expected = sentencepieces.Codec(model).ids(texts)
+    assert ids.tolist() == expected[0].tolist() and bounds.tolist() == expected[1].tolist()
+
+
+def test_rows_come_to_workers_in_small_batches(spark):
+    """Executor and worker both hold a batch whole, so its bytes are bounded, not only its rows."""
+    import pyarrow as pa
+    from llm.common import BATCH_BYTES, ship
+
+    ship(spark)
+    rows = spark.range(0, 4000, 1, 1).selectExpr("id", "repeat('x', 4096) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    found = [r["n"] for r in rows.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(found) == 4000 and max(found) * 4096 < 2 * BATCH_BYTES
+
+
 def test_registered_query_counts_token_ids(spark):
     pytest.importorskip("public_tokenizers")
     from llm.queries import QUERIES
