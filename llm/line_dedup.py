@@ -8,12 +8,13 @@ gone through pair by pair across components, by pairs of blocks.
 Of every component the first line, by document and place, is kept.
 
 Everything is SQL functions. Shingles are rows only within the task that holds their line: they are hashed
-and reduced to lowest hashes and bitmaps in generated code, and never move. A bit that only one of two lines has set
-stands for shingles that only this one has, so bitmaps bound the similarity of a pair from above; pairs that they
-rule out are never compared by their texts.
+and reduced to lowest hashes in generated code, and never move. Lines that meet others get a bitmap in the same
+way: each distinct shingle flips one bit, so a bit that differs between two lines stands for at least one shingle
+that only one of them has. That bounds the similarity of a pair from above; pairs that it rules out are never rows
+and never compared by their texts.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.common import fits_broadcast
@@ -24,8 +25,8 @@ SHINGLE = 8
 # Lines are the same when SHARE * |union| <= PART * |intersection|: a similarity of 0.8 or more.
 SHARE, PART = 4, 5
 BANDS, ROWS = 8, 4
-# Words of 64 bits that a band adds to the bitmap of a line; a power of two.
-WORDS = 2
+# Words of 64 bits in the bitmap of a line that meets others, made in parts of some words; powers of two.
+WORDS, PART_WORDS = 32, 4
 # Rounds in which members of a tile's smaller components are compared with one of its largest.
 PROBES = 1
 # Members of a tile that meet those of another block, or their own, in one group.
@@ -79,15 +80,13 @@ def _bin(value: Column) -> Column:
 
 
 def _band_columns(band: int) -> list[Column]:
-    """Lowest hashes and bitmap words of a line's band, from rows of bands."""
+    """Lowest hashes of a line's band, from rows of bands."""
     own = F.col("band") == band
-    lowest = [F.min(F.when(own, F.col(f"m{i}"))).alias(f"m{band * ROWS + i}") for i in range(ROWS)]
-    words = [F.bit_or(F.when(own, F.col(f"w{i}"))).alias(f"w{band * WORDS + i}") for i in range(WORDS)]
-    return lowest + words
+    return [F.min(F.when(own, F.col(f"m{i}"))).alias(f"m{band * ROWS + i}") for i in range(ROWS)]
 
 
 def _lowest_hashes(lines: DataFrame) -> DataFrame:
-    """h, first, n, the lowest hash of each bin as m0, m1 ... (null: none) and the words w0, w1 ... of a bitmap.
+    """h, first and the lowest hash of each bin as m0, m1 ... (null: none).
 
     Lines are dealt by (h, g), so both groupings stay within the task.
     """
@@ -101,24 +100,19 @@ def _lowest_hashes(lines: DataFrame) -> DataFrame:
         "x",
         (F.shiftright("x", 61) + BANDS // 2).alias("band"),
         F.shiftright("x", 59).bitwiseAND(F.lit(ROWS - 1)).alias("row"),
-        F.shiftright("x", 6).bitwiseAND(F.lit(WORDS - 1)).alias("word"),
-        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("x").bitwiseAND(F.lit(63)).cast("int")).alias("bit"),
     )
     bands = cut.groupBy("h", "g", "band").agg(
         *(F.min(F.when(F.col("row") == i, F.col("x"))).alias(f"m{i}") for i in range(ROWS)),
-        *(F.bit_or(F.when(F.col("word") == i, F.col("bit"))).alias(f"w{i}") for i in range(WORDS)),
-        F.count(F.lit(1)).alias("n"),
         *(F.min(c).alias(c) for c in key[2:]),
     )
     return bands.groupBy("h", "g").agg(
         F.struct(*(F.min(c).alias(c) for c in key[2:])).alias("first"),
-        F.sum("n").alias("n"),
         *(c for band in range(BANDS) for c in _band_columns(band)),
     )
 
 
 def signed_lines(lines: DataFrame) -> DataFrame:
-    """h, first, n, the number of shingles, the words of a bitmap, and the keys of the bands of every distinct line."""
+    """h, first and the keys of the bands of every distinct line."""
     n = BANDS * ROWS
     every = F.array(*(F.col(f"m{i}") for i in range(n)))
     # What several expressions read is the one element of an array, so that it is computed once.
@@ -142,25 +136,47 @@ def signed_lines(lines: DataFrame) -> DataFrame:
     full = F.lit(True)
     for i in range(n):
         full = full & F.col(f"m{i}").isNotNull()
-    words = [F.coalesce(w, F.lit(0).cast("bigint")).alias(w) for w in _word_names()]
-    signed = _lowest_hashes(lines).select("h", "first", "n", *words, F.when(full, every).otherwise(filled).alias("m"))
+    signed = _lowest_hashes(lines).select("h", "first", F.when(full, every).otherwise(filled).alias("m"))
     bands = [F.xxhash64(F.lit(i), F.slice("m", i * ROWS + 1, ROWS)) for i in range(BANDS)]
-    return signed.select("h", "first", "n", *_word_names(), F.array(*bands).alias("bands"))
+    return signed.select("h", "first", F.array(*bands).alias("bands"))
+
+
+def _mapped(texts: DataFrame) -> DataFrame:
+    """h and line with map, the number of the line's distinct shingles and the words of its bitmap.
+
+    Texts are dealt by h, so both groupings stay within the task; repeated shingles are left out before they are rows.
+    """
+    cut = texts.select("h", F.explode(_shingles("line")).alias("x")).select(
+        "h",
+        F.shiftright("x", 6).bitwiseAND(F.lit(PART_WORDS - 1)).alias("word"),
+        F.shiftright("x", 16).bitwiseAND(F.lit(WORDS // PART_WORDS - 1)).alias("part"),
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("x").bitwiseAND(F.lit(63)).cast("int")).alias("bit"),
+    )
+    parts = cut.groupBy("h", "part").agg(
+        *(F.bit_xor(F.when(F.col("word") == i, F.col("bit"))).alias(f"w{i}") for i in range(PART_WORDS)),
+        F.count(F.lit(1)).alias("n"),
+    )
+    whole = parts.groupBy("h").agg(
+        F.sum("n").alias("n"),
+        *(F.bit_xor(F.when(F.col("part") == i // PART_WORDS, F.col(f"w{i % PART_WORDS}"))).alias(f"w{i}") for i in range(WORDS)),
+    )
+    words = [F.coalesce(w, F.lit(0).cast("bigint")).alias(w) for w in _word_names()]
+    return texts.join(whole.select("h", F.struct("n", *words).alias("map")), "h")
 
 
 def _word_names() -> list[str]:
-    return [f"w{i}" for i in range(BANDS * WORDS)]
+    return [f"w{i}" for i in range(WORDS)]
 
 
 def _may_be_similar(left: str, right: str) -> Column:
     """Whether bitmaps leave room for enough similarity of two lines, given as structs of n and words.
 
-    Similar sets differ in at most a quarter of the smaller one's shingles.
+    Of similar sets, what only one has is at most the ninth part of both sizes together.
     """
     apart = F.lit(0)
     for w in _word_names():
         apart = apart + F.bit_count(F.col(f"{left}.{w}").bitwiseXOR(F.col(f"{right}.{w}")))
-    return apart * SHARE <= F.least(F.col(f"{left}.n"), F.col(f"{right}.n")) * (PART - SHARE)
+    return apart * (SHARE + PART) <= (F.col(f"{left}.n") + F.col(f"{right}.n")) * (PART - SHARE)
 
 
 def _texts_of(documents: DataFrame, lines: DataFrame) -> DataFrame:
@@ -190,18 +206,12 @@ def _similar(a: str, b: str) -> Column:
     return F.exists(counted, lambda c: c["shared"] * PART >= (c["both"] - c["shared"]) * SHARE)
 
 
-def _verify(pairs: DataFrame, maps: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those pairs (a, b) of lines that are similar."""
-    left = maps.select(F.col("h").alias("a"), F.col("map").alias("_x"))
-    right = maps.select(F.col("h").alias("b"), F.col("map").alias("_y"))
-    near = pairs.join(left, "a").join(right, "b").where(_may_be_similar("_x", "_y")).select("a", "b")
-    return _compare_texts(materialize(near, "near-lines"), texts)
-
-
-def _compare_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    left = texts.select(F.col("h").alias("a"), F.col("line").alias("_a"))
-    right = texts.select(F.col("h").alias("b"), F.col("line").alias("_b"))
-    return pairs.join(left, "a").join(right, "b").where(_similar("_a", "_b")).select("a", "b")
+def _verify(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Those pairs (a, b) of lines that are similar; texts are compared where bitmaps allow it."""
+    left = lines.select(F.col("h").alias("a"), F.col("line").alias("_a"), F.col("map").alias("_x"))
+    right = lines.select(F.col("h").alias("b"), F.col("line").alias("_b"), F.col("map").alias("_y"))
+    met = pairs.join(left, "a").join(right, "b").where(_may_be_similar("_x", "_y"))
+    return met.where(_similar("_a", "_b")).select("a", "b")
 
 
 def _open_tiles(shared: DataFrame, placed: DataFrame) -> DataFrame:
@@ -235,7 +245,7 @@ def _probes(seated: DataFrame, number: int) -> DataFrame:
     return others.select(*_pair("h", "_probe")).distinct()
 
 
-def _across_components(seated: DataFrame, maps: DataFrame) -> DataFrame:
+def _across_components(seated: DataFrame, lines: DataFrame) -> DataFrame:
     """Pairs of lines of different components in the same tile that bitmaps do not rule out.
 
     A member meets the blocks of its tile one by one; a group holds at most about BLOCK members of each side,
@@ -243,7 +253,7 @@ def _across_components(seated: DataFrame, maps: DataFrame) -> DataFrame:
     """
     blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("h"), blocks).cast("int")
-    members = seated.join(maps, "h").select("key", "h", "component", "_main", "map", blocks.alias("_blocks"), own.alias("_own"))
+    members = seated.join(lines.select("h", "map"), "h").select("key", "h", "component", "_main", "map", blocks.alias("_blocks"), own.alias("_own"))
     every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     one = members.where(F.col("component") != F.col("_main")).select(
         "key", F.col("_own").alias("_i"), every.alias("_j"), F.col("h").alias("a"), F.col("component").alias("_c"), F.col("map").alias("_x")
@@ -257,21 +267,24 @@ def _as_links(placed: DataFrame) -> DataFrame:
     return placed.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
+def _shared_tiles(seats: DataFrame) -> DataFrame:
+    """The seats (key, h) of tiles that several lines share, with the tile's lowest line, c. Tiles are cut by one sort."""
+    tile = Window.partitionBy("key")
+    ends = seats.select("key", "h", F.min("h").over(tile).alias("c"), F.max("h").over(tile).alias("_high"))
+    return ends.where(F.col("c") != F.col("_high")).select("key", "h", "c")
+
+
 def line_components(documents: DataFrame, signed: DataFrame) -> DataFrame:
     """node and component of the lines, by hash, that are similar to others."""
-    seats = signed.select("h", F.explode("bands").alias("key"))
-    centres = seats.groupBy("key").agg(F.min("h").alias("c"), F.max("h").alias("_high"))
-    centres = centres.where(F.col("c") != F.col("_high")).select("key", "c")
-    shared = materialize(seats.join(centres, "key"), "line-tiles")
+    shared = materialize(_shared_tiles(signed.select("h", F.explode("bands").alias("key"))), "line-tiles")
     met = materialize(shared.select("h").distinct(), "met-lines")
     chosen = signed.join(met, "h", "left_semi")
-    maps = materialize(chosen.select("h", F.struct("n", *_word_names()).alias("map")).dropDuplicates(["h"]), "line-maps")
-    texts = materialize(_texts_of(documents, chosen.select("h", "first")), "lines")
+    lines = materialize(_mapped(_texts_of(documents, chosen.select("h", "first"))), "lines")
     pairs = materialize(shared.where(F.col("h") != F.col("c")).select(*_pair("c", "h")).distinct(), "probes")
     placed = None
     tried = pairs
     for number in range(PROBES + 1):
-        found = _verify(pairs, maps, texts)
+        found = _verify(pairs, lines)
         # Components that are known stand for the links that they came from.
         links = found if placed is None else found.unionAll(_as_links(placed))
         placed = materialize(connected_components(links), "line-components")
@@ -279,8 +292,8 @@ def line_components(documents: DataFrame, signed: DataFrame) -> DataFrame:
         if number < PROBES:
             pairs = materialize(_probes(seated, number).join(tried, ["a", "b"], "left_anti"), "probes")
             tried = tried.unionAll(pairs)
-    rest = materialize(_across_components(seated, maps).join(tried, ["a", "b"], "left_anti"), "near-lines")
-    return connected_components(_compare_texts(rest, texts).unionAll(_as_links(placed)))
+    rest = materialize(_across_components(seated, lines).join(tried, ["a", "b"], "left_anti"), "near-lines")
+    return connected_components(_verify(rest, lines).unionAll(_as_links(placed)))
 
 
 def kept_lines(documents: DataFrame) -> DataFrame:

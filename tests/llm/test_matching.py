@@ -289,3 +289,47 @@ def test_line_dedup_runs_no_python(spark, frame):
     lines = line_dedup.signed_lines(line_dedup.distinct_lines(frame([(1, "a line")])))
     plan = lines._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def edited(base, places):
+    """A line with another letter at some places; places 8 or more apart change 8 shingles each."""
+    return "".join("#" if i in places else x for i, x in enumerate(base))
+
+
+def test_lines_of_a_family_that_are_not_similar_give_no_pairs(spark, frame, monkeypatch):
+    """Lines that all differ by little more than a ninth are ruled out by their bitmaps, not compared two by two."""
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(500))
+    # Four edits a line: two lines share 429 shingles of 557, a similarity of 0.77.
+    lines = [edited(base, {8 + 16 * i + 120 * k for k in range(4)}) for i in range(7)]
+    lines += [edited(base, {12 + 16 * i + 120 * k for k in range(4)}) for i in range(7)]
+    lines += [edited(base, {16 + 16 * i + 112 * k for k in range(4)}) for i in range(6)]
+    sizes, store = [], line_dedup.materialize
+
+    def count(df, label):
+        stored = store(df, label)
+        sizes.append(stored.count() if label == "near-lines" else 0)
+        return stored
+
+    monkeypatch.setattr(line_dedup, "materialize", count)
+    out = line_dedup.dedup_lines(frame(list(enumerate(lines)))).collect()
+    expected = lines_brute(list(enumerate(lines)))
+    assert {r["doc_id"]: r["n_kept"] for r in out} == {i: len(expected.get(i, [])) for i in range(len(lines))}
+    assert max(sizes) <= len(lines)
+
+
+def test_bitmaps_never_rule_out_similar_lines(spark):
+    rng = random.Random(9)
+    rows, pairs = [], []
+    for i in range(150):
+        length = rng.choice([5, 30, 90, 400, 3000])
+        # Few letters: shingles repeat within a line.
+        base = "".join(rng.choice("ab" if i % 2 else "abcdefgh ") for _ in range(length))
+        other = edited(base, {rng.randrange(length) for _ in range(rng.randrange(1 + length // 80))})
+        rows += [(2 * i, base), (2 * i + 1, other)]
+        a, b = ({x[k : k + 8] for k in range(max(1, len(x) - 7))} for x in (base, other))
+        pairs += [(2 * i, 2 * i + 1)] * (5 * len(a & b) >= 4 * len(a | b))
+    lines = line_dedup._mapped(spark.createDataFrame(rows, "h bigint, line string"))
+    every = spark.createDataFrame([(2 * i, 2 * i + 1) for i in range(150)], "a bigint, b bigint")
+    found = line_dedup._verify(every, lines)
+    assert sorted(map(tuple, found.collect())) == pairs and 30 < len(pairs) < 150
