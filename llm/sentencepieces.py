@@ -2,11 +2,12 @@
 
 The model file is parsed here; normaliser, word mark, piece scores and byte fallback are rebuilt as
 a tokenizers object. Texts are cut before every run of word marks where no piece of the model spans
-such a place; cuts that are new to a worker are encoded as a batch on all threads the library has, and kept.
+such a place; cuts that are new to a worker are encoded many in one sequence, on the task's own thread, and kept.
 What comes out is held against the sentencepiece library, which is given whole texts, and decoded again.
 """
 
 import hashlib
+import os
 import struct
 from array import array
 from collections.abc import Iterator
@@ -29,6 +30,8 @@ MARK = "▁"
 SLICE_BYTES = 1 << 20
 # Cuts that a worker keeps with their ids.
 KNOWN_BYTES = 64 << 20
+# Cuts that are given to the tokenizer as one sequence of words.
+SEQUENCE_CUTS = 1024
 # Kinds of pieces in a model file: fixed values of the format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -165,6 +168,25 @@ def build_tokenizer(model: PieceModel, whole: bool = True) -> Tokenizer:
     return tokenizer
 
 
+def _encode_cuts(words: list[str], tokenizer: Tokenizer, heads: np.ndarray | None) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The cuts, reordered, their ids one after another, and how many each has.
+
+    A cut with one mark, at its front, has one piece that begins with a mark, its first; so many such cuts go
+    into one sequence, and those pieces, told by `heads`, tell them apart. Other cuts go one by one, and all do should that fail.
+    """
+    plain = [w for w in words if w[0] == MARK and w[1:2] != MARK] if heads is not None else []
+    parts = [plain[i : i + SEQUENCE_CUTS] for i in range(0, len(plain), SEQUENCE_CUTS)]
+    found = tokenizer.encode_batch_fast(parts, is_pretokenized=True, add_special_tokens=False)
+    ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.int32)
+    starts = np.flatnonzero(heads[ids]) if plain else np.zeros(0, np.int64)
+    if len(starts) != len(plain) or plain and starts[0]:
+        return _encode_cuts(words, tokenizer, None)
+    others = [w for w in words if w[0] != MARK or w[1:2] == MARK] if heads is not None else words
+    single = [e.ids for e in tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+    sizes = np.append(np.diff(np.append(starts, len(ids))), np.fromiter(map(len, single), np.int64, len(single)))
+    return plain + others, np.append(ids, np.fromiter(chain.from_iterable(single), np.int32)), sizes
+
+
 class KnownCuts:
     """Ids of cuts that were encoded before, kept up to a number of bytes; then begun anew."""
 
@@ -176,16 +198,19 @@ class KnownCuts:
         self.place: dict[str, int] = {}
         self.flat, self.starts, self.used, self.held = np.zeros(1 << 16, np.int32), [np.zeros(1, np.int64)], 0, 0
 
-    def ids(self, words: list[str], tokenizer: Tokenizer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of many cuts in one array, and where those of each given cut begin and end."""
+    def ids(self, words: list[str], tokenizer: Tokenizer, heads: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of many cuts in one array, and where those of each given cut begin and end.
+
+        `heads` says of every piece whether it begins with the word mark; without it cuts are encoded one by one.
+        """
         if self.held > self.most:
             self._begin()
         if new := [w for w in words if w not in self.place]:
-            found = [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) + self.used
+            new, found, sizes = _encode_cuts(new, tokenizer, heads)
+            ends = np.cumsum(sizes) + self.used
             if ends[-1] > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(max(ends[-1] - len(self.flat), len(self.flat)), np.int32)])
-            self.flat[self.used : ends[-1]] = np.fromiter(chain.from_iterable(found), np.int32, ends[-1] - self.used)
+            self.flat[self.used : ends[-1]] = found
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
             # A dictionary's entry, a string's head and a number besides the text and the ids themselves.
             self.held += sum(map(len, new)) + 4 * int(ends[-1] - self.used) + 200 * len(new)
@@ -204,6 +229,9 @@ class Codec:
         self.model = parse_model(self._data)
         self.by_cut = separable(self.model) and not self.model.charsmap and not self.model.squeeze_spaces
         self._known = KnownCuts()
+        self._heads = np.array([text.startswith(MARK) for text, *_ in self.model.pieces], bool)
+        # A task has one core: threads of its own would take those of other tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
     @cached_property
     def texts(self) -> Tokenizer:
@@ -255,7 +283,7 @@ class Codec:
     def _found(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts one after another, and their bounds, from the ids of distinct cuts."""
         words, place, bounds = self._cuts(texts)
-        flat, starts, ends = self._known.ids(words, self.cuts)
+        flat, starts, ends = self._known.ids(words, self.cuts, self._heads)
         first, n = starts[place], (ends - starts)[place]
         ids = flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         return ids, np.concatenate([[0], np.cumsum(n)])[bounds]
@@ -282,9 +310,17 @@ class Codec:
         if not self.by_cut:
             return self._encode_whole(texts)
         ids, ends = self._found(texts)
-        expected = self.library.encode(texts.to_pylist(), num_threads=1)
-        same = [len(x) == b - a and bool((ids[a:b] == x).all()) for x, a, b in zip(expected, ends, ends[1:])]
-        return Encoded(ids, ends, np.array(same, bool), self._decodes(ids, ends, texts))
+        return Encoded(ids, ends, self._equal(ids, ends, *self.library_ids(texts)), self._decodes(ids, ends, texts))
+
+    @staticmethod
+    def _equal(ids: np.ndarray, ends: np.ndarray, expected: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Whether texts have the same ids in both."""
+        same = np.diff(ends) == np.diff(bounds)
+        if same.all():
+            wrong = np.concatenate([[0], np.cumsum(ids != expected)])[ends]
+            return np.diff(wrong) == 0
+        spans = zip(same, ends, ends[1:], bounds, bounds[1:])
+        return np.array([bool(x and (ids[a:b] == expected[c:d]).all()) for x, a, b, c, d in spans], bool)
 
     def _decodes(self, ids: np.ndarray, ends: np.ndarray, texts: pa.Array) -> np.ndarray:
         """Whether the ids of every text decode to its bytes; the mark put in front of a text is taken off."""

@@ -115,6 +115,22 @@ def test_known_cuts_are_bounded_and_change_nothing():
     assert "texts" not in codec.__dict__ and "library" not in codec.__dict__
 
 
+def test_new_cuts_are_encoded_as_sequences(monkeypatch):
+    """Many new cuts are a few sequences for the tokenizer, and each has the ids it has alone."""
+    codec, sizes = sentencepieces.Codec(PIECES), []
+
+    class Spy:
+        def encode_batch_fast(self, rows, **options):
+            sizes.append(len(rows))
+            return codec.cuts.encode_batch_fast(rows, **options)
+
+    words = [f"▁w{i * 7919}é日" for i in range(3000)] + ["▁▁▁two", "none", "▁", "▁\U0001f600", "▁\x00"]
+    flat, starts, ends = sentencepieces.KnownCuts().ids(words, Spy(), codec._heads)
+    alone = [e.ids for e in codec.cuts.encode_batch_fast(words, add_special_tokens=False)]
+    assert [flat[a:b].tolist() for a, b in zip(starts, ends)] == alone
+    assert sum(sizes) < 10
+
+
 def test_whole_texts_are_compared_and_decoded():
     codec = sentencepieces.Codec(PIECES)
     texts = pa.array(["plain text", "a▁b", "", "tab\tünï\u0000 日本 \U0001f600", "  two  "], pa.large_string())
