@@ -1,5 +1,6 @@
 """What the operators share: tables, the package on the executors, Arrow batches in bounded pieces."""
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -97,6 +98,14 @@ def slices(
     pa.default_memory_pool().release_unused()
 
 
+def give_back() -> None:
+    """Return memory that was freed in small pieces to the system, where the C library can: glibc keeps it for reuse."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def utf8_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a large_string or large_binary array and the offsets of its rows in them."""
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]

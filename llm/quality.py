@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import held_out, learning_sample, mix, ship, slices
+from llm.common import give_back, held_out, learning_sample, mix, ship, slices
 from llm.features import Words, char_ngrams, split_words, word_hashes
 
 BUCKETS = 1 << 18
@@ -144,4 +144,7 @@ def keep_good(documents: DataFrame, model: QualityModel, threshold: float = THRE
 
 def fit(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> QualityModel:
     """A model of `labels.quality` from a bounded sample of rows that are not held out."""
-    return train(learning_sample(documents, labels, "quality", per_class))
+    model = train(learning_sample(documents, labels, "quality", per_class))
+    # Thousands of small arrays are free now, but still counted to the driver.
+    give_back()
+    return model

@@ -121,3 +121,21 @@ def test_without_labels(spark, frame):
     assert {r["score"] for r in quality.score_documents(documents, quality.fit(documents, labels)).collect()} == {0.5}
     assert {r["score"] for r in toxicity.score_documents(documents, toxicity.fit(documents, labels)).collect()} == {0.5}
     assert toxicity.score_documents(frame([]), toxicity.train([])).count() == 0
+
+
+def test_fitting_gives_its_memory_back(spark):
+    """After a fit the driver holds little more than before, not the features of its sample."""
+
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(5000)]
+    rows = [(i, " ".join(rng.choices(words, k=300))) for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1600)], "doc_id bigint, quality int")
+    quality.fit(docs, labels, 10)
+    before = resident()
+    quality.fit(docs, labels)
+    assert resident() - before < 24 << 20
