@@ -30,8 +30,8 @@ MARK = "▁"
 SLICE_BYTES = 1 << 20
 # Cuts that a worker keeps with their ids.
 KNOWN_BYTES = 64 << 20
-# Cuts that are given to the tokenizer as one sequence of words.
-SEQUENCE_CUTS = 1024
+# Cuts that are given to the tokenizer as one sequence of words, and to the library as one text.
+SEQUENCE_CUTS, TEXT_CUTS = 1024, 128
 # Kinds of pieces in a model file: fixed values of the format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -258,7 +258,7 @@ class Codec:
             parts.append(b"" if kind == CONTROL else plain)
         return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
 
-    def _cuts(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def _cuts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """Distinct cuts, the cut at every place, and the bounds of texts in these."""
         filled = pc.greater(pc.binary_length(texts), 0)
         marked = pc.replace_substring(texts, " ", MARK)
@@ -278,16 +278,20 @@ class Codec:
             len(at), pa.py_buffer(np.append(at, len(content)).astype(np.int64)), pa.py_buffer(content)
         ).dictionary_encode()
         place = cuts.indices.to_numpy().astype(np.int64)
-        return cuts.dictionary.to_pylist(), place, np.searchsorted(at, offsets)
+        return cuts.dictionary, place, np.searchsorted(at, offsets)
 
-    def _found(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts one after another, and their bounds, from the ids of distinct cuts."""
-        words, place, bounds = self._cuts(texts)
-        flat, starts, ends = self._known.ids(words, self.cuts, self._heads)
+    @staticmethod
+    def _laid_out(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, place: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after another, and their bounds, from those of the distinct cuts."""
         first, n = starts[place], (ends - starts)[place]
         ids = flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         return ids, np.concatenate([[0], np.cumsum(n)])[bounds]
 
+    def _found(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after another, and their bounds, from the ids of distinct cuts."""
+        words, place, bounds = self._cuts(texts)
+        return self._laid_out(*self._known.ids(words.to_pylist(), self.cuts, self._heads), place, bounds)
+
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts one after another, and their bounds, without a comparison."""
         if self.by_cut:
@@ -297,6 +301,53 @@ class Codec:
         found = [x if r else [] for x, r in zip(found, rows)]
         return np.array([i for x in found for i in x], np.int32), np.cumsum([0, *map(len, found)])
 
+    @cached_property
+    def _mark_id(self) -> int | None:
+        """The piece that is a mark alone, where the library's ids of a text are those of its cuts; else None.
+
+        In BPE by scores joins at one place do not depend on others, and with byte fallback no ids are merged afterwards.
+        """
+        plain = all(kind in (NORMAL, UNKNOWN, CONTROL, BYTE) for *_, kind in self.model.pieces)
+        if not (self.by_cut and plain and self.model.kind == BPE and self.model.byte_fallback and self.model.dummy_prefix):
+            return None
+        return next((i for i, (text, _, kind) in enumerate(self.model.pieces) if text == MARK and kind == NORMAL), None)
+
+    def library_cut_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As library_ids, but the library is given each distinct cut once, many in one text.
+
+        A cut with one mark, at its front, has one piece that begins with a mark, its first; by those pieces the
+        ids are dealt to the cuts again. Cuts with several marks are texts of their own. Should that fail, or the model not
+        allow it, the library is given the whole texts.
+        """
+        if self._mark_id is None:
+            return self.library_ids(texts)
+        words, place, bounds = self._cuts(texts)
+        content, at = utf8_bytes(words)
+        sizes, second = np.diff(at), np.append(content, np.zeros(6, np.uint8))
+        many = np.logical_and.reduce([second[at[:-1] + 3 + i] == b for i, b in enumerate(MARK.encode())]) & (sizes > 3)
+        plain = ~many & (sizes > 3)
+        data, ends = utf8_bytes(words.filter(pa.array(plain)))
+        data = data.tobytes()
+        steps = np.append(ends[:-1:TEXT_CUTS], ends[-1]).tolist()
+        # The library puts the first mark in front itself.
+        joined = [data[a:b].decode().replace(MARK, " ")[1:] for a, b in zip(steps, steps[1:])]
+        apart = [w.replace(MARK, " ")[1:] for w in words.filter(pa.array(many)).to_pylist()]
+        flat, stops = array("i"), []
+        for found in self.library.encode(joined + apart, num_threads=1):
+            flat.fromlist(found)
+            stops.append(len(flat))
+        flat.append(self._mark_id)
+        ids = np.array(flat, np.int32)
+        shared = stops[len(joined) - 1] if joined else 0
+        heads = np.flatnonzero(self._heads[ids[:shared]])
+        if len(heads) != plain.sum() or len(heads) and heads[0]:
+            return self.library_ids(texts)
+        # A cut that is a mark alone has the last id.
+        starts, stop = np.full(len(words), len(ids) - 1), np.full(len(words), len(ids))
+        starts[plain], stop[plain] = heads, np.append(heads[1:], shared)[: len(heads)]
+        starts[many], stop[many] = [shared, *stops[len(joined) : -1]][: len(apart)], stops[len(joined) :]
+        return self._laid_out(ids, starts, stop, place, bounds)
+
     def library_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts one after another, and their bounds, as the library gives them."""
         flat, bounds = array("i"), [0]
@@ -369,7 +420,7 @@ def codec(path: str) -> Codec:
 
 
 def _ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return codec(path).library_ids(texts)
+    return codec(path).library_cut_ids(texts)
 
 
 def id_encoder(path: str) -> Encoder:

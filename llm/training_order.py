@@ -11,6 +11,7 @@ header, the ids, padding and an end mark, always of the same size, so slot s sta
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ from presswork.sources.shared import delete_path, new_path
 SEQUENCE_TOKENS = 512
 # 69 MB a shard; many terabytes call for more.
 SHARD_SLOTS = 1 << 16
+# Jobs that write the shards, a range of them each, one after another.
+PASSES = 2
 # Text that is encoded at once.
 ENCODE_BYTES = 1 << 20
 # Record: slot, document, sequence within it, tokens; then the ids (little-endian), zeros and a line feed.
@@ -99,26 +102,31 @@ def encode_ids(documents: DataFrame, encoder: Encoder) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids binary")
 
 
-def _records(packed: pa.Array, ids: np.ndarray, number: int, layout: Layout, key: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots and records of the sequences of some documents' token ids, numbered from `number`."""
+def _records(
+    packed: pa.Array, ids: np.ndarray, number: int, layout: Layout, key: int, wanted: range
+) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many sequences some documents' token ids have, numbered from `number`; slots and records of those in wanted slots."""
     width = layout.sequence_tokens * layout.id_bytes
     content, offsets = utf8_bytes(packed)
     sizes = np.diff(offsets)
     pieces = -(-sizes // width)
     owner = np.repeat(np.arange(len(sizes)), pieces)
     piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    n = len(owner)
+    slots = permute(number + np.arange(n), layout.sequences, key)
+    chosen = np.flatnonzero((slots >= wanted.start) & (slots < wanted.stop))
+    slots, owner, piece = slots[chosen], owner[chosen], piece[chosen]
     filled = np.minimum(width, sizes[owner] - piece * width)
-    slots = permute(number + np.arange(len(owner)), layout.sequences, key)
     records = np.zeros((len(owner), layout.stride), np.uint8)
     header = np.zeros(len(owner), HEADER)
     header["slot"], header["doc_id"], header["piece"], header["tokens"] = slots, ids[owner], piece, filled // layout.id_bytes
-    records[:, : HEADER.itemsize] = header.view(np.uint8).reshape(len(owner), -1)
+    records[:, : HEADER.itemsize] = header.view(np.uint8).reshape(-1, HEADER.itemsize)
     start = offsets[owner] + piece * width
     body = records[:, HEADER.itemsize : -1]
     for row, at, size in zip(body, start.tolist(), filled.tolist()):
         row[:size] = content[at : at + size]
     records[:, -1] = END
-    return slots, records
+    return n, slots, records
 
 
 def _packed(shards: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
@@ -145,17 +153,20 @@ def write_training_order(
 
     With an encoder its ids are stored first, in the shared folder until the shards are written. Without one
     ids are bytes, and the documents must be a stored table, without a shuffle since, so that it reads alike twice.
-    A first job counts the sequences of every input split; a second, over the same splits, numbers,
-    permutes and shuffles them once, by shard. Splits are told apart by number and checked: should the second job
-    see others, it fails and nothing is kept. Null and empty texts give no sequence, null ids are written as -1.
-    Files are written by Spark's own writer, whose commit makes a task that was run twice count once.
+    A first job counts the sequences of every input split; others, over the same splits, number and
+    permute them all, and each shuffles the sequences of a range of shards once, by shard. What one has shuffled is
+    removed when it ends, so ids, shards and a part of the shuffle lie on disk together. Splits are told apart by number
+    and checked: should a job see others, it fails, and without a layout nothing can be opened. Null and empty texts
+    give no sequence, null ids are written as -1. Files are written by Spark's own writer, whose commit makes a task
+    that was run twice count once.
     """
     spark = documents.sparkSession
     ship(spark)
-    pinned = "spark.sql.files.minPartitionNum"
-    before = spark.conf.get(pinned, None)
+    pinned, cleaned = "spark.sql.files.minPartitionNum", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = {name: spark.conf.get(name, None) for name in (pinned, cleaned)}
     # Without this the size of splits follows the number of live cores, which may change between jobs.
-    spark.conf.set(pinned, before or str(spark.sparkContext.defaultParallelism))
+    spark.conf.set(pinned, before[pinned] or str(spark.sparkContext.defaultParallelism))
+    spark.conf.set(cleaned, "true")
     named = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     stored = new_path(spark, "token-ids") if encoder else None
     try:
@@ -168,8 +179,8 @@ def write_training_order(
     finally:
         if stored:
             delete_path(spark, stored)
-        if before is None:
-            spark.conf.unset(pinned)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots: int, id_bytes: int) -> Layout:
@@ -186,7 +197,7 @@ def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots:
     first = spark.sparkContext.broadcast(np.cumsum(splits))
     layout = Layout(path, int(first.value[-1]), tokens, shard_slots, id_bytes)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(wanted: range, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         split = TaskContext.get().partitionId()
@@ -194,8 +205,8 @@ def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots:
         number = start = int(bounds[min(split, len(bounds) - 1)])
         for rows, packed in slices(batches, "ids", kind=pa.large_binary()):
             ids = rows.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
-            slots, records = _records(packed, ids, number, layout, key)
-            number += len(slots)
+            n, slots, records = _records(packed, ids, number, layout, key, wanted)
+            number += n
             # The end mark is the writer's line feed.
             yield _packed(slots // shard_slots, records[:, :-1])
         expected = int(bounds[split + 1]) - start if split + 1 < len(bounds) else 0
@@ -215,17 +226,21 @@ def _write(documents: DataFrame, path: str, key: int, tokens: int, shard_slots:
                 shards = pa.array(np.full(n, shard, np.int32))
                 yield pa.RecordBatch.from_arrays([shards, pa.array(slots), binary], ["shard", "slot", "record"])
 
-    packed = documents.mapInArrow(run, "shard int, records int, blob binary")
-    dealt = packed.repartitionById(layout.shards, F.col("shard"))
-    placed = dealt.mapInArrow(unpack, "shard int, slot bigint, record binary")
-    (
-        placed.sortWithinPartitions("shard", "slot")
-        .select("shard", F.col("record").cast("string").alias("value"))
-        .write.mode("overwrite")
-        .option("lineSep", chr(END))
-        .partitionBy("shard")
-        .text(f"{path}/shards")
-    )
+    passes = min(PASSES, layout.shards)
+    edges = [layout.shards * i // passes for i in range(passes + 1)]
+    for low, high in zip(edges, edges[1:]):
+        wanted = range(low * shard_slots, high * shard_slots)
+        packed = documents.mapInArrow(partial(run, wanted), "shard int, records int, blob binary")
+        dealt = packed.repartitionById(high - low, F.col("shard") - low)
+        placed = dealt.mapInArrow(unpack, "shard int, slot bigint, record binary")
+        (
+            placed.sortWithinPartitions("shard", "slot")
+            .select("shard", F.col("record").cast("string").alias("value"))
+            .write.mode("append" if low else "overwrite")
+            .option("lineSep", chr(END))
+            .partitionBy("shard")
+            .text(f"{path}/shards")
+        )
     manifest = [(layout.sequences, tokens, shard_slots, id_bytes, layout.stride)]
     names = "sequences bigint, sequence_tokens int, shard_slots int, id_bytes int, stride int"
     spark.createDataFrame(manifest, names).coalesce(1).write.mode("overwrite").json(f"{path}/layout")

@@ -84,6 +84,58 @@ def test_order_encoder_keeps_no_cuts():
     assert ids.tolist() == expected[0].tolist() and bounds.tolist() == expected[1].tolist()
 
 
+def test_library_is_given_each_cut_once(monkeypatch):
+    """Ids from distinct cuts are those of the whole texts, and the library sees far less text."""
+    pytest.importorskip("public_tokenizers")
+    import random
+
+    import pyarrow as pa
+    from llm import sentencepieces
+    from llm.queries import PIECES, tokenizer_path
+
+    used = sentencepieces.Codec(tokenizer_path(PIECES))
+    rng = random.Random(2)
+    parts = [" ", "  ", "▁", "\n", "a", "the", "é", "日本", "\x00", "\U0001f600", "<s>", "<unk>", "<0x41>", "　", "x" * 30]
+    for _ in range(200):
+        rows = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(rng.randrange(9))]
+        found, expected = (f(pa.array(rows, pa.large_string())) for f in (used.library_cut_ids, used.library_ids))
+        assert found[0].tolist() == expected[0].tolist() and found[1].tolist() == expected[1].tolist()
+
+    seen, library = [], used.library
+
+    class Counting:
+        def encode(self, texts, num_threads):
+            seen.append(sum(map(len, texts)))
+            return library.encode(texts, num_threads=num_threads)
+
+    monkeypatch.setattr(sentencepieces, "codec", lambda path: used)
+    used.__dict__["library"] = Counting()
+    texts = pa.array([" ".join(rng.choice(["some", "words", "of", "text "]) for _ in range(500))] * 4, pa.large_string())
+    ids, _ = sentencepieces.id_encoder(tokenizer_path(PIECES)).encode(texts)
+    assert sum(seen) < 100 and ids.tolist() == [i for x in texts.to_pylist() for i in library.encode(x)]
+
+
+def test_shards_are_written_in_passes_that_leave_no_shuffle(spark, frame, prose, monkeypatch):
+    """A pass shuffles its own shards only, and its files go with it; the records do not depend on the passes."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = blocks.getAllBlocks()
+        return {b for b in (found.apply(i).name() for i in range(found.size())) if b.startswith("shuffle_") and b.endswith(".data")}
+
+    documents = materialize(frame([(i, prose(30 + i, i)) for i in range(60)]), "stored")
+    contents = []
+    for passes in (training_order.PASSES, 1, 5):
+        monkeypatch.setattr(training_order, "PASSES", passes)
+        path, before = new_path(spark, "order-test"), shuffled()
+        layout = training_order.write_training_order(documents, path, 7, tokens=64, shard_slots=20)
+        assert layout.shards > 5 and not shuffled() - before
+        files = spark.read.format("binaryFile").load(f"{path}/shards").collect()
+        contents.append(sorted((r["shard"], bytes(r["content"])) for r in files))
+    assert contents[0] == contents[1] == contents[2] and len(contents[0]) == layout.shards
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_rows_come_to_workers_in_small_batches(spark):
     """Executor and worker both hold a batch whole, so its bytes are bounded, not only its rows."""
     import pyarrow as pa
