@@ -2,6 +2,7 @@
 
 import time
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,13 +14,18 @@ from presswork.operators.numbering import dense_number
 from presswork.operators.queue import apply_outcomes, latest_outcome, work_queue
 from presswork.operators.snapshot import advance_snapshot, queue_from_snapshot
 from presswork.schemas import FETCH_LOG, SILVER
-from presswork.sources.shared import Work, path_exists, paths_like
-from presswork.sources.tables import balanced, overwrite_counted, overwrite_partitions, read_layer, replace_partitions
+from presswork.sources.shared import Mover, Work, path_exists, paths_like
+from presswork.sources.tables import balanced, read_layer, replace_partitions, store_folders
 
 
 # Largest queue, URLs and 100 bytes per row, that is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# URLs whose articles a chunked run makes in one job, ahead of their commits; with a rate, those of so many seconds.
+AHEAD_URLS, AHEAD_SECONDS = 100_000, 10
+# Pages of one stored file, so that all cores share the pages of such a job.
+PAGES_PER_FILE = 1000
+
 
 def is_few(queue: DataFrame, max_bytes: int) -> bool:
     """Whether a stored queue is small enough to send to every executor."""
@@ -146,14 +152,14 @@ class ChunkedRun:
 
 
 def _staged(queue: DataFrame, crawl: DataFrame, work: Work, broadcast_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """Located rows and the pages found, stored by batch: a commit reads its own folders, and neither queue nor crawl."""
+    """Located rows and the pages found, stored by stretch: each reads its own folder, and neither queue nor crawl."""
     few = is_few(queue, broadcast_bytes)
 
-    def store(rows: DataFrame, label: str) -> DataFrame:
-        return work.materialize(balanced(rows, ["batch"]), label, "batch")
+    def store(rows: DataFrame, label: str, rows_per_file: int = 0) -> DataFrame:
+        return work.materialize(balanced(rows, ["stretch"]), label, "stretch", rows_per_file)
 
     located = store(locate_pages(queue, crawl, few), "located")
-    return located, store(pick_pages(located, crawl, few), "pages")
+    return located, store(pick_pages(located, crawl, few), "pages", PAGES_PER_FILE)
 
 
 def run_silver_chunks(
@@ -176,13 +182,16 @@ def run_silver_chunks(
     again and committed chunks are passed over; one that was cut short is written anew as a whole. With `urls_per_second`
     commits are spaced so that no more URLs than that are tried on average. Without a need for state
     between chunks or for a rate, run_silver does the same in one job. Queue and crawl meet once in a call, whatever
-    the number of its commits: the pages that it will read, still unread, are stored by batch.
+    the number of its commits: the pages that it will read, still unread, are stored by stretch. The commits of a stretch
+    have their files made in one job, beside the tables and unseen by their readers; a commit moves its own into place.
     """
     spark = bronze.sparkSession
     if silver is None and path_exists(spark, silver_path):
         silver = read_layer(spark, silver_path, "silver")
     made = rows = logged = 0
-    with Work(spark, "chunked-run") as work:
+    # Names with an underscore in front are no part of a table to Spark's readers.
+    ready, tried_ready = f"{silver_path}/_ready-{run_id}", f"{log_path}/_ready-{run_id}"
+    with Work(spark, "chunked-run") as work, Work(spark, path=ready), Work(spark, path=tried_ready):
         queue = _numbering(bronze, silver, log_path, run_id, chunk_size, work)
         first, last = queue.agg(F.min("batch"), F.max("batch")).first()
         starts = [] if first is None else list(range(first, last + 1, chunks_per_commit))
@@ -193,18 +202,38 @@ def run_silver_chunks(
         todo = [start for start in starts if start not in taken]
         done = len(starts) - len(todo)
         chosen = todo[:most_commits]
+        ahead = min(AHEAD_URLS, urls_per_second * AHEAD_SECONDS) if urls_per_second else AHEAD_URLS
+        # Batches of a stretch.
+        width = chunks_per_commit * max(1, int(ahead // (chunk_size * chunks_per_commit)))
         if chosen:
+            since = F.col("batch") - chosen[0]
             planned = queue.where(F.col("batch").between(chosen[0], chosen[-1] + chunks_per_commit - 1))
+            planned = planned.withColumn("stretch", int_div(since, width).cast("int"))
             located, pages = _staged(planned, crawl, work, broadcast_bytes)
-            # Put together once: a commit only adds which batches it reads.
-            articles = articles_of(pages).withColumn("Timestamp", F.current_timestamp()).select(SILVER.names)
-            outcomes = fetch_outcomes(located, ["batch"])
-        for start in chosen:
-            began = time.monotonic()
-            mine = F.col("batch").between(start, start + chunks_per_commit - 1)
-            rows += overwrite_partitions(articles.where(mine), silver_path, ["batch"])
-            tried = overwrite_counted(outcomes.where(mine).drop("batch"), f"{folder}{start}")
-            made, logged = made + 1, logged + tried
-            if urls_per_second and made < len(todo):
-                time.sleep(max(0.0, tried / urls_per_second - (time.monotonic() - began)))
+            # Put together once: a stretch only adds which folder it reads.
+            articles = articles_of(pages).withColumn("Timestamp", F.current_timestamp())
+            commit = (int_div(since, chunks_per_commit) * chunks_per_commit + chosen[0]).cast("int").alias("commit")
+            outcomes = fetch_outcomes(located, ["stretch", commit])
+            # Outcomes are narrow: those of several commits would all go to one task, a file for each.
+            several, cores = width > chunks_per_commit, spark.sparkContext.defaultParallelism
+            dealt = outcomes.repartition(cores, "commit") if several else balanced(outcomes, ["commit"])
+        mover, began = Mover(spark), time.monotonic()
+        for stretch, mine in groupby(chosen, lambda start: (start - chosen[0]) // width):
+            here = F.col("stretch") == stretch
+            found = store_folders(balanced(articles.where(here).select(SILVER.names), ["batch"]), ready, "batch")
+            tried = store_folders(dealt.where(here).drop("stretch"), tried_ready, "commit")
+            for start in mine:
+                for batch in range(start, start + chunks_per_commit):
+                    if batch in found:
+                        mover.move(f"{ready}/batch={batch}", f"{silver_path}/batch={batch}")
+                        rows += found[batch]
+                # The file that makes a commit comes with its rows.
+                mover.touch(f"{tried_ready}/commit={start}/_SUCCESS")
+                mover.move(f"{tried_ready}/commit={start}", f"{folder}{start}")
+                for path in (silver_path, log_path):
+                    spark.catalog.refreshByPath(path)
+                made, logged = made + 1, logged + tried.get(start, 0)
+                if urls_per_second and made < len(todo):
+                    time.sleep(max(0.0, tried.get(start, 0) / urls_per_second - (time.monotonic() - began)))
+                began = time.monotonic()
     return ChunkedRun(made, done + made, len(starts), rows, logged)

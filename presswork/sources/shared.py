@@ -64,6 +64,30 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+class Mover:
+    """Marks folders and moves them into place. What it needs of the JVM is fetched once, for a great many of them."""
+
+    def __init__(self, spark: SparkSession):
+        self._path, self._settings = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        place = self._path(path)
+        return place.getFileSystem(self._settings), place
+
+    def touch(self, path: str) -> None:
+        """An empty file, with the folders above it where they lack."""
+        files, place = self._at(path)
+        files.create(place, True).close()
+
+    def move(self, source: str, target: str) -> None:
+        """Put a folder in the place of one that may stand there; both lie in one file system, so no row is copied."""
+        files, place = self._at(target)
+        files.delete(place, True)
+        files.mkdirs(place.getParent())
+        if not files.rename(self._path(source), place):
+            raise OSError(f"{source} was not moved to {target}")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core work when a small stored table has fewer splits than cores.
 
@@ -79,17 +103,20 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return _stored(df, new_path(df.sparkSession, label), partition_by)
 
 
-def _stored(df: DataFrame, path: str, partition_by: str | None) -> DataFrame:
+def _stored(df: DataFrame, path: str, partition_by: str | None, rows_per_file: int = 0) -> DataFrame:
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.mode("overwrite").parquet(path)
+    writer.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class Work:
-    """Frames stored for the length of a flow: `with Work(spark) as work: work.materialize(...)`."""
+    """Frames stored for the length of a flow: `with Work(spark) as work: work.materialize(...)`.
+
+    They lie in the shared folder, or at `path`, for what is moved to a table and so has to be in its file system.
+    """
 
-    def __init__(self, spark: SparkSession, label: str = "work"):
-        self.spark, self.path = spark, new_path(spark, label)
+    def __init__(self, spark: SparkSession, label: str = "work", path: str | None = None):
+        self.spark, self.path = spark, path or new_path(spark, label)
 
     def __enter__(self) -> "Work":
         return self
@@ -97,5 +124,8 @@ class Work:
     def __exit__(self, kind: type | None, error: BaseException | None, trace: TracebackType | None) -> None:
         delete_path(self.spark, self.path)
 
-    def materialize(self, df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
-        return _stored(df, f"{self.path}/{label}-{uuid.uuid4().hex}", partition_by)
+    def materialize(
+        self, df: DataFrame, label: str, partition_by: str | None = None, rows_per_file: int = 0
+    ) -> DataFrame:
+        """`rows_per_file` makes files small enough for several tasks to share a partition."""
+        return _stored(df, f"{self.path}/{label}-{uuid.uuid4().hex}", partition_by, rows_per_file)

@@ -90,11 +90,6 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int
     return _counted(df, lambda rows: _write_partitions(balanced(rows, partition_by), path, partition_by))
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int:
-    """As replace_partitions, for rows that are stored by partition already: every task writes what it holds."""
-    return _counted(df, lambda rows: _write_partitions(rows, path, partition_by))
-
-
 def _write_partitions(rows: DataFrame, path: str, partition_by: list[str]) -> None:
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
@@ -121,9 +116,12 @@ def compact_partition(
     return files
 
 
-def overwrite_counted(df: DataFrame, path: str) -> int:
-    """Write a whole folder anew and return its rows, counted while they are written."""
-    return _counted(df, lambda rows: rows.write.mode("overwrite").parquet(path))
+def store_folders(df: DataFrame, path: str, by: str) -> dict[int, int]:
+    """Write a path anew with a folder for each value of `by`; returns the rows in each."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(by).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return {row[by]: row["count"] for row in stored.groupBy(by).count().collect()}
 
 
 def append_counted(df: DataFrame, path: str, partition_by: list[str]) -> int:

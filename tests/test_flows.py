@@ -13,7 +13,7 @@ from presswork.plans.gold import build_gold, build_latest_gold, write_gold
 from presswork.plans.bronze import run_import
 from presswork.plans.silver import build_silver, current_queue, run_silver, run_silver_chunks
 from presswork.schemas import BRONZE, FETCH_LOG, GOLD, SILVER
-from presswork.sources.shared import Work, new_path, path_exists, shared_folder
+from presswork.sources.shared import Work, new_path, path_exists, paths_like, shared_folder
 from presswork.sources.tables import compact_partition, create_layer_table, drop_layer_table, read_layer, replace_partitions, store_crawl, write_table
 from presswork.streaming import evolving
 from presswork.streaming.evolving import epoch_counts
@@ -174,6 +174,80 @@ def test_chunked_run_meets_the_crawl_once(spark, bronze, crawl, monkeypatch):
     assert found.commits == found.planned > 1 and len(calls) == 1
 
 
+def _jobs(spark, group, run):
+    """What a call returns, and the number of Spark jobs that it started."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(key, None)
+
+
+def test_chunked_run_needs_no_jobs_for_a_commit(spark, bronze, crawl):
+    def run(size):
+        paths = new_path(spark, "silver"), new_path(spark, "log")
+        found, jobs = _jobs(spark, f"commits-{size}", lambda: run_silver_chunks(bronze, crawl, *paths, 1, chunk_size=size))
+        return found, jobs, *paths
+
+    few, few_jobs, *_ = run(20)
+    many, many_jobs, silver_path, log_path = run(2)
+    assert (few.commits, many.commits) == (3, 30) and few.silver == many.silver == N * 2 // 3
+    # A commit that ran one would add 27.
+    assert 0 < many_jobs < few_jobs + 20
+    whole, _ = build_silver(bronze, crawl, chunk_size=2)
+    assert plain(read_layer(spark, silver_path, "silver"), CONTENT) == plain(whole, CONTENT)
+    assert len(paths_like(spark, f"{log_path}/run_id=1/chunks-*/_SUCCESS")) == 30
+
+
+@pytest.mark.parametrize("chunks_per_commit, ahead", [(1, 24), (2, 1), (3, 100_000)])
+def test_chunked_run_in_stretches(spark, bronze, crawl, monkeypatch, chunks_per_commit, ahead):
+    """Articles of some commits are made ahead; a failure leaves what was committed, and no trace of the others."""
+    from presswork.plans import silver
+
+    monkeypatch.setattr(silver, "AHEAD_URLS", ahead)
+    silver_path, log_path = new_path(spark, "silver"), new_path(spark, "log")
+    read_log = lambda: spark.read.schema(FETCH_LOG).parquet(log_path)
+    # Pages meet the queue in a merge join.
+    run = lambda: run_silver_chunks(bronze, crawl, silver_path, log_path, 3, chunk_size=12, chunks_per_commit=chunks_per_commit, broadcast_bytes=0)
+    whole, outcomes = build_silver(bronze, crawl, chunk_size=12)
+    move, moved = silver.Mover.move, []
+
+    def seen(self, source, target):
+        moved.append(target)
+        if target.endswith(f"chunks-{1 + chunks_per_commit}"):
+            raise OSError("no space")
+        move(self, source, target)
+
+    monkeypatch.setattr(silver.Mover, "move", seen)
+    with pytest.raises(OSError):
+        run()
+    # The second commit has its articles in place and is not there yet; the third was not begun.
+    assert [p.split("/")[-1] for p in moved] == [
+        *(f"batch={b}" for b in range(1, chunks_per_commit + 1)), "chunks-1",
+        *(f"batch={b}" for b in range(chunks_per_commit + 1, min(2 * chunks_per_commit, 5) + 1)), f"chunks-{1 + chunks_per_commit}",
+    ]
+    assert read_log().count() == 12 * chunks_per_commit == read_log().where("run_id = 3").count()
+    assert {r["batch"] for r in read_layer(spark, silver_path, "silver").collect()} == set(range(1, min(2 * chunks_per_commit, 5) + 1))
+    assert not paths_like(spark, f"{silver_path}/_ready*") and not paths_like(spark, f"{log_path}/_ready*")
+    monkeypatch.setattr(silver.Mover, "move", move)
+    rest = run()
+    assert (rest.commits, rest.done, rest.log) == (rest.planned - 1, rest.planned, N - 12 * chunks_per_commit)
+    assert rest.silver == whole.where(F.col("batch") > chunks_per_commit).count()
+    assert plain(read_layer(spark, silver_path, "silver"), CONTENT) == plain(whole, CONTENT)
+    flags = ["url", "processed", "status"]
+    assert plain(read_log(), flags) == plain(outcomes, flags)
+
+
+def test_chunked_run_without_any_page(spark, bronze, crawl):
+    """No batch has an article: every commit is made, silver is there and empty."""
+    silver_path, log_path = new_path(spark, "silver"), new_path(spark, "log")
+    found = run_silver_chunks(bronze, crawl.where("false"), silver_path, log_path, 1, chunk_size=25)
+    assert (found.commits, found.planned, found.silver, found.log) == (3, 3, 0, N)
+    assert read_layer(spark, silver_path, "silver").count() == 0
+    assert spark.read.schema(FETCH_LOG).parquet(log_path).where("status = 1").count() == N
+
+
 def test_chunked_run_keeps_its_rate(spark, bronze, crawl):
     import time
 
