@@ -175,7 +175,7 @@ def run_silver_chunks(
     urls_per_second: float | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> ChunkedRun:
-    """As run_silver, chunk by chunk: articles, then outcomes of some chunks are written before the next ones are begun.
+    """As run_silver, chunk by chunk: articles, then outcomes of some chunks are in place before any of the next ones.
 
     Between commits the queue's state is that of the log, so what was tried is seen by every reader. A run
     that stopped, by `most_commits` or by a failure, is resumed by the same run_id: its stored numbering is read
@@ -212,8 +212,8 @@ def run_silver_chunks(
             located, pages = _staged(planned, crawl, work, broadcast_bytes)
             # Put together once: a stretch only adds which folder it reads.
             articles = articles_of(pages).withColumn("Timestamp", F.current_timestamp())
-            commit = (int_div(since, chunks_per_commit) * chunks_per_commit + chosen[0]).cast("int").alias("commit")
-            outcomes = fetch_outcomes(located, ["stretch", commit])
+            commit = (int_div(since, chunks_per_commit) * chunks_per_commit + chosen[0]).cast("int")
+            outcomes = fetch_outcomes(located.withColumn("commit", commit), ["stretch", "commit"])
             # Outcomes are narrow: those of several commits would all go to one task, a file for each.
             several, cores = width > chunks_per_commit, spark.sparkContext.defaultParallelism
             dealt = outcomes.repartition(cores, "commit") if several else balanced(outcomes, ["commit"])

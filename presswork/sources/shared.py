@@ -105,7 +105,9 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
 
 def _stored(df: DataFrame, path: str, partition_by: str | None, rows_per_file: int = 0) -> DataFrame:
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
